@@ -103,3 +103,241 @@ def sector_growth_history(spark: SparkSession, sf: str) -> DataFrame:
     _, hist = dash.sector_growth(_scoped(spark, sf), role(spark, sf, "donnees_financieres"),
                                  role(spark, sf, "code_naf"))
     return hist
+
+
+# ---------------------------------------------------------------- scalar functions
+from pyspark.sql import functions as F  # noqa: E402
+
+from .functions import scalars as S  # noqa: E402
+from .functions.geo import lambert93_defined, lambert93_to_wgs84  # noqa: E402
+from .operators import aggregates as A  # noqa: E402
+from .operators import filters as FL  # noqa: E402
+from .operators import joins as J  # noqa: E402
+from .operators import project as P  # noqa: E402
+from .operators import topk as T  # noqa: E402
+from .operators.windows import latest_per_key  # noqa: E402
+
+
+@register("clean_dates", q.ctes("etablissements_raw", "unite_legale_raw") + """
+SELECT e.siret, try_cast(e.dateCreationEtablissement AS DATE) AS datecreationetablissement,
+       u.siren, try_cast(u.dateCreationUniteLegale AS DATE) AS datecreationunitelegale
+FROM etablissements_raw e LEFT JOIN unite_legale_raw u ON e.siren = u.siren""")
+def clean_dates(spark, sf):
+    e = role(spark, sf, "etablissements_raw").select(
+        "siret", "siren", S.lenient_date("dateCreationEtablissement").alias("datecreationetablissement"))
+    u = role(spark, sf, "unite_legale_raw").select(
+        F.col("siren").alias("u_siren"), S.lenient_date("dateCreationUniteLegale").alias("datecreationunitelegale"))
+    out = e.join(u, e.siren == u.u_siren, "left")
+    return out.select("siret", "datecreationetablissement", F.col("u_siren").alias("siren"),
+                      "datecreationunitelegale")
+
+
+@register("clean_numbers", q.ctes("etablissements_raw", "donnees_financieres_raw") + """
+SELECT siret,
+       try_cast(coordonneeLambertAbscisseEtablissement AS DOUBLE) AS coordonneelambertabscisseetablissement,
+       try_cast(coordonneeLambertOrdonneeEtablissement AS DOUBLE) AS coordonneelambertordonneeetablissement
+FROM etablissements_raw""")
+def clean_numbers(spark, sf):
+    e = role(spark, sf, "etablissements_raw")
+    return e.select(
+        "siret",
+        S.lenient_double("coordonneeLambertAbscisseEtablissement").alias("coordonneelambertabscisseetablissement"),
+        S.lenient_double("coordonneeLambertOrdonneeEtablissement").alias("coordonneelambertordonneeetablissement"),
+    )
+
+
+@register("clean_postal", q.ctes("etablissements_raw") + """
+SELECT siret, CASE WHEN length(codePostalEtablissement) = 5 THEN codePostalEtablissement END AS codepostaletablissement
+FROM etablissements_raw""")
+def clean_postal(spark, sf):
+    e = role(spark, sf, "etablissements_raw")
+    return e.select("siret", S.postal_or_null("codePostalEtablissement").alias("codepostaletablissement"))
+
+
+@register("coalesce_name", q.ctes("etablissements", "unite_legale") + """
+SELECT e.siret, e.siren, coalesce(u.denominationunitelegale, e.siret) AS denominationunitelegale
+FROM etablissements e LEFT JOIN unite_legale u ON e.siren = u.siren""")
+def coalesce_name(spark, sf):
+    df = J.join_left_parent(role(spark, sf, "etablissements").select("siret", "siren"),
+                            role(spark, sf, "unite_legale"), "siren", ["denominationunitelegale"])
+    return df.withColumn("denominationunitelegale", S.default_from("denominationunitelegale", "siret"))
+
+
+_ADDR = ", ".join(f"CASE WHEN trim({p}) <> '' THEN {p} END" for p in dash.ADDRESS_PARTS)
+
+
+@register("address_line", q.ctes("etablissements") + f"""
+SELECT siret, coalesce(nullif(concat_ws(' ', {_ADDR}), ''), 'N/A') AS adresse FROM etablissements""")
+def address_line(spark, sf):
+    e = role(spark, sf, "etablissements")
+    return e.select("siret", S.address_line(list(dash.ADDRESS_PARTS)).alias("adresse"))
+
+
+_NORM_SQL = """CASE WHEN {s} LIKE 'MARSEILLE%' THEN 'MARSEILLE'
+            WHEN {s} LIKE 'AIX EN PROVENCE%' THEN 'AIX-EN-PROVENCE' ELSE {s} END"""
+
+
+def _norm_sql(col: str) -> str:
+    s = f"trim(regexp_replace(regexp_replace(upper({col}), '[-'']', ' ', 'g'), '\\s+', ' ', 'g'))"
+    return _NORM_SQL.format(s=s)
+
+
+@register("normalize_place", q.ctes("communes_geo") + f"""
+SELECT feature_id, nom, {_norm_sql('nom')} AS nom_normalise FROM communes_geo""")
+def normalize_place(spark, sf):
+    g = role(spark, sf, "communes_geo")
+    return g.select("feature_id", "nom", S.normalize_place("nom").alias("nom_normalise"))
+
+
+@register("code_label", q.ctes("code_naf") + """
+SELECT code, libelle, concat(code, ' - ', libelle) AS affichage,
+       split_part(concat(code, ' - ', libelle), ' - ', 1) AS code_lu,
+       CASE WHEN position(' - ' IN concat(code, ' - ', libelle)) > 0
+            THEN substr(concat(code, ' - ', libelle), position(' - ' IN concat(code, ' - ', libelle)) + 3)
+            ELSE '' END AS libelle_lu
+FROM code_naf""")
+def code_label(spark, sf):
+    n = role(spark, sf, "code_naf").withColumn("affichage", S.code_label("code", "libelle"))
+    return n.select("code", "libelle", "affichage", S.code_of("affichage").alias("code_lu"),
+                    S.label_of("affichage").alias("libelle_lu"))
+
+
+@register("geo_lambert93", q.ctes(
+    "etablissements",
+    q.lambert_ctes("etablissements", "coordonneelambertabscisseetablissement",
+                   "coordonneelambertordonneeetablissement", "geo", decimals=6)) + """
+SELECT siret, longitude, latitude FROM geo WHERE latitude IS NOT NULL AND longitude IS NOT NULL""")
+def geo_lambert93(spark, sf):
+    e = role(spark, sf, "etablissements")
+    x, y = "coordonneelambertabscisseetablissement", "coordonneelambertordonneeetablissement"
+    e = e.where(lambert93_defined(x, y)).select("siret", x, y)
+    return lambert93_to_wgs84(e, x, y, decimals=6).select("siret", "longitude", "latitude")
+
+
+# ---------------------------------------------------------------- projections
+ESTABLISHMENT_WANTED = (
+    "siret", "siren", "etatAdministratifEtablissement", "dateCreationEtablissement",
+    "trancheEffectifsEtablissement", "anneeEffectifsEtablissement", "complementAdresseEtablissement",
+    "numeroVoieEtablissement", "typeVoieEtablissement", "libelleVoieEtablissement",
+    "codePostalEtablissement", "libelleCommuneEtablissement", "coordonneeLambertAbscisseEtablissement",
+    "coordonneeLambertOrdonneeEtablissement",
+)
+
+
+@register("project_present", q.ctes("etablissements_raw") + "SELECT "
+          + ", ".join(f"{c} AS {c.lower()}" for c in ESTABLISHMENT_WANTED) + " FROM etablissements_raw")
+def project_present(spark, sf):
+    # one wanted column does not exist in the source: it is skipped
+    return P.project_present(role(spark, sf, "etablissements_raw"), [*ESTABLISHMENT_WANTED, "absentColumn"])
+
+
+_REINDEX = {
+    "siren": "siren",
+    "denominationunitelegale": "denominationUniteLegale",
+    "datecreationunitelegale": "dateCreationUniteLegale",
+    "activiteprincipaleunitelegale": "activitePrincipaleUniteLegale",
+    "nomenclatureactiviteprincipaleunitelegale": "nomenclatureActivitePrincipaleUniteLegale",
+    "etatadministratifunitelegale": "etatAdministratifUniteLegale",
+}
+
+
+@register("project_reindex", q.ctes("unite_legale_raw") + """
+SELECT siren, denominationUniteLegale AS denominationunitelegale,
+       dateCreationUniteLegale AS datecreationunitelegale,
+       activitePrincipaleUniteLegale AS activiteprincipaleunitelegale,
+       CAST(NULL AS VARCHAR) AS nomenclatureactiviteprincipaleunitelegale,
+       etatAdministratifUniteLegale AS etatadministratifunitelegale
+FROM unite_legale_raw""")
+def project_reindex(spark, sf):
+    # the nomenclature column is absent from the source: it comes back as a typed null
+    return P.project_reindex(role(spark, sf, "unite_legale_raw"), _REINDEX)
+
+
+@register("json_flatten", """
+SELECT event_id, event_type AS "kind",
+       CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k",
+       user_id AS "who.user_id", value AS "who.detail.value"
+FROM events""")
+def json_flatten(spark, sf):
+    ev = F.from_json("props", "k BIGINT")
+    nested = role_table(spark, sf, "events").select(
+        "event_id", F.col("event_type").alias("kind"), ev.alias("props"),
+        F.struct(F.col("user_id"), F.struct(F.col("value")).alias("detail")).alias("who"),
+    )
+    return P.json_flatten(nested)
+
+
+@register("project_fixed", q.ctes("etablissements") + """
+SELECT siret, siren, libellecommuneetablissement FROM etablissements""")
+def project_fixed(spark, sf):
+    return P.project_fixed(role(spark, sf, "etablissements"), ["siret", "siren", "libellecommuneetablissement"])
+
+
+def role_table(spark, sf, name):
+    from .roles import table
+    return table(spark, sf, name)
+
+
+# ---------------------------------------------------------------- filters
+@register("filter_active", q.ctes("etablissements_raw") + """
+SELECT siret, siren, etatAdministratifEtablissement AS etat FROM etablissements_raw
+WHERE etatAdministratifEtablissement = 'A'""")
+def filter_active(spark, sf):
+    e = FL.filter_active(role(spark, sf, "etablissements_raw"), "etatAdministratifEtablissement")
+    return e.select("siret", "siren", F.col("etatAdministratifEtablissement").alias("etat"))
+
+
+TARGET_PLACES = ("1-URGENT", "2-HIGH")
+
+
+@register("filter_in_list", q.ctes("etablissements") + f"""
+SELECT siret, libellecommuneetablissement FROM etablissements
+WHERE libellecommuneetablissement IN {TARGET_PLACES!r}""")
+def filter_in_list(spark, sf):
+    e = FL.filter_in_list(role(spark, sf, "etablissements"), "libellecommuneetablissement", TARGET_PLACES)
+    return e.select("siret", "libellecommuneetablissement")
+
+
+@register("drop_null_subset", q.ctes("etablissements") + """
+SELECT siret, libellecommuneetablissement, coordonneelambertabscisseetablissement FROM etablissements
+WHERE libellecommuneetablissement IS NOT NULL AND coordonneelambertabscisseetablissement IS NOT NULL""")
+def drop_null_subset(spark, sf):
+    e = role(spark, sf, "etablissements").select(
+        "siret", "libellecommuneetablissement", "coordonneelambertabscisseetablissement")
+    return FL.drop_null_subset(e, ["libellecommuneetablissement", "coordonneelambertabscisseetablissement"])
+
+
+@register("filter_postal", q.ctes("etablissements_raw") + """
+SELECT siret, codePostalEtablissement AS codepostaletablissement FROM etablissements_raw
+WHERE codePostalEtablissement IS NOT NULL AND length(codePostalEtablissement) <= 5""")
+def filter_postal(spark, sf):
+    e = FL.filter_postal(role(spark, sf, "etablissements_raw"), "codePostalEtablissement")
+    return e.select("siret", F.col("codePostalEtablissement").alias("codepostaletablissement"))
+
+
+@register("filter_non_negative", q.ctes("donnees_financieres") + """
+SELECT siren, date_cloture_exercice, chiffre_d_affaires FROM donnees_financieres WHERE chiffre_d_affaires >= 0""")
+def filter_non_negative(spark, sf):
+    f = role(spark, sf, "donnees_financieres").select("siren", "date_cloture_exercice", "chiffre_d_affaires")
+    return FL.filter_non_negative(f, "chiffre_d_affaires")
+
+
+@register("filter_scope", q.ctes(*q.MART) + f"""
+SELECT siret, siren, activiteprincipaleunitelegale, libellecommuneetablissement FROM mart
+WHERE libellecommuneetablissement = '{PLACE}' AND activiteprincipaleunitelegale = '{SECTOR}'""")
+def filter_scope(spark, sf):
+    return _scoped(spark, sf, SECTOR).select(
+        "siret", "siren", "activiteprincipaleunitelegale", "libellecommuneetablissement")
+
+
+MARK = "2000-01-01"
+
+
+@register("incremental_filter", q.ctes("etablissements") + f"""
+SELECT siret, datecreationetablissement FROM etablissements
+WHERE datecreationetablissement >= DATE '{MARK}' AND etatadministratifetablissement = 'A'""")
+def incremental_filter(spark, sf):
+    import datetime as dt
+    e = FL.incremental_filter(role(spark, sf, "etablissements"), "datecreationetablissement",
+                              dt.date.fromisoformat(MARK), "etatadministratifetablissement")
+    return e.select("siret", "datecreationetablissement")

@@ -15,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -27,11 +28,13 @@ class RoleView:
     source: str
     columns: tuple[tuple[str, str], ...]
     where: str | None = None
+    join: tuple[str, str] | None = None  # (second table, equi-join condition)
 
     def sql(self) -> str:
         cols = ",\n    ".join(f"{expr} AS {name}" for name, expr in self.columns)
         where = f"\n  WHERE {self.where}" if self.where else ""
-        return f"SELECT\n    {cols}\n  FROM {self.source}{where}"
+        join = f" JOIN {self.join[0]} ON {self.join[1]}" if self.join else ""
+        return f"SELECT\n    {cols}\n  FROM {self.source}{join}{where}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -151,6 +154,11 @@ ROLE_VIEWS: dict[str, RoleView] = {
         ("code", "lpad(cast(r_regionkey as string), 2, '0')"),
         ("libelle", "r_name"),
     )),
+    # sector code → region name (activity codes roll up to regions)
+    "regions": RoleView("nation", (
+        ("code", "lpad(cast(n_nationkey as string), 2, '0')"),
+        ("libelle", "r_name"),
+    ), join=("region", "n_regionkey = r_regionkey")),
     # place names of a region file (hyphens, apostrophes, repeated spaces, districts)
     "communes_geo": RoleView("part", (
         ("feature_id", "p_partkey"),
@@ -194,6 +202,8 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A role view as a lazy DataFrame over the driver table (scan + projection only)."""
     view = ROLE_VIEWS[name]
     df = table(spark, sf_dir, view.source)
+    if view.join:
+        df = df.join(table(spark, sf_dir, view.join[0]), F.expr(view.join[1]))
     if view.where:
         df = df.where(view.where)
     return df.selectExpr(*[f"{expr} AS {name}" for name, expr in view.columns])
