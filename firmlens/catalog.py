@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle_sql as q
 from .plans import dashboard as dash
-from .roles import role
+from .roles import ROLE_VIEWS, role
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,7 +115,7 @@ from .operators import filters as FL  # noqa: E402
 from .operators import joins as J  # noqa: E402
 from .operators import project as P  # noqa: E402
 from .operators import topk as T  # noqa: E402
-from .operators.windows import latest_per_key  # noqa: E402
+from .operators.windows import latest_per_key as latest_row  # noqa: E402
 
 
 @register("clean_dates", q.ctes("etablissements_raw", "unite_legale_raw") + """
@@ -341,3 +341,361 @@ def incremental_filter(spark, sf):
     e = FL.incremental_filter(role(spark, sf, "etablissements"), "datecreationetablissement",
                               dt.date.fromisoformat(MARK), "etatadministratifetablissement")
     return e.select("siret", "datecreationetablissement")
+
+
+# ---------------------------------------------------------------- joins
+@register("join_inner_key", q.ctes("ratios", "unite_legale_raw") + """
+SELECT r.siren, r.date_cloture_exercice, r.chiffre_d_affaires, u.categorieEntreprise AS categorieentreprise,
+       u.statutDiffusionUniteLegale AS statutdiffusionunitelegale
+FROM ratios r JOIN unite_legale_raw u ON r.siren = u.siren""")
+def join_inner_key(spark, sf):
+    r = role(spark, sf, "ratios").select("siren", "date_cloture_exercice", "chiffre_d_affaires")
+    u = P.project_present(role(spark, sf, "unite_legale_raw"),
+                          ["siren", "categorieEntreprise", "statutDiffusionUniteLegale"])
+    return J.join_inner_key(r, u, "siren")
+
+
+@register("join_left_parent", q.ctes("etablissements", "unite_legale") + """
+SELECT e.siret, e.siren, u.activiteprincipaleunitelegale, u.denominationunitelegale
+FROM etablissements e LEFT JOIN unite_legale u ON e.siren = u.siren""")
+def join_left_parent(spark, sf):
+    return J.join_left_parent(role(spark, sf, "etablissements").select("siret", "siren"),
+                              role(spark, sf, "unite_legale"), "siren",
+                              ["activiteprincipaleunitelegale", "denominationunitelegale"])
+
+
+@register("join_label_lookup", q.ctes("unite_legale", "code_naf") + """
+SELECT u.siren, u.activiteprincipaleunitelegale, n.libelle, n.code
+FROM unite_legale u LEFT JOIN code_naf n ON u.activiteprincipaleunitelegale IS NOT DISTINCT FROM n.code""")
+def join_label_lookup(spark, sf):
+    u = role(spark, sf, "unite_legale").select("siren", "activiteprincipaleunitelegale")
+    return J.join_label_lookup(u, role(spark, sf, "code_naf"), "activiteprincipaleunitelegale",
+                               "code", ["libelle"], keep_code_as="code")
+
+
+@register("join_chain_left", q.ctes("etablissements", "unite_legale", "donnees_financieres") + f"""
+SELECT e.siret, e.siren, u.categorieentreprise, count(*) AS detail_rows,
+       {q.money_sum('f.chiffre_d_affaires')} AS detail_sum, count(f.chiffre_d_affaires) AS detail_count
+FROM etablissements e
+LEFT JOIN unite_legale u ON e.siren = u.siren
+LEFT JOIN donnees_financieres f ON e.siren = f.siren
+GROUP BY e.siret, e.siren, u.categorieentreprise""")
+def join_chain_left(spark, sf):
+    out = J.join_chain_left(role(spark, sf, "etablissements").select("siret", "siren"),
+                            role(spark, sf, "unite_legale"), role(spark, sf, "donnees_financieres"),
+                            "siren", ["categorieentreprise"])
+    return out.withColumn("detail_sum", F.col("detail_sum").cast("double"))
+
+
+@register("semi_join_keys", q.ctes("etablissements", "donnees_financieres") + f"""
+SELECT siren, date_cloture_exercice, chiffre_d_affaires FROM donnees_financieres
+WHERE siren IN (SELECT siren FROM etablissements WHERE etatadministratifetablissement = 'A'
+                AND libellecommuneetablissement IN {TARGET_PLACES!r})""")
+def semi_join_keys(spark, sf):
+    e = role(spark, sf, "etablissements")
+    keys = FL.filter_in_list(FL.filter_active(e, "etatadministratifetablissement"),
+                             "libellecommuneetablissement", TARGET_PLACES)
+    f = role(spark, sf, "donnees_financieres").select("siren", "date_cloture_exercice", "chiffre_d_affaires")
+    return J.semi_join_keys(f, keys, "siren")
+
+
+_SECTOR_YEAR_ALL = f"""units AS (SELECT DISTINCT siren, activiteprincipaleunitelegale FROM mart),
+per_year AS (
+  SELECT u.activiteprincipaleunitelegale, CAST(year(f.date_cloture_exercice) AS INTEGER) AS annee,
+         coalesce({q.money_sum('f.chiffre_d_affaires')}, 0.0) AS chiffre_d_affaires
+  FROM units u LEFT JOIN donnees_financieres f ON u.siren = f.siren
+  WHERE u.activiteprincipaleunitelegale IS NOT NULL AND f.date_cloture_exercice IS NOT NULL
+  GROUP BY 1, 2
+)
+"""
+
+
+@register("period_over_period", q.ctes(*q.MART, "donnees_financieres", _SECTOR_YEAR_ALL.strip()) + """
+SELECT r.activiteprincipaleunitelegale, r.annee AS annee_recent, r.chiffre_d_affaires AS chiffre_d_affaires_recent,
+       p.annee AS annee_past, p.chiffre_d_affaires AS chiffre_d_affaires_past
+FROM per_year r LEFT JOIN per_year p
+  ON r.activiteprincipaleunitelegale = p.activiteprincipaleunitelegale
+ AND p.annee = (SELECT max(annee) FROM per_year) - 3
+WHERE r.annee = (SELECT max(annee) FROM per_year)""")
+def period_over_period(spark, sf):
+    per_year = dash.sector_year_revenue(_mart(spark, sf), role(spark, sf, "donnees_financieres"))
+    return J.period_over_period(per_year, "activiteprincipaleunitelegale", "annee", "chiffre_d_affaires", 3)
+
+
+@register("lookup_default", q.ctes("etablissements", "tranches_effectifs") + """
+SELECT e.siret, coalesce(t.libelle, 'N/A') AS tranche_effectif
+FROM etablissements e LEFT JOIN tranches_effectifs t
+  ON e.trancheeffectifsetablissement IS NOT DISTINCT FROM t.code""")
+def lookup_default(spark, sf):
+    e = role(spark, sf, "etablissements").select("siret", "trancheeffectifsetablissement")
+    out = J.lookup_default(e, role(spark, sf, "tranches_effectifs"), "trancheeffectifsetablissement",
+                           "tranche_effectif")
+    return out.drop("trancheeffectifsetablissement")
+
+
+@register("labels_in_use", q.ctes(*q.MART) + """
+SELECT DISTINCT code, libelle FROM code_naf
+WHERE code IN (SELECT activiteprincipaleunitelegale FROM mart WHERE activiteprincipaleunitelegale IS NOT NULL)""")
+def labels_in_use(spark, sf):
+    return J.labels_in_use(role(spark, sf, "code_naf"), _mart(spark, sf), "activiteprincipaleunitelegale")
+
+
+# ---------------------------------------------------------------- aggregates
+@register("distinct_keys", q.ctes("etablissements") +
+          "SELECT DISTINCT siren FROM etablissements WHERE siren IS NOT NULL")
+def distinct_keys(spark, sf):
+    return A.distinct_keys(role(spark, sf, "etablissements"), "siren")
+
+
+@register("distinct_rows", q.ctes(*q.MART) + "SELECT DISTINCT siren, activiteprincipaleunitelegale FROM mart")
+def distinct_rows(spark, sf):
+    return A.distinct_rows(_mart(spark, sf), ["siren", "activiteprincipaleunitelegale"])
+
+
+@register("count_distinct", q.ctes("unite_legale") + "SELECT count(DISTINCT siren) AS n_distinct FROM unite_legale")
+def count_distinct(spark, sf):
+    return A.count_distinct(role(spark, sf, "unite_legale"), "siren")
+
+
+@register("top_sectors", q.ctes(*q.MART) + f"""
+, counts AS (
+  SELECT activiteprincipaleunitelegale, count(*) AS nombre_etablissements FROM mart
+  WHERE libellecommuneetablissement = '{PLACE}' AND activiteprincipaleunitelegale IS NOT NULL
+  GROUP BY 1 ORDER BY nombre_etablissements DESC, activiteprincipaleunitelegale LIMIT 5
+)
+SELECT c.*, n.libelle AS secteur FROM counts c
+LEFT JOIN code_naf n ON c.activiteprincipaleunitelegale IS NOT DISTINCT FROM n.code""")
+def top_sectors(spark, sf):
+    return dash.top_sectors(_scoped(spark, sf), role(spark, sf, "code_naf"), 5)
+
+
+@register("top_labels", q.ctes("unite_legale", "code_naf") + """
+SELECT n.libelle, count(*) AS nombre_entreprises
+FROM unite_legale u LEFT JOIN code_naf n ON u.activiteprincipaleunitelegale IS NOT DISTINCT FROM n.code
+WHERE n.libelle IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
+def top_labels(spark, sf):
+    u = J.join_label_lookup(role(spark, sf, "unite_legale"), role(spark, sf, "code_naf"),
+                            "activiteprincipaleunitelegale", "code", ["libelle"])
+    return A.top_k_counts(u, "libelle", 10, out="nombre_entreprises")
+
+
+@register("top_communes", q.ctes("etablissements") + """
+SELECT libellecommuneetablissement, count(*) AS nombre_etablissements FROM etablissements
+WHERE libellecommuneetablissement IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
+def top_communes(spark, sf):
+    return A.top_k_counts(role(spark, sf, "etablissements"), "libellecommuneetablissement", 10,
+                          out="nombre_etablissements")
+
+
+@register("sum_by_sector_year", q.ctes(*q.MART, "donnees_financieres", _SECTOR_YEAR_ALL.strip()) +
+          "SELECT * FROM per_year")
+def sum_by_sector_year(spark, sf):
+    return dash.sector_year_revenue(_mart(spark, sf), role(spark, sf, "donnees_financieres"))
+
+
+@register("sector_revenue_history", q.ctes(*q.MART, "donnees_financieres") + f"""
+, units AS (SELECT DISTINCT siren, activiteprincipaleunitelegale FROM mart
+            WHERE libellecommuneetablissement = '{PLACE}' AND activiteprincipaleunitelegale = '{SECTOR}')
+SELECT CAST(year(f.date_cloture_exercice) AS INTEGER) AS annee,
+       coalesce({q.money_sum('f.chiffre_d_affaires')}, 0.0) AS chiffre_d_affaires
+FROM units u LEFT JOIN donnees_financieres f ON u.siren = f.siren
+WHERE f.date_cloture_exercice IS NOT NULL GROUP BY 1""")
+def sector_revenue_history(spark, sf):
+    return dash.sector_revenue_history(_scoped(spark, sf), role(spark, sf, "donnees_financieres"), SECTOR)
+
+
+_CREATIONS = """cr AS (
+  SELECT e.libellecommuneetablissement, CAST(year(u.datecreationunitelegale) AS INTEGER) AS annee_creation,
+         count(DISTINCT e.siren) AS nombre_entreprises
+  FROM etablissements e LEFT JOIN unite_legale u ON e.siren = u.siren
+  WHERE e.libellecommuneetablissement IS NOT NULL AND u.datecreationunitelegale IS NOT NULL
+  GROUP BY 1, 2
+)"""
+FIRST_RECENT_YEAR = 2019
+
+
+def _creations(spark, sf):
+    e = A.distinct_rows(role(spark, sf, "etablissements"), ["libellecommuneetablissement", "siren"])
+    u = role(spark, sf, "unite_legale").select(
+        "siren", S.year_of("datecreationunitelegale").alias("annee_creation"))
+    df = J.join_left_parent(e, u, "siren", ["annee_creation"])
+    df = A.count_distinct_by(df, ["libellecommuneetablissement", "annee_creation"], "siren", "nombre_entreprises")
+    return FL.filter_min(df, "annee_creation", FIRST_RECENT_YEAR)
+
+
+@register("creations_by_commune_year", q.ctes("etablissements", "unite_legale", _CREATIONS) +
+          f"SELECT * FROM cr WHERE annee_creation >= {FIRST_RECENT_YEAR}")
+def creations_by_commune_year(spark, sf):
+    return _creations(spark, sf)
+
+
+PLACES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+@register("pivot_creations", q.ctes("etablissements", "unite_legale", _CREATIONS) + "SELECT annee_creation, "
+          + ", ".join(f"coalesce(max(CASE WHEN libellecommuneetablissement = '{p}' THEN nombre_entreprises END), 0)"
+                      f" AS \"{p}\"" for p in PLACES)
+          + f" FROM cr WHERE annee_creation >= {FIRST_RECENT_YEAR} GROUP BY annee_creation")
+def pivot_creations(spark, sf):
+    return A.pivot_wide(_creations(spark, sf), "annee_creation", "libellecommuneetablissement",
+                        "nombre_entreprises", PLACES)
+
+
+@register("mean_by_category", q.ctes("etablissements", "unite_legale", "donnees_financieres") + f"""
+SELECT u.categorieentreprise, {q.money_mean('f.chiffre_d_affaires')} AS chiffre_d_affaires
+FROM etablissements e
+LEFT JOIN unite_legale u ON e.siren = u.siren
+LEFT JOIN donnees_financieres f ON e.siren = f.siren
+WHERE f.chiffre_d_affaires IS NOT NULL AND u.categorieentreprise IS NOT NULL
+GROUP BY 1""")
+def mean_by_category(spark, sf):
+    from .plans.exploration import mean_revenue_by_category
+    return mean_revenue_by_category(role(spark, sf, "etablissements"), role(spark, sf, "unite_legale"),
+                                    role(spark, sf, "donnees_financieres"))
+
+
+@register("mean_top_labels", q.ctes("donnees_financieres", "unite_legale", "code_naf") + f"""
+, df AS (
+  SELECT CAST(year(f.date_cloture_exercice) AS INTEGER) AS annee, n.libelle, f.chiffre_d_affaires
+  FROM donnees_financieres f LEFT JOIN unite_legale u ON f.siren = u.siren
+  LEFT JOIN code_naf n ON u.activiteprincipaleunitelegale IS NOT DISTINCT FROM n.code
+),
+means AS (SELECT annee, libelle, {q.money_mean('chiffre_d_affaires')} AS ca_moyen FROM df
+          WHERE annee IS NOT NULL AND libelle IS NOT NULL GROUP BY 1, 2),
+cand AS (SELECT l.libelle, coalesce(m.ca_moyen, 0.0) AS v FROM (SELECT DISTINCT libelle FROM means) l
+         LEFT JOIN means m ON m.libelle = l.libelle AND m.annee = (SELECT max(annee) FROM means)),
+top AS (SELECT libelle FROM cand ORDER BY v DESC, libelle LIMIT 10),
+years AS (SELECT DISTINCT annee FROM means)
+SELECT y.annee, t.libelle, coalesce(m.ca_moyen, 0.0) AS ca_moyen
+FROM years y CROSS JOIN top t LEFT JOIN means m ON m.annee = y.annee AND m.libelle = t.libelle""")
+def mean_top_labels(spark, sf):
+    from .plans.exploration import mean_revenue_top_labels
+    return mean_revenue_top_labels(role(spark, sf, "donnees_financieres"), role(spark, sf, "unite_legale"),
+                                   role(spark, sf, "code_naf"))
+
+
+@register("revenue_by_commune", q.ctes("etablissements", "donnees_financieres") + f"""
+SELECT e.libellecommuneetablissement, coalesce({q.money_sum('f.chiffre_d_affaires')}, 0.0) AS chiffre_d_affaires
+FROM etablissements e LEFT JOIN donnees_financieres f ON e.siren = f.siren
+WHERE e.libellecommuneetablissement IS NOT NULL GROUP BY 1""")
+def revenue_by_commune(spark, sf):
+    return A.revenue_by_group(role(spark, sf, "etablissements"), role(spark, sf, "donnees_financieres"),
+                              "libellecommuneetablissement")
+
+
+@register("log_histogram", q.ctes("donnees_financieres") + """
+, pos AS (SELECT chiffre_d_affaires AS v FROM donnees_financieres WHERE chiffre_d_affaires > 0),
+b AS (SELECT log10(min(v)) AS lo, log10(max(v)) AS hi FROM pos),
+binned AS (SELECT CAST(CASE WHEN b.hi > b.lo THEN least(48, floor((log10(v) - b.lo) / ((b.hi - b.lo) / 49)))
+                       ELSE 0 END AS INTEGER) AS bin FROM pos, b),
+counts AS (SELECT bin, count(*) AS n FROM binned GROUP BY bin),
+grid AS (SELECT CAST(range AS INTEGER) AS bin FROM range(49))
+SELECT g.bin, round(pow(10.0, b.lo + g.bin * ((b.hi - b.lo) / 49)), 6) AS lower,
+       round(pow(10.0, b.lo + (g.bin + 1) * ((b.hi - b.lo) / 49)), 6) AS upper, coalesce(c.n, 0) AS n
+FROM grid g CROSS JOIN b LEFT JOIN counts c ON c.bin = g.bin WHERE b.lo IS NOT NULL""")
+def log_histogram(spark, sf):
+    h = A.log_histogram(role(spark, sf, "donnees_financieres"), "chiffre_d_affaires", 50)
+    return h.withColumns({"lower": F.round("lower", 6), "upper": F.round("upper", 6)})
+
+
+_NN_COLS = [n for n, _ in ROLE_VIEWS["etablissements"].columns]
+
+
+@register("non_null_counts", q.ctes("etablissements") + "SELECT "
+          + ", ".join(f"count({c}) AS {c}" for c in _NN_COLS) + " FROM etablissements")
+def non_null_counts(spark, sf):
+    return A.non_null_counts(role(spark, sf, "etablissements"))
+
+
+@register("row_count", q.ctes("etablissements") + "SELECT count(*) AS n_rows FROM etablissements")
+def row_count(spark, sf):
+    return A.row_count(role(spark, sf, "etablissements"))
+
+
+@register("active_by_region", q.ctes("etablissements", "unite_legale", "regions") + """
+SELECT r.libelle AS region, count(*) AS nombre_etablissements
+FROM etablissements e LEFT JOIN unite_legale u ON e.siren = u.siren
+LEFT JOIN regions r ON u.activiteprincipaleunitelegale IS NOT DISTINCT FROM r.code
+WHERE e.etatadministratifetablissement = 'A' AND r.libelle IS NOT NULL GROUP BY 1""")
+def active_by_region(spark, sf):
+    e = FL.filter_active(role(spark, sf, "etablissements"), "etatadministratifetablissement")
+    df = J.join_left_parent(e.select("siren"), role(spark, sf, "unite_legale"), "siren",
+                            ["activiteprincipaleunitelegale"])
+    df = J.join_label_lookup(df, role(spark, sf, "regions"), "activiteprincipaleunitelegale", "code",
+                             {"libelle": "region"})
+    return A.top_k_counts(df, "region", None, out="nombre_etablissements")
+
+
+@register("creations_by_year", q.ctes("unite_legale") + """
+SELECT CAST(year(datecreationunitelegale) AS INTEGER) AS annee_creation, count(DISTINCT siren) AS nombre_entreprises
+FROM unite_legale WHERE datecreationunitelegale IS NOT NULL GROUP BY 1""")
+def creations_by_year(spark, sf):
+    u = role(spark, sf, "unite_legale").withColumn("annee_creation", S.year_of("datecreationunitelegale"))
+    return A.count_distinct_by(u, ["annee_creation"], "siren", "nombre_entreprises")
+
+
+# ---------------------------------------------------------------- window, top-k, cards
+@register("latest_per_key", q.ctes("donnees_financieres") + """
+SELECT siren, date_cloture_exercice, chiffre_d_affaires, resultat_net FROM (
+  SELECT *, row_number() OVER (PARTITION BY siren ORDER BY date_cloture_exercice DESC,
+         chiffre_d_affaires DESC NULLS LAST, resultat_net DESC NULLS LAST) AS rn
+  FROM donnees_financieres WHERE date_cloture_exercice IS NOT NULL) WHERE rn = 1""")
+def latest_per_key(spark, sf):
+    return latest_row(role(spark, sf, "donnees_financieres"), "siren", "date_cloture_exercice",
+                             tiebreak=[F.col("chiffre_d_affaires").desc_nulls_last(),
+                                       F.col("resultat_net").desc_nulls_last()])
+
+
+
+@register("top_revenue_units", q.ctes(*q.MART, "donnees_financieres") + f"""
+, scoped AS (SELECT * FROM mart WHERE libellecommuneetablissement = '{PLACE}'
+             AND activiteprincipaleunitelegale = '{SECTOR}'),
+units AS (SELECT siren, min(denominationunitelegale) AS denominationunitelegale FROM scoped GROUP BY siren),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY siren ORDER BY date_cloture_exercice DESC,
+         chiffre_d_affaires DESC NULLS LAST, resultat_net DESC NULLS LAST) AS rn
+  FROM donnees_financieres WHERE date_cloture_exercice IS NOT NULL AND siren IN (SELECT siren FROM units))
+SELECT u.denominationunitelegale, u.siren, r.chiffre_d_affaires
+FROM units u JOIN ranked r ON u.siren = r.siren AND r.rn = 1
+ORDER BY r.chiffre_d_affaires DESC NULLS LAST, u.siren LIMIT 5""")
+def top_revenue_units(spark, sf):
+    return dash.top_revenue_units(_scoped(spark, sf, SECTOR), role(spark, sf, "donnees_financieres"), 5)
+
+
+@register("financial_history", q.ctes(*q.MART, "donnees_financieres") + f"""
+SELECT siren, date_cloture_exercice, chiffre_d_affaires, resultat_net FROM donnees_financieres
+WHERE siren IN (SELECT siren FROM mart WHERE libellecommuneetablissement = '{PLACE}'
+                AND activiteprincipaleunitelegale = '{SECTOR}')""")
+def financial_history(spark, sf):
+    from .plans.dashboard import financial_histories
+    return financial_histories(_scoped(spark, sf, SECTOR), role(spark, sf, "donnees_financieres"))
+
+
+_CARD_ADDR = ", ".join(f"CASE WHEN trim({p}) <> '' THEN {p} END" for p in dash.ADDRESS_PARTS)
+
+
+@register("establishment_card", q.ctes(*q.MART, "tranches_effectifs") + f"""
+, firsts AS (SELECT *, row_number() OVER (PARTITION BY siren ORDER BY siret) AS rn FROM mart)
+SELECT denominationunitelegale AS denomination, siren, coalesce(siret, 'N/A') AS siret,
+       coalesce(categorieentreprise, 'N/A') AS categorie,
+       coalesce(nullif(concat_ws(' ', {_CARD_ADDR}), ''), 'N/A') AS adresse,
+       coalesce(CAST(anneeeffectifsetablissement AS VARCHAR), 'N/A') AS annee_effectif,
+       coalesce(CAST(anneecategorieentreprise AS VARCHAR), 'N/A') AS annee_categorie,
+       coalesce(t.libelle, 'N/A') AS tranche_effectif
+FROM firsts f LEFT JOIN tranches_effectifs t ON f.trancheeffectifsetablissement IS NOT DISTINCT FROM t.code
+WHERE rn = 1""")
+def establishment_card(spark, sf):
+    return dash.establishment_card(_mart(spark, sf), role(spark, sf, "tranches_effectifs"))
+
+
+_MART_COLS = [n for n, _ in ROLE_VIEWS["etablissements"].columns] + [
+    "activiteprincipaleunitelegale", "denominationunitelegale", "categorieentreprise",
+    "anneecategorieentreprise", "libelle", "code"]
+
+
+@register("dashboard_mart", q.ctes(*q.MART) + "SELECT " + ", ".join(_MART_COLS)
+          + ", round(longitude, 6) AS longitude, round(latitude, 6) AS latitude FROM mart")
+def dashboard_mart(spark, sf):
+    m = _mart(spark, sf)
+    return m.select(*_MART_COLS, F.round("longitude", 6).alias("longitude"),
+                    F.round("latitude", 6).alias("latitude"))

@@ -174,3 +174,10 @@ def establishment_card(
 def financial_history(fin: DataFrame, siren: str, cols: Cols = C) -> DataFrame:
     """One unit's accounts in closing-date order."""
     return history(fin, cols.siren, siren, cols.closing, [cols.closing, cols.revenue, cols.result])
+
+
+def financial_histories(scoped: DataFrame, fin: DataFrame, cols: Cols = C) -> DataFrame:
+    """T3 for every unit in scope: their accounts ordered by unit, then closing date
+    (a semi join on the scoped units, then one global sort)."""
+    acc = semi_join_keys(fin, scoped.select(cols.siren), cols.siren)
+    return acc.select(cols.siren, cols.closing, cols.revenue, cols.result).orderBy(cols.siren, cols.closing)
