@@ -173,17 +173,8 @@ def address_line(spark, sf):
     return e.select("siret", S.address_line(list(dash.ADDRESS_PARTS)).alias("adresse"))
 
 
-_NORM_SQL = """CASE WHEN {s} LIKE 'MARSEILLE%' THEN 'MARSEILLE'
-            WHEN {s} LIKE 'AIX EN PROVENCE%' THEN 'AIX-EN-PROVENCE' ELSE {s} END"""
-
-
-def _norm_sql(col: str) -> str:
-    s = f"trim(regexp_replace(regexp_replace(upper({col}), '[-'']', ' ', 'g'), '\\s+', ' ', 'g'))"
-    return _NORM_SQL.format(s=s)
-
-
 @register("normalize_place", q.ctes("communes_geo") + f"""
-SELECT feature_id, nom, {_norm_sql('nom')} AS nom_normalise FROM communes_geo""")
+SELECT feature_id, nom, {q.normalize_place_sql('nom')} AS nom_normalise FROM communes_geo""")
 def normalize_place(spark, sf):
     g = role(spark, sf, "communes_geo")
     return g.select("feature_id", "nom", S.normalize_place("nom").alias("nom_normalise"))
@@ -699,3 +690,6 @@ def dashboard_mart(spark, sf):
     m = _mart(spark, sf)
     return m.select(*_MART_COLS, F.round("longitude", 6).alias("longitude"),
                     F.round("latitude", 6).alias("latitude"))
+
+
+from . import catalog_io  # noqa: E402,F401  (registers the I/O, pipeline and incremental queries)

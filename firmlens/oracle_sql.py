@@ -34,6 +34,13 @@ def money_mean(col: str) -> str:
     return f"(CAST(SUM(CAST({col} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({col}))"
 
 
+def normalize_place_sql(col: str) -> str:
+    """The place-name normaliser in SQL (regexp_replace needs the 'g' flag in DuckDB)."""
+    t = f"trim(regexp_replace(regexp_replace(upper({col}), '[-'']', ' ', 'g'), '\\s+', ' ', 'g'))"
+    return (f"CASE WHEN {t} LIKE 'MARSEILLE%' THEN 'MARSEILLE' "
+            f"WHEN {t} LIKE 'AIX EN PROVENCE%' THEN 'AIX-EN-PROVENCE' ELSE {t} END")
+
+
 def lambert_ctes(src: str, x: str, y: str, out: str, decimals: int | None = None) -> str:
     """CTEs converting ``src``'s Lambert-93 columns into longitude/latitude; the last CTE
     is named ``out`` and has every column of ``src`` plus ``longitude`` and ``latitude``."""

@@ -85,3 +85,32 @@ def region_table(
     both sides (features without establishments get 0)."""
     counts = top_k_counts(etab.select(normalize_place(place).alias("commune")), "commune", None, out=metric)
     return region_metric(features, counts, feature_name, "commune", metric, normalize=normalize_place)
+
+
+def merge_ratio_records(
+    spark,
+    ratio_pages: str,
+    ratio_envelope,
+    unit_pages: str,
+    unit_envelope,
+    interim: str,
+    target: str,
+    columns,
+    key: str = "siren",
+) -> None:
+    """X11: ratio pages (``results`` arrays) and unit records (``uniteLegale`` objects) →
+    CSV interim files → typed re-read → inner join on the key → the chosen columns (a
+    missing one is an error) → the target table replaced."""
+    from ..operators.joins import join_inner_key
+    from ..operators.project import project_fixed
+    from ..sources.files import read_csv_typed, write_csv
+    from ..sources.json import read_pages
+    from ..sources.sinks import replace_table
+
+    ratios = read_pages(spark, ratio_pages, ratio_envelope, "results")
+    units = read_pages(spark, unit_pages, unit_envelope, None, single_field="uniteLegale")
+    write_csv(ratios, f"{interim}/ratios")
+    write_csv(units, f"{interim}/units")
+    r = read_csv_typed(spark, f"{interim}/ratios", ratios.schema)
+    u = read_csv_typed(spark, f"{interim}/units", units.schema)
+    replace_table(project_fixed(join_inner_key(r, u, key), columns), target)
