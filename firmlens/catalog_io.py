@@ -86,6 +86,12 @@ def _envelope(records: DataFrame, field: str) -> StructType:
 
 _PAGE = "floor(cast(siret as bigint) / 100)"
 
+# Schema of the place features the GeoJSON queries land (declared: no inference pass).
+GEO_SCHEMA = (
+    "type string, features array<struct<type: string, properties: struct<feature_id: bigint, nom: string>, "
+    "geometry: struct<type: string, coordinates: array<double>>>>"
+)
+
 
 @register("scan_json_pages", q.ctes("etablissements_raw") + f"""
 SELECT siret, siren, codePostalEtablissement AS codepostaletablissement,
@@ -116,7 +122,7 @@ def scan_geojson(spark: SparkSession, sf: str) -> DataFrame:
     path = run_dir(spark, "scan_geojson")
     json.write_geojson(role(spark, sf, "communes_geo"), path, ["feature_id", "nom"], "lon", "lat",
                        F.floor(F.col("feature_id") / 100))
-    feats = json.read_geojson(spark, path, multi_line=False)
+    feats = json.read_geojson(spark, path, multi_line=False, schema=GEO_SCHEMA)
     return feats.select(F.col("feature_id").cast("long").alias("feature_id"), "nom",
                         F.col("geometry.coordinates")[0].alias("lon"), F.col("geometry.coordinates")[1].alias("lat"))
 
@@ -132,7 +138,7 @@ def region_metric(spark: SparkSession, sf: str) -> DataFrame:
     path = run_dir(spark, "region_metric")
     json.write_geojson(role(spark, sf, "communes_geo"), path, ["feature_id", "nom"], "lon", "lat",
                        F.floor(F.col("feature_id") / 100))
-    feats = json.read_geojson(spark, path, multi_line=False).select(
+    feats = json.read_geojson(spark, path, multi_line=False, schema=GEO_SCHEMA).select(
         F.col("feature_id").cast("long").alias("feature_id"), "nom")
     return region_table(feats, role(spark, sf, "etablissements"))
 

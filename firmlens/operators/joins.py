@@ -1,8 +1,11 @@
 """Joins (J1-J10).
 
-Every join here is an equi-join on a key. Strategy is left to Catalyst/AQE except for
-label dictionaries, which are broadcast only after a bounded row count proves they are
-small (``broadcast_if_small``); beyond the bound they fall back to a shuffle join.
+Every join here is an equi-join on a key and the physical strategy is left to the
+planner: a side is broadcast only when its size is known to be under
+``spark.sql.autoBroadcastJoinThreshold`` — from file statistics at planning time, or from
+the actual shuffle output under adaptive execution — and otherwise joined by shuffle.
+Explicit ``broadcast()`` is used only for frames bounded by construction (a ``limit``),
+or after ``broadcast_if_small`` has proven a row bound for inputs without statistics.
 One-to-many chains are never expanded into all pairs: the many side is aggregated per
 key first (``join_chain_left``), which gives the same totals without the fan-out rows.
 """
@@ -22,7 +25,8 @@ LABEL_BROADCAST_ROWS = 200_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = LABEL_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the frame provably has at most ``max_rows`` rows.
+    """Broadcast hint only when the frame provably has at most ``max_rows`` rows — for
+    inputs the planner has no size statistics for (e.g. the output of a Python source).
 
     The proof is a bounded count (``limit(max_rows + 1).count()``): it reads at most
     ``max_rows + 1`` rows no matter how large the input turns out to be. Beyond the bound
@@ -52,12 +56,14 @@ def join_label_lookup(
     code_col: str = "code",
     label_cols: Mapping[str, str] | Sequence[str] | None = None,
     keep_code_as: str | None = None,
-    max_label_rows: int = LABEL_BROADCAST_ROWS,
+    max_label_rows: int | None = None,
 ) -> DataFrame:
     """Left lookup of labels by a differently named code column.
 
     Null codes match a null dictionary code (null-safe equality), as a pandas merge does.
     ``label_cols`` maps dictionary columns to output names (default: all but the code).
+    A dictionary is small and read from files, so the planner broadcasts it by its size;
+    ``max_label_rows`` forces a proven-bound broadcast for inputs without statistics.
     """
     if label_cols is None:
         label_cols = [c for c in labels.columns if c != code_col]
@@ -66,7 +72,8 @@ def join_label_lookup(
     lab = labels.select(
         F.col(code_col).alias(tmp), *[F.col(src).alias(out) for src, out in mapping.items()]
     )
-    lab = broadcast_if_small(lab, max_label_rows)
+    if max_label_rows is not None:
+        lab = broadcast_if_small(lab, max_label_rows)
     out = df.join(lab, df[left_col].eqNullSafe(lab[tmp]), "left")
     if keep_code_as:
         return out.withColumnRenamed(tmp, keep_code_as)

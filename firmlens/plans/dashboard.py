@@ -25,6 +25,7 @@ from ..operators.joins import (
 )
 from ..operators.topk import history, top_n
 from ..operators.windows import latest_per_key
+from ..session import materialize
 
 
 @dataclass(frozen=True)
@@ -85,7 +86,7 @@ def sector_growth(
     Growth is (recent − past) / past × 100; sectors without a past value, or with a past
     value of 0, have no defined growth and are left out. Ties: sector code ascending.
     """
-    per_year = sector_year_revenue(scoped, fin, cols)
+    per_year = materialize(sector_year_revenue(scoped, fin, cols))  # one pass over the facts
     evo = period_over_period(per_year, cols.sector, cols.year, cols.revenue, n_years)
     rev_r, rev_p = cols.revenue + "_recent", cols.revenue + "_past"
     evo = evo.withColumns({

@@ -11,6 +11,7 @@ from ..functions.scalars import money, money_mean, normalize_place, year_of
 from ..operators.aggregates import top_k_counts
 from ..operators.joins import join_label_lookup, join_left_parent, region_metric, restrict_to
 from ..operators.topk import top_n
+from ..session import materialize
 
 
 def mean_revenue_by_category(
@@ -54,7 +55,7 @@ def mean_revenue_top_labels(
     df = join_left_parent(fin, ul, key, [sector])
     df = join_label_lookup(df, naf, sector, "code", ["libelle"])
     df = df.withColumn("annee", year_of(closing))
-    means = (
+    means = materialize(  # one pass over the accounts; the small result feeds four branches
         df.where(F.col("annee").isNotNull() & F.col("libelle").isNotNull())
         .groupBy("annee", "libelle")
         .agg(money_mean(value).alias("ca_moyen"))

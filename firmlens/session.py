@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -37,6 +37,21 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/firmlens/{name}/{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a (small, reused) intermediate result once and cut its lineage.
+
+    The frame is cached while it is checkpointed to the shared checkpoint folder, so the
+    input is read once; later plans read the checkpoint (which survives executor loss),
+    and the cache is released. Used where one aggregate feeds several branches that the
+    optimizer would otherwise recompute separately (filters pushed into each branch).
+    """
+    shared_dir(df.sparkSession)
+    cached = df.cache()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Settings the plans are designed around (all are Spark defaults in 4.x except the
     time zone); applied by tests and the bench, harmless on a cluster session."""
