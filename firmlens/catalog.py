@@ -609,12 +609,8 @@ FROM etablissements e LEFT JOIN unite_legale u ON e.siren = u.siren
 LEFT JOIN regions r ON u.activiteprincipaleunitelegale IS NOT DISTINCT FROM r.code
 WHERE e.etatadministratifetablissement = 'A' AND r.libelle IS NOT NULL GROUP BY 1""")
 def active_by_region(spark, sf):
-    e = FL.filter_active(role(spark, sf, "etablissements"), "etatadministratifetablissement")
-    df = J.join_left_parent(e.select("siren"), role(spark, sf, "unite_legale"), "siren",
-                            ["activiteprincipaleunitelegale"])
-    df = J.join_label_lookup(df, role(spark, sf, "regions"), "activiteprincipaleunitelegale", "code",
-                             {"libelle": "region"})
-    return A.top_k_counts(df, "region", None, out="nombre_etablissements")
+    from .plans.exploration import active_by_region as plan
+    return plan(role(spark, sf, "etablissements"), role(spark, sf, "unite_legale"), role(spark, sf, "regions"))
 
 
 @register("creations_by_year", q.ctes("unite_legale") + """

@@ -332,12 +332,13 @@ def incremental_batch(spark: SparkSession, sf: str) -> DataFrame:
     rerun of day 2 (as after a failure before the mark write). Every event lands once."""
     ev = table(spark, sf, "events").select(*EVENT_COLS)
     root = run_dir(spark, "incremental_batch")
+    day = ("day", F.to_date("ts"))
     I.incremental_batch(ev.where(F.col("ts") < F.lit(DAY_CUT)), f"{root}/t", f"{root}/s", ["event_id"], "ts",
-                        FIRST_MARK)
+                        FIRST_MARK, partition=day)
     for _ in range(2):
         I.incremental_batch(ev.where(F.col("ts") >= F.lit(DAY_OVERLAP)), f"{root}/t", f"{root}/s",
-                            ["event_id"], "ts", FIRST_MARK)
-    return spark.read.parquet(f"{root}/t")
+                            ["event_id"], "ts", FIRST_MARK, partition=day)
+    return spark.read.parquet(f"{root}/t").drop("day")
 
 
 @register("incremental_stream", f"SELECT {', '.join(EVENT_COLS)} FROM events")
@@ -349,10 +350,13 @@ def incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     env = _envelope(ev, "records")
     page = F.floor(F.col("event_id") / 100)
     json.write_pages(ev.where(F.col("ts") < F.lit(DAY_CUT)), f"{root}/landing", "records", page, mode="append")
-    I.incremental_stream(spark, f"{root}/landing", env, "records", f"{root}/t", f"{root}/ckpt", ["event_id"])
+    day = ("day", F.to_date("ts"))
+    I.incremental_stream(spark, f"{root}/landing", env, "records", f"{root}/t", f"{root}/ckpt", ["event_id"],
+                         partition=day)
     json.write_pages(ev.where(F.col("ts") >= F.lit(DAY_OVERLAP)), f"{root}/landing", "records", page, mode="append")
-    I.incremental_stream(spark, f"{root}/landing", env, "records", f"{root}/t", f"{root}/ckpt", ["event_id"])
-    return spark.read.parquet(f"{root}/t")
+    I.incremental_stream(spark, f"{root}/landing", env, "records", f"{root}/t", f"{root}/ckpt", ["event_id"],
+                         partition=day)
+    return spark.read.parquet(f"{root}/t").drop("day")
 
 
 DAILY_MARK = dt.date(1995, 1, 1)

@@ -111,24 +111,26 @@ def log_histogram(df: DataFrame, value: str, edges: int = 50) -> DataFrame:
 
     Bin i covers [10^(lo + i·w), 10^(lo + (i+1)·w)) with w = (hi - lo) / (edges - 1); the
     largest value is clamped into the last bin; with a single distinct value everything
-    falls in bin 0. lo/hi are scalar sub-queries (computed once, no cross join).
+    falls in bin 0. Two passes: one aggregate for lo/hi (two numbers brought to the
+    driver), then one grouped count on the bin index; bins come from a range, no cross join.
     """
     bins = edges - 1
     pos = df.select(F.col(value).alias("v")).where(F.col("v") > 0)
-    bounds = pos.agg(F.log10(F.min("v")).alias("lo"), F.log10(F.max("v")).alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
+    b = pos.agg(F.log10(F.min("v")).alias("lo"), F.log10(F.max("v")).alias("hi")).first()
+    spark = df.sparkSession
+    if b is None or b["lo"] is None:
+        return spark.createDataFrame([], "bin int, lower double, upper double, n bigint")
+    lo, hi = F.lit(b["lo"]), F.lit(b["hi"])
     width = (hi - lo) / F.lit(bins)
     idx = F.when(hi > lo, F.least(F.lit(bins - 1), F.floor((F.log10("v") - lo) / width))).otherwise(F.lit(0))
     counts = pos.groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    out = grid.join(counts, on="bin", how="left").select(
+    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return grid.join(counts, on="bin", how="left").select(
         "bin",
         F.pow(F.lit(10.0), lo + F.col("bin") * width).alias("lower"),
         F.pow(F.lit(10.0), lo + (F.col("bin") + 1) * width).alias("upper"),
         F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n"),
     )
-    return out.where(lo.isNotNull())
 
 
 def pivot_wide(

@@ -130,10 +130,17 @@ def period_over_period(
     value: str,
     periods_back: int,
     suffixes: tuple[str, str] = ("_recent", "_past"),
+    reuse: bool = True,
 ) -> DataFrame:
     """J7 (+A15): each key's value in the latest period next to its value ``periods_back``
     periods earlier (null when absent). The latest period is a scalar sub-query — one
-    number computed once, no cross join and no collect."""
+    number computed once, no cross join and no collect. The series feeds three branches
+    (latest, recent, past); with ``reuse`` it is computed once and checkpointed first
+    (pass ``False`` when it already is)."""
+    if reuse:
+        from ..session import materialize
+
+        series = materialize(series)
     latest = series.select(F.max(period)).scalar()
     rs, ps = suffixes
     recent = series.where(F.col(period) == latest).select(

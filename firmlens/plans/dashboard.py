@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import lambert93_defined, lambert93_to_wgs84
-from ..functions.scalars import address_line, default_from, growth_pct, or_default, year_of
-from ..operators.aggregates import distinct_rows, sum_by_keys, top_k_counts
+from ..functions.scalars import address_line, default_from, growth_pct, money, or_default, year_of
+from ..operators.aggregates import distinct_rows, top_k_counts
 from ..operators.joins import (
     join_label_lookup,
     join_left_parent,
@@ -61,15 +61,30 @@ def dashboard_mart(etab: DataFrame, ul: DataFrame, naf: DataFrame, cols: Cols =
     return lambert93_to_wgs84(df, cols.x, cols.y, "longitude", "latitude")
 
 
+def unit_year_revenue(fin: DataFrame, cols: Cols = C) -> DataFrame:
+    """Accounts pre-aggregated per (unit, year): exact revenue sum (null when every amount
+    is null) — map-side combined, so a unit holding a third of all accounts costs one
+    partial row per input partition and year, and joins meet one row per (unit, year)."""
+    return (
+        fin.withColumn(cols.year, year_of(cols.closing))
+        .where(F.col(cols.year).isNotNull())
+        .groupBy(cols.siren, cols.year)
+        .agg(F.sum(money(cols.revenue)).alias("__s"))
+    )
+
+
 def sector_year_revenue(scoped: DataFrame, fin: DataFrame, cols: Cols = C) -> DataFrame:
     """A2 → J2 → C5 → A5: revenue per (sector, year) of the units present in ``scoped``.
 
     Units are de-duplicated first (one row per unit and sector), so a unit with many
-    establishments counts its accounts once."""
-    units = distinct_rows(scoped, [cols.siren, cols.sector])
-    merged = join_left_parent(units, fin, cols.siren, [cols.closing, cols.revenue])
-    merged = merged.withColumn(cols.year, year_of(cols.closing))
-    return sum_by_keys(merged, [cols.sector, cols.year], cols.revenue)
+    establishments counts its accounts once. A (sector, year) appears when some unit of the
+    sector has accounts that year; its revenue is 0 when all their amounts are null.
+    Equal to the row-level join then sum, with accounts pre-aggregated per (unit, year)."""
+    units = distinct_rows(scoped, [cols.siren, cols.sector]).where(F.col(cols.sector).isNotNull())
+    merged = units.join(unit_year_revenue(fin, cols), on=cols.siren, how="inner")
+    return merged.groupBy(cols.sector, cols.year).agg(
+        F.coalesce(F.sum("__s").cast("double"), F.lit(0.0)).alias(cols.revenue)
+    )
 
 
 def sector_growth(
@@ -87,7 +102,7 @@ def sector_growth(
     value of 0, have no defined growth and are left out. Ties: sector code ascending.
     """
     per_year = materialize(sector_year_revenue(scoped, fin, cols))  # one pass over the facts
-    evo = period_over_period(per_year, cols.sector, cols.year, cols.revenue, n_years)
+    evo = period_over_period(per_year, cols.sector, cols.year, cols.revenue, n_years, reuse=False)
     rev_r, rev_p = cols.revenue + "_recent", cols.revenue + "_past"
     evo = evo.withColumns({
         "evol_ca": F.col(rev_r) - F.col(rev_p),
@@ -104,10 +119,8 @@ def sector_growth(
 def sector_revenue_history(scoped: DataFrame, fin: DataFrame, sector: str, cols: Cols = C) -> DataFrame:
     """Yearly revenue of one sector's units within the scope."""
     one = scoped.where(F.col(cols.sector) == F.lit(sector))
-    units = distinct_rows(one, [cols.siren, cols.sector])
-    merged = join_left_parent(units, fin, cols.siren, [cols.closing, cols.revenue])
-    merged = merged.withColumn(cols.year, year_of(cols.closing))
-    return sum_by_keys(merged, [cols.year], cols.revenue).orderBy(cols.year)
+    per_year = sector_year_revenue(one, fin, cols)
+    return per_year.select(cols.year, cols.revenue).orderBy(cols.year)
 
 
 def top_sectors(scoped: DataFrame, naf: DataFrame, k: int = 5, cols: Cols = C) -> DataFrame:

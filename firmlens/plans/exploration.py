@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import money, money_mean, normalize_place, year_of
+from ..functions.scalars import money, normalize_place, year_of
 from ..operators.aggregates import top_k_counts
 from ..operators.joins import join_label_lookup, join_left_parent, region_metric, restrict_to
 from ..operators.topk import top_n
@@ -52,13 +52,16 @@ def mean_revenue_top_labels(
 
     The ``top`` labels (bounded by the parameter) are the pivot values; pivot then unpivot
     fills the year × label grid without a cross join."""
-    df = join_left_parent(fin, ul, key, [sector])
-    df = join_label_lookup(df, naf, sector, "code", ["libelle"])
-    df = df.withColumn("annee", year_of(closing))
+    per_unit = (  # accounts pre-aggregated per (unit, year), map-side combined
+        fin.withColumn("annee", year_of(closing))
+        .where(F.col("annee").isNotNull())
+        .groupBy(key, "annee")
+        .agg(F.sum(money(value)).alias("__s"), F.count(value).alias("__c"))
+    )
+    df = per_unit.join(ul.select(key, sector), on=key, how="inner")
+    df = join_label_lookup(df, naf, sector, "code", ["libelle"]).where(F.col("libelle").isNotNull())
     means = materialize(  # one pass over the accounts; the small result feeds four branches
-        df.where(F.col("annee").isNotNull() & F.col("libelle").isNotNull())
-        .groupBy("annee", "libelle")
-        .agg(money_mean(value).alias("ca_moyen"))
+        df.groupBy("annee", "libelle").agg((F.sum("__s").cast("double") / F.sum("__c")).alias("ca_moyen"))
     )
     last = means.select(F.max("annee")).scalar()
     last_year = means.where(F.col("annee") == last).select("libelle", F.col("ca_moyen").alias("__v"))
@@ -75,6 +78,26 @@ def mean_revenue_top_labels(
     )
 
 
+def active_by_region(
+    etab: DataFrame,
+    ul: DataFrame,
+    regions: DataFrame,
+    key: str = "siren",
+    status: str = "etatadministratifetablissement",
+    sector: str = "activiteprincipaleunitelegale",
+) -> DataFrame:
+    """Active establishments per region (via the unit's activity code), most first.
+    Establishments are counted per unit before the join (map-side combined), so the join
+    meets one row per unit however many establishments a unit has."""
+    from ..operators.filters import filter_active
+
+    per_unit = filter_active(etab, status).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    df = per_unit.join(ul.select(key, sector), on=key, how="left")
+    df = join_label_lookup(df, regions, sector, "code", {"libelle": "region"}).where(F.col("region").isNotNull())
+    out = df.groupBy("region").agg(F.sum("__n").alias("nombre_etablissements"))
+    return out.orderBy(F.col("nombre_etablissements").desc(), F.col("region"))
+
+
 def region_table(
     features: DataFrame,
     etab: DataFrame,
