@@ -38,7 +38,16 @@ class RoleView:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Each table is one Parquet file with a single row group, which a scan
+    cannot split: the whole table would be one task. When a scan yields fewer partitions
+    than the session's parallelism, the rows are spread once over the cores (round-robin;
+    a small shuffle of a small input). Inputs already split into at least that many
+    partitions — any large table — are read as they are."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 _SIRET = "lpad(cast(o_orderkey as string), 14, '0')"
