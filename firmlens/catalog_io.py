@@ -391,10 +391,12 @@ def daily_incremental(spark: SparkSession, sf: str) -> DataFrame:
         # the unit lookup of the day: the units of that day's establishments, half of them
         # delivered in batches, half as single records
         day_units = units.join(day_recs.select("siren").distinct(), "siren", "left_semi")
-        batched = day_units.where(F.col("siren").cast("long") % 2 == 0)
+        even = F.substring("siren", -1, 1).isin("0", "2", "4", "6", "8")
+        batched = day_units.where(even)
+        # a batch = the keys sharing all but their last two characters (at most 100 keys)
         json.write_pages(batched, f"{root}/landing/{day}/units", "unitesLegales",
-                         F.floor(F.col("siren").cast("long") / 50), with_total=False)
-        (day_units.where(F.col("siren").cast("long") % 2 == 1)
+                         F.expr("substring(siren, 1, length(siren) - 2)"), with_total=False)
+        (day_units.where(~even)
          .select(F.struct(*units.columns).alias("uniteLegale"))
          .write.mode("append").json(f"{root}/landing/{day}/units"))
         I.daily_incremental(spark, f"{root}/landing/{day}/etablissements", f"{root}/landing/{day}/units",

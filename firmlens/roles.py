@@ -50,9 +50,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-_SIRET = "lpad(cast(o_orderkey as string), 14, '0')"
-_SIREN_O = "lpad(cast(o_custkey as string), 9, '0')"
-_SIREN_C = "lpad(cast(c_custkey as string), 9, '0')"
+def _pad(expr: str, width: int) -> str:
+    """Left-pad digits with zeros to ``width`` (never truncating longer numbers)."""
+    text = f"cast({expr} as string)"
+    return f"lpad({text}, cast(greatest({width}, length({text})) as int), '0')"
+
+
+_SIRET = _pad("o_orderkey", 14)
+_SIREN_O = _pad("o_custkey", 9)
+# Every 11th unit is delivered under a key no establishment uses: those establishments have
+# no parent (and those units no establishment) — the unmatched keys of FIXTURES.md §3.
+_SIREN_C = f"case when c_custkey % 11 = 0 then concat('U', {_pad('c_custkey', 9)}) else {_pad('c_custkey', 9)} end"
 _COMMUNE = "case when o_orderkey % 17 = 0 then null else o_orderpriority end"
 _POSTAL_RAW = (
     "case when o_orderkey % 23 = 0 then null "
@@ -129,7 +137,7 @@ ROLE_VIEWS: dict[str, RoleView] = {
         ("anneeEffectifsUniteLegale", "cast(2015 + c_custkey % 8 as int)"),
         ("etatAdministratifUniteLegale", "case when c_custkey % 13 = 0 then 'C' else 'A' end"),
         ("statutDiffusionUniteLegale", "case when c_custkey % 9 = 0 then 'P' else 'O' end"),
-    ), "c_custkey % 11 <> 0"),
+    )),
     "unite_legale": RoleView("customer", (
         ("siren", _SIREN_C),
         ("denominationunitelegale", "case when c_custkey % 6 = 0 then null else c_name end"),
@@ -140,7 +148,7 @@ ROLE_VIEWS: dict[str, RoleView] = {
         ("trancheeffectifsunitelegale", "lpad(cast(c_custkey % 6 as string), 2, '0')"),
         ("anneeeffectifsunitelegale", "cast(2015 + c_custkey % 8 as int)"),
         ("etatadministratifunitelegale", "case when c_custkey % 13 = 0 then 'C' else 'A' end"),
-    ), "c_custkey % 11 <> 0"),
+    )),
     "donnees_financieres_raw": RoleView("orders", (
         ("siren", _SIREN_O),
         ("date_cloture_exercice",
@@ -155,10 +163,12 @@ ROLE_VIEWS: dict[str, RoleView] = {
         ("resultat_net", "case when o_orderkey % 43 = 0 then null else o_totalprice - 100000 end"),
     )),
     # label dictionaries
+    # every 9th code is listed under another code: sectors 00, 09, 18 have no label
     "code_naf": RoleView("nation", (
-        ("code", "lpad(cast(n_nationkey as string), 2, '0')"),
+        ("code", "case when n_nationkey % 9 = 0 then concat('X', cast(n_nationkey as string)) "
+                 "else lpad(cast(n_nationkey as string), 2, '0') end"),
         ("libelle", "case when n_nationkey = 4 then concat(n_name, ' - SERVICES') else n_name end"),
-    ), "n_nationkey % 9 <> 0"),
+    )),
     "tranches_effectifs": RoleView("region", (
         ("code", "lpad(cast(r_regionkey as string), 2, '0')"),
         ("libelle", "r_name"),
@@ -193,7 +203,7 @@ ROLE_VIEWS: dict[str, RoleView] = {
         ("autonomie_financiere", "cast(o_orderkey % 70 as double)"),
         ("poids_bfr_exploitation_sur_ca", "cast(o_orderkey % 40 as double)"),
         ("page", "cast(floor(o_orderkey / 100) as bigint)"),
-    ), "o_orderkey % 3 = 0"),
+    )),
 }
 
 
