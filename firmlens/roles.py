@@ -44,10 +44,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     a small shuffle of a small input). Inputs already split into at least that many
     partitions — any large table — are read as they are."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: no RDD view, keep the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _pad(expr: str, width: int) -> str:

@@ -22,13 +22,17 @@ def shared_dir(spark: SparkSession) -> str:
     test session) do we pick a temporary folder and record it on the session.
     """
     path = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server side owns the checkpoint folder
+        sc = None
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="firmlens-")
         spark.conf.set(_CHECKPOINT_KEY, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 

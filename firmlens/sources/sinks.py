@@ -19,10 +19,17 @@ from pyspark.sql import functions as F
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists (a file-system check through Hadoop's FileSystem for
     the path's scheme: local, HDFS or an object store)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    except Exception:  # no JVM gateway (Spark Connect): probe by resolving the folder
+        try:
+            spark.read.format("parquet").load(path).schema  # noqa: B018
+            return True
+        except Exception:
+            return False
 
 
 def append_new(
@@ -99,11 +106,18 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
     return row["v"] if row else None
 
 
-def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    version = latest_version(spark, root)
-    if version is None:
-        raise FileNotFoundError(f"nothing committed under {root}")
-    return spark.read.parquet(f"{root}/{version}/{name}")
+def read_published(spark: SparkSession, root: str, name: str, all_versions: bool = False) -> DataFrame:
+    """The table as of the latest commit; with ``all_versions`` the union of every committed
+    version (append semantics: each version holds one batch). Uncommitted versions — a
+    run that died before its commit — are never read."""
+    if not all_versions:
+        version = latest_version(spark, root)
+        if version is None:
+            raise FileNotFoundError(f"nothing committed under {root}")
+        return spark.read.parquet(f"{root}/{version}/{name}")
+    commits = spark.read.parquet(f"{root}/_commits").select("version").distinct()
+    versions = sorted(r["version"] for r in commits.collect())  # one small row per batch
+    return spark.read.parquet(*[f"{root}/{v}/{name}" for v in versions])
 
 
 def write_counted(df: DataFrame, write: Callable[[DataFrame], None], name: str = "rows_written") -> int:

@@ -211,3 +211,14 @@ def test_top_revenue_units_name_fallback(spark):
         "siren string, date_cloture_exercice date, chiffre_d_affaires double, resultat_net double")
     out = dash.top_revenue_units(scoped, fin, 5).collect()
     assert [(r.denominationunitelegale, r.chiffre_d_affaires) for r in out] == [("NAME", 3.0), ("s1", 1.0)]
+
+
+def test_two_tables_commit_together(spark, tmp_table):
+    a = spark.createDataFrame([("1", "x")], "k string, v string")
+    b = spark.createDataFrame([("1", 2)], "k string, n int")
+    sinks.publish_together({"a": a, "b": b}, tmp_table, columns={"b": ["n", "k"]})
+    assert sinks.read_published(spark, tmp_table, "b").columns == ["n", "k"]
+    # a second batch whose commit never happens stays invisible
+    a.write.parquet(f"{tmp_table}/99999999999999999999-dead/a")
+    sinks.publish_together({"a": a, "b": b}, tmp_table)
+    assert sinks.read_published(spark, tmp_table, "a", all_versions=True).count() == 2
