@@ -4,7 +4,7 @@ Each query reads the role views (``roles.py``) of the tables under ``sf_dir`` an
 operator or pipeline of SURVEY §2 over the whole tables. The oracle states the same
 meaning in plain SQL over the same role views. Keys whose meaning SQL cannot state (file
 round trips with side effects, streaming) still have an oracle where the end state is
-expressible; the rest are listed in ``NO_ORACLE`` with the reason.
+expressible. (``NO_ORACLE`` would list keys without one; every key has one today.)
 """
 
 from __future__ import annotations
@@ -12,10 +12,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle_sql as q
+from .functions import scalars as S
+from .functions.geo import lambert93_defined, lambert93_to_wgs84
+from .operators import aggregates as A
+from .operators import filters as FL
+from .operators import joins as J
+from .operators import project as P
+from .operators.windows import latest_per_key as latest_row
 from .plans import dashboard as dash
-from .roles import ROLE_VIEWS, role
+from .roles import ROLE_VIEWS, role, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,9 +54,7 @@ def _mart(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scoped(spark: SparkSession, sf: str, sector: str | None = None) -> DataFrame:
-    from .operators.filters import filter_scope
-
-    return filter_scope(_mart(spark, sf), dash.C.place, dash.C.sector, PLACE, sector)
+    return FL.filter_scope(_mart(spark, sf), dash.C.place, dash.C.sector, PLACE, sector)
 
 
 # ---------------------------------------------------------------- X7 flagship
@@ -106,16 +112,6 @@ def sector_growth_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- scalar functions
-from pyspark.sql import functions as F  # noqa: E402
-
-from .functions import scalars as S  # noqa: E402
-from .functions.geo import lambert93_defined, lambert93_to_wgs84  # noqa: E402
-from .operators import aggregates as A  # noqa: E402
-from .operators import filters as FL  # noqa: E402
-from .operators import joins as J  # noqa: E402
-from .operators import project as P  # noqa: E402
-from .operators import topk as T  # noqa: E402
-from .operators.windows import latest_per_key as latest_row  # noqa: E402
 
 
 @register("clean_dates", q.ctes("etablissements_raw", "unite_legale_raw") + """
@@ -251,7 +247,7 @@ SELECT event_id, event_type AS "kind",
 FROM events""")
 def json_flatten(spark, sf):
     ev = F.from_json("props", "k BIGINT")
-    nested = role_table(spark, sf, "events").select(
+    nested = table(spark, sf, "events").select(
         "event_id", F.col("event_type").alias("kind"), ev.alias("props"),
         F.struct(F.col("user_id"), F.struct(F.col("value")).alias("detail")).alias("who"),
     )
@@ -264,11 +260,6 @@ def project_fixed(spark, sf):
     return P.project_fixed(role(spark, sf, "etablissements"), ["siret", "siren", "libellecommuneetablissement"])
 
 
-def role_table(spark, sf, name):
-    from .roles import table
-    return table(spark, sf, name)
-
-
 # ---------------------------------------------------------------- filters
 @register("filter_active", q.ctes("etablissements_raw") + """
 SELECT siret, siren, etatAdministratifEtablissement AS etat FROM etablissements_raw

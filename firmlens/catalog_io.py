@@ -26,7 +26,6 @@ from .streaming import incremental as I
 
 
 # ---------------------------------------------------------------- file sources / sinks
-ETAB_COLS = [n for n, _ in ROLE_VIEWS["etablissements"].columns]
 
 
 @register("scan_csv_typed", q.ctes("etablissements") + "SELECT * FROM etablissements")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import money, normalize_place, year_of
 from ..operators.aggregates import top_k_counts
-from ..operators.joins import join_label_lookup, join_left_parent, region_metric, restrict_to
+from ..operators.joins import join_label_lookup, region_metric, restrict_to
 from ..operators.topk import top_n
 from ..session import materialize
 
