@@ -222,3 +222,33 @@ def test_two_tables_commit_together(spark, tmp_table):
     a.write.parquet(f"{tmp_table}/99999999999999999999-dead/a")
     sinks.publish_together({"a": a, "b": b}, tmp_table)
     assert sinks.read_published(spark, tmp_table, "a", all_versions=True).count() == 2
+
+
+def test_geojson_document(spark, tmp_table):
+    import json as _json
+    import os
+
+    doc = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"nom": "Marseille 8e Arrondissement", "code": "13208"},
+         "geometry": {"type": "Polygon", "coordinates": [[[5.3, 43.2], [5.4, 43.2], [5.4, 43.3], [5.3, 43.2]]]}},
+        {"type": "Feature", "properties": {"nom": "Aix-en-Provence", "code": "13001"},
+         "geometry": {"type": "Point", "coordinates": [5.45, 43.53]}},
+    ]}
+    os.makedirs(tmp_table, exist_ok=True)
+    with open(f"{tmp_table}/communes.geojson", "w") as fh:
+        _json.dump(doc, fh, indent=2)
+    from firmlens.sources.json import read_geojson
+
+    feats = read_geojson(spark, tmp_table, multi_line=True)
+    names = sorted(r.nom for r in feats.select(S.normalize_place("nom").alias("nom")).collect())
+    assert names == ["AIX-EN-PROVENCE", "MARSEILLE"] and "geometry" in feats.columns
+
+
+def test_latin1_labels(spark, tmp_table):
+    import os
+
+    os.makedirs(tmp_table, exist_ok=True)
+    with open(f"{tmp_table}/code_naf.csv", "wb") as fh:
+        fh.write("Code;Libelle\n56.10A;Restauration traditionnelle - cafés\n".encode("latin-1"))
+    row = files.read_labels(spark, tmp_table).first()
+    assert (row.code, row.libelle) == ("56.10A", "Restauration traditionnelle - cafés")
