@@ -375,10 +375,17 @@ def daily_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Two days of establishment pages (day 1: created before 1998, day 2: created
     from mid-1997 — overlapping) and the matching unit records; each day's run keeps active
     establishments created since the mark and their units. Returns the establishments."""
+    root = run_dir(spark, "daily_incremental")
+    run_daily_days(spark, sf, root)
+    return spark.read.parquet(f"{root}/target/etablissements")
+
+
+def run_daily_days(spark: SparkSession, sf: str, root: str) -> None:
+    """Land two overlapping days of pages under ``root/landing`` and run X6 for each day
+    into ``root/target``."""
     raw = role(spark, sf, "etablissements_raw")
     recs = _nested_establishments(raw)
     units = role(spark, sf, "unite_legale_raw")
-    root = run_dir(spark, "daily_incremental")
     page = F.floor(F.col("siret").cast("long") / 100)
     created = F.col("dateCreationEtablissement")
     days = {"d1": created < F.lit(DAILY_CUT), "d2": (created >= F.lit(DAILY_OVERLAP)) & (created != "bad")}
@@ -400,5 +407,4 @@ def daily_incremental(spark: SparkSession, sf: str) -> DataFrame:
          .write.mode("append").json(f"{root}/landing/{day}/units"))
         I.daily_incremental(spark, f"{root}/landing/{day}/etablissements", f"{root}/landing/{day}/units",
                             env_e, env_u, f"{root}/target", DAILY_MARK)
-    return spark.read.parquet(f"{root}/target/etablissements")
 

@@ -170,9 +170,10 @@ def daily_incremental(
     seen = append_new(etab, f"{target_root}/etablissements", ["siret"],
                       metrics={"mark": F.max("datecreationetablissement")})
 
-    written = spark.read.parquet(f"{target_root}/etablissements")
+    # the units of this run's establishments (the day's pages), not of the whole table:
+    # the work follows the increment
     units = read_pages(spark, unit_pages, unit_envelope, "unitesLegales", single_field="uniteLegale")
-    units = semi_join_keys(units, distinct_keys(written, "siren"), "siren")
+    units = semi_join_keys(units, distinct_keys(etab, "siren"), "siren")
     units = project_reindex(json_flatten(units), LEGAL_UNIT_FIELDS)
     units = units.withColumn("datecreationunitelegale", lenient_date("datecreationunitelegale"))
     n_units = append_new(units, f"{target_root}/unite_legale", ["siren"])["rows"]
