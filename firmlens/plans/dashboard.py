@@ -137,7 +137,9 @@ def top_revenue_units(scoped: DataFrame, fin: DataFrame, n: int = 5, cols: Cols
     when missing, its first establishment number. Accounts are restricted to the units in
     scope before ranking, so only their accounts are shuffled.
     """
-    units = scoped.groupBy(cols.siren).agg(F.min(cols.name).alias(cols.name))
+    # the scoped units feed two branches (the key restriction and the final join): computed
+    # once and checkpointed, so the establishments are scanned once
+    units = materialize(scoped.groupBy(cols.siren).agg(F.min(cols.name).alias(cols.name)))
     accounts = semi_join_keys(fin, units, cols.siren)
     latest = latest_per_key(
         accounts, cols.siren, cols.closing,

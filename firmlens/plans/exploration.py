@@ -67,11 +67,11 @@ def mean_revenue_top_labels(
     last_year = means.where(F.col("annee") == last).select("libelle", F.col("ca_moyen").alias("__v"))
     cand = means.select("libelle").distinct().join(last_year, on="libelle", how="left")
     cand = cand.withColumn("__v", F.coalesce(F.col("__v"), F.lit(0.0)))
-    leaders = [r[0] for r in top_n(cand, "__v", top, tiebreak=["libelle"]).select("libelle").collect()]
+    leading = top_n(cand, "__v", top, tiebreak=["libelle"]).select("libelle")
+    leaders = [r[0] for r in leading.collect()]  # at most ``top`` labels: the pivot values
     if not leaders:
         return means.where(F.lit(False))
-    series = restrict_to(means, means.sparkSession.createDataFrame([(v,) for v in leaders], "libelle string"),
-                         "libelle")
+    series = restrict_to(means, leading, "libelle")
     wide = series.groupBy("annee").pivot("libelle", leaders).agg(F.first("ca_moyen")).fillna(0.0)
     return wide.unpivot("annee", [F.col(f"`{v}`") for v in leaders], "libelle", "ca_moyen").withColumn(
         "ca_moyen", F.coalesce(F.col("ca_moyen"), F.lit(0.0))
