@@ -22,6 +22,7 @@ from .operators import filters as FL
 from .operators import joins as J
 from .operators import project as P
 from .operators.windows import latest_per_key as latest_row
+from .fixed import ADDRESS_PARTS, FIRST_RECENT_YEAR
 from .plans import dashboard as dash
 from .roles import ROLE_VIEWS, role, table
 
@@ -159,14 +160,14 @@ def coalesce_name(spark, sf):
     return df.withColumn("denominationunitelegale", S.default_from("denominationunitelegale", "siret"))
 
 
-_ADDR = ", ".join(f"CASE WHEN trim({p}) <> '' THEN {p} END" for p in dash.ADDRESS_PARTS)
+_ADDR = ", ".join(f"CASE WHEN trim({p}) <> '' THEN {p} END" for p in ADDRESS_PARTS)
 
 
 @register("address_line", q.ctes("etablissements") + f"""
 SELECT siret, coalesce(nullif(concat_ws(' ', {_ADDR}), ''), 'N/A') AS adresse FROM etablissements""")
 def address_line(spark, sf):
     e = role(spark, sf, "etablissements")
-    return e.select("siret", S.address_line(list(dash.ADDRESS_PARTS)).alias("adresse"))
+    return e.select("siret", S.address_line(list(ADDRESS_PARTS)).alias("adresse"))
 
 
 @register("normalize_place", q.ctes("communes_geo") + f"""
@@ -493,7 +494,6 @@ _CREATIONS = """cr AS (
   WHERE e.libellecommuneetablissement IS NOT NULL AND u.datecreationunitelegale IS NOT NULL
   GROUP BY 1, 2
 )"""
-FIRST_RECENT_YEAR = 2019
 
 
 def _creations(spark, sf):
@@ -649,7 +649,7 @@ def financial_history(spark, sf):
     return financial_histories(_scoped(spark, sf, SECTOR), role(spark, sf, "donnees_financieres"))
 
 
-_CARD_ADDR = ", ".join(f"CASE WHEN trim({p}) <> '' THEN {p} END" for p in dash.ADDRESS_PARTS)
+_CARD_ADDR = ", ".join(f"CASE WHEN trim({p}) <> '' THEN {p} END" for p in ADDRESS_PARTS)
 
 
 @register("establishment_card", q.ctes(*q.MART, "tranches_effectifs") + f"""

@@ -16,6 +16,7 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from . import oracle_sql as q
 from .catalog import TARGET_PLACES, register
+from .fixed import RATIO_COLUMNS
 from .operators.project import project_reindex
 from .plans import cleaning as X
 from .plans.exploration import region_table
@@ -289,12 +290,6 @@ def monthly_staging(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{root}/target/etablissements")
 
 
-RATIO_COLUMNS = (
-    "siren", "date_cloture_exercice", "chiffre_d_affaires", "marge_brute", "ebe", "ebit",
-    "resultat_net", "taux_d_endettement", "ratio_de_liquidite", "ratio_de_vetuste",
-    "autonomie_financiere", "poids_bfr_exploitation_sur_ca", "categorieEntreprise",
-    "trancheEffectifsUniteLegale", "statutDiffusionUniteLegale", "dateCreationUniteLegale",
-)
 
 
 @register("merge_ratios", q.ctes("ratios", "unite_legale_raw") + "SELECT "

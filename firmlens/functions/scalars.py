@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column as _Col
 
+from ..fixed import CODE_LABEL_SEP, MISSING, PLACE_PREFIX_RULES, PLACE_SEPARATORS, POSTAL_LENGTH
+
 ColumnOrName = Column | str
 
 
@@ -28,7 +30,7 @@ def lenient_double(c: ColumnOrName) -> Column:
     return _c(c).try_cast("double")
 
 
-def postal_or_null(c: ColumnOrName, length: int = 5) -> Column:
+def postal_or_null(c: ColumnOrName, length: int = POSTAL_LENGTH) -> Column:
     """Keep the code as text only when it is exactly ``length`` characters long."""
     s = _c(c).cast("string")
     return F.when(F.length(s) == length, s)
@@ -44,7 +46,7 @@ def year_of(c: ColumnOrName) -> Column:
     return F.year(_c(c))
 
 
-def address_line(parts: list[ColumnOrName], sep: str = " ", default: str = "N/A") -> Column:
+def address_line(parts: list[ColumnOrName], sep: str = " ", default: str = MISSING) -> Column:
     """Join the non-blank parts with ``sep``; ``default`` when every part is blank.
 
     A part counts when it is not null and not blank after trimming; it is kept as it is
@@ -56,19 +58,16 @@ def address_line(parts: list[ColumnOrName], sep: str = " ", default: str = "N/A"
 
 
 def normalize_place(c: ColumnOrName) -> Column:
-    """Upper case; hyphens and apostrophes → space; runs of spaces → one; trim;
-    every ``MARSEILLE…`` → ``MARSEILLE`` and every ``AIX EN PROVENCE…`` → ``AIX-EN-PROVENCE``."""
+    """Upper case; hyphens and apostrophes → space; runs of spaces → one; trim; then
+    the prefix rules (every ``MARSEILLE…`` → ``MARSEILLE``, every ``AIX EN PROVENCE…`` →
+    ``AIX-EN-PROVENCE``)."""
     s = F.upper(_c(c))
-    s = F.regexp_replace(s, r"[-']", " ")
+    s = F.regexp_replace(s, "[" + PLACE_SEPARATORS + "]", " ")
     s = F.trim(F.regexp_replace(s, r"\s+", " "))
-    return (
-        F.when(s.startswith("MARSEILLE"), F.lit("MARSEILLE"))
-        .when(s.startswith("AIX EN PROVENCE"), F.lit("AIX-EN-PROVENCE"))
-        .otherwise(s)
-    )
-
-
-CODE_LABEL_SEP = " - "
+    out = None
+    for prefix, name in PLACE_PREFIX_RULES:
+        out = (F.when if out is None else out.when)(s.startswith(prefix), F.lit(name))
+    return out.otherwise(s)
 
 
 def code_label(code: ColumnOrName, label: ColumnOrName, sep: str = CODE_LABEL_SEP) -> Column:
@@ -96,7 +95,7 @@ def growth_pct(recent: ColumnOrName, past: ColumnOrName) -> Column:
     return F.when(p != 0, (r - p) / p * 100)
 
 
-def or_default(c: ColumnOrName, default: str = "N/A") -> Column:
+def or_default(c: ColumnOrName, default: str = MISSING) -> Column:
     """C11: the value as text, or ``default`` when null."""
     return F.coalesce(_c(c).cast("string"), F.lit(default))
 

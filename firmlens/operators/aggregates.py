@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import HISTOGRAM_EDGES
 from ..functions.scalars import money, money_mean, money_sum
 
 
@@ -105,7 +106,7 @@ def revenue_by_group(
     return res.orderBy(F.col(out).desc(), F.col(group).asc())
 
 
-def log_histogram(df: DataFrame, value: str, edges: int = 50) -> DataFrame:
+def log_histogram(df: DataFrame, value: str, edges: int = HISTOGRAM_EDGES) -> DataFrame:
     """Histogram of the positive values over ``edges`` log-spaced edges from the
     smallest to the largest value (``edges - 1`` bins, empty bins included with 0).
 

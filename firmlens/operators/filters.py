@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ACTIVE = "A"
+from ..fixed import ACTIVE, POSTAL_LENGTH
 
 
 def filter_active(df: DataFrame, status_col: str, active: str = ACTIVE) -> DataFrame:
@@ -27,7 +27,7 @@ def drop_null_subset(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(subset))
 
 
-def filter_postal(df: DataFrame, col: str, max_len: int = 5) -> DataFrame:
+def filter_postal(df: DataFrame, col: str, max_len: int = POSTAL_LENGTH) -> DataFrame:
     """postal code present and at most ``max_len`` characters long."""
     c = F.col(col)
     return df.where(c.isNotNull() & (F.length(c.cast("string")) <= max_len))

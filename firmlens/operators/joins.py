@@ -17,6 +17,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import MISSING
 from ..functions.scalars import money
 
 # Largest label dictionary we broadcast (rows); the French activity nomenclature has
@@ -159,7 +160,7 @@ def lookup_default(
     out: str,
     code_col: str = "code",
     label_col: str = "libelle",
-    default: str = "N/A",
+    default: str = MISSING,
 ) -> DataFrame:
     """Label of a code, or ``default`` when the code has no label (or is null)."""
     joined = join_label_lookup(df, labels, left_col, code_col, {label_col: out})

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+from .fixed import PLACE_PREFIX_RULES, PLACE_SEPARATORS
 from .functions.geo import (
     GRS80_E,
     ITERATIONS,
@@ -36,9 +37,10 @@ def money_mean(col: str) -> str:
 
 def normalize_place_sql(col: str) -> str:
     """The place-name normaliser in SQL (regexp_replace needs the 'g' flag in DuckDB)."""
-    t = f"trim(regexp_replace(regexp_replace(upper({col}), '[-'']', ' ', 'g'), '\\s+', ' ', 'g'))"
-    return (f"CASE WHEN {t} LIKE 'MARSEILLE%' THEN 'MARSEILLE' "
-            f"WHEN {t} LIKE 'AIX EN PROVENCE%' THEN 'AIX-EN-PROVENCE' ELSE {t} END")
+    seps = PLACE_SEPARATORS.replace("'", "''")
+    t = f"trim(regexp_replace(regexp_replace(upper({col}), '[{seps}]', ' ', 'g'), '\\s+', ' ', 'g'))"
+    rules = " ".join(f"WHEN {t} LIKE '{p}%' THEN '{n}'" for p, n in PLACE_PREFIX_RULES)
+    return f"CASE {rules} ELSE {t} END"
 
 
 def lambert_ctes(src: str, x: str, y: str, out: str, decimals: int | None = None) -> str:

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from ..fixed import DEFAULT_PLACES, ESTABLISHMENT_COLUMNS, FINANCIAL_COLUMNS, LEGAL_UNIT_COLUMNS
 from ..functions.scalars import lenient_date, lenient_double, postal_or_null
 from ..operators.aggregates import distinct_keys
 from ..operators.filters import (
@@ -27,21 +28,6 @@ from ..operators.project import project_present
 from ..sources.files import read_csv_typed, write_csv
 from ..sources.sinks import append_new
 
-ESTABLISHMENT_COLUMNS = (
-    "siret", "siren", "etatAdministratifEtablissement", "dateCreationEtablissement",
-    "trancheEffectifsEtablissement", "anneeEffectifsEtablissement", "complementAdresseEtablissement",
-    "numeroVoieEtablissement", "typeVoieEtablissement", "libelleVoieEtablissement",
-    "codePostalEtablissement", "libelleCommuneEtablissement", "coordonneeLambertAbscisseEtablissement",
-    "coordonneeLambertOrdonneeEtablissement",
-)
-LEGAL_UNIT_COLUMNS = (
-    "siren", "denominationUniteLegale", "dateCreationUniteLegale", "activitePrincipaleUniteLegale",
-    "categorieEntreprise", "anneeCategorieEntreprise", "trancheEffectifsUniteLegale",
-    "anneeEffectifsUniteLegale", "etatAdministratifUniteLegale",
-)
-FINANCIAL_COLUMNS = ("siren", "date_cloture_exercice", "chiffre_d_affaires", "resultat_net")
-
-DEFAULT_PLACES = ("MARSEILLE", "AIX-EN-PROVENCE")
 
 
 def _status(df: DataFrame, lower: str) -> str:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import ADDRESS_PARTS, GROWTH_YEARS, TOP_SECTORS, TOP_UNITS
 from ..functions.geo import lambert93_defined, lambert93_to_wgs84
 from ..functions.scalars import address_line, default_from, growth_pct, money, or_default, year_of
 from ..operators.aggregates import distinct_rows, top_k_counts
@@ -91,8 +92,8 @@ def sector_growth(
     scoped: DataFrame,
     fin: DataFrame,
     naf: DataFrame,
-    n_years: int = 3,
-    top: int = 5,
+    n_years: int = GROWTH_YEARS,
+    top: int = TOP_SECTORS,
     cols: Cols = C,
 ) -> tuple[DataFrame, DataFrame]:
     """X7 (flagship): the ``top`` sectors by revenue growth between the latest year and
@@ -123,13 +124,13 @@ def sector_revenue_history(scoped: DataFrame, fin: DataFrame, sector: str, cols:
     return per_year.select(cols.year, cols.revenue).orderBy(cols.year)
 
 
-def top_sectors(scoped: DataFrame, naf: DataFrame, k: int = 5, cols: Cols = C) -> DataFrame:
+def top_sectors(scoped: DataFrame, naf: DataFrame, k: int = TOP_SECTORS, cols: Cols = C) -> DataFrame:
     """A4 + J3: the ``k`` sectors with most establishments in scope, with their label."""
     counts = top_k_counts(scoped, cols.sector, k, out="nombre_etablissements")
     return join_label_lookup(counts, naf, cols.sector, cols.code, {cols.label: "secteur"})
 
 
-def top_revenue_units(scoped: DataFrame, fin: DataFrame, n: int = 5, cols: Cols = C) -> DataFrame:
+def top_revenue_units(scoped: DataFrame, fin: DataFrame, n: int = TOP_UNITS, cols: Cols = C) -> DataFrame:
     """The ``n`` units with the largest revenue in their latest accounts.
 
     Per unit: the latest closing date wins (ties: larger revenue, then larger result);
@@ -149,16 +150,6 @@ def top_revenue_units(scoped: DataFrame, fin: DataFrame, n: int = 5, cols: Cols
     return top_n(ranked, cols.revenue, n, tiebreak=[cols.siren]).select(cols.name, cols.siren, cols.revenue)
 
 
-ADDRESS_PARTS = (
-    "complementadresseetablissement",
-    "numerovoieetablissement",
-    "typevoieetablissement",
-    "libellevoieetablissement",
-    "codepostaletablissement",
-    "libellecommuneetablissement",
-)
-
-
 def establishment_card(
     mart: DataFrame,
     tranches: DataFrame,

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import TOP_LABELS
 from ..functions.scalars import money, normalize_place, year_of
 from ..operators.aggregates import top_k_counts
 from ..operators.joins import join_label_lookup, region_metric, restrict_to
@@ -41,7 +42,7 @@ def mean_revenue_top_labels(
     fin: DataFrame,
     ul: DataFrame,
     naf: DataFrame,
-    top: int = 10,
+    top: int = TOP_LABELS,
     key: str = "siren",
     sector: str = "activiteprincipaleunitelegale",
     closing: str = "date_cloture_exercice",

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from ..fixed import ACTIVE
 from ..functions.scalars import lenient_date
 from ..operators.aggregates import distinct_keys
 from ..operators.filters import filter_active, incremental_filter
@@ -46,7 +47,7 @@ def incremental_batch(
     mark_col: str,
     default_mark: object,
     status_col: str | None = None,
-    active: str = "A",
+    active: str = ACTIVE,
     partition: tuple[str, Column] | None = None,
 ) -> int:
     """One incremental run; returns the number of rows appended. The new mark is the
