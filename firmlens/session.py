@@ -56,6 +56,32 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def recommended_conf(input_bytes: int, executor_cores: int = 4, executor_memory_gb: int = 16) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of Parquet input.
+
+    Scan splits of 256 MB; shuffles start with about one partition per 128 MB of input
+    (at least 2 per core) and AQE coalesces them towards 256 MB or splits skewed ones, so
+    a task's shuffle block stays far below executor memory per core
+    (``executor_memory_gb / executor_cores``) and spills only in rare skew cases.
+    """
+    mb = 1024 * 1024
+    initial = max(200, input_bytes // (128 * mb))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mb),
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.executor.cores": str(executor_cores),
+        "spark.executor.memory": f"{executor_memory_gb}g",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Settings the plans are designed around (all are Spark defaults in 4.x except the
     time zone); applied by tests and the bench, harmless on a cluster session."""

@@ -13,6 +13,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
@@ -77,14 +78,17 @@ def incremental_stream(
     target: str,
     checkpoint: str,
     keys: Sequence[str],
-    timeout_s: float = 600.0,
+    timeout_s: float | None = 600.0,
     partition: tuple[str, Column] | None = None,
-) -> None:
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
     """New page files in a landing folder → records → keyed append, as a Structured
     Streaming query with ``availableNow``: each run processes exactly the files that
     arrived since the last run (tracked in the checkpoint) and stops. A retried micro-batch
     re-appends nothing thanks to the keyed append, so the sink is effectively exactly-once.
-    ``partition`` as in ``incremental_batch``.
+    ``partition`` as in ``incremental_batch``. ``trigger`` replaces ``availableNow`` (e.g.
+    ``{"processingTime": "1 hour"}`` for a long-running load); the query is then returned
+    running and ``timeout_s=None`` skips the wait.
     """
     pages = spark.readStream.schema(envelope).options(**TIMESTAMP_OPTIONS).json(landing)
     records = pages.select(F.explode(F.col(records_field)).alias("__r")).select("__r.*")
@@ -99,15 +103,18 @@ def incremental_stream(
     query = (
         records.writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(dict(trigger) if trigger else {"availableNow": True}))
         .start()
     )
+    if timeout_s is None:
+        return query
     finished = query.awaitTermination(timeout_s)
-    if not finished:
+    if not finished and not trigger:
         query.stop()
         raise TimeoutError(f"incremental stream over {landing} did not finish in {timeout_s}s")
     if query.exception() is not None:
         raise query.exception()
+    return query
 
 
 # X6 output columns → paths in the register's nested records (dotted paths are resolved

@@ -252,3 +252,11 @@ def test_latin1_labels(spark, tmp_table):
         fh.write("Code;Libelle\n56.10A;Restauration traditionnelle - cafés\n".encode("latin-1"))
     row = files.read_labels(spark, tmp_table).first()
     assert (row.code, row.libelle) == ("56.10A", "Restauration traditionnelle - cafés")
+
+
+def test_recommended_conf_scales_with_input():
+    from firmlens.session import recommended_conf
+
+    small, big = recommended_conf(10 * 2**30), recommended_conf(100 * 2**40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 * 2**20)
