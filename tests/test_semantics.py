@@ -260,3 +260,26 @@ def test_recommended_conf_scales_with_input():
     small, big = recommended_conf(10 * 2**30), recommended_conf(100 * 2**40)
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 * 2**20)
+
+
+def test_card_point_lookup_and_band_default(spark):
+    mart = spark.createDataFrame(
+        [("u1", "s2", "N1", "PME", "05", 2020, 2019.0, None, "12", "RUE", "X", "13001", "MARSEILLE"),
+         ("u1", "s1", "N1", "PME", "01", 2021, 2019.0, "BAT A", None, None, None, None, None)],
+        "siren string, siret string, denominationunitelegale string, categorieentreprise string, "
+        "trancheeffectifsetablissement string, anneeeffectifsetablissement int, anneecategorieentreprise double, "
+        "complementadresseetablissement string, numerovoieetablissement string, typevoieetablissement string, "
+        "libellevoieetablissement string, codepostaletablissement string, libellecommuneetablissement string")
+    bands = spark.createDataFrame([("01", "1 or 2")], "code string, libelle string")
+    card = dash.establishment_card(mart, bands, "u1").collect()
+    assert len(card) == 1
+    c = card[0]
+    assert (c.siret, c.adresse, c.tranche_effectif, c.annee_effectif) == ("s1", "BAT A", "1 or 2", "2021")
+    other = dash.establishment_card(mart.where("siret = 's2'"), bands, "u1").first()
+    assert (other.adresse, other.tranche_effectif) == ("12 RUE X 13001 MARSEILLE", "N/A")
+
+
+def test_pivot_gaps_are_zero(spark):
+    df = spark.createDataFrame([(2020, "A", 3), (2021, "B", 1)], "y int, c string, n bigint")
+    out = {r.y: (r.A, r.B, r.C) for r in A.pivot_wide(df, "y", "c", "n", ["A", "B", "C"]).collect()}
+    assert out == {2020: (3, 0, 0), 2021: (0, 1, 0)}
