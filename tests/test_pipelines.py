@@ -24,3 +24,35 @@ def test_daily_load_units_are_those_of_the_new_establishments(spark, tmp_table):
     assert got == want
     marks = spark.read.parquet(f"{tmp_table}/target/_mark").count()
     assert marks == 2
+
+
+def _duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
+    return con
+
+
+def test_monthly_staging_all_targets(spark, tmp_table):
+    from firmlens.catalog_io import _raw
+    from firmlens.fixed import FINANCIAL_COLUMNS, LEGAL_UNIT_COLUMNS
+    from firmlens.plans.cleaning import monthly_staging
+
+    counts = monthly_staging(*_raw(spark, SMALL), f"{tmp_table}/staging", f"{tmp_table}/target")
+    con = _duck()
+    ul = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_table}/target/unite_legale")
+                .select(*LEGAL_UNIT_COLUMNS).collect())
+    want_ul = sorted(con.execute(with_roles(["unite_legale_raw"], "SELECT "
+                     + ", ".join(f"CAST({c} AS VARCHAR)" for c in LEGAL_UNIT_COLUMNS)
+                     + " FROM unite_legale_raw WHERE etatAdministratifUniteLegale = 'A'")).fetchall())
+    assert ul == want_ul and counts["unite_legale"] == len(ul)
+    fin = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_table}/target/donnees_financieres")
+                 .select(*FINANCIAL_COLUMNS).collect())
+    want_fin = sorted(con.execute(with_roles(["donnees_financieres_raw"], """
+        SELECT DISTINCT siren, date_cloture_exercice, try_cast(chiffre_d_affaires AS DOUBLE),
+               try_cast(resultat_net AS DOUBLE)
+        FROM donnees_financieres_raw WHERE try_cast(chiffre_d_affaires AS DOUBLE) >= 0""")).fetchall())
+    assert fin == want_fin
+    # a second monthly run over the same sources adds nothing
+    again = monthly_staging(*_raw(spark, SMALL), f"{tmp_table}/staging2", f"{tmp_table}/target")
+    assert again == {"unite_legale": 0, "etablissements": 0, "donnees_financieres": 0}
