@@ -74,6 +74,14 @@ def unit_year_revenue(fin: DataFrame, cols: Cols = C) -> DataFrame:
     )
 
 
+def publish_mart(mart: DataFrame, path: str, cols: Cols = C) -> DataFrame:
+    """Store the mart partitioned by place: a dashboard scope (one place) then reads only
+    that place's files (partition pruning) instead of the whole mart. Returns the stored
+    mart, read back."""
+    mart.write.mode("overwrite").partitionBy(cols.place).parquet(path)
+    return mart.sparkSession.read.parquet(path)
+
+
 def sector_year_revenue(scoped: DataFrame, fin: DataFrame, cols: Cols = C) -> DataFrame:
     """A2 → J2 → C5 → A5: revenue per (sector, year) of the units present in ``scoped``.
 

@@ -68,3 +68,35 @@ def test_no_cartesian_products(spark, key):
     df.write.format("noop").mode("overwrite").save()
     text = plan(df)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_table):
+    from firmlens.sources.sinks import save_bucketed
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        etab = spark.range(2000).select(F.col("id").cast("string").alias("siret"),
+                                        (F.col("id") % 97).cast("string").alias("siren"))
+        fin = spark.range(5000).select((F.col("id") % 97).cast("string").alias("siren"),
+                                       F.col("id").cast("double").alias("chiffre_d_affaires"))
+        e = save_bucketed(etab, "etab_b", f"{tmp_table}/e", "siren", 8)
+        f = save_bucketed(fin, "fin_b", f"{tmp_table}/f", "siren", 8)
+        joined = e.join(f, "siren")
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        from collections import Counter
+
+        ne, nf = Counter(i % 97 for i in range(2000)), Counter(i % 97 for i in range(5000))
+        assert joined.count() == sum(ne[k] * nf[k] for k in ne)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_published_mart_prunes_by_place(spark, tmp_table):
+    from firmlens.plans.dashboard import publish_mart
+
+    mart = spark.createDataFrame([("1", "A"), ("2", "B")], "siren string, libellecommuneetablissement string")
+    stored = publish_mart(mart, tmp_table)
+    scoped = stored.where(F.col("libellecommuneetablissement") == "A")
+    assert "PartitionFilters: [isnotnull(libellecommuneetablissement" in plan(scoped)
+    assert scoped.count() == 1
