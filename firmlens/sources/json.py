@@ -83,7 +83,11 @@ def read_geojson(
     spark: SparkSession, path: str, multi_line: bool = True, schema: StructType | str | None = None
 ) -> DataFrame:
     """FeatureCollection files → one row per feature with its ``properties.*``, the
-    feature ``type`` and the ``geometry`` kept as a nested value."""
+    feature ``type`` and the ``geometry`` kept as a nested value.
+
+    A pretty-printed document (``multi_line=True``) is parsed whole by one task per file, so
+    large feature sets should be landed as several files, or one collection per line
+    (``multi_line=False``), which Spark splits like any line-delimited input."""
     reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
