@@ -81,6 +81,7 @@ def incremental_stream(
     timeout_s: float | None = 600.0,
     partition: tuple[str, Column] | None = None,
     trigger: Mapping[str, object] | None = None,
+    max_files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """New page files in a landing folder → records → keyed append, as a Structured
     Streaming query with ``availableNow``: each run processes exactly the files that
@@ -88,9 +89,11 @@ def incremental_stream(
     re-appends nothing thanks to the keyed append, so the sink is effectively exactly-once.
     ``partition`` as in ``incremental_batch``. ``trigger`` replaces ``availableNow`` (e.g.
     ``{"processingTime": "1 hour"}`` for a long-running load); the query is then returned
-    running and ``timeout_s=None`` skips the wait.
+    running and ``timeout_s=None`` skips the wait. ``max_files_per_batch`` bounds each
+    micro-batch (a backlog of landed files is worked off in several bounded batches).
     """
-    pages = spark.readStream.schema(envelope).options(**TIMESTAMP_OPTIONS).json(landing)
+    pages = (spark.readStream.schema(envelope).options(**TIMESTAMP_OPTIONS)
+             .option("maxFilesPerTrigger", max_files_per_batch).json(landing))
     records = pages.select(F.explode(F.col(records_field)).alias("__r")).select("__r.*")
     part_col = None
     if partition is not None:

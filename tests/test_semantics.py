@@ -283,3 +283,17 @@ def test_pivot_gaps_are_zero(spark):
     df = spark.createDataFrame([(2020, "A", 3), (2021, "B", 1)], "y int, c string, n bigint")
     out = {r.y: (r.A, r.B, r.C) for r in A.pivot_wide(df, "y", "c", "n", ["A", "B", "C"]).collect()}
     assert out == {2020: (3, 0, 0), 2021: (0, 1, 0)}
+
+
+def test_stream_backlog_in_bounded_batches(spark, tmp_table):
+    from firmlens.sources.json import write_pages
+
+    ev = spark.range(500).select(F.col("id").alias("event_id"), (F.col("id") % 7).cast("double").alias("value"))
+    env = "total long, records array<struct<event_id: long, value: double>>"
+    for lo in (0, 200, 400):  # three landings: at least three files
+        part = ev.where((F.col("event_id") >= lo) & (F.col("event_id") < lo + 200))
+        write_pages(part, f"{tmp_table}/landing", "records", F.floor(F.col("event_id") / 50), mode="append")
+    q = I.incremental_stream(spark, f"{tmp_table}/landing", env, "records", f"{tmp_table}/t",
+                             f"{tmp_table}/ckpt", ["event_id"], max_files_per_batch=1)
+    assert len(q.recentProgress) >= 3  # the backlog ran as several one-file batches
+    assert spark.read.parquet(f"{tmp_table}/t").count() == 500
