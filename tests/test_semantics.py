@@ -297,3 +297,30 @@ def test_stream_backlog_in_bounded_batches(spark, tmp_table):
                              f"{tmp_table}/ckpt", ["event_id"], max_files_per_batch=1)
     assert len(q.recentProgress) >= 3  # the backlog ran as several one-file batches
     assert spark.read.parquet(f"{tmp_table}/t").count() == 500
+
+
+def test_sector_growth_empty_scope(spark):
+    scoped = spark.createDataFrame([], "siren string, activiteprincipaleunitelegale string")
+    fin = spark.createDataFrame(
+        [("u1", dt.date(2020, 1, 1), 1.0)], "siren string, date_cloture_exercice date, chiffre_d_affaires double")
+    naf = spark.createDataFrame([("01", "X")], "code string, libelle string")
+    top5, hist = dash.sector_growth(scoped, fin, naf)
+    assert top5.count() == 0 and hist.count() == 0
+
+
+def test_sector_growth_semantics(spark):
+    scoped = spark.createDataFrame(
+        [("u1", "A"), ("u1", "A"), ("u2", "B"), ("u3", "C"), ("u4", None)],
+        "siren string, activiteprincipaleunitelegale string")
+    fin = spark.createDataFrame(
+        [("u1", dt.date(2021, 6, 30), 150.0), ("u1", dt.date(2018, 6, 30), 100.0),
+         ("u2", dt.date(2021, 6, 30), 10.0), ("u2", dt.date(2018, 6, 30), 0.0),
+         ("u3", dt.date(2021, 6, 30), 5.0), ("u4", dt.date(2021, 6, 30), 99.0)],
+        "siren string, date_cloture_exercice date, chiffre_d_affaires double")
+    naf = spark.createDataFrame([("A", "Alpha")], "code string, libelle string")
+    top5, hist = dash.sector_growth(scoped, fin, naf)
+    rows = top5.collect()
+    # A grows 50 % (the duplicated establishment counts the unit once); B had 0 in the past
+    # (undefined growth); C has no past year; the unit without a sector is not a sector
+    assert [(r.activiteprincipaleunitelegale, r.evol_pct, r.libelle) for r in rows] == [("A", 50.0, "Alpha")]
+    assert sorted((r.activiteprincipaleunitelegale, r.annee) for r in hist.collect()) == [("A", 2018), ("A", 2021)]
