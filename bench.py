@@ -3,7 +3,7 @@
 
 Each query's full result is computed and discarded through the ``noop`` sink (no collect
 to the driver), after one untimed warm-up run of the flagship query at the same scale.
-Every query runs ``BENCH_REPEAT`` times (default 2) and its best time is reported.
+Every query runs ``BENCH_REPEAT`` times (default 3) and its best time is reported.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     qs = catalog.QUERIES
     catalog.QUERIES["sector_growth_top5"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     times: dict[str, float] = {}
     for name in HEADLINE:
         best = float("inf")

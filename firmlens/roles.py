@@ -38,21 +38,8 @@ class RoleView:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Each table is one Parquet file with a single row group, which a scan
-    cannot split: in a single-machine (``local[n]``) session the whole table would be one
-    task. There, when the scan yields fewer partitions than cores, the rows are spread once
-    over the cores (round-robin; a small shuffle of a small input). On a cluster the inputs
-    are read as they are: large tables arrive in many splits, and AQE sizes the shuffles."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        sc = spark.sparkContext
-        if not sc.master.startswith("local"):
-            return df
-        cores = sc.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: no RDD view, keep the scan as it is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """A driver table, read as it is (scan splits decide the parallelism)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pad(expr: str, width: int) -> str:
