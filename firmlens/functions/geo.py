@@ -43,32 +43,28 @@ def lambert93_to_wgs84(
     """Add ``lon``/``lat`` columns computed from Lambert-93 ``x``/``y``.
 
     Null or out-of-domain inputs (on or beyond the cone apex) give null coordinates. To
-    drop such rows, filter on ``lambert93_defined`` *before* converting: a null test on the
-    outputs would be pushed below the projection with every step inlined into it.
-    Each latitude step is materialised as its own column in its own projection, so the
-    expression tree stays linear instead of doubling at each step.
+    drop such rows, filter on ``lambert93_defined`` *before* converting.
+
+    The latitude step φ ← 2·atan(((1 + e·sin φ)/(1 − e·sin φ))^(e/2) · exp(L)) − π/2 is
+    written with the identity ((1+s)/(1−s))^(e/2) = exp(e·atanh(s)), so each step refers to
+    the previous φ once: the unrolled iteration is one linear expression over the isometric
+    latitude L (itself computed once), so the whole conversion is two projections.
     """
     n, c, xs, ys, e = LAMBERT93_N, LAMBERT93_C, LAMBERT93_XS, LAMBERT93_YS, GRS80_E
     dx = F.col(x) - F.lit(xs)
     dy = F.lit(ys) - F.col(y)
     r = F.sqrt(dx * dx + dy * dy)
     ok = (dy > 0) & (r > 0)
-    tmp_l, tmp_phi = "__l93_L", "__l93_phi"
     lon_rad = F.lit(math.radians(LAMBERT93_LON0_DEG)) + F.atan(dx / dy) / F.lit(n)
     big_l = -F.log(r / F.lit(c)) / F.lit(n)
-    out = df.withColumns({
-        lon: F.when(ok, F.degrees(lon_rad)),
-        tmp_l: F.when(ok, big_l),
-    })
-    out = out.withColumn(tmp_phi, F.lit(2.0) * F.atan(F.exp(F.col(tmp_l))) - F.lit(math.pi / 2))
+    half_pi = F.lit(math.pi / 2)
+    tmp_l = "__l93_L"
+    out = df.withColumns({lon: F.when(ok, F.degrees(lon_rad)), tmp_l: F.when(ok, big_l)})
+    big = F.col(tmp_l)
+    phi = F.lit(2.0) * F.atan(F.exp(big)) - half_pi
     for _ in range(ITERATIONS):
-        s = F.lit(e) * F.sin(F.col(tmp_phi))
-        out = out.withColumn(
-            tmp_phi,
-            F.lit(2.0) * F.atan(F.pow((F.lit(1.0) + s) / (F.lit(1.0) - s), F.lit(e / 2)) * F.exp(F.col(tmp_l)))
-            - F.lit(math.pi / 2),
-        )
-    out = out.withColumn(lat, F.degrees(F.col(tmp_phi))).drop(tmp_l, tmp_phi)
+        phi = F.lit(2.0) * F.atan(F.exp(F.lit(e) * F.atanh(F.lit(e) * F.sin(phi)) + big)) - half_pi
+    out = out.withColumn(lat, F.degrees(phi)).drop(tmp_l)
     if decimals is not None:
         out = out.withColumns({lon: F.round(lon, decimals), lat: F.round(lat, decimals)})
     return out
