@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,12 +63,43 @@ def test_chain_join_aggregates_before_joining(spark):
     assert out.count() == 100  # one row per establishment, never the 100 x 1000 pairs
 
 
+def _top_level_groups(args: str) -> int:
+    """Number of top-level ``[...]`` groups in a formatted ``Arguments:`` line."""
+    depth, groups = 0, 0
+    for ch in args:
+        if ch == "[":
+            groups += depth == 0
+            depth += 1
+        elif ch == "]":
+            depth -= 1
+    return groups
+
+
+def _unpartitioned_windows(text: str) -> int:
+    lines = text.splitlines()
+    bad = 0
+    for i, line in enumerate(lines):
+        if re.fullmatch(r"\(\d+\) Window", line.strip()):
+            args = next(ln for ln in lines[i + 1:] if ln.startswith("Arguments:"))
+            bad += _top_level_groups(args[len("Arguments:"):]) < 3  # [functions], [partition], [order]
+    return bad
+
+
 @pytest.mark.parametrize("key", sorted(catalog.QUERIES))
-def test_no_cartesian_products(spark, key):
+def test_no_cartesian_products_or_global_windows(spark, key):
     df = catalog.QUERIES[key](spark, SMALL)
     df.write.format("noop").mode("overwrite").save()
     text = plan(df)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert _unpartitioned_windows(text) == 0  # a window without PARTITION BY runs in one task
+
+
+def test_global_window_detector(spark):
+    from pyspark.sql import Window
+
+    glob = spark.range(10).withColumn("r", F.row_number().over(Window.orderBy("id")))
+    part = spark.range(10).withColumn("r", F.row_number().over(Window.partitionBy(F.col("id") % 2).orderBy("id")))
+    assert _unpartitioned_windows(plan(glob)) == 1 and _unpartitioned_windows(plan(part)) == 0
 
 
 def test_bucketed_tables_join_without_shuffle(spark, tmp_table):
