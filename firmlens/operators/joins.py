@@ -136,7 +136,7 @@ def period_over_period(
     """J7 (+A15): each key's value in the latest period next to its value ``periods_back``
     periods earlier (null when absent). The latest period is a scalar sub-query — one
     number computed once, no cross join and no collect. The series feeds three branches
-    (latest, recent, past); with ``reuse`` it is computed once and checkpointed first
+    (latest, recent, past); with ``reuse`` it is computed once and materialized first
     (pass ``False`` when it already is)."""
     if reuse:
         from ..session import materialize

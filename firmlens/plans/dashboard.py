@@ -147,7 +147,7 @@ def top_revenue_units(scoped: DataFrame, fin: DataFrame, n: int = TOP_UNITS, col
     scope before ranking, so only their accounts are shuffled.
     """
     # the scoped units feed two branches (the key restriction and the final join): computed
-    # once and checkpointed, so the establishments are scanned once
+    # once and materialized, so the establishments are scanned once
     units = materialize(scoped.groupBy(cols.siren).agg(F.min(cols.name).alias(cols.name)))
     accounts = semi_join_keys(fin, units, cols.siren)
     latest = latest_per_key(

@@ -41,19 +41,19 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/firmlens/{name}/{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     """Compute a (small, reused) intermediate result once and cut its lineage.
 
-    The frame is cached while it is checkpointed to the shared checkpoint folder, so the
-    input is read once; later plans read the checkpoint (which survives executor loss),
-    and the cache is released. Used where one aggregate feeds several branches that the
+    The frame is written once as a Parquet table in a fresh folder of the shared working
+    folder and read back: one job reads the input, later plans read the table (which
+    survives executor loss and carries size statistics, so the planner can still choose
+    broadcast joins on it). Used where one aggregate feeds several branches that the
     optimizer would otherwise recompute separately (filters pushed into each branch).
     """
-    shared_dir(df.sparkSession)
-    cached = df.cache()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    spark = df.sparkSession
+    path = run_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def recommended_conf(input_bytes: int, executor_cores: int = 4, executor_memory_gb: int = 16) -> dict[str, str]:
