@@ -84,7 +84,6 @@ def _envelope(records: DataFrame, field: str) -> StructType:
     return StructType().add("total", LongType()).add(field, ArrayType(records.schema))
 
 
-_PAGE = "floor(cast(siret as bigint) / 100)"
 
 # Schema of the place features the GeoJSON queries land (declared: no inference pass).
 GEO_SCHEMA = (
@@ -93,17 +92,19 @@ GEO_SCHEMA = (
 )
 
 
-@register("scan_json_pages", q.ctes("etablissements_raw") + f"""
+@register("scan_json_pages", q.ctes("etablissements_raw") + """
 SELECT siret, siren, codePostalEtablissement AS codepostaletablissement,
        libelleCommuneEtablissement AS libellecommuneetablissement, etatAdministratifEtablissement AS etat
-FROM etablissements_raw WHERE {_PAGE} % 50 <> 7""")
+FROM etablissements_raw""")
 def scan_json_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Establishment pages of 100 records landed as JSON envelopes (every 50th page
-    comes back without its records array) → one row per record."""
+    """All establishments landed as pages of 100 records (JSON envelopes), plus the
+    envelope an API returns when paging past the end (a total, no records array) →
+    one row per record."""
     recs = _nested_establishments(role(spark, sf, "etablissements_raw"))
     path = run_dir(spark, "scan_json_pages")
     page = F.floor(F.col("siret").cast("long") / 100)
-    json.write_pages(recs, path, "etablissements", page, drop_records_when=(F.col("__page") % 50 == 7))
+    json.write_pages(recs, path, "etablissements", page)
+    recs.agg(F.count(F.lit(1)).alias("total")).write.mode("append").json(path)  # past-the-end page
     out = json.read_pages(spark, path, _envelope(recs, "etablissements"), "etablissements")
     out = out.withColumn("etat", F.element_at(
         F.filter("periodesEtablissement", lambda p: p["dateFin"].isNull()), 1)["etatAdministratifEtablissement"])
