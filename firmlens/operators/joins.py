@@ -50,6 +50,45 @@ def join_left_parent(
     return child.join(parent.select(*cols), on=key, how="left")
 
 
+def join_left_parent_salted(
+    child: DataFrame,
+    parent: DataFrame,
+    key: str = "siren",
+    parent_cols: Sequence[str] | None = None,
+    buckets: int = 16,
+    hot_fraction: float = 0.001,
+) -> DataFrame:
+    """J2 for a child side with hot keys, when adaptive skew handling is not available.
+
+    Keys holding more than ``hot_fraction`` of the child rows are hot; there are at most
+    ``1 / hot_fraction`` of them, so that key list has a proven size bound and is broadcast.
+    A hot key's child rows are spread over ``buckets`` salts (a hash of the row, so a retried
+    task salts the same way) and its single parent row is replicated once per salt; every
+    other key keeps salt 0. The shuffle join then runs on (key, salt): a key holding a third
+    of the rows is processed by ``buckets`` tasks instead of one. Same rows as
+    ``join_left_parent``.
+    """
+    cols = [key] + [c for c in (parent_cols or parent.columns) if c != key]
+    total = child.select(F.count(F.lit(1))).scalar()
+    hot = (
+        child.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > total * F.lit(hot_fraction))
+        .select(key, F.lit(True).alias("__hot"))
+    )
+    hot = F.broadcast(hot)  # at most 1 / hot_fraction keys
+    salted_child = child.join(hot, on=key, how="left").withColumn(
+        "__salt",
+        F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in child.columns]), F.lit(buckets)))
+        .otherwise(F.lit(0).cast("bigint")),
+    ).drop("__hot")
+    salted_parent = parent.select(*cols).join(hot, on=key, how="left").withColumn(
+        "__salt",
+        F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint")))
+                  .otherwise(F.array(F.lit(0).cast("bigint")))),
+    ).drop("__hot")
+    return salted_child.join(salted_parent, on=[key, "__salt"], how="left").drop("__salt")
+
+
 def join_label_lookup(
     df: DataFrame,
     labels: DataFrame,

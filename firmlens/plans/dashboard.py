@@ -19,6 +19,7 @@ from ..operators.aggregates import distinct_rows, top_k_counts
 from ..operators.joins import (
     join_label_lookup,
     join_left_parent,
+    join_left_parent_salted,
     lookup_default,
     period_over_period,
     restrict_to,
@@ -51,11 +52,18 @@ class Cols:
 C = Cols()
 
 
-def dashboard_mart(etab: DataFrame, ul: DataFrame, naf: DataFrame, cols: Cols = C) -> DataFrame:
+def dashboard_mart(
+    etab: DataFrame, ul: DataFrame, naf: DataFrame, cols: Cols = C, salt_buckets: int | None = None
+) -> DataFrame:
     """Establishments ⟕ legal-unit attributes ⟕ sector labels, with coordinates in
     degrees; a missing name falls back to the establishment number; rows whose position
-    cannot be converted are dropped."""
-    df = join_left_parent(etab, ul, cols.siren, [cols.sector, cols.name, cols.category, cols.category_year])
+    cannot be converted are dropped. With ``salt_buckets`` the unit join salts hot units
+    explicitly (for sessions without adaptive skew-join handling)."""
+    unit_cols = [cols.sector, cols.name, cols.category, cols.category_year]
+    if salt_buckets:
+        df = join_left_parent_salted(etab, ul, cols.siren, unit_cols, buckets=salt_buckets)
+    else:
+        df = join_left_parent(etab, ul, cols.siren, unit_cols)
     df = df.withColumn(cols.name, default_from(cols.name, cols.siret))
     df = join_label_lookup(df, naf, cols.sector, cols.code, [cols.label], keep_code_as=cols.code)
     df = df.where(lambert93_defined(cols.x, cols.y))

@@ -111,3 +111,33 @@ def test_sector_growth_under_skew(hot):
     top5, hist = dash.sector_growth(mart, fin, naf)
     assert top5.count() <= 5
     assert {r[0] for r in top5.collect()} <= {r[0] for r in hist.select("activiteprincipaleunitelegale").collect()}
+
+
+def test_salted_parent_join_spreads_the_hot_key(hot, spark):
+    from firmlens.operators.joins import join_left_parent, join_left_parent_salted
+
+    etab, _, ul = hot
+    ul = ul.unionByName(ul.limit(1).withColumn("siren", F.lit(HOT)))
+    cols = ["activiteprincipaleunitelegale", "denominationunitelegale"]
+    plain = join_left_parent(etab.select("siret", "siren"), ul, "siren", cols)
+    salted = join_left_parent_salted(etab.select("siret", "siren"), ul, "siren", cols, buckets=8)
+    assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_task = (join_left_parent_salted(etab.select("siret", "siren"), ul, "siren", cols, buckets=8)
+                    .where(F.col("siren") == HOT)
+                    .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(per_task) >= 4  # the hot unit's rows are joined in several tasks, not one
+
+
+def test_salted_mart_equals_plain_mart(hot, spark):
+    etab, _, ul = hot
+    naf = role(spark, SF, "code_naf")
+    cols = ["siret", "siren", "denominationunitelegale", "libelle", "longitude", "latitude"]
+    plain = dash.dashboard_mart(etab, ul, naf).select(*cols)
+    salted = dash.dashboard_mart(etab, ul, naf, salt_buckets=8).select(*cols)
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
