@@ -128,6 +128,7 @@ def join_chain_left(
     parent_cols: Sequence[str] | None = None,
     detail_value: str = "chiffre_d_affaires",
     prefix: str = "detail",
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Base ⟕ parent ⟕ detail on ``key`` where both right sides may hold many rows per key.
 
@@ -137,13 +138,22 @@ def join_chain_left(
     row, as a left join keeps the row), ``{prefix}_sum`` (exact sum of the value, null
     when all null) and ``{prefix}_count`` (non-null values). Any additive statistic over the
     chained rows (sum, count, mean) is a sum of these per-row figures.
+
+    The parent columns and the detail aggregates are first combined per key (a full join of
+    two per-key frames), so the large base side is shuffled once, by one join. With
+    ``salt_buckets`` that join salts hot keys (``join_left_parent_salted``).
     """
+    cols = [c for c in (parent_cols or parent.columns) if c != key]
     per_key = detail.groupBy(key).agg(
         F.count(F.lit(1)).alias(f"{prefix}_rows"),
         F.sum(money(detail_value)).alias(f"{prefix}_sum"),
         F.count(detail_value).alias(f"{prefix}_count"),
     )
-    out = join_left_parent(base, parent, key, parent_cols).join(per_key, on=key, how="left")
+    keyed = parent.select(key, *cols).join(per_key, on=key, how="full")
+    if salt_buckets:
+        out = join_left_parent_salted(base, keyed, key, buckets=salt_buckets)
+    else:
+        out = join_left_parent(base, keyed, key)
     return out.withColumns({
         f"{prefix}_rows": F.coalesce(F.col(f"{prefix}_rows"), F.lit(1).cast("bigint")),
         f"{prefix}_count": F.coalesce(F.col(f"{prefix}_count"), F.lit(0).cast("bigint")),

@@ -141,3 +141,16 @@ def test_salted_mart_equals_plain_mart(hot, spark):
     plain = dash.dashboard_mart(etab, ul, naf).select(*cols)
     salted = dash.dashboard_mart(etab, ul, naf, salt_buckets=8).select(*cols)
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+def test_chain_join_salted_equals_plain(hot, spark):
+    from firmlens.operators.joins import join_chain_left
+
+    etab, fin, ul = hot
+    ul = ul.unionByName(ul.limit(1).withColumn("siren", F.lit(HOT)))
+    args = (etab.select("siret", "siren"), ul, fin, "siren", ["categorieentreprise"])
+    plain = join_chain_left(*args).withColumn("detail_sum", F.col("detail_sum").cast("double"))
+    salted = join_chain_left(*args, salt_buckets=8).withColumn("detail_sum", F.col("detail_sum").cast("double"))
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+    hot_row = plain.where(F.col("siren") == HOT).first()
+    assert hot_row.detail_rows == fin.where(F.col("siren") == HOT).count()
