@@ -24,6 +24,7 @@ from ..operators.filters import filter_active, incremental_filter
 from ..operators.joins import semi_join_keys
 from ..operators.project import json_flatten, project_reindex
 from ..sources.json import TIMESTAMP_OPTIONS, read_pages
+from ..session import materialize
 from ..sources.sinks import append_new, table_exists
 
 
@@ -178,6 +179,9 @@ def daily_incremental(
     etab = etab.withColumn("datecreationetablissement", lenient_date("datecreationetablissement"))
     etab = filter_active(etab, "etatadministratifetablissement")
     etab = incremental_filter(etab, "datecreationetablissement", read_mark(spark, state, default_mark))
+    # the day's selection is read from the pages once and kept: it feeds the append and the
+    # unit keys (the increment is small next to the history)
+    etab = materialize(etab, "daily_selection")
     seen = append_new(etab, f"{target_root}/etablissements", ["siret"],
                       metrics={"mark": F.max("datecreationetablissement")})
 
