@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from firmlens.session import run_dir
 
-__all__ = ["read", "stored", "binary_column", "arrow_map", "components"]
+__all__ = ["read", "stored", "binary_column", "arrow_map", "map_batches", "annotate", "unpacked", "components"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,14 @@ def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+def _share_package_path(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it (the same shared path on a
+    cluster, unless it is installed there or sent with ``--py-files``)."""
+    root, env = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(x for x in (env.get("PYTHONPATH"), root) if x)
+
+
 def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply a batch function in Arrow batches, keeping the partitioning."""
 
@@ -38,9 +47,39 @@ def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch], s
             if batch.num_rows:
                 yield rows(batch)
 
+    return map_batches(df, run, schema)
+
+
+def map_batches(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    _share_package_path(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+def annotate(
+    df: DataFrame, text: str, fields: str, compute: Callable[[list[bytes | None]], list[pa.Array]]
+) -> DataFrame:
+    """``df`` as ``doc`` (a struct of all its columns, so that no name can clash) and the columns
+    ``fields`` (DDL) that ``compute`` makes from the texts of a batch (UTF-8 bytes)."""
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
+    place = df.columns.index(text)
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        doc = batch.column("doc")
+        texts = doc.field(place).cast(pa.binary()).to_pylist()
+        return pa.RecordBatch.from_arrays([doc, *compute(texts)], names=["doc", *names])
+
+    return arrow_map(packed, rows, f"doc {packed.schema['doc'].dataType.simpleString()}, {fields}")
+
+
+def unpacked(df: DataFrame, *drop: str) -> DataFrame:
+    """The columns of ``doc`` again, then the others; these replace columns of the same name."""
+    own = [c for c in df.columns if c != "doc" and c not in drop]
+    return df.select(*[F.col(f"doc.`{c}`") for c in df.schema["doc"].dataType.names if c not in own], *own)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)``: ``(node, root)`` with the smallest node of
     the component as root, for every node that has an edge.

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import arrow_map, binary_column, components, stored
+from firmlens.llm.common import arrow_map, binary_column, components, map_batches, stored
 
 BANDS, ROWS = 40, 4  # miss probability of banding at similarity 0.75: (1 - 0.75^4)^40 = 2.5e-7
 BATCH = 16  # signature values compared per step
@@ -235,7 +235,7 @@ def _rest(members: DataFrame, threshold: float) -> DataFrame:
         if held:
             yield from group(pa.concat_tables(held)).to_batches()
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return map_batches(dealt, run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, n: int, threshold: float) -> DataFrame:

@@ -8,11 +8,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from firmlens.llm.common import read
+from firmlens.llm.decontaminate import mark_contamination
 from firmlens.llm.near_dup import near_duplicates
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = mark_contamination(docs, read(spark, sf_dir, "benchmark"), window=10)
+    hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return marked.select(
+        "doc.doc_id", "n_words", hit.alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), (F.size("hit_items") > 0).alias("contaminated"),
+    )
+
+
+OP4_SQL = """
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), items AS MATERIALIZED (
+  SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS m FROM (SELECT item_id,
+    coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM benchmark) WHERE len(w) > 0 AND item_id IS NOT NULL
+), windows AS MATERIALIZED (
+  SELECT DISTINCT item, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS g
+  FROM items
+), grams AS (
+  SELECT doc_id, m, unnest(range(1, len(w) - m + 2)) AS i, unnest(list_transform(range(1, len(w) - m + 2),
+    lambda i: array_to_string(w[i : i + m - 1], ' '))) AS g
+  FROM docs, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m
+), hits AS MATERIALIZED (SELECT doc_id, i, m, item FROM grams JOIN windows USING (m, g)),
+places AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(k.n, 0) AS BIGINT) AS n_items, sha256(coalesce(k.ids, '')) AS items_sha256, coalesce(p.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN places p ON p.doc_id = d.doc_id LEFT JOIN named k ON k.doc_id = d.doc_id
+"""
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), n=5, threshold=0.75)
 
@@ -20,10 +57,10 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = """
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM documents
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), sets AS MATERIALIZED (
   SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] ELSE list_distinct(list_transform(
-    range(1, greatest(2, len(w) - 3)), i -> array_to_string(list_slice(w, i, i + 4), ' '))) END AS s FROM words
+    range(1, greatest(2, len(w) - 3)), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) END AS s FROM words
 ), grams AS MATERIALIZED (SELECT doc_id, unnest(s) AS g FROM sets),
 pairs AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
@@ -40,9 +77,11 @@ FROM sets JOIN (SELECT node, min(low) AS component_id FROM reach GROUP BY node)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": OP4_SQL,
     "op8_minhash_near_dedup": OP8_SQL,
 }
