@@ -12,9 +12,17 @@ from pyspark.sql import functions as F
 
 from firmlens.llm.common import read
 from firmlens.llm.decontaminate import mark_contamination
+from firmlens.llm.language_id import held_out, identify, learn_profiles
 from firmlens.llm.near_dup import near_duplicates
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    ranked = learn_profiles(docs.where(~held_out() & F.col("doc_id").isNotNull()))
+    found = identify(docs.select("doc_id", "text"), ranked)
+    return found.select("doc.doc_id", held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     marked = mark_contamination(docs, read(spark, sf_dir, "benchmark"), window=10)
@@ -77,6 +85,7 @@ FROM sets JOIN (SELECT node, min(low) AS component_id FROM reach GROUP BY node)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
