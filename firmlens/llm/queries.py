@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firmlens.llm.bpe import decode_ids, encode_texts, tokenizer_path
 from firmlens.llm.common import read
 from firmlens.llm.decontaminate import mark_contamination
 from firmlens.llm.language_id import held_out, identify, learn_profiles
@@ -84,10 +85,25 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 FROM sets JOIN (SELECT node, min(low) AS component_id FROM reach GROUP BY node) ON node = doc_id
 """
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    path = tokenizer_path()
+    ids = encode_texts(docs, path).select("doc.doc_id", "n_tokens", "ids")
+    back = decode_ids(ids, path)
+    return back.select(
+        "doc.doc_id", "doc.n_tokens", F.sha2("doc.ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE: dict[str, str] = {
