@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from firmlens.session import run_dir
 
-__all__ = ["read", "stored", "binary_column", "arrow_map", "map_batches", "annotate", "unpacked", "components"]
+__all__ = ["read", "stored", "binary_column", "arrow_map", "map_batches", "group_batches", "annotate", "unpacked", "components"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,12 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def group_batches(df: DataFrame, keys: list[str], group: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Apply a function to the rows of each (bounded) group."""
+    _share_package_path(df.sparkSession)
+    return df.groupBy(*keys).applyInArrow(lambda t: group(t), schema)
+
+
 def annotate(
     df: DataFrame, text: str, fields: str, compute: Callable[[list[bytes | None]], list[pa.Array]]
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from firmlens.llm.common import read
 from firmlens.llm.decontaminate import mark_contamination
 from firmlens.llm.language_id import held_out, identify, learn_profiles
 from firmlens.llm.near_dup import near_duplicates
+from firmlens.llm.topk_search import top_k_search
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,25 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k_search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+OP3_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM (SELECT * FROM v WHERE vec_id % 50 = 0) q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
+"""
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     marked = mark_contamination(docs, read(spark, sf_dir, "benchmark"), window=10)
@@ -101,12 +121,14 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op3_topk_search": op3_topk_search,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_bpe": op10_bpe,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_topk_search": OP3_SQL,
     "op4_benchmark_decontamination": OP4_SQL,
     "op8_minhash_near_dedup": OP8_SQL,
 }
