@@ -1,17 +1,16 @@
 """Small helpers shared by the operators of this subpackage."""
 
-from __future__ import annotations
-
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlens.session import run_dir
 
-__all__ = ["read", "stored", "binary_column", "arrow_map", "map_batches", "group_batches", "annotate", "unpacked", "components"]
+__all__ = ["read", "stored", "binary_column", "arrow_map", "map_batches", "group_batches", "vector_function", "annotate", "unpacked", "components"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +62,16 @@ def group_batches(df: DataFrame, keys: list[str], group: Callable[[pa.Table], pa
     return df.groupBy(*keys).applyInArrow(lambda t: group(t), schema)
 
 
+def vector_function(spark: SparkSession, f: Callable, kind: str):
+    """A column function over a pandas series; only its argument goes to Python."""
+    _share_package_path(spark)
+
+    def run(v: pd.Series) -> pd.Series:
+        return f(v)
+
+    return F.pandas_udf(run, kind)
+
+
 def annotate(
     df: DataFrame, text: str, fields: str, compute: Callable[[list[bytes | None]], list[pa.Array]]
 ) -> DataFrame:

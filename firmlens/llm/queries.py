@@ -10,12 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm.bpe import decode_ids, encode_texts, tokenizer_path
+from firmlens.llm.bpe import codec, decode_ids, encode_texts, tokenizer_path
 from firmlens.llm.common import read
 from firmlens.llm.decontaminate import mark_contamination
 from firmlens.llm.language_id import held_out, identify, learn_profiles
 from firmlens.llm.near_dup import near_duplicates
 from firmlens.llm.topk_search import top_k_search
+from firmlens.llm.training_order import cut_sequences, write_training_order
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +106,14 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 FROM sets JOIN (SELECT node, min(low) AS component_id FROM reach GROUP BY node) ON node = doc_id
 """
 
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    end = codec(tokenizer_path()).special["<|endoftext|>"]
+    ids = encode_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    sequences = cut_sequences(ids.select("doc.doc_id", "ids"), length=512, end_id=end)
+    shards = write_training_order(sequences, key=20240607, length=512, pad_id=end)
+    return shards.read(spark).select("doc_id", "seq_no", "n_tokens", "slot", "shard", F.sha2("tokens", 256).alias("tokens_sha256"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -124,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_topk_search": op3_topk_search,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_training_order": op9_training_order,
     "op10_bpe": op10_bpe,
 }
 
