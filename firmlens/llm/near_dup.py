@@ -5,13 +5,14 @@ candidates compare their signatures batch by batch, and a pair is dropped as soo
 posterior probability that its similarity reaches the threshold falls under the chosen miss
 probability. Survivors are verified on their full shingle sets.
 
-Candidates come in two rounds, so that a bucket never expands into all its pairs:
+Candidates come in rounds, so that a bucket never expands into all its pairs:
 
-1. star: every member of a bucket with the bucket's smallest member;
+1. star rounds: every member of a bucket with one member of it, first the smallest, then
+   one by hash, if they aren't in one component already;
 2. rest: only buckets whose members still lie in different components, members of
    different components only, dealt out as pairs of bounded blocks.
 
-A pair that shares a bucket is either verified or already known to be in one component, so
+A pair that shares a bucket is either compared or already known to be in one component, so
 the components are those of all candidate pairs.
 """
 
@@ -32,6 +33,7 @@ from firmlens.llm.common import arrow_map, binary_column, components, map_batche
 BANDS, ROWS = 40, 4  # miss probability of banding at similarity 0.75: (1 - 0.75^4)^40 = 2.5e-7
 BATCH = 16  # signature values compared per step
 MISS = 1e-7  # a pair is dropped when P(similarity >= threshold | matches so far) is below
+STARS = 2  # star rounds before the rest
 BLOCK = 512  # members of a bucket compared in one block
 CHUNK = 1 << 20  # bytes hashed at once
 LONG_WORD = 4096  # longer words stand for themselves by digest
@@ -93,13 +95,13 @@ def shingle_set(text: bytes | None, n: int = 5) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """MinHash signature (uint32 values) of a non-empty shingle set."""
+    """MinHash signature (upper 16 bits of the minima) of a non-empty shingle set."""
     low = np.full(len(_MUL), np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), 2048):
         values = shingles[None, at : at + 2048] * _MUL[:, None]
         values += _ADD[:, None]
         np.minimum(low, values.min(axis=1), out=low)
-    return (low >> np.uint64(32)).astype(np.uint32)
+    return (low >> np.uint64(48)).astype(np.uint16)
 
 
 @lru_cache(8)
@@ -151,13 +153,13 @@ def _features(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """(id, bucket): one row per class and band; a bucket is the hash of band and values."""
-    width = 4 * ROWS
+    """(id, band, bucket): one row per class and band; a bucket is the hash of band and values."""
+    width = 2 * ROWS
     bucket = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.substring("sig", b * width + 1, F.lit(width))),
     )
-    return classes.select("id", F.explode(bucket).alias("bucket"))
+    return classes.select("id", F.posexplode(bucket).alias("band", "bucket"))
 
 
 def _sieve(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
@@ -172,7 +174,7 @@ def _sieve(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, y = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(batch.num_rows, -1) for c in "xy"
+            np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(batch.num_rows, -1) for c in "xy"
         )
         at, matches = np.arange(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int32)
         for n, least in _least_matches(threshold).items():
@@ -187,9 +189,9 @@ def _sieve(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
 def _rest(members: DataFrame, threshold: float) -> DataFrame:
     """Surviving pairs between different components within buckets.
 
-    ``members(bucket, id, comp, n_shingles, sig, size)``: a bucket of more than BLOCK members is
-    dealt into blocks; every pair of blocks is one bounded group. Groups are streamed in
-    key order within a partition.
+    ``members(bucket, band, id, comp, n_shingles, sig, size)``: a bucket of more than BLOCK members
+    is dealt into blocks; every pair of blocks is one bounded group. Groups are streamed in
+    key order within a partition. A pair comes from the first band that it shares.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = (
@@ -198,7 +200,7 @@ def _rest(members: DataFrame, threshold: float) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            "own", "id", "comp", "n_shingles", "sig",
+            "own", "band", "id", "comp", "n_shingles", "sig",
         )
         .repartition("bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j")
@@ -209,12 +211,17 @@ def _rest(members: DataFrame, threshold: float) -> DataFrame:
         same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
         l, r = (np.arange(len(own)),) * 2 if same else (np.nonzero(own == t.column(c)[0].as_py())[0] for c in "ij")
         ids, comp, size = (t.column(c).to_numpy() for c in ("id", "comp", "n_shingles"))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint32).reshape(len(own), -1)
+        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint16).reshape(len(own), -1)
         least, most = np.minimum.outer(size[l], size[r]), np.maximum.outer(size[l], size[r])
         allowed = (comp[l][:, None] != comp[r][None, :]) & (least >= threshold * most)
         if same:
             allowed &= ids[l][:, None] > ids[r][None, :]
         found = surviving_pairs(sig[l], sig[r], allowed, threshold)
+        band = t.column("band")[0].as_py()
+        x, y = (
+            v[f, : band * ROWS].reshape(len(f), band, ROWS) for v, f in ((sig[l], found[:, 0]), (sig[r], found[:, 1]))
+        )
+        found = found[~(x == y).all(axis=2).any(axis=1)]
         a, b = ids[l][found[:, 0]], ids[r][found[:, 1]]
         return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
@@ -238,8 +245,8 @@ def _rest(members: DataFrame, threshold: float) -> DataFrame:
     return map_batches(dealt, run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, threshold: float) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold."""
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
+    """The pairs whose full shingle sets reach the threshold; ``texts(id, text)`` holds both sides."""
     pairs = stored(pairs.distinct(), "near_dup_pairs")
     ids = pairs.selectExpr("a AS id").union(pairs.selectExpr("b AS id")).distinct()
 
@@ -247,8 +254,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, threshold: float) -> Da
         made = [shingle_set(t, n).tobytes() for t in binary_column(batch, "text")]
         return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.binary())], names=["id", "shingles"])
 
-    needed = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
-    full = arrow_map(needed, sets, "id long, shingles binary")
+    full = arrow_map(texts.join(ids, "id"), sets, "id long, shingles binary")
     joined = pairs.join(full.selectExpr("id AS a", "shingles AS x"), "a").join(
         full.selectExpr("id AS b", "shingles AS y"), "b"
     )
@@ -282,7 +288,6 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.75) -> Dat
     feats = stored(_features(docs, n), "near_dup_features")
     named = feats.where("doc_id IS NOT NULL AND key IS NOT NULL")
     reps = named.groupBy("key").agg(F.min("doc_id").alias("rep"))
-    member = stored(named.select("doc_id", "key").join(reps, "key").select("doc_id", "rep").distinct(), "near_dup_classes")
     classes = stored(
         named.join(reps.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"])
         .dropDuplicates(["doc_id", "key"])
@@ -290,24 +295,29 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.75) -> Dat
         "near_dup_signatures",
     )
     bands = _bands(classes)
-    crowded = bands.groupBy("bucket").agg(F.min("id").alias("rep"), F.count("*").alias("size")).where("size > 1")
+    crowded = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = stored(bands.join(crowded, "bucket"), "near_dup_buckets")
-    own = member.where("doc_id <> rep").selectExpr("doc_id AS a", "rep AS b")
-
-    star = shared.where("id <> rep").selectExpr("id AS a", "rep AS b").distinct()
-    links = stored(_verified(_sieve(star, classes, threshold), docs, n, threshold), "near_dup_links")
-    roots = components(links)
-    labelled = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id"))
-    labelled = stored(labelled.select("bucket", "id", "comp"), "near_dup_labelled")
-    mixed = (
-        labelled.groupBy("bucket")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"))
-        .where("low <> high")
-        .select("bucket", "size")
-    )
-    members = labelled.join(mixed, "bucket").join(classes, "id")
-    more = stored(_verified(_rest(members, threshold), docs, n, threshold), "near_dup_links")
-    roots = components(links.union(more).union(own))
+    # whole texts are shuffled once, at any size of the other side, and kept for the candidates only
+    candidates = shared.select("id").distinct().hint("merge")
+    texts = stored(docs.withColumnRenamed("doc_id", "id").join(candidates, "id").distinct(), "near_dup_texts", compression="zstd")
+    roots = components(named.select("doc_id", "key").join(reps, "key").selectExpr("doc_id AS a", "rep AS b"))
+    for turn in range(STARS + 1):
+        labelled = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id"))
+        labelled = stored(labelled.select("bucket", "band", "id", "comp"), "near_dup_labelled")
+        first = F.xxhash64("id", "bucket", F.lit(turn)) if turn else F.col("id")
+        mixed = (
+            labelled.groupBy("bucket")
+            .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"),
+                 F.min(F.struct(first.alias("first"), "id", "comp")).alias("rep"))
+            .where("low <> high")
+        )
+        if turn < STARS:
+            star = labelled.join(mixed, "bucket").where("comp <> rep.comp")
+            found = _sieve(star.selectExpr("greatest(id, rep.id) AS a", "least(id, rep.id) AS b").distinct(), classes, threshold)
+        else:
+            found = _rest(labelled.join(mixed.select("bucket", "size"), "bucket").join(classes, "id"), threshold)
+        links = stored(_verified(found, texts, n, threshold), "near_dup_links")
+        roots = components(links.unionByName(roots.selectExpr("node AS a", "root AS b")))
     return (
         feats.select("doc_id", "n_shingles")
         .join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
