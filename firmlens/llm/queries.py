@@ -14,6 +14,7 @@ from firmlens.llm.bpe import codec, decode_ids, encode_texts, tokenizer_path
 from firmlens.llm.common import read
 from firmlens.llm.decontaminate import mark_contamination
 from firmlens.llm.language_id import held_out, identify, learn_profiles
+from firmlens.llm.line_chunks import remove_repeated_chunks
 from firmlens.llm.near_dup import near_duplicates
 from firmlens.llm.topk_search import top_k_search
 from firmlens.llm.training_order import cut_sequences, write_training_order
@@ -80,6 +81,36 @@ FROM docs d LEFT JOIN places p ON p.doc_id = d.doc_id LEFT JOIN named k ON k.doc
 """
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_chunks(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.transform("removed", lambda r: F.concat_ws(":", r["start"].cast("string"), r["size"].cast("string")))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["size"])
+    return found.select(
+        "doc.doc_id", "n_lines", n_removed.alias("n_removed"), F.array_join(spans, ",").alias("removed"),
+        F.sha2("clean", 256).alias("text_sha256"),
+    )
+
+
+OP5_SQL = """
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS l FROM split),
+hashed AS (SELECT *, CAST('0x' || substr(md5(l), 1, 8) AS BIGINT) AS h FROM lines),
+rolled AS (SELECT *, (coalesce(lag(h) OVER w * 1000003, 0) + h) % 4294967296 AS r FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+ends AS (SELECT *, coalesce(r < lag(r) OVER w AND r < lead(r) OVER w, false) AS cut FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT *, coalesce(sum(CAST(cut AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM ends),
+chunks AS MATERIALIZED (SELECT doc_id, k, min(i) AS start, count(*) AS size, string_agg(l, chr(10) ORDER BY i) AS chunk FROM numbered GROUP BY doc_id, k),
+removed AS (SELECT doc_id, k, start, size FROM (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, start) AS n
+  FROM chunks WHERE size > 1 AND regexp_matches(chunk, '[^ \t\r\n\f\x0B]')) WHERE n > 1)
+SELECT d.doc_id, coalesce(max(n.n_lines), 0) AS n_lines, CAST(coalesce(max(g.n_removed), 0) AS BIGINT) AS n_removed,
+  coalesce(max(g.removed), '') AS removed, CASE WHEN any_value(d.text) IS NOT NULL THEN sha256(coalesce(max(n.clean), '')) END AS text_sha256
+FROM documents d
+LEFT JOIN (SELECT doc_id, sum(size) AS n_removed, string_agg(start || ':' || size, ',' ORDER BY start) AS removed FROM removed GROUP BY doc_id) g USING (doc_id)
+LEFT JOIN (SELECT c.doc_id, CAST(sum(c.size) AS BIGINT) AS n_lines, string_agg(c.chunk, chr(10) ORDER BY c.start) FILTER (WHERE r.k IS NULL) AS clean
+  FROM chunks c LEFT JOIN removed r ON r.doc_id = c.doc_id AND r.k = c.k GROUP BY c.doc_id) n USING (doc_id)
+GROUP BY d.doc_id
+"""
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), n=5, threshold=0.75)
 
@@ -132,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_topk_search": op3_topk_search,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_line_dedup": op5_line_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_training_order": op9_training_order,
     "op10_bpe": op10_bpe,
@@ -140,5 +172,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op3_topk_search": OP3_SQL,
     "op4_benchmark_decontamination": OP4_SQL,
+    "op5_line_dedup": OP5_SQL,
     "op8_minhash_near_dedup": OP8_SQL,
 }
