@@ -18,6 +18,7 @@ from firmlens.llm.line_chunks import remove_repeated_chunks
 from firmlens.llm.near_dup import near_duplicates
 from firmlens.llm.topk_search import top_k_search
 from firmlens.llm.training_order import cut_sequences, write_training_order
+from firmlens.llm.url_rules import judge_urls
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,47 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"), min_support=0.01, min_confidence=0.9)
+    return judged.select("doc.page_id", "host", "path", "rule", "verdict")
+
+
+OP2_SQL = """
+WITH listed(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+  ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), parts AS (
+  SELECT row_number() OVER () AS n, page_id, url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages
+), judged AS MATERIALIZED (
+  SELECT n, any_value(page_id) AS page_id, any_value(url) AS url, any_value(host) AS host, any_value(path) AS path,
+    arg_max(l.h || l.p, length(l.h || l.p)) AS rule, arg_max(l.verdict, length(l.h || l.p)) AS label
+  FROM parts LEFT JOIN listed l ON (host = l.h OR ends_with(host, '.' || l.h)) AND starts_with(path, l.p) GROUP BY n
+), words AS (
+  SELECT DISTINCT n, label, t FROM (
+    SELECT n, label, 'h:' || unnest(string_split(host, '.')) AS t FROM judged WHERE url IS NOT NULL
+    UNION ALL SELECT n, label, 'p:' || unnest(string_split(path, '/')) FROM judged WHERE url IS NOT NULL
+    UNION ALL SELECT n, label, 'q:' || string_split(unnest(string_split(regexp_extract(url, '(?s)^[^?#]*\\?([^#]*)', 1), '&')), '=')[1]
+      FROM judged WHERE url IS NOT NULL) WHERE length(t) > 2
+), least_count AS (SELECT ceil(0.01 * count(*)) AS c, count(*) AS pages FROM judged WHERE url IS NOT NULL),
+frequent AS (SELECT t FROM words GROUP BY t HAVING count(*) >= (SELECT c FROM least_count)),
+lists AS (SELECT n, list(t ORDER BY t) AS ts FROM words JOIN frequent USING (t) GROUP BY n),
+subsets AS MATERIALIZED (
+  SELECT n, list_filter(ts, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS needs FROM (SELECT n, ts, unnest(range(1, 1 << len(ts))) AS mask FROM lists)
+), counted AS (
+  SELECT needs, count(*) AS a, count(*) FILTER (label = 'allow') AS allow, count(*) FILTER (label = 'block') AS block
+  FROM subsets JOIN judged USING (n) GROUP BY needs
+), rules AS (
+  SELECT needs, verdict, k / a AS confidence, k / (SELECT pages FROM least_count) AS support
+  FROM (SELECT needs, a, 'allow' AS verdict, allow AS k FROM counted UNION ALL SELECT needs, a, 'block', block FROM counted)
+  WHERE k >= (SELECT c FROM least_count) AND k / a >= 0.9
+), mined AS (
+  SELECT n, arg_max(verdict, (confidence, support, len(needs), verdict)) AS mined FROM subsets JOIN rules USING (needs) GROUP BY n
+)
+SELECT page_id, host, path, rule, coalesce(label, mined, 'allow') AS verdict FROM judged LEFT JOIN mined USING (n)
+"""
+
+
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k_search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
@@ -161,6 +203,7 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_url_filter": op2_url_filter,
     "op3_topk_search": op3_topk_search,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_line_dedup": op5_line_dedup,
@@ -170,6 +213,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_url_filter": OP2_SQL,
     "op3_topk_search": OP3_SQL,
     "op4_benchmark_decontamination": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
