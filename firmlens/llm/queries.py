@@ -50,14 +50,14 @@ WITH listed(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.
     UNION ALL SELECT n, label, 'p:' || unnest(string_split(path, '/')) FROM judged WHERE url IS NOT NULL
     UNION ALL SELECT n, label, 'q:' || string_split(unnest(string_split(regexp_extract(url, '(?s)^[^?#]*\\?([^#]*)', 1), '&')), '=')[1]
       FROM judged WHERE url IS NOT NULL) WHERE length(t) > 2
-), least_count AS (SELECT ceil(0.01 * count(*)) AS c, count(*) AS pages FROM judged WHERE url IS NOT NULL),
-frequent AS (SELECT t FROM words GROUP BY t HAVING count(*) >= (SELECT c FROM least_count)),
+), least_count AS (SELECT ceil(0.01 * count(*)) AS c, count(*) AS pages FROM judged WHERE label IS NOT NULL),
+frequent AS (SELECT t FROM words WHERE label IS NOT NULL GROUP BY t HAVING count(*) >= (SELECT c FROM least_count)),
 lists AS (SELECT n, list(t ORDER BY t) AS ts FROM words JOIN frequent USING (t) GROUP BY n),
 subsets AS MATERIALIZED (
   SELECT n, list_filter(ts, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS needs FROM (SELECT n, ts, unnest(range(1, 1 << len(ts))) AS mask FROM lists)
 ), counted AS (
   SELECT needs, count(*) AS a, count(*) FILTER (label = 'allow') AS allow, count(*) FILTER (label = 'block') AS block
-  FROM subsets JOIN judged USING (n) GROUP BY needs
+  FROM subsets JOIN judged USING (n) WHERE label IS NOT NULL GROUP BY needs
 ), rules AS (
   SELECT needs, verdict, k / a AS confidence, k / (SELECT pages FROM least_count) AS support
   FROM (SELECT needs, a, 'allow' AS verdict, allow AS k FROM counted UNION ALL SELECT needs, a, 'block', block FROM counted)

@@ -1,8 +1,7 @@
 """URL filtering: listed domain rules first, mined association rules for the rest.
 
-FP-growth mines combinations of URL tokens (host labels, path segments, query keys) over all
-pages, with the verdict of the labelled pages as one more item; unlabelled pages count
-against every rule. Combinations that imply a verdict with enough support and confidence
+FP-growth mines combinations of URL tokens (host labels, path segments, query keys) over the
+labelled pages, with the label as one more item. Combinations that imply a verdict with enough support and confidence
 are rules. Each rule is indexed under its rarest token only; a URL looks up its tokens and
 checks the rest of a rule's combination.
 
@@ -73,15 +72,12 @@ def mine_rules(
     labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
     """Index of rules: ``token`` (the rarest of the combination), ``needs`` (the combination),
-    ``verdict``, ``confidence``, ``support``; from ``labelled(tokens, label)`` with null labels where
-    there is none. No rows: no rules."""
+    ``verdict``, ``confidence``, ``support``; from ``labelled(tokens, label)``. No rows: no rules."""
     spark = labelled.sparkSession
     if labelled.isEmpty():
         return spark.createDataFrame([], "token string, needs array<string>, verdict string, confidence double, support double")
     mark = "verdict:"
-    items = labelled.select(
-        F.concat("tokens", F.when(F.col("label").isNotNull(), F.array(F.concat(F.lit(mark), "label"))).otherwise(F.array())).alias("items")
-    )
+    items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(mark), "label"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     rules = stored(
         model.associationRules.where(F.col("consequent")[0].startswith(mark)).select(
@@ -123,7 +119,7 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: tuple = LISTED, **limi
         "doc", value.alias("url"), host(value).alias("host"), path(value).alias("path")
     )
     judged = named.withColumn("listed", listed_rule(F.col("host"), F.col("path"), rules))
-    labelled = judged.where("url IS NOT NULL").select(url_tokens(F.col("url")).alias("tokens"), F.col("listed.verdict").alias("label"))
+    labelled = judged.where("listed IS NOT NULL").select(url_tokens(F.col("url")).alias("tokens"), F.col("listed.verdict").alias("label"))
     index = mine_rules(labelled, **limits)
     open_ = judged.where("listed IS NULL AND url IS NOT NULL")
     mined = open_.join(mined_verdicts(open_.select("url"), index), "url", "left")
