@@ -16,9 +16,11 @@ from firmlens.llm.decontaminate import mark_contamination
 from firmlens.llm.language_id import held_out, identify, learn_profiles
 from firmlens.llm.line_chunks import remove_repeated_chunks
 from firmlens.llm.near_dup import near_duplicates
+from firmlens.llm.secret_ledger import RULES, scan_versions
 from firmlens.llm.topk_search import top_k_search
 from firmlens.llm.training_order import cut_sequences, write_training_order
 from firmlens.llm.url_rules import judge_urls
+from firmlens.session import run_dir
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,6 +155,44 @@ GROUP BY d.doc_id
 """
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_versions(docs, run_dir(spark, "secret_ledger"), path="doc_id")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    text = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select(
+        F.col("path").alias("doc_id"), count("assign"), count("access"), count("hex"), F.sha2(text, 256).alias("base_sha256"),
+        text.alias("spans"),
+    )
+
+
+def _op7_spans(kind: str, order: int, pattern: str, group: int, least: int) -> str:
+    p = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, {order} AS k, m[i] AS m, c[i] AS c,
+    coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{p}', 0) AS m,
+    regexp_extract_all(text, '{p}', {group}) AS c, string_split_regex(text, '{p}') AS g FROM documents WHERE text IS NOT NULL))
+  WHERE length(c[i]) >= {least}"""
+
+
+OP7_SQL = (
+    "WITH found AS MATERIALIZED ("
+    + " UNION ALL ".join(_op7_spans(r.kind, k, r.pattern, r.group, r.least) for k, r in enumerate(RULES))
+    + """), grouped AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + length(m) AS BIGINT), ',' ORDER BY start, k) AS spans
+  FROM found GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents d LEFT JOIN grouped g ON g.doc_id = d.doc_id
+"""
+)
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), n=5, threshold=0.75)
 
@@ -207,6 +247,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_topk_search": op3_topk_search,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_line_dedup": op5_line_dedup,
+    "op7_secret_scan": op7_secret_scan,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_training_order": op9_training_order,
     "op10_bpe": op10_bpe,
@@ -217,5 +258,6 @@ ORACLE: dict[str, str] = {
     "op3_topk_search": OP3_SQL,
     "op4_benchmark_decontamination": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
+    "op7_secret_scan": OP7_SQL,
     "op8_minhash_near_dedup": OP8_SQL,
 }
