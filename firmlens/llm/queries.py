@@ -16,6 +16,7 @@ from firmlens.llm.decontaminate import mark_contamination
 from firmlens.llm.language_id import held_out, identify, learn_profiles
 from firmlens.llm.line_chunks import remove_repeated_chunks
 from firmlens.llm.near_dup import near_duplicates
+from firmlens.llm.pii import personal_data
 from firmlens.llm.secret_ledger import RULES, scan_versions
 from firmlens.llm.topk_search import top_k_search
 from firmlens.llm.training_order import cut_sequences, write_training_order
@@ -155,6 +156,23 @@ GROUP BY d.doc_id
 """
 
 
+def _joined_spans(spans):
+    parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(parts, ",")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"), count("email"), count("ip"), count("card"), count("phone"),
+        F.sha2(_joined_spans("base"), 256).alias("base_sha256"), _joined_spans(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = scan_versions(docs, run_dir(spark, "secret_ledger"), path="doc_id")
@@ -162,7 +180,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    text = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    text = _joined_spans("spans")
     return found.select(
         F.col("path").alias("doc_id"), count("assign"), count("access"), count("hex"), F.sha2(text, 256).alias("base_sha256"),
         text.alias("spans"),
@@ -247,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_topk_search": op3_topk_search,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_line_dedup": op5_line_dedup,
+    "op6_pii": op6_pii,
     "op7_secret_scan": op7_secret_scan,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_training_order": op9_training_order,
