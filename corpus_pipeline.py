@@ -1,15 +1,65 @@
-"""Corpus pipeline: stages over ``documents``, each written as Parquet and reread."""
+"""Corpus pipeline: five stages over ``documents``, each written as Parquet and reread.
+
+Every stage takes and returns the columns of ``documents`` (``text`` and ``n_chars`` as the stage leaves
+them); the last returns one row of token digests per remaining document.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from firmlens.llm.common import read, stored
+from firmlens.llm.decontaminate import mark_contamination
+from firmlens.llm.language_id import held_out, identify, learn_profiles
+from firmlens.llm.line_chunks import remove_repeated_chunks
+from firmlens.llm.near_dup import near_duplicates
+from firmlens.llm.queries import bpe_digests
+
+#: A document farther from every profile than this share of the largest distance is in no known language.
+LEAST_SCORE = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; null texts and texts without letters go."""
+    ranked = learn_profiles(docs.where(~held_out() & F.col("doc_id").isNotNull()))
+    found = identify(docs, ranked).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return found.select("doc.*")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated line chunks are cut from the texts; a document that has nothing else goes."""
+    found = remove_repeated_chunks(docs).where("size(removed) = 0 OR clean <> ''")
+    own = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
+    return found.select(*[own.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each group of near duplicates."""
+    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return mark_contamination(docs, read(spark, sf_dir, "benchmark")).where(F.size("hit_items") == 0).select("doc.*")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded text."""
+    return bpe_digests(docs.select("doc_id", "text"))
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("bpe", encode),
+]
 
-#: Language profiles, rolling line hashes, sequential signature tests and byte-level BPE have
-#: no common SQL form; tests/llm holds the stages against brute-force versions.
+#: Rank-order profiles and byte-level BPE have no SQL form; tests/llm holds every stage against
+#: a brute-force version.
 ORACLE_SQL = None
 
 
@@ -18,4 +68,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline_{name}")
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from firmlens.session import run_dir
 
-__all__ = ["read", "stored", "binary_column", "arrow_map", "map_batches", "group_batches", "vector_function", "annotate", "unpacked", "components"]
+__all__ = ["read", "stored", "binary_column", "arrow_map", "map_batches", "group_batches", "vector_function", "annotate", "components"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,12 +89,6 @@ def annotate(
     return arrow_map(packed, rows, f"doc {packed.schema['doc'].dataType.simpleString()}, {fields}")
 
 
-def unpacked(df: DataFrame, *drop: str) -> DataFrame:
-    """The columns of ``doc`` again, then the others; these replace columns of the same name."""
-    own = [c for c in df.columns if c != "doc" and c not in drop]
-    return df.select(*[F.col(f"doc.`{c}`") for c in df.schema["doc"].dataType.names if c not in own], *own)
-
-
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)``: ``(node, root)`` with the smallest node of
     the component as root, for every node that has an edge.
