@@ -3,6 +3,7 @@
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,17 +11,18 @@ from pyspark.sql import functions as F
 
 from firmlens.session import run_dir
 
-__all__ = ["read", "stored", "binary_column", "arrow_map", "map_batches", "group_batches", "vector_function", "annotate", "components"]
+__all__ = ["read", "stored", "binary_column", "arrow_map", "map_batches", "group_batches", "stream_groups", "vector_function", "annotate", "components"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+def stored(df: DataFrame, name: str, parts: int | None = None, **options: str) -> DataFrame:
     """Write ``df`` once to a fresh table in the shared working folder and read it back:
-    cuts the lineage, survives lost executors."""
+    cuts the lineage, survives lost executors. ``parts``: in so many files and tasks at most."""
     path = run_dir(df.sparkSession, name)
+    df = df if parts is None else df.coalesce(parts)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -62,6 +64,30 @@ def group_batches(df: DataFrame, keys: list[str], group: Callable[[pa.Table], pa
     return df.groupBy(*keys).applyInArrow(lambda t: group(t), schema)
 
 
+def stream_groups(df: DataFrame, keys: list[str], group: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Apply a function to the rows of each (bounded, mostly tiny) group: partitions are sorted by
+    key and streamed, so that a group costs no more than a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            if not len(t):
+                continue
+            values = np.stack([t.column(c).to_numpy() for c in keys])
+            cuts = [0, *(np.nonzero((values[:, 1:] != values[:, :-1]).any(axis=0))[0] + 1), len(t)]
+            for at, to in zip(cuts, cuts[1:]):
+                part = t.slice(at, to - at)
+                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in keys):
+                    yield from group(pa.concat_tables(held)).to_batches()
+                    held = []
+                held.append(part)
+        if held:
+            yield from group(pa.concat_tables(held)).to_batches()
+
+    return map_batches(df.repartition(*keys).sortWithinPartitions(*keys), run, schema)
+
+
 def vector_function(spark: SparkSession, f: Callable, kind: str):
     """A column function over a pandas series; only its argument goes to Python."""
     _share_package_path(spark)
@@ -89,36 +115,37 @@ def annotate(
     return arrow_map(packed, rows, f"doc {packed.schema['doc'].dataType.simpleString()}, {fields}")
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """Connected components of ``edges(a, b)``: ``(node, root)`` with the smallest node of
-    the component as root, for every node that has an edge.
+def components(edges: DataFrame, name: str = "components", rounds: int | None = None, parts: int | None = None) -> DataFrame:
+    """Connected components of ``edges(a, b)``: ``(node, root)`` with the smallest node of the
+    component as root, for every node that has an edge.
 
     Large-star / small-star rounds until the edge set no longer changes. A hub's minimum
     is a partially aggregated ``min``; the join that hands it to the hub's edges can be
     split by adaptive skew handling. Every round is a stored table; only two numbers (edge
-    count and checksum) come to the driver.
+    count and checksum) come to the driver. With ``rounds``, so many only: roots of parts of the
+    components, cheaper. ``parts`` as in ``stored``, for the edges.
     """
     e = stored(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name
+        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name, parts
     )
 
     def signature(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
-    last = signature(e)
-    while last[0]:
+    last, done = signature(e), 0
+    while last[0] and done != rounds:
         # large-star: hand every larger neighbour the smallest one
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small-star: hand every smaller neighbour and the node itself the smallest one
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = stored(small.unionByName(low.withColumnRenamed("m", "v")).where("u <> v").distinct(), name)
+        found = small.unionByName(low.withColumnRenamed("m", "v")).where("u <> v").distinct()
+        e, done = stored(found, name, 8 + last[0] // 200_000), done + 1  # tasks follow the edges
         now = signature(e)
         if now == last:
             break
         last = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    )
+    roots = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+    return roots.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()) if rounds is None else roots

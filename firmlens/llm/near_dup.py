@@ -7,8 +7,8 @@ probability. Survivors are verified on their full shingle sets.
 
 Candidates come in rounds, so that a bucket never expands into all its pairs:
 
-1. star rounds: every member of a bucket with one member of it, first the smallest, then
-   one by hash, if they aren't in one component already;
+1. star rounds: every member of a bucket with one member of it, first the smallest, then (with
+   more rounds) one of the bucket's largest component by hash, unless they are in one component;
 2. rest: only buckets whose members still lie in different components, members of
    different components only, dealt out as pairs of bounded blocks.
 
@@ -19,8 +19,7 @@ the components are those of all candidate pairs.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import comb
 
 import numpy as np
@@ -28,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import arrow_map, binary_column, components, map_batches, stored
+from firmlens.llm.common import arrow_map, binary_column, components, stored, stream_groups
 
 BANDS, ROWS = 40, 4  # miss probability of banding at similarity 0.75: (1 - 0.75^4)^40 = 2.5e-7
 BATCH = 16  # signature values compared per step
 MISS = 1e-7  # a pair is dropped when P(similarity >= threshold | matches so far) is below
-STARS = 2  # star rounds before the rest
+STARS = 1  # star rounds before the rest
+TASK_DOCS = 20_000  # documents per task where results are a small part of what is read
 BLOCK = 512  # members of a bucket compared in one block
 CHUNK = 1 << 20  # bytes hashed at once
 LONG_WORD = 4096  # longer words stand for themselves by digest
@@ -186,12 +186,33 @@ def _sieve(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
     return arrow_map(joined, rows, "a long, b long")
 
 
-def _rest(members: DataFrame, threshold: float) -> DataFrame:
-    """Surviving pairs between different components within buckets.
+def _block_pairs(t: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a pair of blocks that survive together: of different components, of sizes that
+    allow the threshold, and in no earlier band together."""
+    own = t.column("own").to_numpy()
+    same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
+    l, r = (np.arange(len(own)),) * 2 if same else (np.nonzero(own == t.column(c)[0].as_py())[0] for c in "ij")
+    ids, comp, size = (t.column(c).to_numpy() for c in ("id", "comp", "n_shingles"))
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint16).reshape(len(own), -1)
+    least, most = np.minimum.outer(size[l], size[r]), np.maximum.outer(size[l], size[r])
+    allowed = (comp[l][:, None] != comp[r][None, :]) & (least >= threshold * most)
+    if same:
+        allowed &= ids[l][:, None] > ids[r][None, :]
+    found = surviving_pairs(sig[l], sig[r], allowed, threshold)
+    x, y = l[found[:, 0]], r[found[:, 1]]
+    band = t.column("band")[0].as_py()
+    before = (sig[v, : band * ROWS].reshape(len(v), band, ROWS) for v in (x, y))
+    first = ~np.equal(*before).all(axis=2).any(axis=1)
+    return x[first], y[first]
+
+
+def _rest(members: DataFrame, texts: DataFrame, n: int, threshold: float, parts: int) -> DataFrame:
+    """Verified links between different components within buckets.
 
     ``members(bucket, band, id, comp, n_shingles, sig, size)``: a bucket of more than BLOCK members
-    is dealt into blocks; every pair of blocks is one bounded group. Groups are streamed in
-    key order within a partition. A pair comes from the first band that it shares.
+    is dealt into blocks; every pair of blocks is one bounded group. The first pass keeps the
+    members that survive with any other; they get their shingle sets, and the second
+    verifies, but for pairs whose components the group has linked already. Members move, not pairs.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = (
@@ -202,71 +223,67 @@ def _rest(members: DataFrame, threshold: float) -> DataFrame:
             "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
             "own", "band", "id", "comp", "n_shingles", "sig",
         )
-        .repartition("bucket", "i", "j")
-        .sortWithinPartitions("bucket", "i", "j")
     )
+    keys = ["bucket", "i", "j"]
 
-    def group(t: pa.Table) -> pa.Table:
-        own = t.column("own").to_numpy()
-        same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
-        l, r = (np.arange(len(own)),) * 2 if same else (np.nonzero(own == t.column(c)[0].as_py())[0] for c in "ij")
-        ids, comp, size = (t.column(c).to_numpy() for c in ("id", "comp", "n_shingles"))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint16).reshape(len(own), -1)
-        least, most = np.minimum.outer(size[l], size[r]), np.maximum.outer(size[l], size[r])
-        allowed = (comp[l][:, None] != comp[r][None, :]) & (least >= threshold * most)
-        if same:
-            allowed &= ids[l][:, None] > ids[r][None, :]
-        found = surviving_pairs(sig[l], sig[r], allowed, threshold)
-        band = t.column("band")[0].as_py()
-        x, y = (
-            v[f, : band * ROWS].reshape(len(f), band, ROWS) for v, f in ((sig[l], found[:, 0]), (sig[r], found[:, 1]))
-        )
-        found = found[~(x == y).all(axis=2).any(axis=1)]
-        a, b = ids[l][found[:, 0]], ids[r][found[:, 1]]
-        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            if not len(t):
-                continue
-            keys = np.stack([t.column(c).to_numpy() for c in ("bucket", "i", "j")])
-            cuts = [0, *(np.nonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))[0] + 1), len(t)]
-            for at, to in zip(cuts, cuts[1:]):
-                part = t.slice(at, to - at)
-                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in ("bucket", "i", "j")):
-                    yield from group(pa.concat_tables(held)).to_batches()
-                    held = []
-                held.append(part)
-        if held:
-            yield from group(pa.concat_tables(held)).to_batches()
-
-    return map_batches(dealt, run, "a long, b long")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold; ``texts(id, text)`` holds both sides."""
-    pairs = stored(pairs.distinct(), "near_dup_pairs")
-    ids = pairs.selectExpr("a AS id").union(pairs.selectExpr("b AS id")).distinct()
+    def involved(t: pa.Table) -> pa.Table:
+        return t.take(pa.array(np.unique(np.concatenate(_block_pairs(t, threshold)))))
+
+    kept = stored(stream_groups(dealt, keys, involved, dealt.schema.simpleString()[7:-1].replace(":", " ")), "near_dup_rest", parts)
+    full = _shingle_sets(texts, kept.select("id").distinct(), n, parts)
+    limit = round(100 * threshold)
+
+    def verify(t: pa.Table) -> pa.Table:
+        ids, comp = t.column("id").to_numpy(), t.column("comp").to_numpy()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in t.column("shingles").to_pylist()]
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while c in root:
+                c = root[c]
+            return c
+
+        links = []
+        for x, y in zip(*_block_pairs(t, threshold)):
+            p, q = find(int(comp[x])), find(int(comp[y]))
+            if p != q and linked(sets[x], sets[y], limit):
+                root[p] = q
+                links.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
+        return pa.table({c: pa.array([link[k] for link in links], pa.int64()) for k, c in enumerate("ab")})
+
+    return stream_groups(kept.join(full, "id"), keys, verify, "a long, b long")
+
+
+def linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two shingle sets are similar enough."""
+    common = len(np.intersect1d(p, q, assume_unique=True))
+    return common > 0 and 100 * common >= percent * (len(p) + len(q) - common)
+
+
+def _shingle_sets(texts: DataFrame, ids: DataFrame, n: int, parts: int) -> DataFrame:
+    """``id, shingles`` (sorted 64-bit hashes) of the given ids."""
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = [shingle_set(t, n).tobytes() for t in binary_column(batch, "text")]
         return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.binary())], names=["id", "shingles"])
 
-    full = arrow_map(texts.join(ids, "id"), sets, "id long, shingles binary")
+    return stored(arrow_map(texts.join(ids, "id"), sets, "id long, shingles binary"), "near_dup_sets", parts)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float, parts: int) -> DataFrame:
+    """The (distinct) pairs whose full shingle sets reach the threshold; ``texts(id, text)`` holds both sides."""
+    pairs = stored(pairs, "near_dup_pairs", parts)
+    ids = pairs.selectExpr("a AS id").union(pairs.selectExpr("b AS id")).distinct()
+
+    full = _shingle_sets(texts, ids, n, parts)
     joined = pairs.join(full.selectExpr("id AS a", "shingles AS x"), "a").join(
         full.selectExpr("id AS b", "shingles AS y"), "b"
     )
     limit = round(100 * threshold)
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = []
-        for at, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())):
-            p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            common = len(np.intersect1d(p, q, assume_unique=True))
-            if common and 100 * common >= limit * (len(p) + len(q) - common):
-                keep.append(at)
+        x, y = ([np.frombuffer(v, dtype=np.uint64) for v in batch.column(c).to_pylist()] for c in "xy")
+        keep = [at for at, (p, q) in enumerate(zip(x, y)) if linked(p, q, limit)]
         return batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return arrow_map(joined.select("a", "b", "x", "y"), check, "a long, b long")
@@ -286,8 +303,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.75) -> Dat
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     feats = stored(_features(docs, n), "near_dup_features")
+    parts = max(24, feats.count() // TASK_DOCS)
     named = feats.where("doc_id IS NOT NULL AND key IS NOT NULL")
-    reps = named.groupBy("key").agg(F.min("doc_id").alias("rep"))
+    reps = stored(named.groupBy("key").agg(F.min("doc_id").alias("rep")), "near_dup_classes")
     classes = stored(
         named.join(reps.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"])
         .dropDuplicates(["doc_id", "key"])
@@ -295,29 +313,35 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.75) -> Dat
         "near_dup_signatures",
     )
     bands = _bands(classes)
-    crowded = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    crowded = bands.groupBy("bucket").count().where("count > 1").select("bucket")
     shared = stored(bands.join(crowded, "bucket"), "near_dup_buckets")
     # whole texts are shuffled once, at any size of the other side, and kept for the candidates only
     candidates = shared.select("id").distinct().hint("merge")
     texts = stored(docs.withColumnRenamed("doc_id", "id").join(candidates, "id").distinct(), "near_dup_texts", compression="zstd")
-    roots = components(named.select("doc_id", "key").join(reps, "key").selectExpr("doc_id AS a", "rep AS b"))
+    labelled, links, roots = shared.withColumn("comp", F.col("id")), [], None
     for turn in range(STARS + 1):
-        labelled = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id"))
-        labelled = stored(labelled.select("bucket", "band", "id", "comp"), "near_dup_labelled")
+        if roots is not None:
+            joined = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id"))
+            labelled = stored(joined.select("bucket", "band", "id", "comp"), "near_dup_labelled")
         first = F.xxhash64("id", "bucket", F.lit(turn)) if turn else F.col("id")
+        sides = labelled.groupBy("bucket", "comp").agg(
+            F.count("*").alias("n"), F.min(F.struct(first.alias("first"), "id")).alias("rep")
+        )
+        largest = F.struct("n", "comp", "rep.id") if turn else F.struct((-F.col("rep.first")).alias("n"), "comp", "rep.id")
         mixed = (
-            labelled.groupBy("bucket")
-            .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"),
-                 F.min(F.struct(first.alias("first"), "id", "comp")).alias("rep"))
-            .where("low <> high")
+            sides.groupBy("bucket").agg(F.count("*").alias("sides"), F.sum("n").alias("size"), F.max(largest).alias("rep"))
+            .where("sides > 1")
         )
         if turn < STARS:
             star = labelled.join(mixed, "bucket").where("comp <> rep.comp")
             found = _sieve(star.selectExpr("greatest(id, rep.id) AS a", "least(id, rep.id) AS b").distinct(), classes, threshold)
+            links.append(stored(_verified(found, texts, n, threshold, parts), "near_dup_links", parts))
+            roots = components(reduce(DataFrame.unionByName, links), rounds=1, parts=parts)
         else:
-            found = _rest(labelled.join(mixed.select("bucket", "size"), "bucket").join(classes, "id"), threshold)
-        links = stored(_verified(found, texts, n, threshold), "near_dup_links")
-        roots = components(links.unionByName(roots.selectExpr("node AS a", "root AS b")))
+            members = labelled.join(mixed.select("bucket", "size"), "bucket").join(classes, "id")
+            links.append(stored(_rest(members, texts, n, threshold, parts), "near_dup_links", parts))
+    own = named.select("doc_id", "key").join(reps, "key").where("doc_id <> rep").selectExpr("doc_id AS a", "rep AS b")
+    roots = components(reduce(DataFrame.unionByName, [*links, own]), parts=parts)
     return (
         feats.select("doc_id", "n_shingles")
         .join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")

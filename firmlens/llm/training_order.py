@@ -137,6 +137,6 @@ def write_training_order(
         .withColumn("shard", F.floor(F.col("slot") / shard_rows))
         .select("doc_id", "seq_no", "n_tokens", "slot", "tokens", "shard")
     )
-    dealt = slots.repartitionByRange(math.ceil(n / shard_rows), "shard").sortWithinPartitions("slot")
+    dealt = slots.repartitionByRange(math.ceil(n / shard_rows), "shard").sortWithinPartitions("shard", "slot")
     dealt.withColumn("tokens", F.rpad("tokens", F.lit(2 * length), pad)).write.partitionBy("shard").option("compression", "zstd").parquet(path)
     return shards
