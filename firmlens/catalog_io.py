@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from . import oracle_sql as q
 from .catalog import TARGET_PLACES, register
-from .fixed import RATIO_COLUMNS
+from .fixed import LEGAL_UNIT_COLUMNS, RATIO_COLUMNS
 from .operators.project import project_reindex
 from .plans import cleaning as X
 from .plans.exploration import region_table
@@ -29,11 +29,26 @@ from .streaming import incremental as I
 # ---------------------------------------------------------------- file sources / sinks
 
 
-@register("scan_csv_typed", q.ctes("etablissements") + "SELECT * FROM etablissements")
+# texts that a CSV file must carry: a line break with quotes, a backslash, an empty text
+AWKWARD = """CASE right({key}, 1) WHEN '1' THEN concat('a', chr(10), '"b", c')
+  WHEN '2' THEN concat('back', chr(92), 'slash') WHEN '3' THEN '' ELSE {col} END"""
+
+
+def _awkward_sql(col: str, key: str) -> str:
+    return AWKWARD.format(col=col, key=key)
+
+
+def _awkward(df: DataFrame, col: str, key: str) -> DataFrame:
+    """The frame with awkward texts in some rows of a column."""
+    return df.withColumn(col, F.expr(_awkward_sql(col, key)))
+
+
+@register("scan_csv_typed", q.ctes("etablissements") + f"""SELECT * REPLACE (
+  {_awkward_sql('complementadresseetablissement', 'siret')} AS complementadresseetablissement) FROM etablissements""")
 def scan_csv_typed(spark: SparkSession, sf: str) -> DataFrame:
     """S3 (+K1): the clean establishments through a CSV file and back, with a declared
     schema: identifiers keep their leading zeros, dates and doubles are typed."""
-    src = role(spark, sf, "etablissements")
+    src = _awkward(role(spark, sf, "etablissements"), "complementadresseetablissement", "siret")
     path = run_dir(spark, "scan_csv_typed")
     files.write_csv(src, path)
     return files.read_csv_typed(spark, path, src.schema)
@@ -49,11 +64,11 @@ def sink_csv(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv_typed(spark, path, src.schema)
 
 
-@register("scan_labels", q.ctes("code_naf") + "SELECT * FROM code_naf")
+@register("scan_labels", q.ctes("code_naf") + f"SELECT code, {_awkward_sql('libelle', 'code')} AS libelle FROM code_naf")
 def scan_labels(spark: SparkSession, sf: str) -> DataFrame:
     """A ``code;label`` dictionary in Latin-1 read back as text columns."""
     path = run_dir(spark, "scan_labels")
-    files.write_labels(role(spark, sf, "code_naf"), path)
+    files.write_labels(_awkward(role(spark, sf, "code_naf"), "libelle", "code"), path)
     return files.read_labels(spark, path)
 
 
@@ -93,27 +108,32 @@ GEO_SCHEMA = (
 
 
 @register("scan_json_pages", q.ctes("etablissements_raw") + """
-SELECT siret, siren, codePostalEtablissement AS codepostaletablissement,
+SELECT 'record' AS kind, siret, siren, codePostalEtablissement AS codepostaletablissement,
        libelleCommuneEtablissement AS libellecommuneetablissement, etatAdministratifEtablissement AS etat
-FROM etablissements_raw""")
+FROM etablissements_raw UNION ALL SELECT 'malformed', NULL, NULL, NULL, NULL, NULL""")
 def scan_json_pages(spark: SparkSession, sf: str) -> DataFrame:
     """All establishments landed as pages of 100 records (JSON envelopes), plus the
-    envelope an API returns when paging past the end (a total, no records array) →
-    one row per record."""
+    envelope an API returns when paging past the end (a total, no records array) and a page
+    that was cut off in transfer → one row per record, and one per page set aside."""
     recs = _nested_establishments(role(spark, sf, "etablissements_raw"))
     path = run_dir(spark, "scan_json_pages")
     page = F.floor(F.col("siret").cast("long") / 100)
     json.write_pages(recs, path, "etablissements", page)
     recs.agg(F.count(F.lit(1)).alias("total")).write.mode("append").json(path)  # past-the-end page
-    out = json.read_pages(spark, path, _envelope(recs, "etablissements"), "etablissements")
+    one = recs.limit(1).select(F.to_json(F.struct(F.array(F.struct(*recs.columns)).alias("etablissements"))).alias("value"))
+    one.select(F.expr("substring(value, 1, length(value) - 20)")).write.mode("append").text(path)  # a truncated page
+    aside = run_dir(spark, "scan_json_pages")
+    out = json.read_pages(spark, path, _envelope(recs, "etablissements"), "etablissements", quarantine=aside)
     out = out.withColumn("etat", F.element_at(
         F.filter("periodesEtablissement", lambda p: p["dateFin"].isNull()), 1)["etatAdministratifEtablissement"])
-    return project_reindex(out, {
-        "siret": "siret", "siren": "siren",
+    records = project_reindex(out.withColumn("kind", F.lit("record")), {
+        "kind": "kind", "siret": "siret", "siren": "siren",
         "codepostaletablissement": "adresseEtablissement.codePostalEtablissement",
         "libellecommuneetablissement": "adresseEtablissement.libelleCommuneEtablissement",
         "etat": "etat",
     })
+    lost = json.quarantined(spark, aside).select(F.lit("malformed").alias("kind"))
+    return records.unionByName(lost, allowMissingColumns=True)
 
 
 @register("scan_geojson", q.ctes("communes_geo") + "SELECT feature_id, nom, lon, lat FROM communes_geo")
@@ -146,16 +166,17 @@ def region_metric(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("sink_keyed_append", q.ctes("donnees_financieres") + "SELECT DISTINCT * FROM donnees_financieres")
 def sink_keyed_append(spark: SparkSession, sf: str) -> DataFrame:
-    """K2: two overlapping appends (the second one a rerun plus new rows) → every account
-    once. Keys: the whole account row."""
+    """K2: an empty first batch, then two overlapping appends (a rerun, and new rows), into a table
+    partitioned by the closing year (null for accounts without a date) → every account once.
+    Keys: the whole account row."""
     fin = role(spark, sf, "donnees_financieres")
     keys = fin.columns
     path = run_dir(spark, "sink_keyed_append")
-    first = fin.where(F.col("date_cloture_exercice") < F.lit(dt.date(1998, 1, 1)))
-    sinks.append_new(first, path, keys)
-    sinks.append_new(first, path, keys)  # rerun: adds nothing
-    sinks.append_new(fin, path, keys)    # overlap + the rest
-    return spark.read.parquet(path)
+    fin = fin.withColumn("annee", F.year("date_cloture_exercice"))
+    early = F.coalesce(F.col("date_cloture_exercice") < F.lit(dt.date(1998, 1, 1)), F.lit(True))
+    for batch in (fin.limit(0), fin.where(early), fin.where(early), fin):  # nothing; new; a rerun; overlap and the rest
+        sinks.append_new(batch, path, keys, partition_col="annee")
+    return sinks.read_table(spark, path, fin.schema).select(*keys)
 
 
 @register("sink_replace", q.ctes("unite_legale") + "SELECT * FROM unite_legale WHERE categorieentreprise <> 'BUILDING'")
@@ -165,7 +186,7 @@ def sink_replace(spark: SparkSession, sf: str) -> DataFrame:
     path = run_dir(spark, "sink_replace")
     sinks.replace_table(ul, path)
     sinks.replace_table(ul.where(F.col("categorieentreprise") != "BUILDING"), path)
-    return spark.read.parquet(path)
+    return sinks.read_published(spark, path, "data")
 
 
 @register("sink_two_tables", q.ctes("etablissements", "unite_legale") + """
@@ -255,24 +276,30 @@ def clean_financials(spark: SparkSession, sf: str) -> DataFrame:
     return X.clean_financials(f, X.clean_establishments(e, TARGET_PLACES))
 
 
+_TARGETS = ("etablissements", "unite_legale", "donnees_financieres")
+
+
+def _all_targets(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of the three target tables as one frame: a table name and the columns of each."""
+    parts = [spark.read.parquet(f"{root}/{t}").drop("annee_cloture").withColumn("table_name", F.lit(t)) for t in _TARGETS]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+
+
 @register("run_clean_pipeline", _X123 + """
-SELECT 'etablissements' AS table_name, count(*) AS n_rows FROM x1
-UNION ALL SELECT 'unite_legale', count(*) FROM x2
-UNION ALL SELECT 'donnees_financieres', count(*) FROM (SELECT DISTINCT * FROM x3)""")
+SELECT 'etablissements' AS table_name, * FROM x1
+UNION ALL BY NAME SELECT 'unite_legale' AS table_name, * FROM x2
+UNION ALL BY NAME SELECT DISTINCT 'donnees_financieres' AS table_name, * FROM x3""")
 def run_clean_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """The whole clean-and-insert run into fresh target tables, run twice (the rerun
-    must add nothing); returns the row count of each target table, read back."""
+    must add nothing); returns the rows of the three target tables, read back."""
     root = run_dir(spark, "run_clean_pipeline")
     for _ in range(2):
         X.run_clean_pipeline(*_raw(spark, sf), root, TARGET_PLACES)
-    counts = [spark.read.parquet(f"{root}/{t}").agg(F.count(F.lit(1)).alias("n_rows"))
-              .select(F.lit(t).alias("table_name"), "n_rows")
-              for t in ("etablissements", "unite_legale", "donnees_financieres")]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return _all_targets(spark, root)
 
 
-@register("monthly_staging", q.ctes("etablissements_raw") + """
-SELECT siret, siren, etatAdministratifEtablissement, dateCreationEtablissement, trancheEffectifsEtablissement,
+@register("monthly_staging", q.ctes("etablissements_raw", "unite_legale_raw", "donnees_financieres_raw") + """
+SELECT 'etablissements' AS table_name, siret, siren, etatAdministratifEtablissement, dateCreationEtablissement, trancheEffectifsEtablissement,
        CAST(anneeEffectifsEtablissement AS VARCHAR) AS anneeEffectifsEtablissement,
        complementAdresseEtablissement, numeroVoieEtablissement, typeVoieEtablissement, libelleVoieEtablissement,
        codePostalEtablissement, libelleCommuneEtablissement,
@@ -282,15 +309,18 @@ FROM etablissements_raw
 WHERE etatAdministratifEtablissement = 'A' AND codePostalEtablissement IS NOT NULL
   AND length(codePostalEtablissement) <= 5
   AND try_cast(coordonneeLambertAbscisseEtablissement AS DOUBLE) IS NOT NULL
-  AND try_cast(coordonneeLambertOrdonneeEtablissement AS DOUBLE) IS NOT NULL""")
+  AND try_cast(coordonneeLambertOrdonneeEtablissement AS DOUBLE) IS NOT NULL
+UNION ALL BY NAME SELECT 'unite_legale' AS table_name, """ + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in LEGAL_UNIT_COLUMNS) + """
+FROM unite_legale_raw WHERE etatAdministratifUniteLegale = 'A'
+UNION ALL BY NAME SELECT DISTINCT 'donnees_financieres' AS table_name, siren, date_cloture_exercice,
+  try_cast(chiffre_d_affaires AS DOUBLE) AS chiffre_d_affaires, try_cast(resultat_net AS DOUBLE) AS resultat_net
+FROM donnees_financieres_raw WHERE try_cast(chiffre_d_affaires AS DOUBLE) >= 0""")
 def monthly_staging(spark: SparkSession, sf: str) -> DataFrame:
-    """Extract → CSV staging → clean → CSV staging → keyed append; returns the
-    establishments target table read back."""
+    """Extract → staging → clean → staging → keyed append; returns the rows of the three
+    target tables, read back."""
     root = run_dir(spark, "monthly_staging")
     X.monthly_staging(*_raw(spark, sf), f"{root}/staging", f"{root}/target")
-    return spark.read.parquet(f"{root}/target/etablissements")
-
-
+    return _all_targets(spark, f"{root}/target")
 
 
 @register("merge_ratios", q.ctes("ratios", "unite_legale_raw") + "SELECT "
@@ -298,8 +328,8 @@ def monthly_staging(spark: SparkSession, sf: str) -> DataFrame:
           + " FROM ratios r JOIN unite_legale_raw u ON r.siren = u.siren")
 def merge_ratios(spark: SparkSession, sf: str) -> DataFrame:
     """X11: ratio records (paged ``results``) and unit records (single ``uniteLegale``
-    objects) landed as JSON → CSV interim files → typed re-read → inner join on the unit
-    key → the 16 chosen columns → table replaced; returns the table read back."""
+    objects) landed as JSON → inner join on the unit key → the 16 chosen columns → table
+    replaced; returns the table read back."""
     from .plans.exploration import merge_ratio_records
     root = run_dir(spark, "merge_ratios")
     ratios = role(spark, sf, "ratios")
@@ -309,84 +339,108 @@ def merge_ratios(spark: SparkSession, sf: str) -> DataFrame:
     merge_ratio_records(
         spark, f"{root}/landing/ratios", _envelope(ratios.drop("page"), "results"),
         f"{root}/landing/units", StructType().add("uniteLegale", units.schema),
-        f"{root}/interim", f"{root}/entreprise", RATIO_COLUMNS,
+        f"{root}/entreprise", RATIO_COLUMNS,
     )
-    return spark.read.parquet(f"{root}/entreprise")
+    return sinks.read_published(spark, f"{root}/entreprise", "data")
 
 
 # ---------------------------------------------------------------- incremental
+_LOST_TS = "CASE WHEN event_id % 53 = 7 THEN NULL ELSE ts END"
 EVENT_COLS = ("event_id", "ts", "user_id", "event_type", "value")
 DAY_CUT, DAY_OVERLAP = dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 15)
 FIRST_MARK = dt.datetime(2024, 1, 1)
 
 
-@register("incremental_batch", f"SELECT {', '.join(EVENT_COLS)} FROM events WHERE ts >= TIMESTAMP '{FIRST_MARK}'")
+FUTURE = dt.datetime(2099, 1, 1)
+LATE = "event_id % 97 = 5"  # events of the overlap that arrive on the second day only
+
+
+@register("incremental_batch", f"""SELECT {', '.join(EVENT_COLS)} FROM events WHERE ts >= TIMESTAMP '{FIRST_MARK}'
+UNION ALL SELECT -1, TIMESTAMP '{FUTURE}', 0, 'future', 0.0""")
 def incremental_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Two daily runs over the event source (day 1 sees events before the 20th, day 2
     those from the 15th: an overlap) with a mark on ``ts`` and ``event_id`` as key; plus a
-    rerun of day 2 (as after a failure before the mark write). Every event lands once."""
+    rerun of day 2 (as after a failure before the mark write). Day 1 also holds an event dated far
+    in the future, which must not hide day 2, and lacks some events of the overlap, which
+    arrive late. Every event lands once."""
     ev = table(spark, sf, "events").select(*EVENT_COLS)
+    future = ev.limit(1).select(F.lit(-1).alias("event_id"), F.lit(FUTURE).cast(ev.schema["ts"].dataType).alias("ts"),
+                                F.lit(0).alias("user_id"), F.lit("future").alias("event_type"), F.lit(0.0).alias("value"))
+    late = F.expr(LATE) & (F.col("ts") >= F.lit(DAY_OVERLAP))
+    first = ev.where((F.col("ts") < F.lit(DAY_CUT)) & ~late).unionByName(future)
+    runs = [(first, DAY_CUT)] + [(ev.where(F.col("ts") >= F.lit(DAY_OVERLAP)), dt.datetime(2024, 12, 31))] * 2
     root = run_dir(spark, "incremental_batch")
     day = ("day", F.to_date("ts"))
-    I.incremental_batch(ev.where(F.col("ts") < F.lit(DAY_CUT)), f"{root}/t", f"{root}/s", ["event_id"], "ts",
-                        FIRST_MARK, partition=day)
-    for _ in range(2):
-        I.incremental_batch(ev.where(F.col("ts") >= F.lit(DAY_OVERLAP)), f"{root}/t", f"{root}/s",
-                            ["event_id"], "ts", FIRST_MARK, partition=day)
+    for source, limit in runs:
+        I.incremental_batch(source, f"{root}/t", f"{root}/s", ["event_id"], "ts", FIRST_MARK, partition=day,
+                            limit=limit, overlap=DAY_CUT - DAY_OVERLAP)
     return spark.read.parquet(f"{root}/t").drop("day")
 
 
-@register("incremental_stream", f"SELECT {', '.join(EVENT_COLS)} FROM events")
+@register("incremental_stream", f"""SELECT event_id, {_LOST_TS} AS ts, user_id, event_type, value FROM events
+UNION ALL SELECT NULL, NULL, NULL, 'malformed page', NULL""")
 def incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Event pages land in a folder on two days (overlapping); a Structured Streaming
-    run after each landing picks up only the new files and appends unseen events."""
+    run after each landing picks up only the new files and appends unseen events. Some events
+    have lost their time (the null partition of the target); one page was cut off."""
     ev = table(spark, sf, "events").select(*EVENT_COLS)
+    lost = ev.withColumn("ts", F.expr(_LOST_TS))
     root = run_dir(spark, "incremental_stream")
     env = _envelope(ev, "records")
     page = F.floor(F.col("event_id") / 100)
-    json.write_pages(ev.where(F.col("ts") < F.lit(DAY_CUT)), f"{root}/landing", "records", page, mode="append")
     day = ("day", F.to_date("ts"))
-    I.incremental_stream(spark, f"{root}/landing", env, "records", f"{root}/t", f"{root}/ckpt", ["event_id"],
-                         partition=day)
-    json.write_pages(ev.where(F.col("ts") >= F.lit(DAY_OVERLAP)), f"{root}/landing", "records", page, mode="append")
-    I.incremental_stream(spark, f"{root}/landing", env, "records", f"{root}/t", f"{root}/ckpt", ["event_id"],
-                         partition=day)
-    return spark.read.parquet(f"{root}/t").drop("day")
+    for when in (F.col("ts") < F.lit(DAY_CUT), F.col("ts") >= F.lit(DAY_OVERLAP)):
+        ids = ev.where(when).select("event_id")
+        json.write_pages(lost.join(ids, "event_id", "left_semi"), f"{root}/landing", "records", page, mode="append")
+        if I.table_exists(spark, f"{root}/t"):
+            cut = ev.limit(1).select(F.lit('{"total": 1, "records": [{"event_id": 1, "ts"').alias("value"))
+            cut.write.mode("append").text(f"{root}/landing")
+        I.incremental_stream(spark, f"{root}/landing", env, "records", f"{root}/t", f"{root}/ckpt", ["event_id"],
+                             partition=day, quarantine=f"{root}/aside")
+    aside = I.quarantined_stream(spark, f"{root}/aside").select(F.lit("malformed page").alias("event_type"))
+    return spark.read.parquet(f"{root}/t").drop("day").unionByName(aside, allowMissingColumns=True)
 
 
 DAILY_MARK = dt.date(1995, 1, 1)
+DAILY_RUNS = {"d1": dt.date(1998, 1, 1), "d2": dt.date(1999, 1, 1)}
 DAILY_CUT, DAILY_OVERLAP = "1998-01-01", "1997-07-01"
 
 
-@register("daily_incremental", q.ctes("etablissements_raw") + "SELECT "
+@register("daily_incremental", q.ctes("etablissements_raw", "unite_legale_raw") + "SELECT "
           + ", ".join(
               "try_cast(dateCreationEtablissement AS DATE) AS datecreationetablissement"
-              if k == "datecreationetablissement" else
-              ("etatAdministratifEtablissement" if k == "etatadministratifetablissement" else p.split(".")[-1])
-              + f" AS {k}"
+              if k == "datecreationetablissement" else f"e.{p.split('.')[-1]} AS {k}"
               for k, p in I.ESTABLISHMENT_FIELDS.items())
-          + f""" FROM etablissements_raw WHERE etatAdministratifEtablissement = 'A'
-AND try_cast(dateCreationEtablissement AS DATE) >= DATE '{DAILY_MARK}'""")
+          + ", " + ", ".join(
+              "try_cast(u.dateCreationUniteLegale AS DATE) AS datecreationunitelegale" if k == "datecreationunitelegale"
+              else f"u.{p} AS {k}"
+              for k, p in I.LEGAL_UNIT_FIELDS.items() if k not in ("siren", "nomenclatureactiviteprincipaleunitelegale"))
+          + f""", u.siren IS NOT NULL AS has_unit FROM etablissements_raw e LEFT JOIN unite_legale_raw u ON u.siren = e.siren
+WHERE e.etatAdministratifEtablissement = 'A' AND try_cast(e.dateCreationEtablissement AS DATE) >= DATE '{DAILY_MARK}'""")
 def daily_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Two days of establishment pages (day 1: created before 1998, day 2: created
-    from mid-1997 — overlapping) and the matching unit records; each day's run keeps active
-    establishments created since the mark and their units. Returns the establishments."""
+    from mid-1997 or without a readable date — overlapping) and the matching unit records; each
+    day's run keeps active establishments created since the mark and their units, both
+    committed together. Returns the establishments with their loaded unit."""
     root = run_dir(spark, "daily_incremental")
     run_daily_days(spark, sf, root)
-    return spark.read.parquet(f"{root}/target/etablissements")
+    e, u = (sinks.read_published(spark, f"{root}/target", t, all_versions=True) for t in ("etablissements", "unite_legale"))
+    u = u.drop("nomenclatureactiviteprincipaleunitelegale").withColumn("has_unit", F.lit(True))
+    return e.join(u, "siren", "left").withColumn("has_unit", F.coalesce("has_unit", F.lit(False)))
 
 
-def run_daily_days(spark: SparkSession, sf: str, root: str) -> None:
+def run_daily_days(spark: SparkSession, sf: str, root: str) -> list[dict[str, int]]:
     """Land two overlapping days of pages under ``root/landing`` and run X6 for each day
-    into ``root/target``."""
+    into ``root/target``; returns each day's counts."""
     raw = role(spark, sf, "etablissements_raw")
     recs = _nested_establishments(raw)
     units = role(spark, sf, "unite_legale_raw")
     page = F.floor(F.col("siret").cast("long") / 100)
     created = F.col("dateCreationEtablissement")
-    days = {"d1": created < F.lit(DAILY_CUT), "d2": (created >= F.lit(DAILY_OVERLAP)) & (created != "bad")}
+    days = {"d1": created < F.lit(DAILY_CUT), "d2": created >= F.lit(DAILY_OVERLAP)}  # "bad" too
     env_e = _envelope(recs, "etablissements")
     env_u = StructType().add("unitesLegales", ArrayType(units.schema)).add("uniteLegale", units.schema)
+    counts = []
     for day, cond in days.items():
         day_recs = recs.where(cond)
         json.write_pages(day_recs, f"{root}/landing/{day}/etablissements", "etablissements", page)
@@ -401,6 +455,8 @@ def run_daily_days(spark: SparkSession, sf: str, root: str) -> None:
         (day_units.where(~even)
          .select(F.struct(*units.columns).alias("uniteLegale"))
          .write.mode("append").json(f"{root}/landing/{day}/units"))
-        I.daily_incremental(spark, f"{root}/landing/{day}/etablissements", f"{root}/landing/{day}/units",
-                            env_e, env_u, f"{root}/target", DAILY_MARK)
+        counts.append(I.daily_incremental(
+            spark, f"{root}/landing/{day}/etablissements", f"{root}/landing/{day}/units", env_e, env_u, f"{root}/target",
+            DAILY_MARK, run_date=DAILY_RUNS[day], overlap_days=200))
+    return counts
 

@@ -52,6 +52,18 @@ LEGAL_UNIT_COLUMNS = (
 )
 FINANCIAL_COLUMNS = ("siren", "date_cloture_exercice", "chiffre_d_affaires", "resultat_net")
 
+# the register's interface: output columns → paths in its nested records (dotted paths are
+# resolved into structs; a path that does not exist yields a typed null column)
+ESTABLISHMENT_FIELDS = {
+    c.lower(): ("periode." if c == "etatAdministratifEtablissement" else "adresseEtablissement." if at >= 6 else "") + c
+    for at, c in enumerate(ESTABLISHMENT_COLUMNS)
+    if c != "libelleCommuneEtablissement"
+}
+LEGAL_UNIT_FIELDS = {
+    c.lower(): c
+    for c in (*LEGAL_UNIT_COLUMNS[:-1], "nomenclatureActivitePrincipaleUniteLegale", LEGAL_UNIT_COLUMNS[-1])
+}
+
 # the sixteen columns of the merged ratios table
 RATIO_COLUMNS = (
     "siren", "date_cloture_exercice", "chiffre_d_affaires", "marge_brute", "ebe", "ebit",

@@ -100,7 +100,3 @@ def json_flatten(df: DataFrame, sep: str = ".") -> DataFrame:
 def project_fixed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exactly these columns; a missing one is an analysis error (fail fast)."""
     return df.select(*[F.col(_quote(c)) for c in columns])
-
-
-def is_array(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, ArrayType)

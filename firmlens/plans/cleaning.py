@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..fixed import DEFAULT_PLACES, ESTABLISHMENT_COLUMNS, FINANCIAL_COLUMNS, LEGAL_UNIT_COLUMNS
@@ -25,7 +26,6 @@ from ..operators.filters import (
 )
 from ..operators.joins import semi_join_keys
 from ..operators.project import project_present
-from ..sources.files import read_csv_typed, write_csv
 from ..sources.sinks import append_new
 
 
@@ -96,11 +96,17 @@ def run_clean_pipeline(
     keys = distinct_keys(written, "siren")
     counts["unite_legale"] = append_new(
         clean_legal_units(raw_ul, keys), f"{target_root}/unite_legale", ["siren"])["rows"]
-    counts["donnees_financieres"] = append_new(
-        clean_financials(raw_fin, keys), f"{target_root}/donnees_financieres", list(FINANCIAL_COLUMNS))["rows"]
+    counts["donnees_financieres"] = _append_accounts(clean_financials(raw_fin, keys), f"{target_root}/donnees_financieres")
     return counts
 
 
+def _append_accounts(accounts: DataFrame, path: str) -> int:
+    """Keyed append of accounts; the table is partitioned by the closing year (part of the key), so
+    that only the years a batch touches are compared."""
+    by_year = accounts.withColumn("annee_cloture", F.year(lenient_date("date_cloture_exercice")))
+    return append_new(by_year, path, list(FINANCIAL_COLUMNS), partition_col="annee_cloture")["rows"]
+
+
 # X5 staging schemas: identifiers and codes stay text (no inference, leading zeros kept).
 STAGED_ESTABLISHMENT = StructType(
     [StructField(c, StringType()) for c in ESTABLISHMENT_COLUMNS[:-2]]
@@ -120,10 +126,10 @@ def monthly_staging(
     staging_root: str,
     target_root: str,
 ) -> dict[str, int]:
-    """Extract (active units and establishments, all accounts) → CSV staging → clean
+    """Extract (active units and establishments, all accounts) → staging → clean
     (establishments: postal code present and at most 5 long, both coordinates present;
-    accounts: revenue ≥ 0; legal units unchanged) → CSV staging → keyed append to the
-    targets. Staging lives in a shared folder, not on one machine's disk."""
+    accounts: revenue ≥ 0; legal units unchanged) → staging → keyed append to the targets.
+    Staging is Parquet with the staged types, in a shared folder: texts pass unchanged."""
     spark = raw_etab.sparkSession
     extract = {
         "unite_legale": project_present(filter_active(raw_ul, _status(raw_ul, "etatadministratifunitelegale")),
@@ -133,22 +139,26 @@ def monthly_staging(
             ESTABLISHMENT_COLUMNS, lower=False),
         "donnees_financieres": project_present(raw_fin, FINANCIAL_COLUMNS, lower=False),
     }
-    for name, df in extract.items():
-        write_csv(df, f"{staging_root}/raw/{name}")
     schemas = {"unite_legale": STAGED_LEGAL_UNIT, "etablissements": STAGED_ESTABLISHMENT,
                "donnees_financieres": STAGED_FINANCIAL}
-    staged = {n: read_csv_typed(spark, f"{staging_root}/raw/{n}", s) for n, s in schemas.items()}
+    staged = {n: _stage(extract[n], f"{staging_root}/raw/{n}", s) for n, s in schemas.items()}
     etab = filter_postal(staged["etablissements"], "codePostalEtablissement")
     etab = drop_null_subset(etab, ["coordonneeLambertAbscisseEtablissement", "coordonneeLambertOrdonneeEtablissement"])
     fin = filter_non_negative(staged["donnees_financieres"], "chiffre_d_affaires")
     clean = {"unite_legale": staged["unite_legale"], "etablissements": etab, "donnees_financieres": fin}
-    for name, df in clean.items():
-        write_csv(df, f"{staging_root}/clean/{name}")
-    keys = {"unite_legale": ["siren"], "etablissements": ["siret"],
-            "donnees_financieres": list(FINANCIAL_COLUMNS)}
-    counts = {}
-    for name, s in schemas.items():
-        df = read_csv_typed(spark, f"{staging_root}/clean/{name}", s)
-        counts[name] = append_new(df, f"{target_root}/{name}", keys[name])["rows"]
-    return counts
+    ready = {n: _stage(df, f"{staging_root}/clean/{n}", schemas[n]) for n, df in clean.items()}
+    return {
+        "unite_legale": append_new(ready["unite_legale"], f"{target_root}/unite_legale", ["siren"])["rows"],
+        "etablissements": append_new(ready["etablissements"], f"{target_root}/etablissements", ["siret"])["rows"],
+        "donnees_financieres": _append_accounts(ready["donnees_financieres"], f"{target_root}/donnees_financieres"),
+    }
+
+
+def _stage(df: DataFrame, path: str, schema: StructType) -> DataFrame:
+    """Write the columns of ``schema`` in its types (numbers leniently) and read them back."""
+    typed = [
+        (lenient_double(f.name) if f.dataType == DoubleType() else F.col(f.name).cast("string")).alias(f.name) for f in schema
+    ]
+    df.select(*typed).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 

@@ -12,7 +12,6 @@ the other views are the cleaned, typed, lower-case tables the analytics read.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,31 +37,9 @@ class RoleView:
         return f"SELECT\n    {cols}\n  FROM {self.source}{join}{where}"
 
 
-# Below this size a single-task scan is cheaper than an extra shuffle stage.
-SPREAD_MIN_BYTES = 1 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.
-
-    Each driver table is one Parquet file with a single row group, which a scan cannot
-    split: the whole table would go through one task until the first shuffle. In a
-    single-machine (``local[n]``) session, a file larger than ``SPREAD_MIN_BYTES`` is
-    therefore spread once over the cores (round-robin, one small shuffle); smaller files
-    and every read on a cluster — where large inputs arrive in many splits — are left as
-    they are. Results do not depend on it.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    try:
-        sc = spark.sparkContext
-        local = sc.master.startswith("local")
-        cores = sc.defaultParallelism
-    except Exception:  # e.g. a Spark Connect session: keep the scan as it is
-        return df
-    if local and os.path.isfile(path) and os.path.getsize(path) > SPREAD_MIN_BYTES:
-        return df.repartition(cores)
-    return df
+    """A driver table, as its files split."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pad(expr: str, width: int) -> str:

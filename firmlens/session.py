@@ -6,6 +6,8 @@ The library never creates its own session for production use; callers pass their
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -15,30 +17,56 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Return the cluster-wide working folder named by ``spark.checkpoint.dir``.
+    """The cluster-wide working folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared file system (HDFS, object store), so files written
-    there survive the loss of any executor. Only when the setting is absent (a local
-    test session) do we pick a temporary folder and record it on the session.
+    On a cluster this is a shared file system (HDFS, object store), so files written there
+    survive the loss of any executor; without the setting a cluster session is an error.
+    Only a single-machine session (``local[...]``) falls back to a temporary folder, which
+    its Spark context keeps as checkpoint folder.
     """
     path = spark.conf.get(_CHECKPOINT_KEY, None)
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server side owns the checkpoint folder
+    except Exception:  # Spark Connect: only the setting can name the folder
         sc = None
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="firmlens-")
-        spark.conf.set(_CHECKPOINT_KEY, path)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+_open_runs: list[list[str]] = []
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared working folder for one run of one job."""
-    return f"{shared_dir(spark)}/firmlens/{name}/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/firmlens/{name}/{uuid.uuid4().hex}"
+    for block in _open_runs:
+        block.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def working_folders(spark: SparkSession):
+    """Delete, at the end of the block, every folder that ``run_dir`` gave out within it.
+
+    Frames returned by the plans read such folders lazily: write or collect them inside the
+    block."""
+    made: list[str] = []
+    _open_runs.append(made)
+    try:
+        yield
+    finally:
+        _open_runs.remove(made)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
@@ -56,16 +84,20 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+MAX_PARTITIONS = 20_000
+
+
 def recommended_conf(input_bytes: int, executor_cores: int = 4, executor_memory_gb: int = 16) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of Parquet input.
 
-    Scan splits of 256 MB; shuffles start with about one partition per 128 MB of input
-    (at least 2 per core) and AQE coalesces them towards 256 MB or splits skewed ones, so
-    a task's shuffle block stays far below executor memory per core
-    (``executor_memory_gb / executor_cores``) and spills only in rare skew cases.
+    Scan splits of 256 MB. Shuffles here carry rows that are pre-aggregated or projected, far
+    fewer bytes than the input, so they start with one partition per GB of input, between
+    200 and ``MAX_PARTITIONS`` (map tasks times partitions is state that the driver keeps);
+    AQE coalesces them towards 256 MB or splits skewed ones, so a task's shuffle block
+    stays below executor memory per core (``executor_memory_gb / executor_cores``).
     """
     mb = 1024 * 1024
-    initial = max(200, input_bytes // (128 * mb))
+    initial = min(MAX_PARTITIONS, max(200, input_bytes // (1024 * mb)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

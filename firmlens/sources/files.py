@@ -12,6 +12,19 @@ from pyspark.sql.types import StringType, StructField, StructType
 LABEL_SCHEMA = StructType([StructField("code", StringType()), StructField("libelle", StringType())])
 
 
+# How the reader and the writer agree: quotes are doubled inside quoted values (no backslash
+# escapes), line breaks stay inside quotes, and null is written as a mark of its own, so that
+# an empty text stays an empty text.
+NULL_MARK = "\\N"
+
+
+def _csv_options(sep: str, encoding: str, header: bool, null_mark: str) -> dict[str, object]:
+    return {
+        "header": header, "sep": sep, "encoding": encoding, "quote": '"', "escape": '"', "nullValue": null_mark,
+        "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+
+
 def read_csv_typed(
     spark: SparkSession,
     path: str,
@@ -21,16 +34,16 @@ def read_csv_typed(
     header: bool = True,
     mode: str = "PERMISSIVE",
     date_format: str | None = None,
+    null_mark: str = NULL_MARK,
+    multi_line: bool = True,
 ) -> DataFrame:
     """S3: CSV with a header and a declared schema. In PERMISSIVE mode a value that does not
-    parse as its column type becomes null (the row is kept); FAILFAST raises instead."""
-    reader = (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("mode", mode)
-    )
+    parse as its column type becomes null (the row is kept); FAILFAST raises instead.
+
+    Quoted values may hold line breaks, so a file is read by one task (the writer makes one
+    file per partition); ``multi_line=False`` splits files that are known to have none."""
+    reader = spark.read.schema(schema).options(**_csv_options(sep, encoding, header, null_mark))
+    reader = reader.option("mode", mode).option("multiLine", multi_line)
     if date_format:
         reader = reader.option("dateFormat", date_format)
     return reader.csv(path)
@@ -48,13 +61,17 @@ def read_labels(
     return read_csv_typed(spark, path, schema, sep=sep, encoding=encoding)
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", sep: str = ",") -> None:
+def write_csv(
+    df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", sep: str = ",", encoding: str = "UTF-8",
+    null_mark: str = NULL_MARK,
+) -> None:
     """K1: CSV with a header; one file per partition, written through the job committer
-    (a failed or retried task never leaves a partial file in the output)."""
-    (df.write.mode(mode).option("header", header).option("sep", sep)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    (a failed or retried task never leaves a partial file in the output). ``read_csv_typed``
+    gets the same rows back; a text equal to ``null_mark`` is the one it cannot tell from null."""
+    options = _csv_options(sep, encoding, header, null_mark) | {"emptyValue": '""'}
+    df.write.mode(mode).options(**options).csv(path)
 
 
 def write_labels(df: DataFrame, path: str, sep: str = ";", encoding: str = "ISO-8859-1") -> None:
     """Write a dictionary in the label-file format (for fixtures and exports)."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).option("encoding", encoding).csv(path)
+    write_csv(df, path, sep=sep, encoding=encoding)

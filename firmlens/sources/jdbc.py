@@ -17,6 +17,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from .sinks import not_stored, one_per_key
+
 
 def jdbc_options(
     url: str,
@@ -89,10 +92,11 @@ def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
 def append_jdbc_new(df: DataFrame, keys: Sequence[str], url: str, table: str,
                     properties: Mapping[str, str] | None = None, batch_size: int = 10_000) -> None:
     """K2: append only rows whose key is not yet in the target table, so a rerun after a
-    failure adds nothing twice (a plain append would duplicate)."""
+    failure adds nothing twice (a plain append would duplicate). Null key parts match null."""
     spark = df.sparkSession
     existing = read_jdbc(spark, url=url, table=table, properties=properties, columns=list(keys))
-    new = df.dropDuplicates(list(keys)).join(existing, on=list(keys), how="left_anti")
+    batch = materialize(one_per_key(df, list(keys)), "append_batch")
+    new = not_stored(batch, existing, list(keys))
     (new.write.format("jdbc").options(**jdbc_options(url, table=table, properties=properties,
                                                      batch_size=batch_size, fetch_size=None))
      .mode("append").save())

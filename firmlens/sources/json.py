@@ -21,6 +21,31 @@ TIMESTAMP_OPTIONS = {
 }
 
 
+_BAD = "__malformed"
+
+
+def _envelopes(spark: SparkSession, path: str, schema: StructType | str | None, multi_line: bool, quarantine: str | None) -> DataFrame:
+    """JSON documents by schema. A malformed one fails the read, or, with ``quarantine``, is
+    written there as text (``document``), with what could be parsed of it (``parsed``), and left out."""
+    reader = spark.read.options(**TIMESTAMP_OPTIONS).option("multiLine", multi_line)
+    if quarantine is None:
+        return (reader.schema(schema) if schema is not None else reader).option("mode", "FAILFAST").json(path)
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if declared is None:
+        raise ValueError("a quarantine needs a declared schema")
+    full = StructType([*declared.fields]).add(_BAD, "string")
+    docs = reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).json(path)
+    docs.where(F.col(_BAD).isNotNull()).select(
+        F.col(_BAD).alias("document"), F.to_json(F.struct(*declared.fieldNames())).alias("parsed"), F.current_timestamp().alias("read_at")
+    ).write.mode("append").parquet(quarantine)
+    return docs.where(F.col(_BAD).isNull()).drop(_BAD)
+
+
+def quarantined(spark: SparkSession, quarantine: str) -> DataFrame:
+    """The malformed documents set aside under ``quarantine``: ``document``, ``parsed``, ``read_at``."""
+    return spark.read.schema("document string, parsed string, read_at timestamp").parquet(quarantine)
+
+
 def read_pages(
     spark: SparkSession,
     path: str,
@@ -28,17 +53,17 @@ def read_pages(
     records_field: str | None,
     single_field: str | None = None,
     multi_line: bool = False,
-    mode: str = "PERMISSIVE",
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Envelopes → one row per record.
 
     ``records_field`` names the array of records (``{"total": n, "etablissements": [...]}``);
     an envelope without it contributes no rows. ``single_field`` names a single-object form
-    (``{"uniteLegale": {...}}``); both forms may be mixed in one folder. In FAILFAST mode a
-    malformed envelope fails the read.
+    (``{"uniteLegale": {...}}``); both forms may be mixed in one folder. A malformed envelope
+    fails the read; with ``quarantine`` (a folder) it is set aside there instead, see
+    ``quarantined``, and the others are read.
     """
-    env = (spark.read.schema(schema).options(**TIMESTAMP_OPTIONS)
-           .option("multiLine", multi_line).option("mode", mode).json(path))
+    env = _envelopes(spark, path, schema, multi_line, quarantine)
     parts: list[DataFrame] = []
     if records_field:
         parts.append(env.select(F.explode(F.col(records_field)).alias("__r")).select("__r.*"))
@@ -56,42 +81,39 @@ def write_pages(
     records_field: str,
     page_of: Column,
     with_total: bool = True,
-    drop_records_when: Column | None = None,
     mode: str = "overwrite",
     exclude: Sequence[str] = (),
+    max_page: int = 100_000,
 ) -> None:
     """Land records as API-style pages, one JSON envelope per line.
 
     ``page_of`` assigns each record to a page and must bound the page size (e.g. a dense
-    unique key divided by the page size): a page is built as one list in one task.
-    ``drop_records_when`` (a predicate on ``__page``) writes envelopes without the records
-    field, as an API does for an empty or failed page. ``exclude`` lists columns used for
-    paging only (not part of the records).
+    unique key divided by the page size): a page is built as one list in one task, and a page
+    of more than ``max_page`` records fails. ``exclude`` lists columns used for paging only (not
+    part of the records).
     """
     pages = records.groupBy(page_of.alias("__page")).agg(
         F.collect_list(F.struct(*[F.col(f"`{c}`") for c in records.columns if c not in exclude]))
         .alias(records_field)
     )
-    if drop_records_when is not None:
-        pages = pages.withColumn(records_field, F.when(~drop_records_when, F.col(records_field)))
+    too_large = F.concat(F.lit(f"a page has more than {max_page} records: "), F.col("__page").cast("string"))
+    pages = pages.withColumn(records_field, F.when(F.size(records_field) > max_page, F.raise_error(too_large)).otherwise(F.col(records_field)))
     if with_total:
         pages = pages.withColumn("total", records.select(F.count(F.lit(1))).scalar())
     pages.drop("__page").write.mode(mode).options(**TIMESTAMP_OPTIONS).json(path)
 
 
 def read_geojson(
-    spark: SparkSession, path: str, multi_line: bool = True, schema: StructType | str | None = None
+    spark: SparkSession, path: str, multi_line: bool = True, schema: StructType | str | None = None, quarantine: str | None = None
 ) -> DataFrame:
     """FeatureCollection files → one row per feature with its ``properties.*``, the
-    feature ``type`` and the ``geometry`` kept as a nested value.
+    feature ``type`` and the ``geometry`` kept as a nested value. Malformed documents as in
+    ``read_pages``.
 
     A pretty-printed document (``multi_line=True``) is parsed whole by one task per file, so
     large feature sets should be landed as several files, or one collection per line
     (``multi_line=False``), which Spark splits like any line-delimited input."""
-    reader = spark.read.option("multiLine", multi_line)
-    if schema is not None:
-        reader = reader.schema(schema)
-    coll = reader.json(path)
+    coll = _envelopes(spark, path, schema, multi_line, quarantine)
     feats = coll.select(F.explode("features").alias("__f"))
     return feats.select("__f.properties.*", F.col("__f.type").alias("feature_type"), F.col("__f.geometry"))
 

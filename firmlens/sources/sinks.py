@@ -12,24 +12,70 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..session import materialize
+
+# Partition values of a batch that are brought to the driver to prune the target's scan.
+PRUNE_VALUES = 1_000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder exists (a file-system check through Hadoop's FileSystem for
-    the path's scheme: local, HDFS or an object store)."""
+    """Whether a table folder exists; any failure other than its absence is raised."""
     try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
-    except Exception:  # no JVM gateway (Spark Connect): probe by resolving the folder
-        try:
-            spark.read.format("parquet").load(path).schema  # noqa: B018
-            return True
-        except Exception:
-            return False
+        spark.read.schema("x int").parquet(path)
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return False
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """A table by its declared schema. A folder that is missing, empty, or holds only the rest
+    of a write that died is a table without rows."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key (null parts match): the greatest by the other columns in order, so that a
+    retried task chooses alike. Partially aggregated: a hot key costs one row per partition."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    chosen = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("__row"))
+    return chosen.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`") for c in df.columns])
+
+
+def not_stored(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of a (materialized) batch whose key ``stored`` lacks; null key parts match null.
+
+    ``stored`` is cut down to the batch's keys first: the batch has its size from files, so a small
+    one is broadcast and the stored keys are scanned without a shuffle."""
+
+    def matches(left: DataFrame, right: DataFrame) -> list[Column]:
+        return [left[k].eqNullSafe(right[f"__{k}"]) for k in keys]
+
+    wanted = batch.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    old = stored.select(*keys)
+    old = old.join(wanted, on=matches(old, wanted), how="left_semi").distinct()
+    old = old.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    return batch.join(old, on=matches(batch, old), how="left_anti")
+
+
+def _pruned(stored: DataFrame, batch: DataFrame, partition_col: str) -> DataFrame:
+    """``stored`` without partitions that the batch does not touch, as a static filter on the
+    partition column (null included); all of it for a batch that touches very many."""
+    values = [r[0] for r in batch.select(partition_col).distinct().limit(PRUNE_VALUES + 1).collect()]
+    if len(values) > PRUNE_VALUES:
+        return stored
+    hit = F.col(partition_col).isin([v for v in values if v is not None])
+    return stored.where(hit | F.col(partition_col).isNull() if None in values else hit)
 
 
 def append_new(
@@ -41,35 +87,32 @@ def append_new(
     metrics: Mapping[str, Column] | None = None,
 ) -> dict[str, object]:
     """K2 (+K5): append the rows whose key is not in the table yet (one row per key per
-    batch); returns ``{"rows": rows appended, **metrics}`` observed on the appended rows.
-
-    A rerun of the same batch — e.g. after a failure between the data write and the
-    mark update — adds nothing. Key parts compare null-safely (null matches null). With
-    ``partition_col`` the table is partitioned by it and the existing keys are only read
-    from the partitions the batch touches (semi join on the batch's partition values, which
-    Spark turns into dynamic partition pruning of the target scan).
-    The counts are observed on the final plan, right before the write (observations deeper
-    in an adaptive plan can be lost when a join is re-planned).
+    batch, chosen by ``one_per_key``); returns ``{"rows": rows appended, **metrics}``, the metrics over
+    the whole batch.
+
+    A rerun of the same batch — e.g. after a failure between the data write and the mark
+    update, or after a first write that died — adds nothing twice. Key parts, and partition
+    values, compare null-safely. The batch is computed once and kept in the working folder;
+    with ``partition_col`` the table is partitioned by it and only the partitions that the
+    batch touches are read. ``partition_col`` must follow from the key: a key then always
+    lands in one partition.
     """
-    spark = df.sparkSession
-    keys = list(keys)
-    new = df.dropDuplicates(keys)
-    if table_exists(spark, path):
-        existing = spark.read.format(fmt).load(path)
-        if partition_col is not None:
-            touched = new.select(partition_col).distinct()
-            existing = existing.join(touched, on=partition_col, how="left_semi")
-        old = existing.select(*[F.col(k).alias(f"__old_{k}") for k in keys])
-        cond = [new[k].eqNullSafe(old[f"__old_{k}"]) for k in keys]  # a null key part matches null
-        new = new.join(old, on=cond, how="left_anti")
+    spark, keys = df.sparkSession, list(keys)
+    batch = materialize(one_per_key(df, keys), "append_batch")
+    existing = read_table(spark, path, batch.schema, fmt)
+    if partition_col is not None:
+        existing = _pruned(existing, batch, partition_col)
+    seen = batch.agg(F.lit(0).alias("__none"), *[c.alias(n) for n, c in (metrics or {}).items()]).first().asDict()
     obs = Observation(f"append_{uuid.uuid4().hex[:12]}")
-    extra = [c.alias(n) for n, c in (metrics or {}).items()]
-    new = new.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
+    new = not_stored(batch, existing, keys)
+    if partition_col is not None:
+        new = new.hint("rebalance", F.col(partition_col))  # few files per partition; adaptive execution splits large ones
+    new = new.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = new.write.mode("append").format(fmt)
     if partition_col is not None:
         writer = writer.partitionBy(partition_col)
     writer.save(path)
-    return dict(obs.get)
+    return {n: seen[n] for n in metrics or {}} | {"rows": dict(obs.get)["rows"]}
 
 
 def save_bucketed(
@@ -89,9 +132,10 @@ def save_bucketed(
     return df.sparkSession.table(table)
 
 
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K3: replace the table's content."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def replace_table(df: DataFrame, root: str) -> str:
+    """K3: replace a table's content: a new version is written, then committed; until then, and
+    after a failure, readers (``read_published(spark, root, "data")``) see the old content."""
+    return publish_together({"data": df}, root)
 
 
 def publish_together(
@@ -101,40 +145,49 @@ def publish_together(
 ) -> str:
     """K4: write several tables as one version and commit them together.
 
-    Each table is written (with an explicit column order) under ``root/<version>/<name>``;
+    Each table is written (with an explicit column order) under ``root/<name>/version=<v>``;
     only when all are written is the version appended to ``root/_commits``. Readers follow
-    the latest commit (``read_published``), so they see both new tables or neither.
+    the commits (``read_published``), so they see all new tables or none.
     """
     spark = next(iter(frames.values())).sparkSession
-    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     for name, df in frames.items():
         cols = (columns or {}).get(name)
-        (df.select(*cols) if cols else df).write.mode("errorifexists").parquet(f"{root}/{version}/{name}")
+        (df.select(*cols) if cols else df).write.mode("errorifexists").parquet(f"{root}/{name}/version={version}")
     commit = spark.createDataFrame([(version,)], "version string").withColumn("committed_at", F.current_timestamp())
     commit.coalesce(1).write.mode("append").parquet(f"{root}/_commits")
     return version
 
 
+def _commits(spark: SparkSession, root: str) -> DataFrame:
+    return read_table(spark, f"{root}/_commits", StructType().add("version", "string"))
+
+
 def latest_version(spark: SparkSession, root: str) -> str | None:
     """The last committed version (one value read from the small commit log)."""
-    if not table_exists(spark, f"{root}/_commits"):
-        return None
-    row = spark.read.parquet(f"{root}/_commits").agg(F.max("version").alias("v")).first()
+    row = _commits(spark, root).agg(F.max("version").alias("v")).first()
     return row["v"] if row else None
 
 
-def read_published(spark: SparkSession, root: str, name: str, all_versions: bool = False) -> DataFrame:
+def read_published(
+    spark: SparkSession, root: str, name: str, all_versions: bool = False, schema: StructType | None = None
+) -> DataFrame:
     """The table as of the latest commit; with ``all_versions`` the union of every committed
     version (append semantics: each version holds one batch). Uncommitted versions — a
-    run that died before its commit — are never read."""
-    if not all_versions:
-        version = latest_version(spark, root)
-        if version is None:
+    run that died before its commit — are never read. With ``schema``, nothing committed yet is
+    a table without rows."""
+    path = f"{root}/{name}"
+    version = latest_version(spark, root)
+    if version is None:
+        if schema is None:
             raise FileNotFoundError(f"nothing committed under {root}")
-        return spark.read.parquet(f"{root}/{version}/{name}")
-    commits = spark.read.parquet(f"{root}/_commits").select("version").distinct()
-    versions = sorted(r["version"] for r in commits.collect())  # one small row per batch
-    return spark.read.parquet(*[f"{root}/{v}/{name}" for v in versions])
+        return spark.createDataFrame([], schema)
+    if not all_versions:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(f"{path}/version={version}")
+    reader = spark.read if schema is None else spark.read.schema(StructType([*schema.fields]).add("version", "string"))
+    # a semi join on the partition column: uncommitted folders are pruned, no list of versions is kept
+    return reader.parquet(path).join(_commits(spark, root).distinct(), "version", "left_semi").drop("version")
 
 
 def write_counted(df: DataFrame, write: Callable[[DataFrame], None], name: str = "rows_written") -> int:

@@ -1,10 +1,11 @@
 """Incremental loads with a high-water mark (I1, I2) and the daily register load.
 
-Order of effects on every run: read the mark → select rows at or after it → keyed append
-(``append_new``) → only then append the new mark. A run that dies between the data write
-and the mark write is simply rerun: it re-selects the same rows and the keyed append adds
-nothing twice. The mark is the largest mark value seen (not "today"), observed while the
-data is written, so the source is read once.
+Order of effects on every run: read the mark → select rows from the mark, less an overlap
+for rows that arrive late, on → keyed append (``append_new``) → only then append the new mark.
+A run that dies between the data write and the mark write is simply rerun: it re-selects
+the same rows and the keyed append adds nothing twice. The mark is the largest value among
+the selected rows, but no later than the run's ``limit``: a row dated in the future is
+stored, and hides nothing that comes after it.
 """
 
 from __future__ import annotations
@@ -13,27 +14,26 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType, StructType
 
-from ..fixed import ACTIVE
+from ..fixed import ACTIVE, ESTABLISHMENT_FIELDS, LEGAL_UNIT_FIELDS
 from ..functions.scalars import lenient_date
 from ..operators.aggregates import distinct_keys
 from ..operators.filters import filter_active, incremental_filter
 from ..operators.joins import semi_join_keys
 from ..operators.project import json_flatten, project_reindex
-from ..sources.json import TIMESTAMP_OPTIONS, read_pages
 from ..session import materialize
-from ..sources.sinks import append_new, table_exists
+from ..sources.json import TIMESTAMP_OPTIONS, quarantined, read_pages
+from ..sources.sinks import append_new, not_stored, one_per_key, publish_together, read_published, read_table, table_exists
 
 
-def read_mark(spark: SparkSession, state: str, default: object) -> Column:
+def read_mark(spark: SparkSession, state: str, default: object, dtype: DataType) -> Column:
     """The current mark as a Column: the largest committed mark, else ``default``.
     Evaluated as a scalar sub-query over the (tiny) state table."""
-    if not table_exists(spark, state):
-        return F.lit(default)
-    return F.coalesce(spark.read.parquet(state).select(F.max("mark")).scalar(), F.lit(default))
+    marks = read_table(spark, state, StructType().add("mark", dtype))
+    return F.coalesce(marks.select(F.max("mark")).scalar(), F.lit(default))
 
 
 def _commit_mark(spark: SparkSession, state: str, value: object, dtype: DataType) -> None:
@@ -41,6 +41,12 @@ def _commit_mark(spark: SparkSession, state: str, value: object, dtype: DataType
     row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(state)
 
 
+def _capped(mark_col: str, limit: object | None) -> Column:
+    """Aggregate: the largest mark value that is not after ``limit``."""
+    value = F.col(mark_col)
+    return F.max(value if limit is None else F.when(value <= F.lit(limit), value))
+
+
 def incremental_batch(
     source: DataFrame,
     target: str,
@@ -51,69 +57,94 @@ def incremental_batch(
     status_col: str | None = None,
     active: str = ACTIVE,
     partition: tuple[str, Column] | None = None,
+    limit: object | None = None,
+    overlap: dt.timedelta | None = None,
 ) -> int:
     """One incremental run; returns the number of rows appended. The new mark is the
-    latest mark value among the appended rows (a rerun that appends nothing keeps the mark).
+    latest mark value among the selected rows, ``limit`` (the run's date) at most; rows that arrive
+    up to ``overlap`` late are still selected.
 
     ``partition=(name, expr)`` stores the target partitioned by ``expr`` (e.g. the day of
     the mark column; it must be a function of the key's row so a key always lands in the
     same partition): the duplicate check then only reads the partitions a run touches,
     so its cost follows the increment, not the size of the table."""
     spark = source.sparkSession
-    new = incremental_filter(source, mark_col, read_mark(spark, state, default_mark), status_col, active)
+    dtype = source.schema[mark_col].dataType
+    since = read_mark(spark, state, default_mark, dtype)
+    if overlap is not None:
+        since = since - F.lit(overlap)
+    new = incremental_filter(source, mark_col, since, status_col, active)
     part_col = None
     if partition is not None:
         part_col, expr = partition
         new = new.withColumn(part_col, expr)
-    seen = append_new(new, target, keys, partition_col=part_col, metrics={"mark": F.max(mark_col)})
+    seen = append_new(new, target, keys, partition_col=part_col, metrics={"mark": _capped(mark_col, limit)})
     if seen["mark"] is not None:
-        _commit_mark(spark, state, seen["mark"], source.schema[mark_col].dataType)
+        _commit_mark(spark, state, seen["mark"], dtype)
     return int(seen["rows"])
 
 
 def incremental_stream(
     spark: SparkSession,
     landing: str,
-    envelope: StructType,
+    envelope: StructType | str,
     records_field: str,
     target: str,
     checkpoint: str,
     keys: Sequence[str],
-    timeout_s: float | None = 600.0,
+    timeout_s: float | None = None,
     partition: tuple[str, Column] | None = None,
     trigger: Mapping[str, object] | None = None,
     max_files_per_batch: int = 1000,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """New page files in a landing folder → records → keyed append, as a Structured
     Streaming query with ``availableNow``: each run processes exactly the files that
     arrived since the last run (tracked in the checkpoint) and stops. A retried micro-batch
     re-appends nothing thanks to the keyed append, so the sink is effectively exactly-once.
-    ``partition`` as in ``incremental_batch``. ``trigger`` replaces ``availableNow`` (e.g.
-    ``{"processingTime": "1 hour"}`` for a long-running load); the query is then returned
-    running and ``timeout_s=None`` skips the wait. ``max_files_per_batch`` bounds each
-    micro-batch (a backlog of landed files is worked off in several bounded batches).
+    ``partition`` as in ``incremental_batch``. ``max_files_per_batch`` bounds each micro-batch (a
+    backlog of landed files is worked off in several bounded batches).
+
+    The call waits for an ``availableNow`` run to end, however long the backlog takes
+    (``timeout_s`` bounds the wait, as an error). ``trigger`` replaces ``availableNow`` (e.g.
+    ``{"processingTime": "1 hour"}`` for a long-running load); the query is then returned running,
+    after ``timeout_s`` seconds if given. A malformed page fails the run; with ``quarantine`` it is
+    set aside there, one folder per micro-batch (written again by a retry), see
+    ``quarantined_stream``.
     """
-    pages = (spark.readStream.schema(envelope).options(**TIMESTAMP_OPTIONS)
-             .option("maxFilesPerTrigger", max_files_per_batch).json(landing))
-    records = pages.select(F.explode(F.col(records_field)).alias("__r")).select("__r.*")
-    part_col = None
-    if partition is not None:
-        part_col, expr = partition
-        records = records.withColumn(part_col, expr)
-
-    def upsert(batch: DataFrame, _batch_id: int) -> None:
-        append_new(batch, target, keys, partition_col=part_col)
+    bad = "__malformed"
+    declared = StructType.fromDDL(envelope) if isinstance(envelope, str) else envelope
+    reader = spark.readStream.options(**TIMESTAMP_OPTIONS).option("maxFilesPerTrigger", max_files_per_batch)
+    if quarantine is None:
+        pages = reader.schema(declared).option("mode", "FAILFAST").json(landing)
+    else:
+        full = StructType([*declared.fields]).add(bad, "string")
+        pages = reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).json(landing)
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        if quarantine is not None:
+            lost = batch.where(F.col(bad).isNotNull())
+            lost.select(F.col(bad).alias("document"), F.to_json(F.struct(records_field)).alias("parsed")).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            batch = batch.where(F.col(bad).isNull())
+        records = batch.select(F.explode(F.col(records_field)).alias("__r")).select("__r.*")
+        part_col = None
+        if partition is not None:
+            part_col, expr = partition
+            records = records.withColumn(part_col, expr)
+        append_new(records, target, keys, partition_col=part_col)
 
     query = (
-        records.writeStream.foreachBatch(upsert)
+        pages.writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(**(dict(trigger) if trigger else {"availableNow": True}))
         .start()
     )
-    if timeout_s is None:
+    if trigger:
+        if timeout_s is not None:
+            query.awaitTermination(timeout_s)
         return query
-    finished = query.awaitTermination(timeout_s)
-    if not finished and not trigger:
+    finished = query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)
+    if timeout_s is not None and not finished:
         query.stop()
         raise TimeoutError(f"incremental stream over {landing} did not finish in {timeout_s}s")
     if query.exception() is not None:
@@ -121,35 +152,9 @@ def incremental_stream(
     return query
 
 
-# X6 output columns → paths in the register's nested records (dotted paths are resolved
-# into structs; a path that does not exist yields a typed null column).
-ESTABLISHMENT_FIELDS: Mapping[str, str] = {
-    "siret": "siret",
-    "siren": "siren",
-    "etatadministratifetablissement": "periode.etatAdministratifEtablissement",
-    "datecreationetablissement": "dateCreationEtablissement",
-    "trancheeffectifsetablissement": "trancheEffectifsEtablissement",
-    "anneeeffectifsetablissement": "anneeEffectifsEtablissement",
-    "complementadresseetablissement": "adresseEtablissement.complementAdresseEtablissement",
-    "numerovoieetablissement": "adresseEtablissement.numeroVoieEtablissement",
-    "typevoieetablissement": "adresseEtablissement.typeVoieEtablissement",
-    "libellevoieetablissement": "adresseEtablissement.libelleVoieEtablissement",
-    "codepostaletablissement": "adresseEtablissement.codePostalEtablissement",
-    "coordonneelambertabscisseetablissement": "adresseEtablissement.coordonneeLambertAbscisseEtablissement",
-    "coordonneelambertordonneeetablissement": "adresseEtablissement.coordonneeLambertOrdonneeEtablissement",
-}
-LEGAL_UNIT_FIELDS: Mapping[str, str] = {
-    "siren": "siren",
-    "denominationunitelegale": "denominationUniteLegale",
-    "datecreationunitelegale": "dateCreationUniteLegale",
-    "activiteprincipaleunitelegale": "activitePrincipaleUniteLegale",
-    "categorieentreprise": "categorieEntreprise",
-    "anneecategorieentreprise": "anneeCategorieEntreprise",
-    "trancheeffectifsunitelegale": "trancheEffectifsUniteLegale",
-    "anneeeffectifsunitelegale": "anneeEffectifsUniteLegale",
-    "nomenclatureactiviteprincipaleunitelegale": "nomenclatureActivitePrincipaleUniteLegale",
-    "etatadministratifunitelegale": "etatAdministratifUniteLegale",
-}
+def quarantined_stream(spark: SparkSession, quarantine: str) -> DataFrame:
+    """The malformed pages that a stream set aside: ``document``, ``parsed``, ``batch``."""
+    return spark.read.schema("document string, parsed string, batch long").parquet(quarantine)
 
 
 def daily_incremental(
@@ -160,39 +165,56 @@ def daily_incremental(
     unit_envelope: StructType,
     target_root: str,
     default_mark: dt.date,
+    run_date: dt.date | None = None,
+    overlap_days: int = 0,
+    quarantine: str | None = None,
 ) -> dict[str, int]:
     """One day's load of new establishments and their legal units.
 
-    Establishment pages → records created at or after the mark whose current period is
-    active (the latest period per record, W1 over the nested array) → keys (A1) → the
-    unit records of those keys (semi join) → flatten + reindex to the table columns →
-    lenient dates → keyed append of both tables → mark advanced to the latest creation
-    date seen. Returns rows selected per table.
+    Establishment pages → records created at or after the mark (less ``overlap_days``) whose
+    current period is active (the latest period per record, W1 over the nested array) →
+    keys (A1) → the unit records of those keys (semi join) → flatten + reindex to the
+    table columns → lenient dates → rows that the tables lack → both tables and the mark
+    committed as one version (K4): readers, and a rerun, see all of a day or nothing. The
+    mark is the latest creation date seen, ``run_date`` at most. Records without a readable date are
+    not selected. Read the tables with ``read_published(..., all_versions=True)``.
+
+    Returns rows appended per table, ``unmatched_keys`` (units of the day's establishments
+    without a unit record) and ``rejected_pages`` (malformed pages: an error without ``quarantine``,
+    else set aside there).
     """
-    state = f"{target_root}/_mark"
-    recs = read_pages(spark, establishment_pages, establishment_envelope, "etablissements")
+    created = "datecreationetablissement"
+    bad = [f"{quarantine}/{t}" if quarantine else None for t in ("etablissements", "unite_legale")]
+    recs = read_pages(spark, establishment_pages, establishment_envelope, "etablissements", quarantine=bad[0])
     # current period = the one without an end date (first of the array when several)
     recs = recs.withColumn(
         "periode", F.element_at(F.filter("periodesEtablissement", lambda p: p["dateFin"].isNull()), 1)
     ).drop("periodesEtablissement")
     etab = project_reindex(json_flatten(recs), ESTABLISHMENT_FIELDS)
-    etab = etab.withColumn("datecreationetablissement", lenient_date("datecreationetablissement"))
+    etab = etab.withColumn(created, lenient_date(created))
     etab = filter_active(etab, "etatadministratifetablissement")
-    etab = incremental_filter(etab, "datecreationetablissement", read_mark(spark, state, default_mark))
-    # the day's selection is read from the pages once and kept: it feeds the append and the
-    # unit keys (the increment is small next to the history)
-    etab = materialize(etab, "daily_selection")
-    seen = append_new(etab, f"{target_root}/etablissements", ["siret"],
-                      metrics={"mark": F.max("datecreationetablissement")})
-
-    # the units of this run's establishments (the day's pages), not of the whole table:
-    # the work follows the increment
-    units = read_pages(spark, unit_pages, unit_envelope, "unitesLegales", single_field="uniteLegale")
-    units = semi_join_keys(units, distinct_keys(etab, "siren"), "siren")
+    marks = read_published(spark, target_root, "_mark", all_versions=True, schema=StructType().add("mark", "date"))
+    since = F.coalesce(marks.select(F.max("mark")).scalar(), F.lit(default_mark))
+    etab = incremental_filter(etab, created, F.date_sub(since, overlap_days))
+    # the day's selection is read from the pages once and kept (small next to the history): it feeds
+    # the comparison with the table, the unit keys and the mark
+    etab = materialize(one_per_key(etab, ["siret"]), "daily_selection")
+
+    keys = distinct_keys(etab, "siren")
+    units = read_pages(spark, unit_pages, unit_envelope, "unitesLegales", single_field="uniteLegale", quarantine=bad[1])
+    units = semi_join_keys(units, keys, "siren")
     units = project_reindex(json_flatten(units), LEGAL_UNIT_FIELDS)
     units = units.withColumn("datecreationunitelegale", lenient_date("datecreationunitelegale"))
-    n_units = append_new(units, f"{target_root}/unite_legale", ["siren"])["rows"]
-
-    if seen["mark"] is not None:
-        _commit_mark(spark, state, seen["mark"], etab.schema["datecreationetablissement"].dataType)
-    return {"etablissements": int(seen["rows"]), "unite_legale": int(n_units)}
+    units = materialize(one_per_key(units, ["siren"]), "daily_units")
+
+    def new_rows(batch: DataFrame, name: str, key: str) -> DataFrame:
+        stored = read_published(spark, target_root, name, all_versions=True, schema=batch.schema)
+        return materialize(not_stored(batch, stored, [key]), "daily_new")
+
+    new = {"etablissements": new_rows(etab, "etablissements", "siret"), "unite_legale": new_rows(units, "unite_legale", "siren")}
+    mark = etab.agg(_capped(created, run_date).alias("mark")).where(F.col("mark").isNotNull())
+    publish_together({**new, "_mark": mark.coalesce(1)}, target_root)
+    counts = {name: df.count() for name, df in new.items()}
+    counts["unmatched_keys"] = keys.join(units, "siren", "left_anti").count()
+    counts["rejected_pages"] = sum(quarantined(spark, q).count() for q in bad if q)
+    return counts

@@ -1,16 +1,19 @@
 """End states of the multi-step pipelines beyond what the catalogue query returns."""
 
 import duckdb
+import pytest
 
-from firmlens.catalog_io import DAILY_MARK, run_daily_days
+from firmlens.catalog_io import DAILY_MARK, DAILY_RUNS, run_daily_days
 from firmlens.roles import TABLES, with_roles
+from firmlens.sources.sinks import read_published
 
 from .conftest import SMALL
 
 
 def test_daily_load_units_are_those_of_the_new_establishments(spark, tmp_table):
-    run_daily_days(spark, SMALL, tmp_table)
-    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_table}/target/unite_legale")
+    counts = run_daily_days(spark, SMALL, tmp_table)
+    units = read_published(spark, f"{tmp_table}/target", "unite_legale", all_versions=True)
+    got = sorted(tuple(r) for r in units
                  .select("siren", "denominationunitelegale", "datecreationunitelegale",
                          "nomenclatureactiviteprincipaleunitelegale").collect())
     con = duckdb.connect()
@@ -22,8 +25,33 @@ def test_daily_load_units_are_those_of_the_new_establishments(spark, tmp_table):
         WHERE u.siren IN (SELECT siren FROM etablissements_raw WHERE etatAdministratifEtablissement = 'A'
                           AND try_cast(dateCreationEtablissement AS DATE) >= DATE '{DAILY_MARK}')""")).fetchall())
     assert got == want
-    marks = spark.read.parquet(f"{tmp_table}/target/_mark").count()
-    assert marks == 2
+    marks = read_published(spark, f"{tmp_table}/target", "_mark", all_versions=True).collect()
+    assert len(marks) == 2 and all(m.mark <= run for m, run in zip(sorted(marks), DAILY_RUNS.values()))
+    landed = sum(spark.read.text(f"{tmp_table}/landing/{d}/etablissements").count() for d in DAILY_RUNS)
+    assert landed > 0 and sum(c["unite_legale"] for c in counts) == len(got)
+    # units without a record are those of the unmatched keys of the fixture
+    assert all(c["unmatched_keys"] > 0 and c["rejected_pages"] == 0 for c in counts)
+
+
+def test_daily_load_commits_both_tables_or_none(spark, tmp_table, monkeypatch):
+    """A run that dies before its commit shows nothing; its rerun loads the day once."""
+    from firmlens.streaming import incremental as I
+
+    real = I.publish_together
+
+    def dies(frames, root, columns=None):
+        frames["etablissements"].write.parquet(f"{root}/etablissements/version=v0-dead")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(I, "publish_together", dies)
+    with pytest.raises(RuntimeError):
+        run_daily_days(spark, SMALL, tmp_table)
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, f"{tmp_table}/target", "etablissements", all_versions=True)
+    monkeypatch.setattr(I, "publish_together", real)
+    run_daily_days(spark, SMALL, tmp_table)
+    rows = read_published(spark, f"{tmp_table}/target", "etablissements", all_versions=True)
+    assert rows.count() == rows.select("siret").distinct().count() > 0
 
 
 def _duck():

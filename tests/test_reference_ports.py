@@ -1,13 +1,11 @@
 """The reference's own three tests, ported: the inner merge on the unit key directly, and
 the fetch success/failure pair re-aimed at the JSON page source (a landed page yields
-records; a malformed page fails the read in FAILFAST mode)."""
+records; a malformed page fails the read, or is set aside)."""
 
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql.utils import AnalysisException
 
 from firmlens.operators.joins import join_inner_key
-from firmlens.sources.json import read_pages
+from firmlens.sources.json import quarantined, read_pages
 
 
 def test_merge_on_key(spark):
@@ -31,11 +29,19 @@ ENVELOPE = "total long, results array<struct<result: string>>"
 
 def test_page_ok(spark, tmp_table):
     _write(tmp_table, '{"total": 1, "results": [{"result": "ok"}]}\n')
-    rows = read_pages(spark, tmp_table, ENVELOPE, "results", mode="FAILFAST").collect()
+    rows = read_pages(spark, tmp_table, ENVELOPE, "results").collect()
     assert [r.result for r in rows] == ["ok"]
 
 
 def test_page_failure(spark, tmp_table):
     _write(tmp_table, '{"total": 1, "results": [{"result": "ok"}\n')
-    with pytest.raises((PySparkException, AnalysisException, Exception)):
-        read_pages(spark, tmp_table, ENVELOPE, "results", mode="FAILFAST").collect()
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        read_pages(spark, tmp_table, ENVELOPE, "results").collect()
+
+
+def test_failed_page_is_set_aside(spark, tmp_table):
+    cut = '{"total": 1, "results": [{"result": "lost"}'
+    _write(f"{tmp_table}/pages", '{"total": 1, "results": [{"result": "ok"}]}\n' + cut + "\n" + '{"total": 9}\n')
+    rows = read_pages(spark, f"{tmp_table}/pages", ENVELOPE, "results", quarantine=f"{tmp_table}/aside").collect()
+    assert [r.result for r in rows] == ["ok"]
+    assert [r.document for r in quarantined(spark, f"{tmp_table}/aside").collect()] == [cut]
