@@ -1,7 +1,7 @@
 """firmlens — company-register analytics on Spark.
 
-Operators are lazy ``DataFrame → DataFrame`` functions (column names are parameters);
-pipelines compose them; sources and sinks read and write files, JSON pages, GeoJSON and
+Operators are ``DataFrame → DataFrame`` functions (column names are parameters), lazy unless
+their documentation says that a job runs; pipelines compose them; sources and sinks read and write files, JSON pages, GeoJSON and
 JDBC tables; ``streaming`` holds the incremental loads. The most used entry points:
 """
 
@@ -52,7 +52,7 @@ from .operators.joins import (
     semi_join_keys,
 )
 from .operators.project import json_flatten, project_fixed, project_present, project_reindex
-from .operators.topk import history, sorted_distinct, top_n
+from .operators.topk import history, preview, sorted_distinct, top_n
 from .operators.windows import latest_per_key
 from .plans.cleaning import (
     clean_establishments,
@@ -77,7 +77,7 @@ from .plans.exploration import (
     merge_ratio_records,
     region_table,
 )
-from .session import materialize, recommended_conf, shared_dir
+from .session import materialize, recommended_conf, shared_dir, working_folders
 from .streaming.incremental import daily_incremental, incremental_batch, incremental_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]

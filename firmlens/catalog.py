@@ -25,6 +25,7 @@ from .operators.windows import latest_per_key as latest_row
 from .fixed import ADDRESS_PARTS, FIRST_RECENT_YEAR
 from .plans import dashboard as dash
 from .roles import ROLE_VIEWS, role, table
+from .session import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,12 +49,26 @@ def register(key: str, sql: str | None = None, why_no_sql: str | None = None):
     return deco
 
 
-def _mart(spark: SparkSession, sf: str) -> DataFrame:
+def _built_mart(spark: SparkSession, sf: str) -> DataFrame:
     return dash.dashboard_mart(
         role(spark, sf, "etablissements"), role(spark, sf, "unite_legale"), role(spark, sf, "code_naf")
     )
 
 
+_stored_marts: dict[tuple[str, str], str] = {}
+
+
+def _mart(spark: SparkSession, sf: str) -> DataFrame:
+    """X8 as the dashboard uses it: built from the whole tables and stored once per session and
+    input, partitioned by place; the dashboard queries read the stored table."""
+    built, key = _built_mart(spark, sf), (spark.conf.get("spark.app.id"), sf)
+    if key not in _stored_marts:
+        path = run_dir(spark, "mart")
+        dash.publish_mart(built, path)
+        _stored_marts[key] = path
+    return dash.read_mart(spark, _stored_marts[key], built.schema)
+
+
 def _scoped(spark: SparkSession, sf: str, sector: str | None = None) -> DataFrame:
     return FL.filter_scope(_mart(spark, sf), dash.C.place, dash.C.sector, PLACE, sector)
 
@@ -129,18 +144,32 @@ def clean_dates(spark, sf):
                       "datecreationunitelegale")
 
 
+# some amounts as texts that are no plain numbers, marked with an x in front
+_AMOUNT_SQL = """(CASE substr(coalesce((t), '0'), 1, 2) WHEN '11' THEN 'xNaN' WHEN '12' THEN 'xInfinity'
+  WHEN '13' THEN 'x1e400' WHEN '14' THEN 'x12d' ELSE '' END)"""
+
+
 @register("clean_numbers", q.ctes("etablissements_raw", "donnees_financieres_raw") + """
-SELECT siret,
-       try_cast(coordonneeLambertAbscisseEtablissement AS DOUBLE) AS coordonneelambertabscisseetablissement,
-       try_cast(coordonneeLambertOrdonneeEtablissement AS DOUBLE) AS coordonneelambertordonneeetablissement
-FROM etablissements_raw""")
+SELECT siret AS id,
+       try_cast(coordonneeLambertAbscisseEtablissement AS DOUBLE) AS a,
+       try_cast(coordonneeLambertOrdonneeEtablissement AS DOUBLE) AS b
+FROM etablissements_raw UNION ALL
+SELECT siren, CASE WHEN """ + _AMOUNT_SQL.replace("(t)", "(chiffre_d_affaires)") + """ LIKE 'x%' THEN NULL
+         ELSE try_cast(chiffre_d_affaires AS DOUBLE) END, try_cast(resultat_net AS DOUBLE)
+FROM donnees_financieres_raw""")
 def clean_numbers(spark, sf):
-    e = role(spark, sf, "etablissements_raw")
-    return e.select(
-        "siret",
-        S.lenient_double("coordonneeLambertAbscisseEtablissement").alias("coordonneelambertabscisseetablissement"),
-        S.lenient_double("coordonneeLambertOrdonneeEtablissement").alias("coordonneelambertordonneeetablissement"),
+    """C2 over both kinds of numbers: coordinates, and amounts among which some texts are no plain
+    numbers (``NaN``, ``Infinity``, ``1e400``, ``12d``)."""
+    e = role(spark, sf, "etablissements_raw").select(
+        F.col("siret").alias("id"),
+        S.lenient_double("coordonneeLambertAbscisseEtablissement").alias("a"),
+        S.lenient_double("coordonneeLambertOrdonneeEtablissement").alias("b"),
     )
+    f = role(spark, sf, "donnees_financieres_raw")
+    odd = F.expr(_AMOUNT_SQL.replace("(t)", "(chiffre_d_affaires)"))
+    amount = F.when(odd.startswith("x"), F.substring(odd, 2, 20)).otherwise(F.col("chiffre_d_affaires"))
+    return e.unionByName(f.select(
+        F.col("siren").alias("id"), S.lenient_double(amount).alias("a"), S.lenient_double("resultat_net").alias("b")))
 
 
 @register("clean_postal", q.ctes("etablissements_raw") + """
@@ -497,7 +526,7 @@ _CREATIONS = """cr AS (
 
 
 def _creations(spark, sf):
-    e = A.distinct_rows(role(spark, sf, "etablissements"), ["libellecommuneetablissement", "siren"])
+    e = role(spark, sf, "etablissements").select("libellecommuneetablissement", "siren")
     u = role(spark, sf, "unite_legale").select(
         "siren", S.year_of("datecreationunitelegale").alias("annee_creation"))
     df = J.join_left_parent(e, u, "siren", ["annee_creation"])
@@ -516,11 +545,14 @@ PLACES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 @register("pivot_creations", q.ctes("etablissements", "unite_legale", _CREATIONS) + "SELECT annee_creation, "
           + ", ".join(f"coalesce(max(CASE WHEN libellecommuneetablissement = '{p}' THEN nombre_entreprises END), 0)"
-                      f" AS \"{p}\"" for p in PLACES)
+                      f" AS \"{'ST. ' + p if p == PLACES[0] else p}\"" for p in PLACES[:-1])
+          + f", count(*) FILTER (libellecommuneetablissement = '{PLACES[-1]}') AS unlisted"
           + f" FROM cr WHERE annee_creation >= {FIRST_RECENT_YEAR} GROUP BY annee_creation")
 def pivot_creations(spark, sf):
-    return A.pivot_wide(_creations(spark, sf), "annee_creation", "libellecommuneetablissement",
-                        "nombre_entreprises", PLACES)
+    dotted = F.when(F.col("libellecommuneetablissement") == PLACES[0], "ST. " + PLACES[0]).otherwise(F.col("libellecommuneetablissement"))
+    df = _creations(spark, sf).withColumn("libellecommuneetablissement", dotted)
+    return A.pivot_wide(df, "annee_creation", "libellecommuneetablissement", "nombre_entreprises",
+                        ["ST. " + PLACES[0], *PLACES[1:-1]], unlisted="unlisted")
 
 
 @register("mean_by_category", q.ctes("etablissements", "unite_legale", "donnees_financieres") + f"""
@@ -674,7 +706,7 @@ _MART_COLS = [n for n, _ in ROLE_VIEWS["etablissements"].columns] + [
 @register("dashboard_mart", q.ctes(*q.MART) + "SELECT " + ", ".join(_MART_COLS)
           + ", round(longitude, 6) AS longitude, round(latitude, 6) AS latitude FROM mart")
 def dashboard_mart(spark, sf):
-    m = _mart(spark, sf)
+    m = _built_mart(spark, sf)
     return m.select(*_MART_COLS, F.round("longitude", 6).alias("longitude"),
                     F.round("latitude", 6).alias("latitude"))
 

@@ -25,9 +25,16 @@ def lenient_date(c: ColumnOrName, fmt: str | None = None) -> Column:
     return F.try_to_date(_c(c), F.lit(fmt)) if fmt else F.try_to_date(_c(c))
 
 
+# plain decimal numbers, with an optional exponent and blanks around
+NUMBER = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def lenient_double(c: ColumnOrName) -> Column:
-    """Text or number → double; unparsable values become null."""
-    return _c(c).try_cast("double")
+    """Text or number → double; null for anything that is no plain decimal number (``NaN``,
+    ``Infinity`` and suffixed numbers like ``1d`` included) or beyond the double range."""
+    text = _c(c).cast("string")
+    value = F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def postal_or_null(c: ColumnOrName, length: int = POSTAL_LENGTH) -> Column:
@@ -101,8 +108,16 @@ def or_default(c: ColumnOrName, default: str = MISSING) -> Column:
 
 
 def money(c: ColumnOrName, scale: int = 2) -> Column:
-    """Amount as an exact decimal, so sums do not depend on the order of addition."""
-    return _c(c).cast(f"decimal(18,{scale})")
+    """Amount as an exact decimal, so sums do not depend on the order of addition.
+
+    Amounts are rounded to ``scale`` digits (cents). One that is not finite or needs more than
+    28 digits is null instead of failing the job; ``money_rejects`` counts those."""
+    return _c(c).try_cast(f"decimal(28,{scale})")
+
+
+def money_rejects(c: ColumnOrName, scale: int = 2) -> Column:
+    """Aggregate: how many non-null amounts ``money`` cannot hold."""
+    return F.count(F.when(_c(c).isNotNull() & money(c, scale).isNull(), 1))
 
 
 def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
@@ -112,4 +127,4 @@ def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
 
 def money_mean(c: ColumnOrName, scale: int = 2) -> Column:
     """Mean of the non-null amounts: exact decimal sum over the count, as double."""
-    return F.sum(money(c, scale)).cast("double") / F.count(_c(c))
+    return F.sum(money(c, scale)).cast("double") / F.count(money(c, scale))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import HISTOGRAM_EDGES
 from ..functions.scalars import money, money_mean, money_sum
+from .filters import filter_positive
 
 
 def _not_null(cols: Sequence[str]) -> Column:
@@ -72,16 +73,6 @@ def mean_by(df: DataFrame, group: str, value: str, out: str | None = None) -> Da
     )
 
 
-def weighted_mean_by(df: DataFrame, group: str, sum_col: str, count_col: str, out: str) -> DataFrame:
-    """A8 over pre-aggregated rows (see ``join_chain_left``): Σ sums / Σ counts per group,
-    over rows that carry at least one value."""
-    return (
-        df.where(F.col(group).isNotNull() & (F.col(count_col) > 0))
-        .groupBy(group)
-        .agg((F.sum(sum_col).cast("double") / F.sum(count_col)).alias(out))
-    )
-
-
 def revenue_by_group(
     rows: DataFrame,
     amounts: DataFrame,
@@ -116,7 +107,7 @@ def log_histogram(df: DataFrame, value: str, edges: int = HISTOGRAM_EDGES) -> Da
     driver), then one grouped count on the bin index; bins come from a range, no cross join.
     """
     bins = edges - 1
-    pos = df.select(F.col(value).alias("v")).where(F.col("v") > 0)
+    pos = filter_positive(df.select(F.col(value).alias("v")), "v")
     b = pos.agg(F.log10(F.min("v")).alias("lo"), F.log10(F.max("v")).alias("hi")).first()
     spark = df.sparkSession
     if b is None or b["lo"] is None:
@@ -135,12 +126,16 @@ def log_histogram(df: DataFrame, value: str, edges: int = HISTOGRAM_EDGES) -> Da
 
 
 def pivot_wide(
-    df: DataFrame, index: str, columns: str, value: str, values: Sequence[str], fill: object = 0
+    df: DataFrame, index: str, columns: str, value: str, values: Sequence[str], fill: object = 0, unlisted: str | None = None
 ) -> DataFrame:
     """Long → wide, one column per listed value (the caller gives the bounded value
-    domain, so no pass over the data discovers it); gaps become ``fill``."""
-    wide = df.groupBy(index).pivot(columns, list(values)).agg(F.first(value))
-    return wide.fillna(fill, subset=[str(v) for v in values])
+    domain, so no pass over the data discovers it); gaps become ``fill``. ``unlisted`` names a
+    column that counts the rows of other (or null) values, which the wide form cannot show."""
+    listed = [F.coalesce(F.max(F.when(F.col(columns) == v, F.col(value))), F.lit(fill)).alias(str(v)) for v in values]
+    if unlisted is not None:
+        known = F.coalesce(F.col(columns).isin(list(values)), F.lit(False))
+        listed.append(F.count(F.when(~known, 1)).alias(unlisted))
+    return df.groupBy(index).agg(*listed)
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:
@@ -151,8 +146,3 @@ def non_null_counts(df: DataFrame) -> DataFrame:
 def row_count(df: DataFrame, out: str = "n_rows") -> DataFrame:
     """Number of rows (one row)."""
     return df.agg(F.count(F.lit(1)).alias(out))
-
-
-def latest_value(df: DataFrame, col: str) -> Column:
-    """The column's maximum as a scalar sub-query Column (evaluated once)."""
-    return df.select(F.max(col)).scalar()

@@ -4,8 +4,9 @@ Every join here is an equi-join on a key and the physical strategy is left to th
 planner: a side is broadcast only when its size is known to be under
 ``spark.sql.autoBroadcastJoinThreshold`` — from file statistics at planning time, or from
 the actual shuffle output under adaptive execution — and otherwise joined by shuffle.
-Explicit ``broadcast()`` is used only for frames bounded by construction (a ``limit``),
-or after ``broadcast_if_small`` has proven a row bound for inputs without statistics.
+Explicit ``broadcast()`` is used only for frames bounded by construction (a ``limit``).
+The right side of a semi join is reduced to its distinct keys first, so a key that holds a
+third of its rows costs one row per input partition.
 One-to-many chains are never expanded into all pairs: the many side is aggregated per
 key first (``join_chain_left``), which gives the same totals without the fan-out rows.
 """
@@ -20,23 +21,6 @@ from pyspark.sql import functions as F
 from ..fixed import MISSING
 from ..functions.scalars import money
 
-# Largest label dictionary we broadcast (rows); the French activity nomenclature has
-# ~730 codes and the commune list ~35k, both far below it.
-LABEL_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = LABEL_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the frame provably has at most ``max_rows`` rows — for
-    inputs the planner has no size statistics for (e.g. the output of a Python source).
-
-    The proof is a bounded count (``limit(max_rows + 1).count()``): it reads at most
-    ``max_rows + 1`` rows no matter how large the input turns out to be. Beyond the bound
-    the frame is returned unchanged and the planner picks a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_inner_key(left: DataFrame, right: DataFrame, key: str | Sequence[str] = "siren") -> DataFrame:
     """Inner join on the shared key column(s); the key appears once."""
     return left.join(right, on=key if isinstance(key, str) else list(key), how="inner")
@@ -78,7 +62,8 @@ def join_left_parent_salted(
     hot = F.broadcast(hot)  # at most 1 / hot_fraction keys
     salted_child = child.join(hot, on=key, how="left").withColumn(
         "__salt",
-        F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in child.columns]), F.lit(buckets)))
+        # a null key meets no parent: its rows may go anywhere
+        F.when(F.col("__hot") | F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in child.columns]), F.lit(buckets)))
         .otherwise(F.lit(0).cast("bigint")),
     ).drop("__hot")
     salted_parent = parent.select(*cols).join(hot, on=key, how="left").withColumn(
@@ -96,14 +81,12 @@ def join_label_lookup(
     code_col: str = "code",
     label_cols: Mapping[str, str] | Sequence[str] | None = None,
     keep_code_as: str | None = None,
-    max_label_rows: int | None = None,
 ) -> DataFrame:
     """Left lookup of labels by a differently named code column.
 
     Null codes match a null dictionary code (null-safe equality), as a pandas merge does.
     ``label_cols`` maps dictionary columns to output names (default: all but the code).
-    A dictionary is small and read from files, so the planner broadcasts it by its size;
-    ``max_label_rows`` forces a proven-bound broadcast for inputs without statistics.
+    A dictionary is small and read from files, so the planner broadcasts it by its size.
     """
     if label_cols is None:
         label_cols = [c for c in labels.columns if c != code_col]
@@ -112,8 +95,6 @@ def join_label_lookup(
     lab = labels.select(
         F.col(code_col).alias(tmp), *[F.col(src).alias(out) for src, out in mapping.items()]
     )
-    if max_label_rows is not None:
-        lab = broadcast_if_small(lab, max_label_rows)
     out = df.join(lab, df[left_col].eqNullSafe(lab[tmp]), "left")
     if keep_code_as:
         return out.withColumnRenamed(tmp, keep_code_as)
@@ -163,7 +144,7 @@ def join_chain_left(
 def semi_join_keys(df: DataFrame, keys: DataFrame, key: str = "siren", keys_col: str | None = None) -> DataFrame:
     """Rows whose key occurs in ``keys`` — a semi join, nothing collected to the driver.
     Duplicated keys on the right do not duplicate rows; an empty key set gives no rows."""
-    k = keys.select(F.col(keys_col or key).alias(key))
+    k = keys.select(F.col(keys_col or key).alias(key)).where(F.col(key).isNotNull()).distinct()
     return df.join(k, on=key, how="left_semi")
 
 
@@ -220,7 +201,7 @@ def labels_in_use(
     labels: DataFrame, used: DataFrame, used_col: str, code_col: str = "code", label_col: str = "libelle"
 ) -> DataFrame:
     """J9 (+T4): dictionary entries whose code is used, de-duplicated, sorted by code."""
-    in_use = used.select(F.col(used_col).alias(code_col)).where(F.col(code_col).isNotNull())
+    in_use = used.select(F.col(used_col).alias(code_col)).where(F.col(code_col).isNotNull()).distinct()
     return (
         labels.join(in_use, on=code_col, how="left_semi")
         .select(code_col, label_col)

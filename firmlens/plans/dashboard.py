@@ -1,7 +1,8 @@
 """Dashboard pipelines: the mart (X8), sector growth (X7, flagship), sector history (A6),
 top revenue units (X10), the establishment card (X9) and the scoped frequency tables.
 
-Every function is ``(DataFrame…, parameters) → DataFrame`` and lazy; column names are the
+Every function is ``(DataFrame…, parameters) → DataFrame``, lazy but for the intermediate tables
+that ``materialize`` writes; column names are the
 register's (lower case) and can be overridden through the ``Cols`` record.
 """
 
@@ -9,8 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..fixed import ADDRESS_PARTS, GROWTH_YEARS, TOP_SECTORS, TOP_UNITS
 from ..functions.geo import lambert93_defined, lambert93_to_wgs84
@@ -70,24 +72,17 @@ def dashboard_mart(
     return lambert93_to_wgs84(df, cols.x, cols.y, "longitude", "latitude")
 
 
-def unit_year_revenue(fin: DataFrame, cols: Cols = C) -> DataFrame:
-    """Accounts pre-aggregated per (unit, year): exact revenue sum (null when every amount
-    is null) — map-side combined, so a unit holding a third of all accounts costs one
-    partial row per input partition and year, and joins meet one row per (unit, year)."""
-    return (
-        fin.withColumn(cols.year, year_of(cols.closing))
-        .where(F.col(cols.year).isNotNull())
-        .groupBy(cols.siren, cols.year)
-        .agg(F.sum(money(cols.revenue)).alias("__s"))
-    )
-
-
 def publish_mart(mart: DataFrame, path: str, cols: Cols = C) -> DataFrame:
     """Store the mart partitioned by place: a dashboard scope (one place) then reads only
-    that place's files (partition pruning) instead of the whole mart. Returns the stored
-    mart, read back."""
-    mart.write.mode("overwrite").partitionBy(cols.place).parquet(path)
-    return mart.sparkSession.read.parquet(path)
+    that place's files (partition pruning) instead of the whole mart. A place is written by
+    few tasks, a large one by several (adaptive rebalancing). Returns the stored mart."""
+    mart.hint("rebalance", F.col(cols.place)).write.mode("overwrite").partitionBy(cols.place).parquet(path)
+    return read_mart(mart.sparkSession, path, mart.schema)
+
+
+def read_mart(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The stored mart."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def sector_year_revenue(scoped: DataFrame, fin: DataFrame, cols: Cols = C) -> DataFrame:
@@ -96,11 +91,14 @@ def sector_year_revenue(scoped: DataFrame, fin: DataFrame, cols: Cols = C) -> Da
     Units are de-duplicated first (one row per unit and sector), so a unit with many
     establishments counts its accounts once. A (sector, year) appears when some unit of the
     sector has accounts that year; its revenue is 0 when all their amounts are null.
-    Equal to the row-level join then sum, with accounts pre-aggregated per (unit, year)."""
+    The accounts are shuffled once, to meet the units in scope (not at all when those are few
+    enough to be broadcast; a hot unit is split by adaptive execution), and summed per
+    (sector, year) map-side: accounts out of scope are never aggregated."""
     units = distinct_rows(scoped, [cols.siren, cols.sector]).where(F.col(cols.sector).isNotNull())
-    merged = units.join(unit_year_revenue(fin, cols), on=cols.siren, how="inner")
+    accounts = fin.select(cols.siren, year_of(cols.closing).alias(cols.year), money(cols.revenue).alias("__v"))
+    merged = accounts.where(F.col(cols.year).isNotNull()).join(units, on=cols.siren, how="inner")
     return merged.groupBy(cols.sector, cols.year).agg(
-        F.coalesce(F.sum("__s").cast("double"), F.lit(0.0)).alias(cols.revenue)
+        F.coalesce(F.sum("__v").cast("double"), F.lit(0.0)).alias(cols.revenue)
     )
 
 

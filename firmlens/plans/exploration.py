@@ -30,7 +30,7 @@ def mean_revenue_by_category(
     summed per unit (both map-side combined, so a unit with a third of all rows costs one
     partial row per partition); the mean is Σ n·sum / Σ n·count per category."""
     n_etab = etab.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    acc = fin.groupBy(key).agg(F.sum(money(value)).alias("__s"), F.count(value).alias("__c"))
+    acc = fin.groupBy(key).agg(F.sum(money(value)).alias("__s"), F.count(money(value)).alias("__c"))
     per_unit = n_etab.join(ul.select(key, category), on=key, how="left").join(acc, on=key, how="inner")
     per_unit = per_unit.where(F.col(category).isNotNull() & (F.col("__c") > 0))
     return per_unit.groupBy(category).agg(
@@ -51,18 +51,16 @@ def mean_revenue_top_labels(
     """Mean revenue per (year, sector label) for the ``top`` labels with the highest
     mean in the latest year, every year × label present (gaps are 0), long form.
 
-    The ``top`` labels (bounded by the parameter) are the pivot values; pivot then unpivot
-    fills the year × label grid without a cross join."""
-    per_unit = (  # accounts pre-aggregated per (unit, year), map-side combined
-        fin.withColumn("annee", year_of(closing))
-        .where(F.col("annee").isNotNull())
-        .groupBy(key, "annee")
-        .agg(F.sum(money(value)).alias("__s"), F.count(value).alias("__c"))
-    )
-    df = per_unit.join(ul.select(key, sector), on=key, how="inner")
+    The ``top`` labels (bounded by the parameter) are the columns of a wide form, from which the
+    long form with every year × label comes back, without a cross join. Two jobs run while the
+    plan is built: the means, and the choice of the leading labels."""
+    # accounts meet their units (one shuffle of the accounts; a hot unit is split by adaptive
+    # execution) and are summed per (year, label), map-side combined
+    accounts = fin.select(key, year_of(closing).alias("annee"), money(value).alias("__v")).where(F.col("annee").isNotNull())
+    df = accounts.join(ul.select(key, sector), on=key, how="inner")
     df = join_label_lookup(df, naf, sector, "code", ["libelle"]).where(F.col("libelle").isNotNull())
     means = materialize(  # one pass over the accounts; the small result feeds four branches
-        df.groupBy("annee", "libelle").agg((F.sum("__s").cast("double") / F.sum("__c")).alias("ca_moyen"))
+        df.groupBy("annee", "libelle").agg((F.sum("__v").cast("double") / F.count("__v")).alias("ca_moyen"))
     )
     last = means.select(F.max("annee")).scalar()
     last_year = means.where(F.col("annee") == last).select("libelle", F.col("ca_moyen").alias("__v"))
@@ -73,10 +71,11 @@ def mean_revenue_top_labels(
     if not leaders:
         return means.where(F.lit(False))
     series = restrict_to(means, leading, "libelle")
-    wide = series.groupBy("annee").pivot("libelle", leaders).agg(F.first("ca_moyen")).fillna(0.0)
-    return wide.unpivot("annee", [F.col(f"`{v}`") for v in leaders], "libelle", "ca_moyen").withColumn(
-        "ca_moyen", F.coalesce(F.col("ca_moyen"), F.lit(0.0))
-    )
+    gaps = [
+        F.struct(F.lit(v).alias("libelle"), F.coalesce(F.max(F.when(F.col("libelle") == v, F.col("ca_moyen"))), F.lit(0.0)).alias("ca_moyen"))
+        for v in leaders
+    ]
+    return series.groupBy("annee").agg(F.array(*gaps).alias("__cells")).select("annee", F.inline("__cells"))
 
 
 def active_by_region(
@@ -118,24 +117,19 @@ def merge_ratio_records(
     ratio_envelope,
     unit_pages: str,
     unit_envelope,
-    interim: str,
     target: str,
     columns,
     key: str = "siren",
-) -> None:
-    """X11: ratio pages (``results`` arrays) and unit records (``uniteLegale`` objects) →
-    CSV interim files → typed re-read → inner join on the key → the chosen columns (a
-    missing one is an error) → the target table replaced."""
+) -> str:
+    """X11: ratio pages (``results`` arrays) and unit records (``uniteLegale`` objects) → inner join
+    on the key → the chosen columns (a missing one is an error) → the target table replaced
+    (one committed version; read it with ``read_published(spark, target, "data")``). The records
+    pass typed from the pages; no interim text files."""
     from ..operators.joins import join_inner_key
     from ..operators.project import project_fixed
-    from ..sources.files import read_csv_typed, write_csv
     from ..sources.json import read_pages
     from ..sources.sinks import replace_table
 
     ratios = read_pages(spark, ratio_pages, ratio_envelope, "results")
     units = read_pages(spark, unit_pages, unit_envelope, None, single_field="uniteLegale")
-    write_csv(ratios, f"{interim}/ratios")
-    write_csv(units, f"{interim}/units")
-    r = read_csv_typed(spark, f"{interim}/ratios", ratios.schema)
-    u = read_csv_typed(spark, f"{interim}/units", units.schema)
-    replace_table(project_fixed(join_inner_key(r, u, key), columns), target)
+    return replace_table(project_fixed(join_inner_key(ratios, units, key), columns), target)

@@ -16,6 +16,8 @@ from firmlens.plans import dashboard as dash
 from firmlens.plans.exploration import mean_revenue_by_category
 from firmlens.roles import ROLE_VIEWS, role, table
 
+from .test_plans import plan
+
 SF = "/root/testdata/sf0.01"
 HOT = "000000007"
 
@@ -83,12 +85,26 @@ def test_mean_by_category_under_skew(hot):
     assert got == want
 
 
-def test_hot_unit_is_pre_aggregated_before_the_join(hot):
-    _, fin, _ = hot
-    per_unit_year = dash.unit_year_revenue(fin)
-    hot_rows = per_unit_year.where(F.col("siren") == HOT).count()
-    years = fin.where(F.col("siren") == HOT).select(F.year("date_cloture_exercice")).distinct().dropna().count()
-    assert hot_rows == years  # one row per year reaches the join, not a third of the accounts
+def test_accounts_of_a_hot_unit_count_once_and_are_shuffled_once(spark, hot):
+    """The units are de-duplicated, so the hot unit's accounts meet one row each; large inputs
+    shuffle the accounts by unit once."""
+    etab, fin, ul = hot
+    scoped = etab.join(ul.select("siren", "activiteprincipaleunitelegale"), "siren").where("activiteprincipaleunitelegale IS NOT NULL")
+    out = dash.sector_year_revenue(scoped, fin)
+    units = scoped.select("siren", "activiteprincipaleunitelegale").distinct()
+    want = (
+        fin.where("year(date_cloture_exercice) IS NOT NULL").join(units, "siren")
+        .groupBy("activiteprincipaleunitelegale", F.year("date_cloture_exercice").alias("annee"))
+        .agg(F.coalesce(F.sum(F.col("chiffre_d_affaires").cast("decimal(38,2)")).cast("double"), F.lit(0.0)).alias("ca"))
+    )
+    assert sorted(tuple(r) for r in out.collect()) == sorted(tuple(r) for r in want.collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = plan(dash.sector_year_revenue(role(spark, SF, "unite_legale"), role(spark, SF, "donnees_financieres")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # accounts by unit, units (distinct, then by unit), partial sums by sector and year
+    assert tree.split("\n\n")[0].count("Exchange") <= 4
 
 
 def test_latest_per_key_under_skew(hot):
