@@ -4,7 +4,6 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +13,9 @@ from firmlens.session import run_dir
 __all__ = ["read", "stored", "binary_column", "arrow_map", "map_batches", "group_batches", "stream_groups", "vector_function", "annotate", "components"]
 
 
+SLICE_ROWS = 512
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -41,12 +43,13 @@ def _share_package_path(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply a batch function in Arrow batches, keeping the partitioning."""
+    """Apply a batch function in Arrow batches, keeping the partitioning; few rows at a time, so that a
+    worker holds Python objects of no more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield rows(batch)
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                yield rows(batch.slice(at, SLICE_ROWS))
 
     return map_batches(df, run, schema)
 
@@ -89,11 +92,13 @@ def stream_groups(df: DataFrame, keys: list[str], group: Callable[[pa.Table], pa
 
 
 def vector_function(spark: SparkSession, f: Callable, kind: str):
-    """A column function over a pandas series; only its argument goes to Python."""
+    """A column function from a numpy array to another; only its argument goes to Python."""
+    import pandas as pd  # here: the workers of the other operators do without its memory
+
     _share_package_path(spark)
 
     def run(v: pd.Series) -> pd.Series:
-        return f(v)
+        return pd.Series(f(v.to_numpy()))
 
     return F.pandas_udf(run, kind)
 

@@ -35,8 +35,8 @@ MISS = 1e-7  # a pair is dropped when P(similarity >= threshold | matches so far
 STARS = 1  # star rounds before the rest
 TASK_DOCS = 20_000  # documents per task where results are a small part of what is read
 BLOCK = 512  # members of a bucket compared in one block
-CHUNK = 1 << 20  # bytes hashed at once
-LONG_WORD = 4096  # longer words stand for themselves by digest
+CHUNK = 1 << 17  # bytes hashed at once
+LONG_WORD = 1024  # longer words stand for themselves by digest
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)

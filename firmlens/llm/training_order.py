@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,7 +127,7 @@ def write_training_order(
             .write.partitionBy("shard").parquet(path)
         return shards
     first = spark.createDataFrame(start, "file string, first long")
-    place = vector_function(spark, lambda i: pd.Series(permuted(i.to_numpy(), n, key)), "long")
+    place = vector_function(spark, lambda i: permuted(i, n, key), "long")
     pad = F.lit(np.uint16(pad_id).astype("<u2").tobytes())
     slots = (
         table.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
