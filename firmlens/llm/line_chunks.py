@@ -83,7 +83,7 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "d
     )
     joined = packed.join(removed, same(removed), "left").select(
         "doc", F.coalesce("removed", F.expr("cast(array() as array<struct<start:int,size:int>>)")).alias("removed"),
-        F.split(packed["text"], "\n", -1).alias("lines"),
+        F.split(F.col(f"doc.`{text}`").cast("string"), "\n", -1).alias("lines"),  # not the copy: it would be shuffled too
     )
     keep = "filter(lines, (l, i) -> not exists(removed, r -> i >= r.start and i < r.start + r.size))"
     return joined.select(
