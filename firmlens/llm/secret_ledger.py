@@ -14,10 +14,11 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firmlens.sources.sinks import table_exists
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -75,12 +76,9 @@ def rule_spans(text: str, rule: Rule) -> Column:
 def read_ledger(df: DataFrame, ledger: str) -> DataFrame:
     """The ledger table, empty where none has been written yet."""
     spark = df.sparkSession
-    try:
-        return spark.read.schema(LEDGER).parquet(ledger)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    if not table_exists(spark, ledger):
         return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(ledger)
 
 
 def scan_versions(versions: DataFrame, ledger: str, path: str = "path", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
