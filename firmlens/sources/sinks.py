@@ -25,6 +25,15 @@ PRUNE_VALUES = 1_000
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists; any failure other than its absence is raised."""
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # Spark Connect has no gateway: ask by resolving the folder
+        return _resolves(spark, path)
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(conf).exists(folder))
+
+
+def _resolves(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema("x int").parquet(path)
         return True
