@@ -3,7 +3,7 @@
 
 Each query's full result is computed and discarded through the ``noop`` sink (no collect
 to the driver), after one untimed warm-up run of the flagship query at the same scale.
-Every query runs ``BENCH_REPEAT`` times (default 3) and its best time is reported.
+Every query runs ``BENCH_REPEAT`` times (default 3) and its median time is reported.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -42,12 +43,12 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     times: dict[str, float] = {}
     for name in HEADLINE:
-        best = float("inf")
+        took = []
         for _ in range(repeat):
             t0 = time.perf_counter()
             qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            best = min(best, time.perf_counter() - t0)
-        times[name] = round(best, 3)
+            took.append(time.perf_counter() - t0)
+        times[name] = round(median(took), 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_queries_total",
