@@ -22,7 +22,7 @@ from .operators import filters as FL
 from .operators import joins as J
 from .operators import project as P
 from .operators.windows import latest_per_key as latest_row
-from .fixed import ADDRESS_PARTS, FIRST_RECENT_YEAR
+from .fixed import ADDRESS_PARTS, ESTABLISHMENT_COLUMNS, FIRST_RECENT_YEAR
 from .plans import dashboard as dash
 from .roles import ROLE_VIEWS, role, table
 from .session import run_dir
@@ -232,20 +232,11 @@ def geo_lambert93(spark, sf):
 
 
 # ---------------------------------------------------------------- projections
-ESTABLISHMENT_WANTED = (
-    "siret", "siren", "etatAdministratifEtablissement", "dateCreationEtablissement",
-    "trancheEffectifsEtablissement", "anneeEffectifsEtablissement", "complementAdresseEtablissement",
-    "numeroVoieEtablissement", "typeVoieEtablissement", "libelleVoieEtablissement",
-    "codePostalEtablissement", "libelleCommuneEtablissement", "coordonneeLambertAbscisseEtablissement",
-    "coordonneeLambertOrdonneeEtablissement",
-)
-
-
 @register("project_present", q.ctes("etablissements_raw") + "SELECT "
-          + ", ".join(f"{c} AS {c.lower()}" for c in ESTABLISHMENT_WANTED) + " FROM etablissements_raw")
+          + ", ".join(f"{c} AS {c.lower()}" for c in ESTABLISHMENT_COLUMNS) + " FROM etablissements_raw")
 def project_present(spark, sf):
     # one wanted column does not exist in the source: it is skipped
-    return P.project_present(role(spark, sf, "etablissements_raw"), [*ESTABLISHMENT_WANTED, "absentColumn"])
+    return P.project_present(role(spark, sf, "etablissements_raw"), [*ESTABLISHMENT_COLUMNS, "absentColumn"])
 
 
 _REINDEX = {

@@ -54,11 +54,15 @@ def filter_scope(
     sector_col: str,
     place: str | None,
     sector: str | None = None,
+    place_optional: bool = False,
 ) -> DataFrame:
     """F8: dashboard scope. No place → empty result (the dashboard shows nothing until a
-    place is chosen); a place alone → that place; place and sector → both."""
+    place is chosen); a place alone → that place; place and sector → both. With
+    ``place_optional`` (the dashboard's older form) no place means every place."""
     if place is None:
-        return df.where(F.lit(False))
+        if not place_optional:
+            return df.where(F.lit(False))
+        return df if sector is None else df.where(F.col(sector_col) == F.lit(sector))
     cond: Column = F.col(place_col) == F.lit(place)
     if sector is not None:
         cond = cond & (F.col(sector_col) == F.lit(sector))

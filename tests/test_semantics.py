@@ -118,6 +118,15 @@ def test_scope_without_place_is_empty(spark):
     df = spark.createDataFrame([("p", "s")], "place string, sector string")
     assert FL.filter_scope(df, "place", "sector", None).count() == 0
     assert FL.filter_scope(df, "place", "sector", "p", "s").count() == 1
+    assert FL.filter_scope(df, "place", "sector", None, place_optional=True).count() == 1
+    assert FL.filter_scope(df, "place", "sector", None, "other", place_optional=True).count() == 0
+
+
+def test_latest_per_key_is_deterministic_without_a_tiebreak(spark):
+    data = [("k", dt.date(2021, 1, 1), float(v), "x") for v in range(6)]
+    for n in (1, 4):
+        out = latest_per_key(spark.createDataFrame(data[::-1], "k string, d date, v double, s string").repartition(n), "k", "d")
+        assert [r.v for r in out.collect()] == [5.0]
 
 
 def test_append_rerun_adds_nothing(spark, tmp_table):
