@@ -60,7 +60,8 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "d
         "chunk rlike '[^ \\t\\r\\n\\f\\x0B]'"
     ).selectExpr("id", "mark", "start", "size", "xxhash64(chunk) AS hash")
     hashed = stored(hashed, "line_chunk_hashes")
-    repeated = hashed.groupBy("hash").count().where("count > 1").select("hash")
+    # stored: a join of two exchanges, so adaptive execution can split a hash that many documents share
+    repeated = stored(hashed.groupBy("hash").count().where("count > 1").select("hash"), "line_chunk_repeated")
     wanted = hashed.join(repeated, "hash").groupBy("id", "mark").agg(F.collect_set(F.struct("start", "size", "hash")).alias("wanted"))
     # bytes of the candidates
     same = lambda other: packed["id"].eqNullSafe(other["id"]) & (packed["mark"] == other["mark"])
