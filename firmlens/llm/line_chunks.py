@@ -75,6 +75,7 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "d
     )
     place = F.struct("id", "mark", "start")
     first = bytes_.groupBy("hash", "chunk").agg(F.min(place).alias("first"))
+    first = stored(first, "line_chunk_first", compression="zstd")  # as for the repeated hashes
     removed = (
         bytes_.join(first, ["hash", "chunk"])
         .where(~place.eqNullSafe(F.col("first")))
