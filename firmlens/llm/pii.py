@@ -3,8 +3,10 @@
 Base spans (e-mail, IP, card, phone) come from patterns with checks. For what else gives an
 entity away, the corpus is asked: with n(e, t) the documents that hold term t next to entity
 e (one normalised value), PMI(e; t) = log(n(e, t) N / (n(e) n(t))) is the information that t gives
-about e, of IC(e) = log(N / n(e)) that there is. Where PMI reaches a share ALPHA of IC, and the pair
-occurs in enough different texts, t next to e is a span too, and is generalised like it.
+about e, of IC(e) = log(N / n(e)) that there is. Where PMI reaches a share ALPHA of IC, t next to e
+is a span too, and is generalised like it. No pair is too rare: n(t) is counted as one document more,
+so that a rare term next to an entity seen once counts, while a common one, or any in a
+handful of documents, falls short.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from firmlens.llm.common import annotate, arrow_map, binary_column, stored
 KINDS = ("email", "ip", "card", "phone", "term")
 WINDOW = 64  # characters on either side of an entity in which terms count as next to it
 ALPHA = 0.8  # share of an entity's information that a term must give
-MIN_TEXTS = 3  # different texts that a pair must occur in
 BITS = 20  # of a term's checksum, in the filter sent to the tasks: 2^20 bits at most
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -122,16 +123,12 @@ def find_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
 
 
 def disclosing_terms(
-    spans: DataFrame, docs: DataFrame, text: str = "text", alpha: float = ALPHA, min_texts: int = MIN_TEXTS
+    spans: DataFrame, docs: DataFrame, text: str = "text", alpha: float = ALPHA
 ) -> DataFrame:
     """``entity, term`` pairs of ``spans`` (see ``find_spans``) whose term discloses the entity, by
-    counts over all ``docs``. Rows that repeat a text count as documents, but not as texts."""
-    pairs = spans.select("mark", F.explode(F.array_distinct(F.transform("near", lambda n: F.struct(n["entity"].alias("entity"), n["term"].alias("term"))))).alias("p"))
-    together = (
-        pairs.groupBy("p", "mark").agg(F.count("*").alias("n")).groupBy("p").agg(F.sum("n").alias("both"), F.count("*").alias("texts"))
-        .where(F.col("texts") >= min_texts).select("p.entity", "p.term", "both")
-    )
-    together = stored(together, "pii_pairs")
+    counts over all ``docs``. Rows that repeat a text count as documents."""
+    pairs = spans.select(F.explode(F.array_distinct(F.transform("near", lambda n: F.struct(n["entity"].alias("entity"), n["term"].alias("term"))))).alias("p"))
+    together = stored(pairs.groupBy("p").agg(F.count("*").alias("both")).select("p.entity", "p.term", "both"), "pii_pairs")
     # terms in question, as bits of their checksum: at most 2^BITS, whatever the corpus
     word = F.crc32(F.col("term").cast("binary")) % (1 << BITS)
     bits = together.select(word.alias("h")).groupBy(F.floor(F.col("h") / 32).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h % 32 as int))")).alias("bits"))
@@ -152,7 +149,7 @@ def disclosing_terms(
     names = F.array_distinct(F.transform("near", lambda n: n["entity"]))
     own = spans.select(F.explode(names).alias("entity")).groupBy("entity").agg(F.count("*").alias("docs_e"))
     total = F.lit(float(docs.count()))
-    ratio = F.log2(F.col("both") * total / (F.col("docs_e") * F.col("docs_t"))) / F.log2(total / F.col("docs_e"))
+    ratio = F.log2(F.col("both") * total / (F.col("docs_e") * (F.col("docs_t") + 1))) / F.log2(total / F.col("docs_e"))
     known = together.join(seen, "term").join(own, "entity").where(F.col("docs_e") < total)
     return known.where(ratio >= alpha).select("entity", "term")
 

@@ -89,6 +89,17 @@ def test_counts_by_hand(spark):
     assert got == expected and len(got) == 2
 
 
+def test_entities_seen_once_or_twice(spark):
+    rows = [(k, f"Please write to the office for report number {k}.") for k in range(60)]
+    rows += [(k, f"Please write to the office, office{k}@mail.example.org, for the report.") for k in range(60, 80)]
+    rows += [(100, "Please write to Zebedee Quillfeather, zq@mail.example.org, for the report.")]
+    rows += [(k, f"Report {k}: please write to Philomena, +1 (017) 555-7713, for the office.") for k in (101, 102)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    text, found = dict(rows), P.personal_data(docs).collect()
+    named = {r.id: {text[r.id][s.start : s.end] for s in r.added} for r in found if r.added}
+    assert named == {100: {"Zebedee", "Quillfeather"}, 101: {"Philomena"}, 102: {"Philomena"}}
+
+
 def test_edges(spark):
     docs = edge_docs(spark)
     found = P.personal_data(docs)
