@@ -1,12 +1,13 @@
 """Personal data: patterns, and terms that disclose them by what the corpus shows.
 
 Base spans (e-mail, IP, card, phone) come from patterns with checks. For what else gives an
-entity away, the corpus is asked: with n(e, t) the documents that hold term t next to entity
-e (one normalised value), PMI(e; t) = log(n(e, t) N / (n(e) n(t))) is the information that t gives
-about e, of IC(e) = log(N / n(e)) that there is. Where PMI reaches a share ALPHA of IC, t next to e
-is a span too, and is generalised like it. No pair is too rare: n(t) is counted as one document more,
-so that a rare term next to an entity seen once counts, while a common one, or any in a
-handful of documents, falls short.
+entity away, the corpus is asked about the terms that stand next to entity e (one normalised
+value) somewhere: with n(e, t) the documents that hold e and term t, PMI(e; t) =
+log(n(e, t) N / (n(e) n(t))) is the information that t gives about e, of IC(e) = log(N / n(e))
+that there is. Where PMI reaches a share ALPHA of IC, t is a span too, wherever it stands in a
+document that holds e, and is generalised like it. No pair is too rare: n(t) is counted as one
+document more, so that a rare term of an entity seen once counts, while a common one, or any in
+a handful of documents, falls short.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,9 @@ from pyspark.sql import functions as F
 from firmlens.llm.common import annotate, arrow_map, binary_column, stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
-WINDOW = 64  # characters on either side of an entity in which terms count as next to it
+WINDOW = 64  # characters on either side of an entity in which terms are candidates
 ALPHA = 0.8  # share of an entity's information that a term must give
-BITS = 20  # of a term's checksum, in the filter sent to the tasks: 2^20 bits at most
+BITS = 23  # of a checksum, in the filters sent to the tasks: 2^23 bits (1 MB) at most
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -100,12 +102,12 @@ def _near(edges: list[tuple[int, int]], low: int, high: int) -> list[tuple[int,
 def find_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``id, mark`` (a hash of the text), ``base`` and ``near`` for every row of ``docs``.
 
-    ``base``: array of (kind, start, end); ``near``: array of (entity, term, start, end).
+    ``base``: array of (kind, start, end); ``near``: distinct (entity, term) pairs of the words next to a span.
     """
     span = "struct<kind:string,start:bigint,end:bigint>"
-    close = "struct<entity:string,term:string,start:bigint,end:bigint>"
+    close = "struct<entity:string,term:string>"
     base_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())]))
 
     def compute(texts: list[bytes | None]) -> list[pa.Array]:
         base, near = [], []
@@ -113,53 +115,91 @@ def find_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
             t = (t or b"").decode("utf-8", "replace")
             found = base_spans(t)
             base.append([dict(zip(("kind", "start", "end"), s)) for s in found])
-            near.append([dict(zip(("entity", "term", "start", "end"), s)) for s in neighbours(t, found)] if found else [])
+            near.append([{"entity": e, "term": w} for e, w in {n[:2] for n in neighbours(t, found)}] if found else [])
         return [pa.array(base, base_type), pa.array(near, near_type)]
 
-    value = F.col(text).cast("string")
-    named = docs.select(F.col(id_col).alias("id"), F.xxhash64(value).alias("mark"), value.alias("text"))
-    made = annotate(named, "text", f"base array<{span}>, near array<{close}>", compute)
+    made = annotate(_named(docs, text, id_col), "text", f"base array<{span}>, near array<{close}>", compute)
     return made.select("doc.id", "doc.mark", "base", "near")
 
 
+def _named(docs: DataFrame, text: str, id_col: str) -> DataFrame:
+    value = F.col(text).cast("string")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(value).alias("mark"), value.alias("text"))
+
+
+def _bit(*parts: str) -> int:
+    return zlib.crc32("\0".join(parts).encode()) & ((1 << BITS) - 1)
+
+
+def _filter(df: DataFrame, *cols: str) -> bytes:
+    """The bits of the rows' checksums (see ``_bit``): at most 2^BITS, whatever the corpus."""
+    word = F.crc32(F.concat_ws("\0", *cols).cast("binary")) % (1 << BITS)
+    bits = df.select(word.alias("h")).groupBy(F.floor(F.col("h") / 32).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h % 32 as int))")).alias("bits"))
+    found, mask = bits.toArrow(), np.zeros(1 << (BITS - 5), dtype="<u4")
+    mask[found["at"].to_numpy()] = found["bits"].to_numpy()
+    return mask.tobytes()
+
+
+def _has(bits: bytes, at: int) -> int:
+    return bits[at >> 3] >> (at & 7) & 1
+
+
 def disclosing_terms(
     spans: DataFrame, docs: DataFrame, text: str = "text", alpha: float = ALPHA
 ) -> DataFrame:
-    """``entity, term`` pairs of ``spans`` (see ``find_spans``) whose term discloses the entity, by
-    counts over all ``docs``. Rows that repeat a text count as documents."""
-    pairs = spans.select(F.explode(F.array_distinct(F.transform("near", lambda n: F.struct(n["entity"].alias("entity"), n["term"].alias("term"))))).alias("p"))
-    together = stored(pairs.groupBy("p").agg(F.count("*").alias("both")).select("p.entity", "p.term", "both"), "pii_pairs")
-    # terms in question, as bits of their checksum: at most 2^BITS, whatever the corpus
-    word = F.crc32(F.col("term").cast("binary")) % (1 << BITS)
-    bits = together.select(word.alias("h")).groupBy(F.floor(F.col("h") / 32).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h % 32 as int))")).alias("bits"))
-    mask = np.zeros(1 << (BITS - 5), dtype=np.uint32)
-    for r in bits.collect():
-        mask[r.at] = r.bits
-    flags = np.unpackbits(mask.view(np.uint8), bitorder="little").tobytes()
+    """``entity, term`` pairs next to each other in ``spans`` (see ``find_spans``) whose term discloses the entity,
+    by counts over all ``docs``, whole texts. Rows that repeat a text count as documents."""
+    pairs = stored(spans.select(F.explode("near").alias("p")).distinct().select("p.*"), "pii_pairs")
+    terms, couples = _filter(pairs, "term"), _filter(pairs, "entity", "term")
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts: Counter[str] = Counter()
+        # (null, t), (e, null) and (e, t): documents that hold the term, the entity, both
+        counts: Counter[tuple[str | None, str | None]] = Counter()
         for t in binary_column(batch, "text"):
-            words = set(map(str.lower, _WORD.findall((t or b"").decode("utf-8", "replace"))))
-            counts.update([w for w in words if flags[zlib.crc32(w.encode()) & ((1 << BITS) - 1)]])
-        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
+            t = (t or b"").decode("utf-8", "replace")
+            words = [w for w in set(map(str.lower, _WORD.findall(t))) if _has(terms, _bit(w))]
+            counts.update([(None, w) for w in words])
+            for e in {entity(k, t[a:b]) for k, a, b in base_spans(t)}:
+                counts[e, None] += 1
+                counts.update([(e, w) for w in words if _has(couples, _bit(e, w))])
+        columns = [pa.array([k[i] for k in counts], pa.string()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(counts.values(), pa.int64())], names=["entity", "term", "n"])
 
     whole = docs.select(F.col(text).cast("string").alias("text"))
-    seen = arrow_map(whole, rows, "term string, n long").groupBy("term").agg(F.sum("n").alias("docs_t"))
-    names = F.array_distinct(F.transform("near", lambda n: n["entity"]))
-    own = spans.select(F.explode(names).alias("entity")).groupBy("entity").agg(F.count("*").alias("docs_e"))
+    counted = stored(arrow_map(whole, rows, "entity string, term string, n long").groupBy("entity", "term").agg(F.sum("n").alias("n")), "pii_counts")
+    seen = counted.where("entity IS NULL").select("term", F.col("n").alias("docs_t"))
+    own = counted.where("term IS NULL").select("entity", F.col("n").alias("docs_e"))
+    together = counted.where("entity IS NOT NULL AND term IS NOT NULL").withColumnRenamed("n", "both").join(pairs, ["entity", "term"])
     total = F.lit(float(docs.count()))
     ratio = F.log2(F.col("both") * total / (F.col("docs_e") * (F.col("docs_t") + 1))) / F.log2(total / F.col("docs_e"))
     known = together.join(seen, "term").join(own, "entity").where(F.col("docs_e") < total)
     return known.where(ratio >= alpha).select("entity", "term")
 
 
-def with_terms(spans: DataFrame, disclosing: DataFrame) -> DataFrame:
-    """``id, mark, base, added``: rows of ``spans`` with the spans of disclosing terms next to their
-    entities (kind ``term``, sorted). Rows with equal id and text get the same result."""
-    near = spans.where(F.size("near") > 0).select("id", "mark", F.explode("near").alias("n")).select("id", "mark", "n.*")
+def with_terms(spans: DataFrame, disclosing: DataFrame, docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``id, mark, base, added``: rows of ``spans`` with the spans of terms that disclose an entity of the same
+    text, wherever they stand outside all base spans (kind ``term``, sorted). Rows with equal id and text get the same result."""
+    disclosing = stored(disclosing, "pii_disclosing")
+    terms, couples = _filter(disclosing, "term"), _filter(disclosing, "entity", "term")
+    place_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+
+    def compute(texts: list[bytes | None]) -> list[pa.Array]:
+        out = []
+        for t in texts:
+            t = (t or b"").decode("utf-8", "replace")
+            found = base_spans(t)
+            names = {entity(k, t[a:b]) for k, a, b in found}
+            at: dict[str, list[tuple[int, int]]] = {}
+            for m in free_words(t, found) if names else ():
+                at.setdefault(m[0].lower(), []).append(m.span())
+            words = [w for w in at if _has(terms, _bit(w))]
+            out.append([{"entity": e, "term": w, "start": a, "end": b} for e in names for w in words if _has(couples, _bit(e, w)) for a, b in at[w]])
+        return [pa.array(out, place_type)]
+
+    places = annotate(_named(docs, text, id_col), "text", "places array<struct<entity:string,term:string,start:bigint,end:bigint>>", compute)
+    places = places.select("doc.id", "doc.mark", F.explode("places").alias("n")).select("id", "mark", "n.*")
     found = (
-        near.join(disclosing, ["entity", "term"])
+        places.join(disclosing, ["entity", "term"])
         .groupBy("id", "mark")
         .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
     )
@@ -168,6 +208,16 @@ def with_terms(spans: DataFrame, disclosing: DataFrame) -> DataFrame:
     return joined.select("s.id", "s.mark", "base", F.coalesce(span, F.expr("cast(array() as array<struct<kind:string,start:bigint,end:bigint>>)")).alias("added"))
 
 
+def free_words(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match]:
+    """The words of a text that overlap no span, in order."""
+    edges, k, last = sorted((s, e) for _, s, e in spans), 0, 0
+    for m in _WORD.finditer(text):
+        while k < len(edges) and edges[k][0] < m.end():
+            last, k = max(last, edges[k][1]), k + 1
+        if last <= m.start():
+            yield m
+
+
 def personal_data(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``id, mark, base, added`` for every row: base spans and those of disclosing terms.
 
@@ -175,7 +225,7 @@ def personal_data(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -
     spans at all. Ties and repeated rows: equal rows get equal results. No rows: none.
     """
     spans = stored(find_spans(docs, text, id_col), "pii_spans")
-    return with_terms(spans, disclosing_terms(spans, docs, text))
+    return with_terms(spans, disclosing_terms(spans, docs, text), docs, text, id_col)
 
 
 def sanitised(docs: DataFrame, found: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -100,6 +100,19 @@ def test_entities_seen_once_or_twice(spark):
     assert named == {100: {"Zebedee", "Quillfeather"}, 101: {"Philomena"}, 102: {"Philomena"}}
 
 
+def test_terms_far_from_their_entity(spark):
+    far = " ".join(["please write to the office for the report"] * 20)
+    rows = [(k, f"Please write to the office for report number {k}.") for k in range(60)]
+    rows += [(100, f"Quillfeather: {far}, Quillfeather, zq@mail.example.org, {far}, signed QUILLFEATHER")]
+    rows += [(101, f"Write to zq@mail.example.org, {far}, says Quillfeather")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found, clean = P.personal_data(docs), {}
+    for r in P.sanitised(docs, found).select("doc.doc_id", "clean").collect():
+        clean[r.doc_id] = r.clean
+    assert clean[100] == f"[term]: {far}, [term], [email], {far}, signed [term]"
+    assert clean[101] == f"Write to [email], {far}, says [term]" and clean[0] == rows[0][1]
+
+
 def test_edges(spark):
     docs = edge_docs(spark)
     found = P.personal_data(docs)
