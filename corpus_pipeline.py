@@ -6,7 +6,7 @@ them); the last returns one row of token digests per remaining document.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlens.llm.common import read, stored
@@ -35,9 +35,33 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near duplicates."""
+    """One document, the one with the smallest id, of each group of near duplicates.
+
+    Of rows that repeat a doc_id with the same words, one stays; of rows without an id that hold the same
+    words one, or none if a row with an id holds them. Rows without id and words all stay.
+    """
     gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").alias("own"), _mark(docs["text"]).alias("mark"))
+    marked = marked.withColumn("mark", F.when(F.col("own").isNotNull() | (F.length("mark") > 16), F.substring("mark", 1, 16)))
+    # hashes of rows that occur more than once: mostly few, so that no text is shuffled
+    each = marked.where("mark IS NOT NULL").groupBy("own", "mark").count()
+    repeated = stored(
+        each.groupBy("mark").agg(F.max("count").alias("most"), F.expr("bool_or(own IS NULL)").alias("loose"), F.expr("bool_or(own IS NOT NULL)").alias("named"))
+        .where("most > 1 OR (loose AND named)").select("mark", "named"),
+        "near_dedup_repeated",
+    )
+    rows = marked.join(gone.withColumnRenamed("doc_id", "own"), "own", "left_anti")
+    single = rows.join(repeated, "mark", "left_anti").select("doc")
+    one = rows.join(repeated, "mark").where("own IS NOT NULL OR NOT named").groupBy("own", "mark").agg(F.min("doc").alias("doc")).select("doc")
+    return single.unionByName(one).select("doc.*")
+
+
+def _mark(text: Column) -> Column:
+    """A hash of the text's words (16 bytes and one more), or of a text without words (16 bytes)."""
+    lower = F.translate(text.cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.trim(F.regexp_replace(lower, r"[ \t\r\n\f\x0B]+", " "))
+    empty = F.concat(F.when(text.isNull(), "null").otherwise("text"), F.coalesce(text.cast("string"), F.lit("")))
+    return F.when(words != "", F.concat(F.unhex(F.md5(words.cast("binary"))), F.unhex(F.lit("01")))).otherwise(F.unhex(F.md5(empty.cast("binary"))))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

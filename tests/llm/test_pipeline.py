@@ -49,3 +49,13 @@ def test_edges(spark):
         for name, stage in C.STAGES:
             rows = stored(stage(spark, rows, SMALL), f"test_{name}")
             assert name == "bpe" or rows.columns == docs.columns
+
+
+def test_near_dedup_of_repeated_and_null_ids(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(1, a), (1, a), (1, a.upper()), (None, a), (None, b), (None, b + " "), (None, b), (2, c), (3, c), (None, c), (4, ""), (4, ""), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(4)
+    got = C.near_dedup(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id or 0, (r.text or "").lower().strip()) for r in got.collect()))
+    assert kept == [(0, ""), (0, ""), (0, b), (1, a), (2, c), (4, "")]
