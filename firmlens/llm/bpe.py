@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from firmlens.llm.common import annotate
 
 LEAF = 1024  # bytes of unsplit text encoded at once
-LONG = 4096  # characters without (or of) white space from which a text is looked at for unsplit pieces
+LONG = LEAF // 4  # characters without (or of) white space that a longer piece has at least
 THREADS = 2
 
 # Fixed value: the split pattern of byte-level tokenizers with ``use_regex``
@@ -37,6 +37,11 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+@lru_cache(4)
+def _long_run(least: int) -> regex.Pattern:
+    return regex.compile(rf"(?<!\S)\S{{{least},}}+|(?<!\s)\s{{{least},}}+")
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file (BPE model, byte-level splitting)."""
 
@@ -64,10 +69,7 @@ class Codec:
         return out
 
     def _plain(self, text: str) -> list[int]:
-        if len(text) < LONG:
-            return self.bpe.encode_ordinary(text)
-        words = text.split()
-        if max(map(len, words), default=0) < LONG and len(text) - sum(map(len, words)) - len(words) < LONG:
+        if len(text) < LONG or not _long_run(LONG).search(text):
             return self.bpe.encode_ordinary(text)
         out: list[int] = []
         for piece in self.split.findall(text):

@@ -59,3 +59,17 @@ def test_edges_and_long_unsplit_text(spark):
         want = LIBRARY.encode(row.text or "", add_special_tokens=False).ids
         assert np.frombuffer(row.ids, dtype="<u4").tolist() == want and row.n_tokens == len(want) and row.decoded == (row.text or "")
     assert B.encode_texts(docs.limit(0), PATH).count() == 0
+
+
+def test_every_piece_longer_than_a_leaf_is_a_tree(monkeypatch):
+    c, seen = B.codec(B.tokenizer_path()), []
+    whole = B.Codec.encode_unsplit
+    monkeypatch.setattr(B.Codec, "encode_unsplit", lambda self, data: seen.append(len(data)) or whole(self, data))
+    for piece in ("a" * 1025, "\U0001f642" * 257, "1" * 4095, "\n" * 1026, "!" * 2000):
+        seen.clear()
+        text = f"some words {piece} and more"
+        assert c.encode(text) == c.bpe.encode_ordinary(text)
+        assert len(seen) == 1 and seen[0] > B.LEAF, (piece[:3], seen)
+    seen.clear()
+    c.encode("some words " + "a" * 1000 + " and more")
+    assert not seen
