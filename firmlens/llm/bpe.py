@@ -42,6 +42,16 @@ def _long_run(least: int) -> regex.Pattern:
     return regex.compile(rf"(?<!\S)\S{{{least},}}+|(?<!\s)\s{{{least},}}+")
 
 
+def _may_run(text: str) -> bool:
+    """Whether a run of ``LONG`` characters with, or without, white space is possible: a cheap test by the
+    lengths of the words. False only if there is none."""
+    if len(text) < LONG:
+        return False
+    sizes = list(map(len, text.split()))
+    # separators that ``split`` takes for white space, but the pattern doesn't, could hide a run
+    return max(sizes, default=0) >= LONG or len(text) - sum(sizes) - len(sizes) + 2 >= LONG or any(c in text for c in "\x1c\x1d\x1e\x1f")
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file (BPE model, byte-level splitting)."""
 
@@ -69,7 +79,7 @@ class Codec:
         return out
 
     def _plain(self, text: str) -> list[int]:
-        if len(text) < LONG or not _long_run(LONG).search(text):
+        if not _may_run(text) or not _long_run(LONG).search(text):
             return self.bpe.encode_ordinary(text)
         out: list[int] = []
         for piece in self.split.findall(text):

@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlens.llm.bpe import codec, decode_ids, encode_texts, tokenizer_path
+from firmlens.llm.collocations import mine_collocations
 from firmlens.llm.common import read
 from firmlens.llm.decontaminate import mark_contamination
 from firmlens.llm.language_id import held_out, identify, learn_profiles
+from firmlens.llm.lexical_search import rank_documents
+from firmlens.llm.license_scan import scan_licenses
 from firmlens.llm.line_chunks import remove_repeated_chunks
 from firmlens.llm.near_dup import near_duplicates
 from firmlens.llm.pii import personal_data
@@ -259,6 +262,76 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=50)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+OP11_SQL = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS d, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), corpus AS (SELECT count(*) AS nn, CAST(sum(len(w)) AS BIGINT) AS ll FROM docs WHERE len(w) > 0),
+counts AS MATERIALIZED (SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(w) AS t FROM docs) GROUP BY d, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM counts, corpus GROUP BY t
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t FROM benchmark WHERE item_id IS NOT NULL
+), sizes AS (SELECT d, doc_id, 100 - 50 + ((50 * CAST(len(w) AS BIGINT) * nn) // ll) AS m FROM docs, corpus WHERE len(w) > 0),
+scored AS (
+  SELECT item_id, d, any_value(doc_id) AS doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM wanted JOIN counts USING (t) JOIN weights USING (t) JOIN sizes USING (d) GROUP BY item_id, d
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50
+"""
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(read(spark, sf_dir, "documents"), k=2000).drop("cut")
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL)
+), sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+counts AS MATERIALIZED (
+  SELECT lang, m, g, count(*) AS f FROM (
+    SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS g
+    FROM pieces, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m) GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, m, g, f, string_split(g, ' ') AS w, unnest(range(1, m)) AS k FROM counts WHERE m > 1
+), scored AS (
+  SELECT c.lang, c.m, c.g, c.f AS a, k, x.f AS l, y.f AS r, n, CAST((1000 * CAST(c.f AS HUGEINT) * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.g = array_to_string(w[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.g = array_to_string(w[k + 1:], ' ') JOIN sizes s ON s.lang = c.lang
+), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT DISTINCT lang, part, f FROM (SELECT lang, f, unnest([array_to_string(w[1:m - 1], ' '), array_to_string(w[2:], ' ')]) AS part
+    FROM (SELECT *, string_split(g, ' ') AS w FROM counts WHERE m > 2))
+), kept AS (SELECT * FROM lowest b WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = b.lang AND i.part = b.g AND i.f >= b.a))
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM kept) WHERE rank <= 2000
+"""
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    base, own = F.transform("places", lambda p: p["label"]), F.transform("spans", lambda s: s["label"])
+    return found.select(
+        "doc.doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(F.transform("places", lambda p: p["start"])).alias("first_word"),
+        F.array_max(F.transform("places", lambda p: p["start"])).alias("last_word"), joined(base).alias("base_labels"), joined(F.concat(base, own)).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -270,6 +343,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_training_order": op9_training_order,
     "op10_bpe": op10_bpe,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_license_scan": op13_license_scan,
 }
 
 ORACLE: dict[str, str] = {
@@ -279,4 +355,6 @@ ORACLE: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
     "op7_secret_scan": OP7_SQL,
     "op8_minhash_near_dedup": OP8_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op12_phrase_collocations": OP12_SQL,
 }

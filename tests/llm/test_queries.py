@@ -32,6 +32,6 @@ def test_query_equals_sql(spark, duck, key):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontaminate", "bpe"]
