@@ -26,10 +26,10 @@ from ..operators.filters import (
 )
 from ..operators.joins import semi_join_keys
 from ..operators.project import project_present
+from ..session import materialize
 from ..sources.sinks import append_new
 
 
-
 def _status(df: DataFrame, lower: str) -> str:
     return next(c for c in df.columns if c.lower() == lower)
 
@@ -85,17 +85,16 @@ def run_clean_pipeline(
 ) -> dict[str, int]:
     """X1 → keys (A1) → X2, X3 → keyed appends of the three clean tables.
 
-    The clean establishments are written first and re-read from the written table, so the
-    keys, the two dependent tables and the counts all come from one materialisation; the
-    job can be rerun after any failure without duplicating rows. Returns rows appended.
+    The clean establishments are computed once and stored; the table, the keys and so the two dependent tables come
+    from them: a run loads the units and accounts of its own establishments, whatever the tables held before. A rerun after any
+    failure adds nothing twice. Establishments and units are found again by a key index, accounts by closing year, so a run
+    opens the files that may hold its keys. Returns rows appended.
     """
-    spark = raw_etab.sparkSession
-    etab = clean_establishments(raw_etab, places)
-    counts = {"etablissements": append_new(etab, f"{target_root}/etablissements", ["siret"])["rows"]}
-    written = spark.read.parquet(f"{target_root}/etablissements")
-    keys = distinct_keys(written, "siren")
+    etab = materialize(clean_establishments(raw_etab, places), "clean_establishments")
+    counts = {"etablissements": append_new(etab, f"{target_root}/etablissements", ["siret"], key_index=True)["rows"]}
+    keys = distinct_keys(etab, "siren")
     counts["unite_legale"] = append_new(
-        clean_legal_units(raw_ul, keys), f"{target_root}/unite_legale", ["siren"])["rows"]
+        clean_legal_units(raw_ul, keys), f"{target_root}/unite_legale", ["siren"], key_index=True)["rows"]
     counts["donnees_financieres"] = _append_accounts(clean_financials(raw_fin, keys), f"{target_root}/donnees_financieres")
     return counts
 
@@ -128,9 +127,9 @@ def monthly_staging(
 ) -> dict[str, int]:
     """Extract (active units and establishments, all accounts) → staging → clean
     (establishments: postal code present and at most 5 long, both coordinates present;
-    accounts: revenue ≥ 0; legal units unchanged) → staging → keyed append to the targets.
-    Staging is Parquet with the staged types, in a shared folder: texts pass unchanged."""
-    spark = raw_etab.sparkSession
+    accounts: revenue ≥ 0; legal units unchanged) → keyed append to the targets.
+    Staging is Parquet with the staged types, in a shared folder: texts pass unchanged. The cleaned rows are staged
+    by the append itself, which keeps its batch."""
     extract = {
         "unite_legale": project_present(filter_active(raw_ul, _status(raw_ul, "etatadministratifunitelegale")),
                                         LEGAL_UNIT_COLUMNS, lower=False),
@@ -145,12 +144,10 @@ def monthly_staging(
     etab = filter_postal(staged["etablissements"], "codePostalEtablissement")
     etab = drop_null_subset(etab, ["coordonneeLambertAbscisseEtablissement", "coordonneeLambertOrdonneeEtablissement"])
     fin = filter_non_negative(staged["donnees_financieres"], "chiffre_d_affaires")
-    clean = {"unite_legale": staged["unite_legale"], "etablissements": etab, "donnees_financieres": fin}
-    ready = {n: _stage(df, f"{staging_root}/clean/{n}", schemas[n]) for n, df in clean.items()}
     return {
-        "unite_legale": append_new(ready["unite_legale"], f"{target_root}/unite_legale", ["siren"])["rows"],
-        "etablissements": append_new(ready["etablissements"], f"{target_root}/etablissements", ["siret"])["rows"],
-        "donnees_financieres": _append_accounts(ready["donnees_financieres"], f"{target_root}/donnees_financieres"),
+        "unite_legale": append_new(staged["unite_legale"], f"{target_root}/unite_legale", ["siren"], key_index=True)["rows"],
+        "etablissements": append_new(etab, f"{target_root}/etablissements", ["siret"], key_index=True)["rows"],
+        "donnees_financieres": _append_accounts(fin, f"{target_root}/donnees_financieres"),
     }
 
 

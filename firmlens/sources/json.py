@@ -9,11 +9,16 @@ a directory scan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import materialize
+from .sinks import append_new, read_table
+
 # Lossless timestamp text in landed JSON (the writer's default keeps milliseconds only).
 TIMESTAMP_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -21,29 +26,72 @@ TIMESTAMP_OPTIONS = {
 }
 
 
-_BAD = "__malformed"
+QUARANTINE_SCHEMA = "hash string, document string, parsed string, read_at timestamp"
 
 
-def _envelopes(spark: SparkSession, path: str, schema: StructType | str | None, multi_line: bool, quarantine: str | None) -> DataFrame:
-    """JSON documents by schema. A malformed one fails the read, or, with ``quarantine``, is
-    written there as text (``document``), with what could be parsed of it (``parsed``), and left out."""
-    reader = spark.read.options(**TIMESTAMP_OPTIONS).option("multiLine", multi_line)
-    if quarantine is None:
-        return (reader.schema(schema) if schema is not None else reader).option("mode", "FAILFAST").json(path)
+@dataclass(frozen=True)
+class Pages:
+    """Documents read: the well-formed ones by their schema, and how many were not (a document that was
+    landed several times counts once)."""
+
+    envelopes: DataFrame
+    rejected: int = 0
+
+    def records(self, records_field: str | None, single_field: str | None = None) -> DataFrame:
+        """One row per record of the arrays and of the single objects."""
+        env, parts = self.envelopes, []
+        if records_field:
+            parts.append(env.select(F.explode(F.col(records_field)).alias("__r")).select("__r.*"))
+        if single_field:
+            parts.append(env.where(F.col(single_field).isNotNull()).select(f"{single_field}.*"))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def parse_documents(lines: DataFrame, schema: StructType | str, quarantine: str | None = None, text: str = "value") -> Pages:
+    """JSON documents, one per row of ``lines``, by the whole of a declared schema.
+
+    A document is malformed if it isn't JSON, isn't an object, or any field declared doesn't hold what it
+    is declared as, whether the caller uses that field or not. Without ``quarantine`` it fails the read. With it,
+    every document is parsed once and stored with its verdict; the malformed ones go to the quarantine, keyed by
+    their hash, and nothing of them is in the result. Blank documents are skipped.
+    """
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    if declared is None:
-        raise ValueError("a quarantine needs a declared schema")
-    full = StructType([*declared.fields]).add(_BAD, "string")
-    docs = reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).json(path)
-    docs.where(F.col(_BAD).isNotNull()).select(
-        F.col(_BAD).alias("document"), F.to_json(F.struct(*declared.fieldNames())).alias("parsed"), F.current_timestamp().alias("read_at")
-    ).write.mode("append").parquet(quarantine)
-    return docs.where(F.col(_BAD).isNull()).drop(_BAD)
+    body = F.col(text)
+    lines = lines.where(F.length(F.trim(F.regexp_replace(body, r"[\s\uFEFF]+", " "))) > 0)
+    # options keep the optimizer from cutting the schema down to the fields in use, which would hide faults in others
+    if quarantine is None:
+        parsed = lines.select(F.from_json(body, declared, {**TIMESTAMP_OPTIONS, "mode": "FAILFAST"}).alias("__p"))
+        return Pages(parsed.select("__p.*"))
+    marked = StructType([*declared.fields]).add(_BAD, "string")
+    options = {**TIMESTAMP_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    parsed = lines.select(body.alias("__d"), F.from_json(body, marked, options).alias("__p"))
+    bad = F.col("__p").isNull() | F.col(f"__p.{_BAD}").isNotNull()
+    read = materialize(parsed.select(F.when(bad, F.col("__d")).alias("__d"), "__p", bad.alias("__bad")), "pages")
+    lost = read.where("__bad").select(
+        F.sha2("__d", 256).alias("hash"), F.col("__d").alias("document"),
+        F.to_json(F.struct(*[F.col(f"__p.`{c}`").alias(c) for c in declared.fieldNames()])).alias("parsed"),
+    ).dropDuplicates(["hash"])
+    rejected = lost.count()
+    if rejected:
+        append_new(lost.withColumn("read_at", F.current_timestamp()), quarantine, ["hash"])
+    good = read.where("NOT __bad").select([F.col(f"__p.`{c}`").alias(c) for c in declared.fieldNames()])
+    return Pages(good, rejected)
+
+
+_BAD = "__malformed"
+
+
+def parse_pages(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False, quarantine: str | None = None
+) -> Pages:
+    """The JSON documents of a folder: one per line (files are split among tasks), or one per file."""
+    return parse_documents(spark.read.text(path, wholetext=multi_line), schema, quarantine)
 
 
 def quarantined(spark: SparkSession, quarantine: str) -> DataFrame:
-    """The malformed documents set aside under ``quarantine``: ``document``, ``parsed``, ``read_at``."""
-    return spark.read.schema("document string, parsed string, read_at timestamp").parquet(quarantine)
+    """The malformed documents set aside under ``quarantine``, each once however often it was read: ``hash``,
+    ``document``, ``parsed`` (what could be parsed), ``read_at`` (first). None yet: no rows."""
+    return read_table(spark, quarantine, QUARANTINE_SCHEMA)
 
 
 def read_pages(
@@ -60,19 +108,10 @@ def read_pages(
     ``records_field`` names the array of records (``{"total": n, "etablissements": [...]}``);
     an envelope without it contributes no rows. ``single_field`` names a single-object form
     (``{"uniteLegale": {...}}``); both forms may be mixed in one folder. A malformed envelope
-    fails the read; with ``quarantine`` (a folder) it is set aside there instead, see
-    ``quarantined``, and the others are read.
+    fails the read; with ``quarantine`` (a folder) it is set aside there instead, none of its records is
+    loaded, and the others are read (``parse_documents``).
     """
-    env = _envelopes(spark, path, schema, multi_line, quarantine)
-    parts: list[DataFrame] = []
-    if records_field:
-        parts.append(env.select(F.explode(F.col(records_field)).alias("__r")).select("__r.*"))
-    if single_field:
-        parts.append(env.where(F.col(single_field).isNotNull()).select(f"{single_field}.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return parse_pages(spark, path, schema, multi_line, quarantine).records(records_field, single_field)
 
 
 def write_pages(
@@ -113,7 +152,10 @@ def read_geojson(
     A pretty-printed document (``multi_line=True``) is parsed whole by one task per file, so
     large feature sets should be landed as several files, or one collection per line
     (``multi_line=False``), which Spark splits like any line-delimited input."""
-    coll = _envelopes(spark, path, schema, multi_line, quarantine)
+    if schema is None:
+        coll = spark.read.options(**TIMESTAMP_OPTIONS, mode="FAILFAST").option("multiLine", multi_line).json(path)
+    else:
+        coll = parse_pages(spark, path, schema, multi_line, quarantine).envelopes
     feats = coll.select(F.explode("features").alias("__f"))
     return feats.select("__f.properties.*", F.col("__f.type").alias("feature_type"), F.col("__f.geometry"))
 

@@ -8,49 +8,26 @@ Spark's job committer, so a lost executor or a retried task never leaves partial
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..session import materialize
+from . import key_index as index
+from .tables import read_table, table_exists
+from .versions import latest_version, publish_together, read_published
+
+__all__ = [
+    "append_new", "latest_version", "not_stored", "one_per_key", "publish_together", "read_published", "read_table", "replace_table",
+    "save_bucketed", "table_exists", "write_counted",
+]
 
 # Partition values of a batch that are brought to the driver to prune the target's scan.
 PRUNE_VALUES = 1_000
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder exists; any failure other than its absence is raised."""
-    try:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # Spark Connect has no gateway: ask by resolving the folder
-        return _resolves(spark, path)
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(folder.getFileSystem(conf).exists(folder))
-
-
-def _resolves(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("x int").parquet(path)
-        return True
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return False
-
-
-def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
-    """A table by its declared schema. A folder that is missing, empty, or holds only the rest
-    of a write that died is a table without rows."""
-    if not table_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).format(fmt).load(path)
-
-
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key (null parts match): the greatest by the other columns in order, so that a
     retried task chooses alike. Partially aggregated: a hot key costs one row per partition."""
@@ -94,6 +71,7 @@ def append_new(
     fmt: str = "parquet",
     partition_col: str | None = None,
     metrics: Mapping[str, Column] | None = None,
+    key_index: bool = False,
 ) -> dict[str, object]:
     """K2 (+K5): append the rows whose key is not in the table yet (one row per key per
     batch, chosen by ``one_per_key``); returns ``{"rows": rows appended, **metrics}``, the metrics over
@@ -105,23 +83,40 @@ def append_new(
     with ``partition_col`` the table is partitioned by it and only the partitions that the
     batch touches are read. ``partition_col`` must follow from the key: a key then always
     lands in one partition.
+
+    With ``key_index`` the table is not partitioned: it has a side table of key ranges per file
+    (``key_index``), and only files that may hold the batch's keys are opened; the result also has ``files_read``
+    and ``files`` (before the append). A table that was written without it is entered by its first such append.
     """
+    if key_index and partition_col is not None:
+        raise ValueError("a table has a key index or a partition column")
     spark, keys = df.sparkSession, list(keys)
     batch = materialize(one_per_key(df, keys), "append_batch")
-    existing = read_table(spark, path, batch.schema, fmt)
-    if partition_col is not None:
-        existing = _pruned(existing, batch, partition_col)
-    seen = batch.agg(F.lit(0).alias("__none"), *[c.alias(n) for n, c in (metrics or {}).items()]).first().asDict()
+    out: dict[str, object] = {}
+    if metrics:
+        out = batch.agg(*[c.alias(n) for n, c in metrics.items()]).first().asDict()
+    if key_index:
+        existing, out["files_read"], out["files"] = index.may_hold(batch, path, keys, fmt)
+        known = out["files_read"] > 0
+    else:
+        known = table_exists(spark, path)
+        existing = read_table(spark, path, batch.schema, fmt) if known else None
+        if known and partition_col is not None:
+            existing = _pruned(existing, batch, partition_col)
     obs = Observation(f"append_{uuid.uuid4().hex[:12]}")
-    new = not_stored(batch, existing, keys)
+    new = not_stored(batch, existing, keys) if known else batch
     if partition_col is not None:
         new = new.hint("rebalance", F.col(partition_col))  # few files per partition; adaptive execution splits large ones
-    new = new.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = new.write.mode("append").format(fmt)
+    elif key_index:
+        new = index.clustered(new, keys)
+    # counted last: what is sampled or found to be empty below would count wrongly
+    writer = new.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").format(fmt)
     if partition_col is not None:
         writer = writer.partitionBy(partition_col)
     writer.save(path)
-    return {n: seen[n] for n in metrics or {}} | {"rows": dict(obs.get)["rows"]}
+    if key_index:
+        index.enter_files(spark, path, batch.schema, keys, fmt)
+    return out | {"rows": dict(obs.get)["rows"]}
 
 
 def save_bucketed(
@@ -142,61 +137,10 @@ def save_bucketed(
 
 
 def replace_table(df: DataFrame, root: str) -> str:
-    """K3: replace a table's content: a new version is written, then committed; until then, and
-    after a failure, readers (``read_published(spark, root, "data")``) see the old content."""
-    return publish_together({"data": df}, root)
-
-
-def publish_together(
-    frames: Mapping[str, DataFrame],
-    root: str,
-    columns: Mapping[str, Sequence[str]] | None = None,
-) -> str:
-    """K4: write several tables as one version and commit them together.
-
-    Each table is written (with an explicit column order) under ``root/<name>/version=<v>``;
-    only when all are written is the version appended to ``root/_commits``. Readers follow
-    the commits (``read_published``), so they see all new tables or none.
-    """
-    spark = next(iter(frames.values())).sparkSession
-    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    for name, df in frames.items():
-        cols = (columns or {}).get(name)
-        (df.select(*cols) if cols else df).write.mode("errorifexists").parquet(f"{root}/{name}/version={version}")
-    commit = spark.createDataFrame([(version,)], "version string").withColumn("committed_at", F.current_timestamp())
-    commit.coalesce(1).write.mode("append").parquet(f"{root}/_commits")
-    return version
-
-
-def _commits(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, f"{root}/_commits", StructType().add("version", "string"))
-
-
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """The last committed version (one value read from the small commit log)."""
-    row = _commits(spark, root).agg(F.max("version").alias("v")).first()
-    return row["v"] if row else None
-
-
-def read_published(
-    spark: SparkSession, root: str, name: str, all_versions: bool = False, schema: StructType | None = None
-) -> DataFrame:
-    """The table as of the latest commit; with ``all_versions`` the union of every committed
-    version (append semantics: each version holds one batch). Uncommitted versions — a
-    run that died before its commit — are never read. With ``schema``, nothing committed yet is
-    a table without rows."""
-    path = f"{root}/{name}"
-    version = latest_version(spark, root)
-    if version is None:
-        if schema is None:
-            raise FileNotFoundError(f"nothing committed under {root}")
-        return spark.createDataFrame([], schema)
-    if not all_versions:
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(f"{path}/version={version}")
-    reader = spark.read if schema is None else spark.read.schema(StructType([*schema.fields]).add("version", "string"))
-    # a semi join on the partition column: uncommitted folders are pruned, no list of versions is kept
-    return reader.parquet(path).join(_commits(spark, root).distinct(), "version", "left_semi").drop("version")
+    """K3: replace a table's content: a new version is written, then committed in place of the old one; until then, and
+    after a failure, readers (``read_published(spark, root, "data")``) see the old content, which ``versions.expire``
+    deletes in the end."""
+    return publish_together({"data": df}, root, replace=True).version
 
 
 def write_counted(df: DataFrame, write: Callable[[DataFrame], None], name: str = "rows_written") -> int:

@@ -25,8 +25,12 @@ from ..operators.filters import filter_active, incremental_filter
 from ..operators.joins import semi_join_keys
 from ..operators.project import json_flatten, project_reindex
 from ..session import materialize
-from ..sources.json import TIMESTAMP_OPTIONS, quarantined, read_pages
+from ..sources.json import parse_documents, parse_pages, quarantined
 from ..sources.sinks import append_new, not_stored, one_per_key, publish_together, read_published, read_table, table_exists
+from ..sources.versions import lay_out, maintain
+
+BUCKETS = 16  # of the daily tables; for a large history, its size / 256 MB
+COMPACT_AFTER = 32  # versions of a table, one per day
 
 
 def read_mark(spark: SparkSession, state: str, default: object, dtype: DataType) -> Column:
@@ -41,10 +45,17 @@ def _commit_mark(spark: SparkSession, state: str, value: object, dtype: DataType
     row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(state)
 
 
-def _capped(mark_col: str, limit: object | None) -> Column:
-    """Aggregate: the largest mark value that is not after ``limit``."""
+#: As ``limit``: the mark follows even values dated in the future, and rows before them are never selected again.
+UNLIMITED = object()
+
+
+def _capped(mark_col: str, limit: object | None, dtype: DataType) -> Column:
+    """Aggregate: the largest mark value that is not after ``limit`` (None: now, for marks that are times)."""
     value = F.col(mark_col)
-    return F.max(value if limit is None else F.when(value <= F.lit(limit), value))
+    now = {"date": F.current_date, "timestamp": F.current_timestamp, "timestamp_ntz": F.localtimestamp}.get(dtype.simpleString())
+    if limit is UNLIMITED or limit is None and now is None:
+        return F.max(value)
+    return F.max(F.when(value <= (now() if limit is None else F.lit(limit)), value))
 
 
 def incremental_batch(
@@ -61,8 +72,8 @@ def incremental_batch(
     overlap: dt.timedelta | None = None,
 ) -> int:
     """One incremental run; returns the number of rows appended. The new mark is the
-    latest mark value among the selected rows, ``limit`` (the run's date) at most; rows that arrive
-    up to ``overlap`` late are still selected.
+    latest mark value among the selected rows, ``limit`` (the run's date; by default now, if marks
+    are times) at most, unless that is ``UNLIMITED``; rows that arrive up to ``overlap`` late are still selected.
 
     ``partition=(name, expr)`` stores the target partitioned by ``expr`` (e.g. the day of
     the mark column; it must be a function of the key's row so a key always lands in the
@@ -78,7 +89,7 @@ def incremental_batch(
     if partition is not None:
         part_col, expr = partition
         new = new.withColumn(part_col, expr)
-    seen = append_new(new, target, keys, partition_col=part_col, metrics={"mark": _capped(mark_col, limit)})
+    seen = append_new(new, target, keys, partition_col=part_col, metrics={"mark": _capped(mark_col, limit, dtype)})
     if seen["mark"] is not None:
         _commit_mark(spark, state, seen["mark"], dtype)
     return int(seen["rows"])
@@ -109,24 +120,12 @@ def incremental_stream(
     (``timeout_s`` bounds the wait, as an error). ``trigger`` replaces ``availableNow`` (e.g.
     ``{"processingTime": "1 hour"}`` for a long-running load); the query is then returned running,
     after ``timeout_s`` seconds if given. A malformed page fails the run; with ``quarantine`` it is
-    set aside there, one folder per micro-batch (written again by a retry), see
-    ``quarantined_stream``.
+    set aside there, once however often it is landed or a batch is retried (``json.quarantined``).
     """
-    bad = "__malformed"
-    declared = StructType.fromDDL(envelope) if isinstance(envelope, str) else envelope
-    reader = spark.readStream.options(**TIMESTAMP_OPTIONS).option("maxFilesPerTrigger", max_files_per_batch)
-    if quarantine is None:
-        pages = reader.schema(declared).option("mode", "FAILFAST").json(landing)
-    else:
-        full = StructType([*declared.fields]).add(bad, "string")
-        pages = reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).json(landing)
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_batch).text(landing)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        if quarantine is not None:
-            lost = batch.where(F.col(bad).isNotNull())
-            lost.select(F.col(bad).alias("document"), F.to_json(F.struct(records_field)).alias("parsed")).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
-            batch = batch.where(F.col(bad).isNull())
-        records = batch.select(F.explode(F.col(records_field)).alias("__r")).select("__r.*")
+        records = parse_documents(batch, envelope, quarantine).records(records_field)
         part_col = None
         if partition is not None:
             part_col, expr = partition
@@ -134,7 +133,7 @@ def incremental_stream(
         append_new(records, target, keys, partition_col=part_col)
 
     query = (
-        pages.writeStream.foreachBatch(upsert)
+        lines.writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(**(dict(trigger) if trigger else {"availableNow": True}))
         .start()
@@ -153,8 +152,8 @@ def incremental_stream(
 
 
 def quarantined_stream(spark: SparkSession, quarantine: str) -> DataFrame:
-    """The malformed pages that a stream set aside: ``document``, ``parsed``, ``batch``."""
-    return spark.read.schema("document string, parsed string, batch long").parquet(quarantine)
+    """The malformed pages that a stream set aside."""
+    return quarantined(spark, quarantine)
 
 
 def daily_incremental(
@@ -168,6 +167,8 @@ def daily_incremental(
     run_date: dt.date | None = None,
     overlap_days: int = 0,
     quarantine: str | None = None,
+    buckets: int = BUCKETS,
+    compact_after: int = COMPACT_AFTER,
 ) -> dict[str, int]:
     """One day's load of new establishments and their legal units.
 
@@ -176,16 +177,24 @@ def daily_incremental(
     keys (A1) → the unit records of those keys (semi join) → flatten + reindex to the
     table columns → lenient dates → rows that the tables lack → both tables and the mark
     committed as one version (K4): readers, and a rerun, see all of a day or nothing. The
-    mark is the latest creation date seen, ``run_date`` at most. Records without a readable date are
+    mark is the latest creation date seen, ``run_date`` (by default today) at most. Records without a readable date are
     not selected. Read the tables with ``read_published(..., all_versions=True)``.
 
+    The tables are stored in ``buckets`` of their key (fixed at the first run): a day reads only the buckets that its
+    keys fall in, of the versions since the last compaction. More than ``compact_after`` versions are merged into one;
+    replaced ones stay a week for their readers (``sources.versions``).
+
     Returns rows appended per table, ``unmatched_keys`` (units of the day's establishments
     without a unit record) and ``rejected_pages`` (malformed pages: an error without ``quarantine``,
     else set aside there).
     """
     created = "datecreationetablissement"
     bad = [f"{quarantine}/{t}" if quarantine else None for t in ("etablissements", "unite_legale")]
-    recs = read_pages(spark, establishment_pages, establishment_envelope, "etablissements", quarantine=bad[0])
+    pages = [
+        parse_pages(spark, establishment_pages, establishment_envelope, quarantine=bad[0]),
+        parse_pages(spark, unit_pages, unit_envelope, quarantine=bad[1]),
+    ]
+    recs = pages[0].records("etablissements")
     # current period = the one without an end date (first of the array when several)
     recs = recs.withColumn(
         "periode", F.element_at(F.filter("periodesEtablissement", lambda p: p["dateFin"].isNull()), 1)
@@ -201,20 +210,21 @@ def daily_incremental(
     etab = materialize(one_per_key(etab, ["siret"]), "daily_selection")
 
     keys = distinct_keys(etab, "siren")
-    units = read_pages(spark, unit_pages, unit_envelope, "unitesLegales", single_field="uniteLegale", quarantine=bad[1])
-    units = semi_join_keys(units, keys, "siren")
+    units = semi_join_keys(pages[1].records("unitesLegales", "uniteLegale"), keys, "siren")
     units = project_reindex(json_flatten(units), LEGAL_UNIT_FIELDS)
     units = units.withColumn("datecreationunitelegale", lenient_date("datecreationunitelegale"))
     units = materialize(one_per_key(units, ["siren"]), "daily_units")
 
     def new_rows(batch: DataFrame, name: str, key: str) -> DataFrame:
-        stored = read_published(spark, target_root, name, all_versions=True, schema=batch.schema)
-        return materialize(not_stored(batch, stored, [key]), "daily_new")
+        stored = read_published(spark, target_root, name, all_versions=True, schema=batch.schema, touching=batch)
+        return not_stored(batch, stored, [key])
 
+    lay_out(spark, target_root, {"etablissements": ["siret"], "unite_legale": ["siren"]}, buckets)
     new = {"etablissements": new_rows(etab, "etablissements", "siret"), "unite_legale": new_rows(units, "unite_legale", "siren")}
-    mark = etab.agg(_capped(created, run_date).alias("mark")).where(F.col("mark").isNotNull())
-    publish_together({**new, "_mark": mark.coalesce(1)}, target_root)
-    counts = {name: df.count() for name, df in new.items()}
+    mark = etab.agg(_capped(created, run_date, etab.schema[created].dataType).alias("mark")).where(F.col("mark").isNotNull())
+    written = publish_together({**new, "_mark": mark.coalesce(1)}, target_root)
+    counts = {name: written.rows[name] for name in new}
+    maintain(spark, target_root, compact_after)
     counts["unmatched_keys"] = keys.join(units, "siren", "left_anti").count()
-    counts["rejected_pages"] = sum(quarantined(spark, q).count() for q in bad if q)
+    counts["rejected_pages"] = sum(p.rejected for p in pages)
     return counts

@@ -84,3 +84,30 @@ def test_monthly_staging_all_targets(spark, tmp_table):
     # a second monthly run over the same sources adds nothing
     again = monthly_staging(*_raw(spark, SMALL), f"{tmp_table}/staging2", f"{tmp_table}/target")
     assert again == {"unite_legale": 0, "etablissements": 0, "donnees_financieres": 0}
+
+
+def test_daily_load_compacts_its_versions(spark, tmp_table, monkeypatch):
+    from firmlens.sources.versions import live_parts
+    from firmlens.streaming import incremental as I
+
+    real = I.maintain
+    monkeypatch.setattr(I, "maintain", lambda s, root, most: real(s, root, 1))
+    counts = run_daily_days(spark, SMALL, tmp_table)
+    for name in ("etablissements", "unite_legale"):
+        rows = read_published(spark, f"{tmp_table}/target", name, all_versions=True)
+        assert rows.count() == sum(c[name] for c in counts)
+        assert [p.name for p in live_parts(spark, f"{tmp_table}/target")].count(name) == 1
+        assert rows.inputFiles() and all("bucket=" in f for f in rows.inputFiles())
+
+
+def test_clean_run_loads_the_units_of_its_own_establishments(spark, tmp_table):
+    from firmlens.catalog_io import _raw
+    from firmlens.plans.cleaning import run_clean_pipeline
+
+    raw = _raw(spark, SMALL)
+    first = run_clean_pipeline(*raw, tmp_table, ["1-URGENT"])
+    fewer = (raw[0].limit(0), raw[1], raw[2])
+    assert set(run_clean_pipeline(*fewer, tmp_table, ["2-HIGH"]).values()) == {0}
+    both = run_clean_pipeline(*raw, f"{tmp_table}/both", ["1-URGENT", "2-HIGH"])
+    second = run_clean_pipeline(*raw, tmp_table, ["2-HIGH"])
+    assert {n: first[n] + second[n] for n in both} == both
