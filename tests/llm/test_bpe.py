@@ -73,3 +73,21 @@ def test_every_piece_longer_than_a_leaf_is_a_tree(monkeypatch):
     seen.clear()
     c.encode("some words " + "a" * 1000 + " and more")
     assert not seen
+
+
+def test_cheap_test_misses_no_long_run():
+    """``_may_run`` may say yes for nothing, but never no where the pattern of long runs fits."""
+    import random
+
+    from firmlens.llm import bpe
+
+    r, n = random.Random(2), bpe.LONG
+    parts = ["x", "é", "日", "!", " ", "\t", "\n", "\x1c", "\x1f", "\x85", "\xa0", " ", "x" * n, " " * n, "!" * (n - 1), "\x1c!" * n, " \n" * (n // 2)]
+    hits = 0
+    for _ in range(3000):
+        text = "".join(r.choice(parts) * r.randint(1, 3) for _ in range(r.randint(0, 30)))
+        found = bpe._long_run(n).search(text) is not None
+        hits += found
+        assert bpe._may_run(text) or not found
+    assert 100 < hits < 2900
+    assert not bpe._may_run("plain words of a text. " * 100)
