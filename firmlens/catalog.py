@@ -703,3 +703,4 @@ def dashboard_mart(spark, sf):
 
 
 from . import catalog_io  # noqa: E402,F401  (registers the I/O, pipeline and incremental queries)
+from . import catalog_tables  # noqa: E402,F401  (registers the queries on stored tables)

@@ -2,21 +2,25 @@
 
 Phrases grow to the right, word by word. Every phrase with the prefix p scores at most 1000 n / f(first word):
 one cut has that word as first part, and the rest occurs no less often than the phrase. The frontier holds the
-phrases not yet grown; each round grows those of the rarest first words, so of the highest bounds, in one scan of
-the texts, and looks up counts that a score still needs. Once a language has its k surviving phrases, whatever is
-bounded below the k-th score is never grown; the search ends when nothing else is left.
+phrases not yet grown, those of the rarest first words, so of the highest bounds, first. Each round is one scan of the
+texts: it counts the phrases that the last round found, with their neighbours, and what a score still needs, and grows the
+frontier. Once a language has its k surviving phrases, words bounded below the k-th score are never grown; the
+search ends when nothing else is left.
 
-The scans know which phrases to count by bit tables of hashes, of bounded size. A hash that hits by chance only adds
-a count that nobody asked for: words are compared themselves, and every count is exact.
+Growth counts 64-bit hashes, which only tells what to count next; a phrase's own count compares its words, so
+every count is exact. Scans know what to look for by bit tables of bounded size: a chance hit adds work, no error.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,43 +30,41 @@ from firmlens.llm.common import SLICE_ROWS, binary_column, map_batches, stored
 MAX_WORDS = 5
 LEAST_COUNT = 100
 BLOCK_BYTES = 4 << 20  # text whose phrases are counted at once
-VOCABULARY = 400_000  # words that a worker numbers before it starts anew
 BITS_EACH, MOST_BITS = 16, 1 << 27  # size of a bit table: per phrase, and at most
-FIRST_WORDS = 8  # words that the first round grows, times k; twice as many each round
+LONG_WORD = 64  # bytes
+FIRST_WORDS = 8  # words that the first round grows, times k; twice as many each time
 
 # A-Z lower-cased; 0xFF, which is in no text, parts pieces; a tab parts words as a space does
-BREAK = b"\xff"
-_CLEAN = bytes(c + 32 if 65 <= c <= 90 else 255 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
+BREAK, SPACE = 255, 32
+_CLEAN = bytes(c + 32 if 65 <= c <= 90 else BREAK if c in b".,;:!?\n\x0b\x0c\r" else SPACE if c == 9 else c for c in range(256))
 
-# roles of bit tables
+# roles of bit tables: words that may be in a phrase, phrases to grow, to count, and to pass on the way to these
 WORD, GROW, PROBE, THROUGH = range(4)
 
 
-class Vocabulary(dict):
-    """Numbers of a language's words in the order met; 0 parts pieces."""
-
-    def __init__(self, lang: str):
-        super().__init__({BREAK: 0})
-        self.words, self.seed = [BREAK], seed_of(lang)
-        self.hashes = np.zeros(1, np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.words)
-        self.words.append(word)
-        return n
-
-    def numbered(self, words: list[bytes]) -> np.ndarray:
-        ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        new = [xxhash.xxh64_intdigest(w, self.seed) for w in self.words[len(self.hashes) :]]
-        if new:
-            self.hashes = np.concatenate([self.hashes, np.array(new, np.uint64)])
-        return ids
-
-
 def seed_of(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode())
 
 
+def hash_words(words: pa.Array, seeds: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words (large binary), byte by byte for all words at once; the few long ones by themselves."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    size = np.diff(offsets)
+    h = seeds ^ np.uint64(0xCBF29CE484222325)
+    on = np.flatnonzero(size <= LONG_WORD)
+    for k in range(int(size[on].max(initial=0))):
+        on = on[size[on] > k]
+        h[on] = (h[on] ^ data[offsets[on] + k]) * np.uint64(0x100000001B3)
+    for k in np.flatnonzero(size > LONG_WORD):
+        h[k] = xxhash.xxh64_intdigest(data[offsets[k] : offsets[k + 1]].tobytes(), int(seeds[k]))
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return h ^ (h >> np.uint64(29))
+
+
 def longer(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hashes of phrases from those without their last word and that word's."""
     h = (h ^ (word + np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
@@ -75,9 +77,6 @@ class Bits:
     def __init__(self, words: np.ndarray):
         self.words, self.mask = words, np.uint64(len(words) * 64 - 1)
 
-    def __contains__(self, h) -> bool:
-        return bool(self.holds(np.array([h], np.uint64))[0])
-
     def holds(self, h: np.ndarray) -> np.ndarray:
         return self._bit(h) & self._bit(h >> np.uint64(29))
 
@@ -86,30 +85,59 @@ class Bits:
         return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Vocabulary, np.ndarray, int, int]]:
-    """(language, vocabulary, word numbers, from, to): the texts in blocks of one language. Phrases that start in
-    [from, to) belong to the block; the words around are there to see them whole."""
-    vocabularies: dict[str, Vocabulary] = {}
+@dataclass
+class Block:
+    """Words of one language in order: numbers into ``words``, and the piece each is in. Phrases that start in
+    [start, to) belong to the block; the words around are there to see them whole."""
+
+    lang: str
+    words: pa.Array
+    ids: np.ndarray
+    piece: np.ndarray
+    start: int
+    to: int
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return hash_words(self.words, np.full(len(self.words), seed_of(self.lang), np.uint64))
+
+
+def _split(text: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Different words, their numbers in the order of the text, and the piece each is in."""
+    raw = np.frombuffer(text, np.uint8)
+    parted = raw >= BREAK
+    space = parted | (raw == SPACE)
+    edge = np.diff(space.view(np.int8), prepend=1, append=1)
+    begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    offsets = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(raw[~space])]).dictionary_encode()
+    return coded.dictionary, np.asarray(coded.indices).astype(np.int64), np.searchsorted(np.flatnonzero(parted), begin)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """The texts in blocks of one language, long texts cut with the words around."""
     held: dict[str, list[bytes]] = defaultdict(list)
     size = 0
 
-    def numbered(lang: str, text: bytes):
-        if sum(map(len, vocabularies.values())) > VOCABULARY:
-            vocabularies.clear()
-        v = vocabularies.setdefault(lang, Vocabulary(lang))
-        at, start, tokens = 0, 0, []
+    def cut(lang: str, text: bytes) -> Iterator[Block]:
+        at, start, tail = 0, 0, b""
         while at < len(text):
-            cut = len(text) if at + 2 * BLOCK_BYTES >= len(text) else text.find(b" ", at + BLOCK_BYTES)
-            cut = len(text) if cut < 0 else cut
-            tokens += text[at:cut].replace(BREAK, b" \xff ").split()
-            at, to = cut, len(tokens) if cut == len(text) else len(tokens) - MAX_WORDS
+            stop = len(text) if at + 2 * BLOCK_BYTES >= len(text) else text.find(b" ", at + BLOCK_BYTES)
+            stop = len(text) if stop < 0 else stop
+            part, at = tail + text[at:stop], stop
+            words, ids, piece = _split(part)
+            to = len(ids) if stop == len(text) else len(ids) - MAX_WORDS
             if to > start:
-                yield lang, v, v.numbered(tokens), start, to
-                tokens, start = tokens[to - 1 :], 1
-
-    def all_held():
+                yield Block(lang, words, ids, piece, start, to)
+            if stop < len(text):
+                # the next block begins one word before the first phrase that is not counted yet
+                keep = max(to, start) - 1
+                tail = _from_word(part, keep) if keep >= 0 else part
+                start = 1 if keep >= 0 else 0
+
+    def all_held() -> Iterator[Block]:
         for lang, texts in held.items():
-            yield from numbered(lang, BREAK.join(texts))
+            yield from cut(lang, bytes([BREAK]).join(texts))
         held.clear()
 
     for batch in batches:
@@ -125,130 +153,139 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Vocabulary
     yield from all_held()
 
 
-def _strings(values: list[bytes]) -> pa.Array:
-    return pa.array(values, pa.binary()).cast(pa.string())
+def _from_word(text: bytes, k: int) -> bytes:
+    """The text from its word number ``k`` on."""
+    raw = np.frombuffer(text, np.uint8)
+    space = (raw >= BREAK) | (raw == SPACE)
+    begin = np.flatnonzero(np.diff(space.view(np.int8), prepend=1) == -1)
+    return text[begin[k] :] if k < len(begin) else b""
+
+
+def _rows(**columns: pa.Array) -> pa.RecordBatch:
+    """A batch of ``_COUNTED``, with nulls in the columns not given."""
+    size = len(columns["n"])
+    return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(size, kind) for c, kind in _COUNTED.items()], names=list(_COUNTED))
+
+
+_COUNTED = {"lang": pa.string(), "phrase": pa.string(), "size": pa.int32(), "h": pa.int64(), "n": pa.int64(), "before": pa.int64(), "after": pa.int64()}
+_COUNTED_DDL = "lang string, phrase string, size int, h long, n long, before long, after long"
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """``(lang, phrase, n)`` of all words of ``texts(lang, text)``, and for the empty phrase those of the language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, v, ids, start, to in _blocks(batches):
-            n = np.bincount(ids[start:to], minlength=1)
-            n[0] = 0
+        for b in _blocks(batches):
+            n = np.bincount(b.ids[b.start : b.to], minlength=len(b.words))
             some = np.flatnonzero(n)
-            words = [b"", *map(v.words.__getitem__, some.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(words)), _strings(words), pa.array([int(n.sum()), *n[some].tolist()], pa.int64())], names=["lang", "phrase", "n"]
-            )
+            words = pa.concat_arrays([pa.array([""], pa.string()), b.words.take(pa.array(some)).cast(pa.binary()).cast(pa.string())])
+            yield pa.RecordBatch.from_arrays([pa.repeat(b.lang, len(words)), words, pa.array(np.append(n.sum(), n[some]))], names=["lang", "phrase", "n"])
 
     return map_batches(texts, run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def grams(v: Vocabulary, ids: np.ndarray, start: int, to: int, tables: list[Bits]) -> Iterator[tuple]:
-    """The phrases of a block to count: (words, count, probed, hash of the word before and after, or None where
-    they differ or a phrase has none)."""
-    common = tables[WORD].holds(v.hashes)
-    common[0] = False
-    good = common[ids]
-    at = start + np.flatnonzero(good[start:to])
-    key, h = ids[at], v.hashes[ids[at]]
+def grams(b: Block, tables: list[Bits]) -> Iterator[pa.RecordBatch]:
+    """What a block holds of the phrases asked for: counts of hashes of phrases one word longer than those to grow; of
+    phrases to count, themselves with the hash of the word before and after, null where these differ or there is none."""
+    good = tables[WORD].holds(b.hashes)[b.ids]
+    at = b.start + np.flatnonzero(good[b.start : b.to])
+    h, last = b.hashes[b.ids[at]], len(b.ids)
     for size in range(2, MAX_WORDS + 1):
-        on = tables[THROUGH].holds(h)
-        at, key, h = at[on], key[on], h[on]
-        on = at + size <= len(ids)
-        on[on] = good[at[on] + size - 1]
-        at, key, h = at[on], key[on], h[on]
+        on = tables[THROUGH].holds(h) & (at + size <= last)
+        end = at[on] + size - 1
+        on[on] = good[end] & (b.piece[end] == b.piece[at[on]])
+        at, h = at[on], h[on]
         if not len(at):
             return
         grown = tables[GROW].holds(h)
-        word = ids[at + size - 1]
-        h = longer(h, v.hashes[word])
+        h = longer(h, b.hashes[b.ids[at + size - 1]])
+        if grown.any():
+            found, n = np.unique(h[grown], return_counts=True)
+            yield _rows(h=pa.array(found.view(np.int64)), n=pa.array(n))
         probed = tables[PROBE].holds(h)
-        _, first, key, n = np.unique(key * len(v.words) + word, return_index=True, return_inverse=True, return_counts=True)
-        before = _same(key, np.where(at > 0, ids[np.maximum(at - 1, 0)], 0), probed, len(n))
-        after = _same(key, np.where(at + size < len(ids), ids[np.minimum(at + size, len(ids) - 1)], 0), probed, len(n))
-        for k in np.flatnonzero(grown[first] | probed[first]).tolist():
-            f = at[first[k]]
-            yield [v.words[w] for w in ids[f : f + size].tolist()], int(n[k]), bool(probed[first[k]]), *(int(v.hashes[x[k]].view(np.int64)) if x[k] > 0 else None for x in (before, after))
+        if probed.any():
+            yield _probed(b, at[probed], size)
+
+
+def _probed(b: Block, at: np.ndarray, size: int) -> pa.RecordBatch:
+    key = b.ids[at]
+    for k in range(1, size):
+        key = np.unique(key * len(b.words) + b.ids[at + k], return_inverse=True)[1]
+    _, first, key, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    words = [b.words.take(pa.array(b.ids[at[first] + k])).cast(pa.binary()) for k in range(size)]
+    phrase = pc.binary_join_element_wise(*words, b" ").cast(pa.string())
+    return _rows(
+        lang=pa.repeat(b.lang, len(n)), phrase=phrase, size=pa.repeat(pa.scalar(size, pa.int32()), len(n)), n=pa.array(n),
+        before=_shared(b, key, at, at - 1, len(n)), after=_shared(b, key, at, at + size, len(n)),
+    )
 
 
-def _same(key: np.ndarray, beside: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
-    """The neighbour that all places of a phrase share, else 0."""
-    low, high = np.full(size, np.iinfo(np.int64).max), np.zeros(size, np.int64)
-    np.minimum.at(low, key[of], beside[of])
-    np.maximum.at(high, key[of], beside[of])
-    return np.where(low == high, high, 0)
+def _shared(b: Block, key: np.ndarray, at: np.ndarray, beside: np.ndarray, size: int) -> pa.Array:
+    """The hash of the word beside, if all places of a phrase have the same."""
+    inside = np.clip(beside, 0, len(b.ids) - 1)
+    word = np.where((inside == beside) & (b.piece[inside] == b.piece[at]), b.ids[inside], -1)
+    low, high = np.full(size, np.iinfo(np.int64).max), np.full(size, -1)
+    np.minimum.at(low, key, word)
+    np.maximum.at(high, key, word)
+    same = (low == high) & (low >= 0)
+    return pa.array(b.hashes[np.where(same, low, 0)].view(np.int64), mask=~same)
 
 
-def count_phrases(texts: DataFrame, tables) -> DataFrame:
-    """``(lang, phrase, size, n, probed, same)`` of the phrases that the broadcast tables ask for; ``same``: all places
-    have the same word before, or all the same after. Neighbours are compared by 64-bit hashes."""
+def count_phrases(texts: DataFrame, tables, least: int) -> DataFrame:
+    """``(lang, phrase, size, h, n, same)`` of what the broadcast tables ask for, from ``least`` on: hashes of grown phrases
+    (``h``; the others null), and phrases with ``same``: all places have the same word before, or all the same after.
+    Neighbours are compared by 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [Bits(w) for w in tables.value]
-        for lang, v, ids, start, to in _blocks(batches):
-            rows = list(grams(v, ids, start, to, bits))
-            if rows:
-                words, n, probed, before, after = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(rows)), _strings([b" ".join(w) for w in words]), pa.array(map(len, words), pa.int32()), pa.array(n, pa.int64()),
-                     pa.array(probed, pa.bool_()), pa.array(before, pa.int64()), pa.array(after, pa.int64())],
-                    names=["lang", "phrase", "size", "n", "probed", "before", "after"],
-                )
-
-    rows = map_batches(texts, run, "lang string, phrase string, size int, n long, probed boolean, before long, after long")
+        for b in _blocks(batches):
+            yield from grams(b, bits)
 
     def same(side: str):
         return (F.count(side) == F.count("*")) & (F.min(side) == F.max(side))
 
-    return rows.groupBy("lang", "phrase", "size").agg(
-        F.sum("n").alias("n"), F.bool_or("probed").alias("probed"), F.coalesce(same("before") | same("after"), F.lit(False)).alias("same")
+    found = map_batches(texts, run, _COUNTED_DDL).groupBy("lang", "phrase", "size", "h").agg(
+        F.sum("n").alias("n"), F.coalesce(same("before") | same("after"), F.lit(False)).alias("same")
     )
+    return found.where(F.col("n") >= least)
 
 
-def _tables(phrases: DataFrame, sizes: dict[int, int]) -> dict[int, np.ndarray]:
-    """Bit tables of ``phrases(lang, phrase, role)``; ``sizes``: phrases of each role. Grown phrases and the beginnings of
-    all others also go to the table of what a scan must pass through."""
-    sizes = {r: n for r, n in sizes.items() if n}
-    if GROW in sizes or PROBE in sizes:
-        sizes[THROUGH] = MAX_WORDS * (sizes.get(GROW, 0) + sizes.get(PROBE, 0))
-    slots = {r: min(MOST_BITS, 1 << max(10, (BITS_EACH * n - 1).bit_length())) for r, n in sizes.items()}
+def hashed(phrases: DataFrame) -> DataFrame:
+    """``(role, h)`` of ``phrases(lang, phrase, role)``, and of the beginnings of phrases to count, to pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[int, list[np.ndarray]] = defaultdict(list)
             split = [p.split(b" ") for p in binary_column(batch, "phrase")]
-            seeds = [seed_of(lang) for lang in batch.column("lang").to_pylist()]
-            roles, length = np.array(batch.column("role").to_pylist()), np.array(list(map(len, split)))
+            seeds = np.array([seed_of(lang) for lang in batch.column("lang").to_pylist()], np.uint64)
+            role, length = batch.column("role").to_numpy(), np.array(list(map(len, split)))
             for k in range(max(length, default=0)):
                 on = np.flatnonzero(length > k)
-                word = np.array([xxhash.xxh64_intdigest(split[i][k], seeds[i]) for i in on], np.uint64)
+                word = hash_words(pa.array([split[i][k] for i in on], pa.large_binary()), seeds[on])
                 if k:
                     h[on] = longer(h[on], word)
                 else:
                     h = word
-                whole = length[on] == k + 1
-                for role in sizes:
-                    if role != THROUGH:
-                        found[role].append(h[on[whole & (roles[on] == role)]])
-                found[THROUGH].append(h[on[~whole & (roles[on] != WORD) | whole & (roles[on] == GROW)]])
-            for role in slots:
-                if found[role] and len(h := np.concatenate(found[role])):
-                    at = np.concatenate([h, h >> np.uint64(29)]) & np.uint64(slots[role] - 1)
-                    slot, each = np.unique(at >> np.uint64(6), return_inverse=True)
-                    bits = np.zeros(len(slot), np.uint64)
-                    np.bitwise_or.at(bits, each, np.uint64(1) << (at & np.uint64(63)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([role] * len(slot), pa.int32()), pa.array(slot.astype(np.int64)), pa.array(bits.view(np.int64))], names=["role", "slot", "bits"]
-                    )
-
-    tables = {r: np.zeros(n // 64, np.uint64) for r, n in slots.items()}
-    made = map_batches(phrases, run, "role int, slot long, bits long").groupBy("role", "slot").agg(F.bit_or("bits").alias("bits"))
+                roles = np.where(length[on] == k + 1, role[on], THROUGH)
+                yield pa.RecordBatch.from_arrays([pa.array(roles, pa.int32()), pa.array(h[on].view(np.int64))], names=["role", "h"])
+
+    return map_batches(phrases, run, "role int, h long")
+
+
+def bit_tables(hashes: DataFrame) -> dict[int, np.ndarray]:
+    """Bit tables of ``hashes(role, h)``, by role."""
+    sizes = {r.role: r.n for r in hashes.groupBy("role").agg(F.count("*").alias("n")).collect()}
+    bits = {r: min(MOST_BITS, 1 << max(10, (BITS_EACH * n - 1).bit_length())) for r, n in sizes.items()}
+    tables = {r: np.zeros(n // 64, np.uint64) for r, n in bits.items()}
+    if not tables:
+        return tables
+    mask = reduce(lambda c, r: c.when(F.col("role") == r, F.lit(bits[r] - 1)), bits, F).otherwise(F.lit(0)).cast("long")
+    place = hashes.select("role", F.explode(F.array(F.col("h"), F.shiftrightunsigned("h", 29))).alias("at"), mask.alias("mask"))
+    place = place.select("role", F.col("at").bitwiseAND(F.col("mask")).alias("at"))
+    made = place.groupBy("role", F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("bits"))
     made = made.toArrow()  # of the bounded size of the tables
-    role, slot, bits = (made.column(c).to_numpy() for c in ("role", "slot", "bits"))
+    role, slot, words = (made.column(c).to_numpy() for c in ("role", "slot", "bits"))
     for r in tables:
-        tables[r][slot[role == r]] = bits[role == r].view(np.uint64)
+        tables[r][slot[role == r]] = words[role == r].view(np.uint64)
     return tables
 
 
@@ -257,9 +294,9 @@ def _judged(nodes: DataFrame, totals: DataFrame, k: int) -> DataFrame:
     known, with cut, l and r), ``whole`` (all cuts known), ``ub`` (no cut scores more), and n."""
     counts = nodes.select("lang", "phrase", "a")
     words = F.split("phrase", " ")
-    cuts = nodes.where("size > 1").select("lang", "phrase", "size", "a", "grown", "same", words.alias("w"), F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut"))
+    cuts = nodes.where("size > 1").select("lang", "phrase", "size", "a", "same", words.alias("w"), F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut"))
     cuts = cuts.select(
-        "lang", "phrase", "size", "a", "grown", "same", "cut", F.array_join(F.slice("w", 1, F.col("cut")), " ").alias("head"),
+        "lang", "phrase", "size", "a", "same", "cut", F.array_join(F.slice("w", 1, F.col("cut")), " ").alias("head"),
         F.array_join(F.slice("w", F.col("cut") + 1, F.col("size") - F.col("cut")), " ").alias("rest"),
     )
     cuts = cuts.join(counts.toDF("lang", "head", "l"), ["lang", "head"], "left").join(counts.toDF("lang", "rest", "r"), ["lang", "rest"], "left")
@@ -267,7 +304,7 @@ def _judged(nodes: DataFrame, totals: DataFrame, k: int) -> DataFrame:
     big = "decimal(38,0)"
     both = F.col("l").isNotNull() & F.col("r").isNotNull()
     score = F.expr(f"cast(1000 as {big}) * a * n div (cast(l as {big}) * r)")
-    return cuts.groupBy("lang", "phrase", "size", "a", "grown", "same", "n").agg(
+    return cuts.groupBy("lang", "phrase", "size", "a", "same", "n").agg(
         F.min(F.when(both, F.struct(score.alias("score"), "cut", "l", "r"))).alias("best"), (F.count(F.when(both, 1)) == F.col("size") - 1).alias("whole"),
         F.max(F.greatest("l", "r")).alias("part"),
         F.collect_set(F.when(F.col("l").isNull(), F.col("head"))).alias("heads"), F.collect_set(F.when(F.col("r").isNull(), F.col("rest"))).alias("rests"),
@@ -287,50 +324,46 @@ def mine_collocations(docs: DataFrame, k: int = 2000, text: str = "text", lang:
     tables and languages without candidates give no rows.
     """
     texts = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
-    words = stored(count_words(texts).where(f"phrase = '' OR n >= {least}"), "collocation_words")
-    totals = words.where("phrase = ''").select("lang", "n")
-    nodes = words.where("phrase <> ''").selectExpr("lang", "phrase", "1 AS size", "n AS a", "false AS grown", "cast(null AS boolean) AS same")
-    fixed = _tables(nodes.select("lang", "phrase", F.lit(WORD).alias("role")), {WORD: nodes.count()})
-    admitted = FIRST_WORDS * k
+    counted = stored(count_words(texts).where(f"phrase = '' OR n >= {least}"), "collocation_words")
+    totals = counted.where("phrase = ''").select("lang", "n")
+    words = counted.where("phrase <> ''").selectExpr("lang", "phrase", "n AS a", "false AS grown")
+    fixed = bit_tables(hashed(words.select("lang", "phrase", F.lit(WORD).alias("role"))))
+    nodes = words.selectExpr("lang", "phrase", "1 AS size", "a", "cast(null AS boolean) AS same")
+    none = docs.sparkSession.createDataFrame([], "role int, h long")
+    pending, through, done, admitted, step = none, none, none.select("h"), FIRST_WORDS * k, 0
     while True:
+        step += 1
         judged = stored(_judged(nodes, totals, k), "collocation_judged")
         alive = judged.where(f"whole AND (size = {MAX_WORDS} OR NOT same)")
         place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("best.score")))
-        least_score = alive.withColumn("place", place).where(F.col("place") == k).select("lang", F.col("best.score").alias("least"))
-        with_least = stored(totals.join(least_score, "lang", "left").select("lang", "n", F.coalesce("least", F.lit(0)).alias("least")), "collocation_least")
-        # what may still matter, by its first word's bound
-        firsts = nodes.where("size = 1").join(with_least, "lang").where("1000 * cast(n as decimal(38,0)) div a >= least")
-        by = Window.partitionBy("lang").orderBy("a", "phrase")
-        new = firsts.where("NOT grown").withColumn("place", F.row_number().over(by)).where(F.col("place") <= admitted)
-        begun = firsts.where("grown").select("lang", F.col("phrase").alias("first"))
-        deep = nodes.where(f"size BETWEEN 2 AND {MAX_WORDS - 1} AND NOT grown").withColumn("first", F.element_at(F.split("phrase", " "), 1))
-        deep = deep.join(begun, ["lang", "first"], "left_semi")
-        close = judged.join(with_least.drop("n"), "lang").where("ub >= least")
-        asked = [
-            new.select("lang", "phrase", F.lit(GROW).alias("role")),
-            deep.select("lang", "phrase", F.lit(GROW).alias("role")),
-            close.where(f"size < {MAX_WORDS} AND same IS NULL").select("lang", "phrase", F.lit(PROBE).alias("role")),
-            close.select("lang", F.explode(F.concat("heads", "rests")).alias("phrase"), F.lit(PROBE).alias("role")),
-        ]
-        plan = asked[0]
-        for more in asked[1:]:
-            plan = plan.unionByName(more)
-        plan = stored(plan.distinct(), "collocation_plan")
-        sizes = {r.role: r.n for r in plan.groupBy("role").agg(F.count("*").alias("n")).collect()}
-        if not sizes:
+        kth = alive.withColumn("place", place).where(F.col("place") == k).select("lang", F.col("best.score").alias("least"))
+        # words whose bound reaches the k-th score, the rarest first; the second round waits for the first scores
+        open_ = words.where("NOT grown").join(totals, "lang").join(kth, "lang", "left")
+        open_ = open_.where("1000 * cast(n AS decimal(38,0)) div a >= coalesce(least, 0)")
+        place = F.row_number().over(Window.partitionBy("lang").orderBy("a", "phrase"))
+        new = open_.withColumn("place", place).where(F.col("place") <= (0 if step == 2 else admitted)).select("lang", "phrase")
+        close = judged.join(kth, "lang", "left").where("ub >= coalesce(least, 0)")
+        wanted = close.select("lang", F.explode(F.concat("heads", "rests")).alias("phrase")).distinct()
+        asked = stored(new.withColumn("role", F.lit(GROW)).unionByName(wanted.withColumn("role", F.lit(PROBE))), "collocation_asked")
+        hashes = stored(hashed(asked).unionByName(pending), "collocation_hashes")
+        if hashes.isEmpty():
+            if step == 2:
+                continue
             break
+        through = stored(through.unionByName(hashes.where(F.col("role") != PROBE).select(F.lit(THROUGH).alias("role"), "h")).distinct(), "collocation_through")
+        tables = fixed | bit_tables(hashes.where(F.col("role") != THROUGH).unionByName(through))
         empty = np.zeros(1, np.uint64)
-        tables = fixed | _tables(plan, sizes)
         sent = docs.sparkSession.sparkContext.broadcast([tables.get(r, empty) for r in (WORD, GROW, PROBE, THROUGH)])
-        found = count_phrases(texts, sent).where(F.col("n") >= least)
-        found = found.selectExpr("lang", "phrase", "size", "n AS a", "false AS grown", "CASE WHEN probed THEN same END AS same")
-        grown = plan.where(F.col("role") == GROW).join(nodes.drop("grown", "same"), ["lang", "phrase"])
-        grown = grown.selectExpr("lang", "phrase", "size", "a", "true AS grown", "cast(null AS boolean) AS same")
-        nodes = nodes.unionByName(found).unionByName(grown).groupBy("lang", "phrase").agg(
-            F.max("size").alias("size"), F.max("a").alias("a"), F.bool_or("grown").alias("grown"), F.bool_or("same").alias("same")
-        )
+        found = stored(count_phrases(texts, sent, least), "collocation_found")
+        # hashes found are counted as phrases, and grown, by the next scan; those that a chance hit grew again are done
+        done = done.unionByName(hashes.where(F.col("role") == GROW).select("h"))
+        pending = found.where("h IS NOT NULL").select("h").join(done, "h", "left_anti").select(F.explode(F.array(F.lit(GROW), F.lit(PROBE))).alias("role"), "h")
+        more = found.where("h IS NULL").selectExpr("lang", "phrase", "size", "n AS a", "same")
+        nodes = nodes.unionByName(more).groupBy("lang", "phrase").agg(F.max("size").alias("size"), F.max("a").alias("a"), F.bool_or("same").alias("same"))
         nodes = stored(nodes, "collocation_nodes")
-        admitted *= 2
+        grown = asked.where(F.col("role") == GROW).select("lang", "phrase", F.lit(True).alias("now"))
+        words = stored(words.join(grown, ["lang", "phrase"], "left").selectExpr("lang", "phrase", "a", "grown OR now IS NOT NULL AS grown"), "collocation_grown")
+        admitted = min(2 * admitted, 1 << 40)
     by = Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), "phrase")
     ranked = alive.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "best.l", "best.r", "n", "best.score", "best.cut")

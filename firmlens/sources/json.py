@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from ..session import materialize
 from .sinks import append_new, read_table
+from .spanning import Elements, block_states, read_lines, records
 
 # Lossless timestamp text in landed JSON (the writer's default keeps milliseconds only).
 TIMESTAMP_OPTIONS = {
@@ -146,17 +147,32 @@ def read_geojson(
     spark: SparkSession, path: str, multi_line: bool = True, schema: StructType | str | None = None, quarantine: str | None = None
 ) -> DataFrame:
     """FeatureCollection files → one row per feature with its ``properties.*``, the
-    feature ``type`` and the ``geometry`` kept as a nested value. Malformed documents as in
-    ``read_pages``.
+    feature ``type`` and the ``geometry`` kept as a nested value.
 
-    A pretty-printed document (``multi_line=True``) is parsed whole by one task per file, so
-    large feature sets should be landed as several files, or one collection per line
-    (``multi_line=False``), which Spark splits like any line-delimited input."""
+    ``schema`` declares the collection. ``multi_line=False``: one collection per line, malformed ones as in
+    ``read_pages``. Otherwise a file holds one collection, its features on lines of their own or pretty-printed, and is
+    split among tasks feature by feature (``spanning``): each feature is parsed, and set aside or an error, by
+    itself. Without a schema, Spark infers it, and a file is one task.
+    """
     if schema is None:
         coll = spark.read.options(**TIMESTAMP_OPTIONS, mode="FAILFAST").option("multiLine", multi_line).json(path)
+    elif multi_line:
+        declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        feature = declared["features"].dataType.elementType
+        lines, shape = read_lines(spark, path), Elements(FEATURE_DEPTH)
+        objects = records(lines, shape, block_states(lines, shape)).where(F.col("text").startswith("{"))
+        found = parse_documents(objects, feature, quarantine, text="text").envelopes
+        # a root member's own sub-objects stand as deep as features, but aren't any
+        return _features(found.where(F.col("type") == "Feature").select(F.struct(*feature.fieldNames()).alias("__f")))
     else:
-        coll = parse_pages(spark, path, schema, multi_line, quarantine).envelopes
-    feats = coll.select(F.explode("features").alias("__f"))
+        coll = parse_pages(spark, path, schema, False, quarantine).envelopes
+    return _features(coll.select(F.explode("features").alias("__f")))
+
+
+FEATURE_DEPTH = 2  # brackets around a feature: the collection's and the array's
+
+
+def _features(feats: DataFrame) -> DataFrame:
     return feats.select("__f.properties.*", F.col("__f.type").alias("feature_type"), F.col("__f.geometry"))
 
 

@@ -68,13 +68,13 @@ def test_brute_force(spark, monkeypatch, seed, k, least):
 
 def test_bounds_prune(spark, monkeypatch):
     """What the k-th score rules out is never grown: common first words are in no table."""
-    sent, tables = [], C._tables
+    sent, hashed = [], C.hashed
 
-    def seen(phrases, sizes):
+    def seen(phrases):
         sent.extend((r.phrase, r.role) for r in phrases.collect())
-        return tables(phrases, sizes)
+        return hashed(phrases)
 
-    monkeypatch.setattr(C, "_tables", seen)
+    monkeypatch.setattr(C, "hashed", seen)
     monkeypatch.setattr(C, "FIRST_WORDS", 1)
     docs = [("en", f"pair{k} mate{k}. the of the.") for k in range(40) for _ in range(5 + k % 3)]
     assert mined(spark, docs, 10, 5) == brute(docs, 10, 5)
@@ -91,11 +91,14 @@ def test_small_blocks_give_the_same(monkeypatch):
     def counted():
         out, words, same = Counter(), Counter(), {}
         batch = pa.record_batch({"lang": ["x", "x"], "text": [text.decode(), "a b"]})
-        for _, v, ids, start, to in C._blocks(iter([batch])):
-            words.update(v.words[w] for w in ids[start:to] if w)
-            for p, n, _, before, after in C.grams(v, ids, start, to, all_on):
-                out[tuple(p)] += n
-                same.setdefault(tuple(p), []).append((before, after))
+        for b in C._blocks(iter([batch])):
+            names = b.words.to_pylist()
+            words.update(names[w] for w in b.ids[b.start : b.to])
+            for rows in C.grams(b, all_on):
+                for r in rows.to_pylist():
+                    out[r["phrase"] or r["h"]] += r["n"]
+                    same.setdefault(r["phrase"], []).append((r["before"], r["after"]))
+        del same[None]
         return out, words, {p: tuple(x[0] if len(set(x)) == 1 else None for x in zip(*s)) for p, s in same.items()}
 
     whole = counted()
