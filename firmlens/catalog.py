@@ -24,8 +24,10 @@ from .operators import project as P
 from .operators.windows import latest_per_key as latest_row
 from .fixed import ADDRESS_PARTS, ESTABLISHMENT_COLUMNS, FIRST_RECENT_YEAR
 from .plans import dashboard as dash
+from .plans.mart import files_state, read_fresh_mart, refresh_mart
 from .roles import ROLE_VIEWS, role, table
 from .session import run_dir
+from .sources.tables import table_exists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,18 +57,22 @@ def _built_mart(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_stored_marts: dict[tuple[str, str], str] = {}
+_marts: dict[tuple[str, str], tuple[str, str, DataFrame]] = {}
 
 
 def _mart(spark: SparkSession, sf: str) -> DataFrame:
-    """X8 as the dashboard uses it: built from the whole tables and stored once per session and
-    input, partitioned by place; the dashboard queries read the stored table."""
-    built, key = _built_mart(spark, sf), (spark.conf.get("spark.app.id"), sf)
-    if key not in _stored_marts:
-        path = run_dir(spark, "mart")
-        dash.publish_mart(built, path)
-        _stored_marts[key] = path
-    return dash.read_mart(spark, _stored_marts[key], built.schema)
+    """X8 as the dashboard uses it: built from the whole tables, stored, and brought up to date when an input's files
+    have changed or the stored files are gone; the dashboard queries read the stored table."""
+    inputs = [role(spark, sf, name) for name in ("etablissements", "unite_legale", "code_naf")]
+    state, key = files_state(*inputs), (spark.conf.get("spark.app.id"), sf)
+    held, root, stored = _marts.get(key, (None, None, None))
+    if root is None or not table_exists(spark, root):
+        root = run_dir(spark, "mart")
+    if held != state or not table_exists(spark, f"{root}/rows"):
+        refresh_mart(*inputs, root)
+        stored = read_fresh_mart(spark, root, dash.dashboard_mart(*inputs).schema)
+        _marts[key] = (state, root, stored)
+    return stored
 
 
 def _scoped(spark: SparkSession, sf: str, sector: str | None = None) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle_sql as q
-from .catalog import register
+from .catalog import _MART_COLS, register
 from .catalog_io import EVENT_COLS, GEO_SCHEMA, _envelope, _nested_establishments
+from .plans.dashboard import C, dashboard_mart
+from .plans.mart import read_fresh_mart, refresh_mart
 from .roles import role, table
 from .session import run_dir
 from .sources import files, json, sinks, versions
@@ -119,3 +121,25 @@ def versions_compacted(spark: SparkSession, sf: str) -> DataFrame:
         .unionByName(found.withColumn("table_name", F.lit("events of the first user")))
         .unionByName(spark.createDataFrame([("versions", len(live))], "table_name string, event_id long"), allowMissingColumns=True)
     )
+
+
+@register("mart_refreshed", q.ctes(*q.MART) + "SELECT " + ", ".join(_MART_COLS)
+          + ", round(longitude, 6) AS longitude, round(latitude, 6) AS latitude FROM mart")
+def mart_refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart built while a place, a category of units and some labels were still missing; these arrive in
+    files of their own, and the mart is brought up to date → the mart of the whole tables."""
+    root = run_dir(spark, "mart_refreshed")
+    etab, ul, naf = (role(spark, sf, n) for n in ("etablissements", "unite_legale", "code_naf"))
+    late = F.coalesce(F.col(C.place) == "3-MEDIUM", F.lit(False)), F.col(C.category) == "BUILDING"
+    frames = {"etab": (etab, late[0]), "ul": (ul, late[1]), "naf": (naf, F.col(C.code) < "10")}
+    schema = dashboard_mart(etab, ul, naf).schema
+    for name, (df, missing) in frames.items():
+        df.where(~missing).write.parquet(f"{root}/{name}")
+    stored = [spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, (df, _) in frames.items()]
+    refresh_mart(*stored, f"{root}/mart")
+    for name, (df, missing) in frames.items():
+        df.where(missing).write.mode("append").parquet(f"{root}/{name}")
+    stored = [spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, (df, _) in frames.items()]
+    refresh_mart(*stored, f"{root}/mart")
+    mart = read_fresh_mart(spark, f"{root}/mart", schema)
+    return mart.select(*_MART_COLS, F.round("longitude", 6).alias("longitude"), F.round("latitude", 6).alias("latitude"))

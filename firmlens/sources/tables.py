@@ -52,6 +52,14 @@ def sub_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
 
 
+def file_status(spark: SparkSession, uri: str) -> tuple[int, int]:
+    """Size and time of change of a file, by its URI as Spark lists it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    status = path.getFileSystem(conf).getFileStatus(path)
+    return status.getLen(), status.getModificationTime()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, folder = _folder(spark, path)
     fs.delete(folder, True)
