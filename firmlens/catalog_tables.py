@@ -12,6 +12,7 @@ from .catalog import _MART_COLS, register
 from .catalog_io import EVENT_COLS, GEO_SCHEMA, _envelope, _nested_establishments
 from .plans.dashboard import C, dashboard_mart
 from .plans.mart import read_fresh_mart, refresh_mart
+from .plans.sector_sums import add_increment, sector_sums
 from .roles import role, table
 from .session import run_dir
 from .sources import files, json, sinks, versions
@@ -143,3 +144,22 @@ def mart_refreshed(spark: SparkSession, sf: str) -> DataFrame:
     refresh_mart(*stored, f"{root}/mart")
     mart = read_fresh_mart(spark, f"{root}/mart", schema)
     return mart.select(*_MART_COLS, F.round("longitude", 6).alias("longitude"), F.round("latitude", 6).alias("latitude"))
+
+
+@register("sector_sums_incremental", q.ctes("unite_legale", "donnees_financieres") + f"""
+SELECT u.activiteprincipaleunitelegale, CAST(year(f.date_cloture_exercice) AS INTEGER) AS annee,
+  coalesce({q.money_sum('f.chiffre_d_affaires')}, 0.0) AS chiffre_d_affaires
+FROM (SELECT DISTINCT siren, activiteprincipaleunitelegale FROM unite_legale WHERE activiteprincipaleunitelegale IS NOT NULL) u
+JOIN donnees_financieres f ON u.siren = f.siren WHERE f.date_cloture_exercice IS NOT NULL GROUP BY 1, 2""")
+def sector_sums_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """A5 by increments: the accounts in three spans of years. First the units of one category are in another sector and
+    those of a second are unknown; later increments correct and add them → the sums of everything."""
+    fin, ul = role(spark, sf, "donnees_financieres"), role(spark, sf, "unite_legale")
+    root, closing = run_dir(spark, "sector_sums"), F.col(C.closing)
+    wrong = F.when(F.col(C.category) == "BUILDING", F.lit("other")).otherwise(F.col(C.sector)).alias(C.sector)
+    early = ul.where(F.col(C.category) != "MACHINERY").select(C.siren, wrong)
+    spans = (closing < "1994-01-01", (closing >= "1994-01-01") & (closing < "1997-01-01"), closing >= "1997-01-01")
+    units = (early, ul.where(F.col(C.category) == "MACHINERY"), ul.where(F.col(C.category) == "BUILDING"))
+    for at, (span, given) in enumerate(zip(spans, units)):
+        add_increment(root, f"increment {at}", fin.where(span), given)
+    return sector_sums(spark, root)
