@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..session import materialize
 from . import key_index as index
@@ -34,7 +35,11 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    chosen = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("__row"))
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    # maps have no order of their own: their sorted entries do
+    order = [F.array_sort(F.map_entries(F.col(f"`{c}`"))) if isinstance(df.schema[c].dataType, MapType) else F.col(f"`{c}`") for c in rest]
+    plain = not any(isinstance(df.schema[c].dataType, MapType) for c in rest)
+    chosen = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg((F.max(row) if plain else F.max_by(row, F.struct(*order))).alias("__row"))
     return chosen.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`") for c in df.columns])
 
 
@@ -122,14 +127,16 @@ def append_new(
 def save_bucketed(
     df: DataFrame, table: str, path: str, key: str, buckets: int, partition_by: str | None = None
 ) -> DataFrame:
-    """Store a table bucketed (and sorted) by ``key`` at ``path`` and register it.
+    """Store a table bucketed (and sorted) by ``key`` at ``path`` and register it. A bucket is written by one
+    task, a large one by several (adaptive rebalancing), so a table has few files.
 
     Tables bucketed the same way on the join key are joined without any shuffle of either
     side (the buckets line up), which removes the dominant cost of the repeated unit-key
     joins (establishments, units, accounts) when the same tables are queried many times.
     The bucket count should be fixed per deployment (≈ total size / 256 MB) and shared by
     every table joined on the key. Returns the registered table."""
-    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    dealt = df.withColumn("__bucket", F.pmod(F.hash(F.col(f"`{key}`")), F.lit(buckets))).hint("rebalance", F.col("__bucket")).drop("__bucket")
+    writer = dealt.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)

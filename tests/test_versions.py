@@ -171,3 +171,19 @@ def test_index_or_partitions(spark, tmp_table):
     with pytest.raises(ValueError):
         sinks.append_new(keyed(spark, 0, 1), tmp_table, ["k"], partition_col="v", key_index=True)
     assert not os.path.exists(tmp_table)
+
+
+def test_rows_with_maps_have_an_order(spark, tmp_table):
+    rows = [("a", 1, {"x": 1}), ("a", 1, {"y": 0, "x": 2}), ("a", 1, None), ("b", None, None)]
+    df = spark.createDataFrame(rows, "k string, n int, m map<string, int>")
+    for parts in (1, 4):
+        out = {r.k: r.m for r in sinks.one_per_key(df.repartition(parts), ["k"]).collect()}
+        assert out == {"a": {"x": 2, "y": 0}, "b": None}
+    assert [sinks.append_new(df, tmp_table, ["k"])["rows"] for _ in range(2)] == [2, 0]
+
+
+def test_buckets_have_few_files(spark, tmp_table):
+    df = spark.range(4000).repartition(8).select((F.col("id") % 50).cast("string").alias("siren"), "id")
+    stored = sinks.save_bucketed(df, "few_files", f"{tmp_table}/b", "siren", 6)
+    assert len(stored.inputFiles()) == 6 and stored.count() == 4000
+    spark.sql("DROP TABLE few_files")
