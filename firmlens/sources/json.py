@@ -115,6 +115,16 @@ def read_pages(
     return parse_pages(spark, path, schema, multi_line, quarantine).records(records_field, single_field)
 
 
+def _lists(records: DataFrame, group: Column, item: Column, most: int, out: str) -> DataFrame:
+    """``(out)``: the items of each group as lists; groups of more than ``most`` in several lists of about that size."""
+    rows = records.select(group.alias("__group"), item.alias("__item"))
+    # the sizes of the large groups only, so that a hot group is dealt out before it is gathered
+    large = rows.groupBy("__group").count().where(F.col("count") > most).select(F.col("__group").alias("__large"), F.ceil(F.col("count") / most).alias("__lists"))
+    dealt = rows.join(large, F.col("__group").eqNullSafe(F.col("__large")), "left")
+    dealt = dealt.withColumn("__list", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("__lists")), F.lit(0)))
+    return dealt.groupBy("__group", "__list").agg(F.collect_list("__item").alias(out)).select(out)
+
+
 def write_pages(
     records: DataFrame,
     path: str,
@@ -127,20 +137,14 @@ def write_pages(
 ) -> None:
     """Land records as API-style pages, one JSON envelope per line.
 
-    ``page_of`` assigns each record to a page and must bound the page size (e.g. a dense
-    unique key divided by the page size): a page is built as one list in one task, and a page
-    of more than ``max_page`` records fails. ``exclude`` lists columns used for paging only (not
-    part of the records).
+    ``page_of`` assigns each record to a page. A page is built as one list, so one of more than ``max_page`` records is
+    written as several of about that size. ``exclude`` lists columns used for paging only (not part of the records).
     """
-    pages = records.groupBy(page_of.alias("__page")).agg(
-        F.collect_list(F.struct(*[F.col(f"`{c}`") for c in records.columns if c not in exclude]))
-        .alias(records_field)
-    )
-    too_large = F.concat(F.lit(f"a page has more than {max_page} records: "), F.col("__page").cast("string"))
-    pages = pages.withColumn(records_field, F.when(F.size(records_field) > max_page, F.raise_error(too_large)).otherwise(F.col(records_field)))
+    record = F.struct(*[F.col(f"`{c}`") for c in records.columns if c not in exclude])
+    pages = _lists(records, page_of, record, max_page, records_field)
     if with_total:
         pages = pages.withColumn("total", records.select(F.count(F.lit(1))).scalar())
-    pages.drop("__page").write.mode(mode).options(**TIMESTAMP_OPTIONS).json(path)
+    pages.write.mode(mode).options(**TIMESTAMP_OPTIONS).json(path)
 
 
 def read_geojson(
@@ -183,9 +187,10 @@ def write_geojson(
     lon: str,
     lat: str,
     collection_of: Column,
+    max_features: int = 100_000,
 ) -> None:
     """Write point features as FeatureCollections, one collection per line; ``collection_of``
-    groups features into collections and must bound their size."""
+    groups features into collections, those of more than ``max_features`` into several."""
     feat = F.struct(
         F.lit("Feature").alias("type"),
         F.struct(*[F.col(p) for p in properties]).alias("properties"),
@@ -193,5 +198,5 @@ def write_geojson(
             "geometry"
         ),
     )
-    coll = features.groupBy(collection_of.alias("__c")).agg(F.collect_list(feat).alias("features"))
+    coll = _lists(features, collection_of, feat, max_features, "features")
     coll.select(F.lit("FeatureCollection").alias("type"), "features").write.mode("overwrite").json(path)

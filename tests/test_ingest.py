@@ -198,3 +198,17 @@ def test_preview(spark):
     df = spark.createDataFrame([(k, "own") for k in range(20)], "k int, n string")
     assert preview(df).count() == 5 and preview(df, 50).count() == 20
     assert {r.k for r in preview(df, 3).collect()} <= set(range(20))
+
+
+def test_large_pages_are_written_as_several(spark, tmp_table):
+    from firmlens.sources import json as J
+
+    recs = spark.range(1000).select("id", F.when(F.col("id") < 900, F.lit(7)).when(F.col("id") < 950, F.lit(8)).alias("page"))
+    J.write_pages(recs, f"{tmp_table}/p", "rs", F.col("page"), exclude=["page"], max_page=100)
+    sizes = [r.n for r in spark.read.json(f"{tmp_table}/p").select(F.size("rs").alias("n")).collect()]
+    assert sum(sizes) == 1000 and max(sizes) < 200 and len(sizes) >= 11 and sizes.count(50) >= 2
+    got = J.read_pages(spark, f"{tmp_table}/p", "total long, rs array<struct<id: long>>", "rs")
+    assert sorted(r.id for r in got.collect()) == list(range(1000))
+    geo = spark.range(50).select("id", F.lit(1.0).alias("x"), F.lit(2.0).alias("y"))
+    J.write_geojson(geo, f"{tmp_table}/g", ["id"], "x", "y", F.lit(0), max_features=10)
+    assert spark.read.text(f"{tmp_table}/g").count() == 5
