@@ -30,9 +30,9 @@ from firmlens.llm.common import SLICE_ROWS, binary_column, map_batches, stored
 MAX_WORDS = 5
 LEAST_COUNT = 100
 BLOCK_BYTES = 4 << 20  # text whose phrases are counted at once
-BITS_EACH, MOST_BITS = 16, 1 << 27  # size of a bit table: per phrase, and at most
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 22, 1 << 27  # size of a bit table: per phrase, at least (few chance hits), at most
 LONG_WORD = 64  # bytes
-FIRST_WORDS = 8  # words that the first round grows, times k; twice as many each time
+FIRST_SHARE = 0.25  # of the language's words stand where the first round grows phrases; twice as many each time
 
 # A-Z lower-cased; 0xFF, which is in no text, parts pieces; a tab parts words as a space does
 BREAK, SPACE = 255, 32
@@ -274,7 +274,7 @@ def hashed(phrases: DataFrame) -> DataFrame:
 def bit_tables(hashes: DataFrame) -> dict[int, np.ndarray]:
     """Bit tables of ``hashes(role, h)``, by role."""
     sizes = {r.role: r.n for r in hashes.groupBy("role").agg(F.count("*").alias("n")).collect()}
-    bits = {r: min(MOST_BITS, 1 << max(10, (BITS_EACH * n - 1).bit_length())) for r, n in sizes.items()}
+    bits = {r: min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * n - 1).bit_length())) for r, n in sizes.items()}
     tables = {r: np.zeros(n // 64, np.uint64) for r, n in bits.items()}
     if not tables:
         return tables
@@ -326,11 +326,17 @@ def mine_collocations(docs: DataFrame, k: int = 2000, text: str = "text", lang:
     texts = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
     counted = stored(count_words(texts).where(f"phrase = '' OR n >= {least}"), "collocation_words")
     totals = counted.where("phrase = ''").select("lang", "n")
-    words = counted.where("phrase <> ''").selectExpr("lang", "phrase", "n AS a", "false AS grown")
+    words = counted.where("phrase <> ''").selectExpr("lang", "phrase", "n AS a")
+    grown = words.select("lang", "phrase").limit(0)
     fixed = bit_tables(hashed(words.select("lang", "phrase", F.lit(WORD).alias("role"))))
     nodes = words.selectExpr("lang", "phrase", "1 AS size", "a", "cast(null AS boolean) AS same")
     none = docs.sparkSession.createDataFrame([], "role int, h long")
-    pending, through, done, admitted, step = none, none, none.select("h"), FIRST_WORDS * k, 0
+    # words by how often they occur, in steps of 2^(1/8), and how many places rarer words have
+    step_of = F.floor(F.log2("a") * 8).cast("int")
+    steps = words.groupBy("lang", step_of.alias("step")).agg(F.sum("a").alias("places"))
+    rarer = F.sum("places").over(Window.partitionBy("lang").orderBy("step")) - F.col("places")
+    steps = stored(steps.select("lang", "step", rarer.alias("rarer")), "collocation_steps")
+    pending, through, done, share, step = none, none, none.select("h"), FIRST_SHARE, 0
     while True:
         step += 1
         judged = stored(_judged(nodes, totals, k), "collocation_judged")
@@ -338,19 +344,20 @@ def mine_collocations(docs: DataFrame, k: int = 2000, text: str = "text", lang:
         place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("best.score")))
         kth = alive.withColumn("place", place).where(F.col("place") == k).select("lang", F.col("best.score").alias("least"))
         # words whose bound reaches the k-th score, the rarest first; the second round waits for the first scores
-        open_ = words.where("NOT grown").join(totals, "lang").join(kth, "lang", "left")
+        open_ = words.join(grown, ["lang", "phrase"], "left_anti").join(totals, "lang").join(kth, "lang", "left")
         open_ = open_.where("1000 * cast(n AS decimal(38,0)) div a >= coalesce(least, 0)")
-        place = F.row_number().over(Window.partitionBy("lang").orderBy("a", "phrase"))
-        new = open_.withColumn("place", place).where(F.col("place") <= (0 if step == 2 else admitted)).select("lang", "phrase")
+        new = open_.withColumn("step", step_of).join(steps, ["lang", "step"])
+        new = new.where(F.lit(step != 2) & (F.col("rarer") <= share * F.col("n"))).select("lang", "phrase")
         close = judged.join(kth, "lang", "left").where("ub >= coalesce(least, 0)")
         wanted = close.select("lang", F.explode(F.concat("heads", "rests")).alias("phrase")).distinct()
         asked = stored(new.withColumn("role", F.lit(GROW)).unionByName(wanted.withColumn("role", F.lit(PROBE))), "collocation_asked")
         hashes = stored(hashed(asked).unionByName(pending), "collocation_hashes")
         if hashes.isEmpty():
-            if step == 2:
-                continue
-            break
-        through = stored(through.unionByName(hashes.where(F.col("role") != PROBE).select(F.lit(THROUGH).alias("role"), "h")).distinct(), "collocation_through")
+            if share >= 1 and step != 2:
+                break
+            share = 1
+            continue
+        through = through.unionByName(hashes.where(F.col("role") != PROBE).select(F.lit(THROUGH).alias("role"), "h"))
         tables = fixed | bit_tables(hashes.where(F.col("role") != THROUGH).unionByName(through))
         empty = np.zeros(1, np.uint64)
         sent = docs.sparkSession.sparkContext.broadcast([tables.get(r, empty) for r in (WORD, GROW, PROBE, THROUGH)])
@@ -361,9 +368,8 @@ def mine_collocations(docs: DataFrame, k: int = 2000, text: str = "text", lang:
         more = found.where("h IS NULL").selectExpr("lang", "phrase", "size", "n AS a", "same")
         nodes = nodes.unionByName(more).groupBy("lang", "phrase").agg(F.max("size").alias("size"), F.max("a").alias("a"), F.bool_or("same").alias("same"))
         nodes = stored(nodes, "collocation_nodes")
-        grown = asked.where(F.col("role") == GROW).select("lang", "phrase", F.lit(True).alias("now"))
-        words = stored(words.join(grown, ["lang", "phrase"], "left").selectExpr("lang", "phrase", "a", "grown OR now IS NOT NULL AS grown"), "collocation_grown")
-        admitted = min(2 * admitted, 1 << 40)
+        grown = grown.unionByName(asked.where(F.col("role") == GROW).select("lang", "phrase"))
+        share *= 1 if step == 2 else 2
     by = Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), "phrase")
     ranked = alive.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "best.l", "best.r", "n", "best.score", "best.cut")

@@ -61,7 +61,7 @@ def mined(spark, docs, k, least):
 
 @pytest.mark.parametrize("seed,k,least", [(0, 2000, 5), (1, 10, 3)])
 def test_brute_force(spark, monkeypatch, seed, k, least):
-    monkeypatch.setattr(C, "FIRST_WORDS", 1 if seed else 8)  # many rounds, so that bounds prune
+    monkeypatch.setattr(C, "FIRST_SHARE", 0.01 if seed else 0.25)  # many rounds, so that bounds prune
     docs = made(seed)
     assert mined(spark, docs, k, least) == brute(docs, k, least)
 
@@ -75,7 +75,6 @@ def test_bounds_prune(spark, monkeypatch):
         return hashed(phrases)
 
     monkeypatch.setattr(C, "hashed", seen)
-    monkeypatch.setattr(C, "FIRST_WORDS", 1)
     docs = [("en", f"pair{k} mate{k}. the of the.") for k in range(40) for _ in range(5 + k % 3)]
     assert mined(spark, docs, 10, 5) == brute(docs, 10, 5)
     assert not {"the", "of"} & {p for p, role in sent if role == C.GROW}
