@@ -59,3 +59,13 @@ def test_near_dedup_of_repeated_and_null_ids(spark):
     assert got.columns == docs.columns
     kept = sorted(((r.doc_id or 0, (r.text or "").lower().strip()) for r in got.collect()))
     assert kept == [(0, ""), (0, ""), (0, b), (1, a), (2, c), (4, "")]
+
+
+def test_near_dedup_of_repeated_ids(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(30)) for x in "ab")
+    rows = [(1, a), (1, a), (1, a.upper()), (2, b), (3, b), (4, ""), (4, ""), (4, None), (5, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(4)
+    got = C.near_dedup(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    kept = sorted((r.doc_id, "-" if r.text is None else r.text.lower()) for r in got.collect())
+    assert kept == [(1, a), (2, b), (4, ""), (4, "-"), (5, "-"), (6, "")]
