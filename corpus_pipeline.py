@@ -41,7 +41,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     words one, or none if a row with an id holds them. Rows without id and words all stay.
     """
     gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").alias("own"), _mark(docs["text"]).alias("mark"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").alias("own"), F.col("text").alias("words"))
+    if not docs.where("doc_id IS NULL").isEmpty():
+        return _one_of_equal_words(packed, gone).select("doc.*")
+    rows = packed.join(gone.withColumnRenamed("doc_id", "own"), "own", "left_anti")
+    # only the rows that repeat an id are looked at again: mostly few
+    repeated = stored(docs.groupBy(F.col("doc_id").alias("own")).count().where("count > 1").select("own"), "near_dedup_repeated")
+    single = rows.join(repeated, "own", "left_anti").select("doc")
+    again = rows.join(repeated, "own", "left_semi").select("doc", "own", _mark(F.col("words")).alias("mark"))
+    return single.unionByName(again.groupBy("own", "mark").agg(F.min("doc").alias("doc")).select("doc")).select("doc.*")
+
+
+def _one_of_equal_words(packed: DataFrame, gone: DataFrame) -> DataFrame:
+    """The same where ids are missing: equal words are looked for among all rows."""
+    marked = packed.withColumn("mark", _mark(F.col("words"))).drop("words")
     marked = marked.withColumn("mark", F.when(F.col("own").isNotNull() | (F.length("mark") > 16), F.substring("mark", 1, 16)))
     # hashes of rows that occur more than once: mostly few, so that no text is shuffled
     each = marked.where("mark IS NOT NULL").groupBy("own", "mark").count()
@@ -53,7 +66,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = marked.join(gone.withColumnRenamed("doc_id", "own"), "own", "left_anti")
     single = rows.join(repeated, "mark", "left_anti").select("doc")
     one = rows.join(repeated, "mark").where("own IS NOT NULL OR NOT named").groupBy("own", "mark").agg(F.min("doc").alias("doc")).select("doc")
-    return single.unionByName(one).select("doc.*")
+    return single.unionByName(one)
 
 
 def _mark(text: Column) -> Column:
