@@ -49,6 +49,7 @@ RULES = (
 )
 
 SPAN = "struct<kind:string,start:long,end:long>"
+BLOCK = 128  # matches walked at a time
 LEDGER = f"blob string, rule string, version string, spans array<{SPAN}>"
 
 
@@ -60,15 +61,23 @@ def rule_spans(text: str, rule: Rule) -> Column:
 
     none = f"cast(array() as array<{SPAN}>)"
     # per match: its text, the checked group and the gap before it; the gap after the last match pairs with null
-    match, checked, gap = "x['0']", "x['1']", "x['2']"
     rows = (
         f"arrays_zip(regexp_extract_all({text}, {lit(rule.pattern)}, 0), "
         f"regexp_extract_all({text}, {lit(rule.pattern)}, {rule.group}), split({text}, {lit(rule.pattern)}, -1))"
     )
+    match, checked, gap = "get(m, i)['0']", "get(m, i)['1']", "get(m, i)['2']"
+    # appending copies an array, so matches are walked in blocks: first what each measures, then its spans from where it begins
+    block = f"sequence(b * {BLOCK}, least((b + 1) * {BLOCK}, size(m) - 1) - 1)"
+    blocks = f"sequence(0, (size(m) - 2) div {BLOCK})"
+    sizes = f"transform({blocks}, b -> aggregate({block}, 0L, (n, i) -> n + length({gap}) + length({match})))"
+    begins = f"aggregate({sizes}, array(0L), (a, n) -> array_append(a, element_at(a, -1) + n))"
     start, end = f"a.at + length({gap})", f"a.at + length({gap}) + length({match})"
     span = f"named_struct('kind', {lit(rule.kind)}, 'start', {start}, 'end', {end})"
     step = f"named_struct('at', {end}, 'spans', if(length({checked}) >= {rule.least}, array_append(a.spans, {span}), a.spans))"
-    walk = f"aggregate({rows}, named_struct('at', 0L, 'spans', {none}), (a, x) -> if({match} is null, a, {step}), a -> a.spans)"
+    walk = f"aggregate({block}, named_struct('at', get(begins, b), 'spans', {none}), (a, i) -> {step}, a -> a.spans)"
+    # transform over an array of one binds a name, so that what stands for it is computed once
+    walks = f"transform(array({begins}), begins -> flatten(transform({blocks}, b -> {walk})))[0]"
+    walk = f"transform(array({rows}), m -> if(size(m) < 2, {none}, {walks}))[0]"
     sure = f"contains({text}, {lit(rule.literal)})" if rule.literal else f"{text} rlike {lit(rule.pattern)}"
     return F.expr(f"if({sure}, {walk}, {none})")
 

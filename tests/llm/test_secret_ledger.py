@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -57,3 +58,22 @@ def test_edges(spark):
     assert got.count() == docs.count()
     assert got.where("size(spans) = 1").count() == docs.where("text IS NOT NULL").count()
     assert S.scan_versions(docs.limit(0), run_dir(spark, "test_ledger"), path="doc_id").count() == 0
+
+
+def test_time_follows_the_hits_of_a_long_text(spark):
+    took = {}
+    for n in (2_000, 20_000, 40_000):
+        made = " ".join(f"token=abcdefgh{k:06d}" if k % 3 else "token=short" for k in range(n))
+        docs = spark.createDataFrame([(1, made)], "path long, text string")
+        start = time.monotonic()
+        [row] = S.scan_versions(docs, run_dir(spark, "test_ledger")).collect()
+        took[n] = time.monotonic() - start
+        assert [(s.kind, s.start, s.end) for s in row.spans] == plain_spans(made)
+    assert took[40_000] < 2.5 * took[20_000] + 2, took
+
+
+def test_blocks_of_matches(spark):
+    made = [" ".join(["AKIA" + "B" * 12] * n) + " AKIA" for n in (1, 127, 128, 129, 255, 256, 257)]
+    docs = spark.createDataFrame(list(enumerate(made)), "path long, text string")
+    for r in S.scan_versions(docs, run_dir(spark, "test_ledger")).collect():
+        assert [(s.kind, s.start, s.end) for s in r.spans] == plain_spans(made[r.path])
