@@ -2,8 +2,8 @@
 
 Every line has a 32-bit hash, and a rolling hash over it and the line before. A chunk ends after
 a line whose rolling hash is smaller than both neighbours', so boundaries depend on a few lines
-around them only and shift with the text. Two such lines are never neighbours: every chunk but
-a document's last has two lines or more. Chunks of several lines that occur more than once in
+around them only and shift with the text. Two such lines are never neighbours, and the last line
+but one is none: every chunk of a document of several lines has two lines or more. Chunks of several lines that occur more than once in
 the corpus are removed, but for their first occurrence (by doc_id, then place), after
 comparison of their bytes.
 
@@ -30,7 +30,7 @@ def line_chunks(df: DataFrame, text: str = "text") -> DataFrame:
     rolling = f"transform(hashes, (h, i) -> (if(i = 0, 0L, get(hashes, i - 1) * {MULTIPLIER}) + h) % {MODULUS})"
     cuts = (
         "filter(sequence(0, size(rolling)), i -> i = 0 or i = size(rolling) or "
-        "(i > 1 and get(rolling, i - 1) < get(rolling, i - 2) and get(rolling, i - 1) < get(rolling, i)))"
+        "(i > 1 and i < size(rolling) - 1 and get(rolling, i - 1) < get(rolling, i - 2) and get(rolling, i - 1) < get(rolling, i)))"
     )
     pairs = "transform(slice(cuts, 1, size(cuts) - 1), (c, k) -> named_struct('start', c, 'size', get(cuts, k + 1) - c))"
     out = df.withColumn("lines", F.split(F.col(text), "\n", -1))
@@ -39,8 +39,11 @@ def line_chunks(df: DataFrame, text: str = "text") -> DataFrame:
     return out.drop("hashes", "rolling", "cuts")
 
 
-def _chunk_text(start: str, size: str) -> str:
-    return f"array_join(slice(lines, {start} + 1, {size}), '\\n')"
+def _with_text(chunks: str, fields: str) -> str:
+    """The array ``chunks`` (elements c) with the field ``chunk``, the joined lines, after ``fields``."""
+    # transform over an array of one binds the lines, so that they are never split anew per chunk
+    joined = "array_join(transform(sequence(c.start, c.start + c.size - 1), i -> get(ls, i)), '\\n')"
+    return f"transform(array(lines), ls -> transform({chunks}, c -> named_struct({fields}, 'chunk', {joined})))[0]"
 
 
 def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -55,10 +58,9 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "d
     found = line_chunks(packed.select("id", "mark", "text"))
     # explode_outer: for a plain explode Spark would infer a filter on the chunks and, pushing it down,
     # repeat the whole chain of steps inside it
-    occurrence = found.select("id", "mark", "lines", F.explode_outer("chunks").alias("c")).where("c.size > 1")
-    hashed = occurrence.selectExpr("id", "mark", "c.start", "c.size", f"{_chunk_text('c.start', 'c.size')} AS chunk").where(
-        "chunk rlike '[^ \\t\\r\\n\\f\\x0B]'"
-    ).selectExpr("id", "mark", "start", "size", "xxhash64(chunk) AS hash")
+    texts = _with_text("filter(chunks, c -> c.size > 1)", "'start', c.start, 'size', c.size")
+    occurrence = found.select("id", "mark", F.expr(texts).alias("texts")).select("id", "mark", F.explode_outer("texts").alias("c"))
+    hashed = occurrence.where("c.chunk rlike '[^ \\t\\r\\n\\f\\x0B]'").selectExpr("id", "mark", "c.start", "c.size", "xxhash64(c.chunk) AS hash")
     hashed = stored(hashed, "line_chunk_hashes")
     # stored: a join of two exchanges, so adaptive execution can split a hash that many documents share
     repeated = stored(hashed.groupBy("hash").count().where("count > 1").select("hash"), "line_chunk_repeated")
@@ -66,13 +68,9 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "d
     # bytes of the candidates
     same = lambda other: packed["id"].eqNullSafe(other["id"]) & (packed["mark"] == other["mark"])
     wanted = wanted.hint("merge")
-    lines = packed.join(wanted, same(wanted)).select(
-        packed["id"], packed["mark"], F.split(packed["text"], "\n", -1).alias("lines"), F.explode("wanted").alias("c")
-    )
-    bytes_ = stored(
-        lines.selectExpr("id", "mark", "c.start", "c.size", "c.hash", f"{_chunk_text('c.start', 'c.size')} AS chunk"),
-        "line_chunk_bytes", compression="zstd",
-    )
+    lines = packed.join(wanted, same(wanted)).select(packed["id"], packed["mark"], F.split(packed["text"], "\n", -1).alias("lines"), "wanted")
+    texts = _with_text("wanted", "'start', c.start, 'size', c.size, 'hash', c.hash")
+    bytes_ = stored(lines.select("id", "mark", F.inline(F.expr(texts))), "line_chunk_bytes", compression="zstd")
     place = F.struct("id", "mark", "start")
     first = bytes_.groupBy("hash", "chunk").agg(F.min(place).alias("first"))
     first = stored(first, "line_chunk_first", compression="zstd")  # as for the repeated hashes
@@ -87,7 +85,11 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "d
         "doc", F.coalesce("removed", F.expr("cast(array() as array<struct<start:int,size:int>>)")).alias("removed"),
         F.split(F.col(f"doc.`{text}`").cast("string"), "\n", -1).alias("lines"),  # not the copy: it would be shuffled too
     )
-    keep = "filter(lines, (l, i) -> not exists(removed, r -> i >= r.start and i < r.start + r.size))"
+    # the lines between removed chunks, one walk over both
+    upto = "coalesce(get(removed, k).start, size(ls))"
+    after = "coalesce(get(removed, k - 1).start + get(removed, k - 1).size, 0)"
+    between = f"if({after} < {upto}, transform(sequence({after}, {upto} - 1), i -> get(ls, i)), cast(array() as array<string>))"
+    keep = f"transform(array(lines), ls -> if(ls is null, null, flatten(transform(sequence(0, size(removed)), k -> {between}))))[0]"
     return joined.select(
         "doc", F.expr(f"array_join({keep}, '\\n')").alias("clean"),
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"), "removed",

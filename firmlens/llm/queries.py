@@ -144,7 +144,7 @@ WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents W
 lines AS (SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS l FROM split),
 hashed AS (SELECT *, CAST('0x' || substr(md5(l), 1, 8) AS BIGINT) AS h FROM lines),
 rolled AS (SELECT *, (coalesce(lag(h) OVER w * 1000003, 0) + h) % 4294967296 AS r FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-ends AS (SELECT *, coalesce(r < lag(r) OVER w AND r < lead(r) OVER w, false) AS cut FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+ends AS (SELECT *, coalesce(r < lag(r) OVER w AND r < lead(r) OVER w AND lead(r, 2) OVER w IS NOT NULL, false) AS cut FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 numbered AS (SELECT *, coalesce(sum(CAST(cut AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM ends),
 chunks AS MATERIALIZED (SELECT doc_id, k, min(i) AS start, count(*) AS size, string_agg(l, chr(10) ORDER BY i) AS chunk FROM numbered GROUP BY doc_id, k),
 removed AS (SELECT doc_id, k, start, size FROM (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, start) AS n

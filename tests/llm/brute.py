@@ -82,7 +82,7 @@ def chunks(text):
     lines = text.split("\n")
     h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
     r = [((h[i - 1] * 1_000_003 if i else 0) + h[i]) % 2**32 for i in range(len(h))]
-    cuts = [0, *(i + 1 for i in range(1, len(r) - 1) if r[i - 1] > r[i] < r[i + 1]), len(r)]
+    cuts = [0, *(i + 1 for i in range(1, len(r) - 2) if r[i - 1] > r[i] < r[i + 1]), len(r)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -46,3 +47,22 @@ def test_edges(spark):
     assert all(not r.removed for r in rows if r.doc_id == 1)  # a repeated row is the same document
     assert [len(r.clean) < len(r.text) for r in rows if r.doc_id in (5, 6)] in ([False, True], [True, False])
     assert remove_repeated_chunks(docs.limit(0)).count() == 0
+
+
+def test_exact_copy_leaves_nothing(spark):
+    for n in (2, 3, 7, 500):
+        text = "\n".join(f"line {k} of {n}" for k in range(n))
+        got = remove_repeated_chunks(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string"))
+        assert {r.doc_id: r.clean for r in got.select("doc.doc_id", "clean").collect()} == {1: text, 2: ""}
+
+
+def test_time_follows_the_lines_of_a_long_text(spark):
+    took = {}
+    for n in (2_000, 20_000, 40_000):
+        text = "\n".join(f"line {k}" for k in range(n))
+        docs = spark.createDataFrame([(1, text), (2, text + "\nown\nend")], "doc_id long, text string")
+        start = time.monotonic()
+        rows = {r.doc_id: r for r in remove_repeated_chunks(docs).select("doc.doc_id", "clean", "n_lines").collect()}
+        took[n] = time.monotonic() - start
+        assert rows[1].clean == text and rows[2].clean.endswith("own\nend") and len(rows[2].clean) < 100
+    assert took[40_000] < 2.5 * took[20_000] + 2, took
