@@ -22,7 +22,8 @@ from firmlens.llm.common import map_batches, stored, vector_function
 from firmlens.session import run_dir
 
 ROUNDS = 6
-MAX_FILES = 200_000  # files of the sequence table whose row counts are sent to the tasks
+MAX_FILES = 200_000  # files of the stored sequence table, at most; their row counts are sent to the tasks
+MAX_TASKS = 20_000  # tasks that write shards, at most: each writes a run of shards
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -113,10 +114,8 @@ def write_training_order(
     """
     spark = sequences.sparkSession
     path = path or run_dir(spark, "training_order")
-    table = stored(sequences, "training_sequences", compression="zstd")
-    counts = table.groupBy(F.col("_metadata.file_path").alias("file")).count().limit(MAX_FILES + 1).collect()
-    if len(counts) > MAX_FILES:
-        raise ValueError(f"the sequence table has more than {MAX_FILES} files: repartition the input")
+    table = stored(sequences, "training_sequences", parts=MAX_FILES, compression="zstd", maxRecordsPerFile="0")
+    counts = table.groupBy(F.col("_metadata.file_path").alias("file")).count().collect()
     n, start = 0, []
     for r in sorted(counts, key=lambda r: r["file"]):
         start.append((r["file"], n))
@@ -136,6 +135,6 @@ def write_training_order(
         .withColumn("shard", F.floor(F.col("slot") / shard_rows))
         .select("doc_id", "seq_no", "n_tokens", "slot", "tokens", "shard")
     )
-    dealt = slots.repartitionByRange(math.ceil(n / shard_rows), "shard").sortWithinPartitions("shard", "slot")
+    dealt = slots.repartitionByRange(min(MAX_TASKS, math.ceil(n / shard_rows)), "shard").sortWithinPartitions("shard", "slot")
     dealt.withColumn("tokens", F.rpad("tokens", F.lit(2 * length), pad)).write.partitionBy("shard").option("compression", "zstd").parquet(path)
     return shards

@@ -52,3 +52,15 @@ def test_same_table_same_key_same_order(spark):
     cut = T.cut_sequences(df, 4, 9)
     a, b, c = ({r.doc_id: r.slot for r in T.write_training_order(cut, key=k, length=4, pad_id=9).read(spark).collect()} for k in (1, 1, 2))
     assert a == b != c
+
+
+def test_few_files_and_tasks_write_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(T, "MAX_FILES", 3)
+    monkeypatch.setattr(T, "MAX_TASKS", 2)
+    df = spark.createDataFrame([(k, ids(k)) for k in range(100)], "doc_id long, ids binary").repartition(7)
+    shards = T.write_training_order(T.cut_sequences(df, 4, 9), key=3, length=4, pad_id=9, shard_rows=10)
+    rows = shards.read(spark).collect()
+    assert sorted(r.slot for r in rows) == list(range(100)) and sorted(r.doc_id for r in rows) == list(range(100))
+    for k in range(10):
+        one = spark.read.parquet(f"{shards.path}/shard={k}")
+        assert len(one.inputFiles()) == 1 and [r.slot for r in one.collect()] == list(range(10 * k, 10 * k + 10))
