@@ -33,7 +33,7 @@ def quarantine_pages(spark: SparkSession, sf: str) -> DataFrame:
     page = F.expr(PAGE)
     json.write_pages(recs.where(page % 7 != 3), path, "etablissements", page)
     faulty = recs.where(page % 7 == 3).groupBy(page.alias("p")).agg(F.collect_list(F.struct(*recs.columns)).alias("etablissements"))
-    faulty.select(F.lit("many").alias("total"), "etablissements").write.mode("append").json(path)
+    faulty.select(F.lit("many").alias("total"), "etablissements").write.mode("append").options(**json.LANDED_OPTIONS).json(path)
     runs = [json.parse_pages(spark, path, _envelope(recs, "etablissements"), quarantine=aside) for _ in range(2)]
     records = runs[1].records("etablissements").select(F.lit("record").alias("kind"), "siret")
     lost = json.quarantined(spark, aside).select(

@@ -27,6 +27,11 @@ TIMESTAMP_OPTIONS = {
 }
 
 
+# Landed JSON is kept compressed. Such a file is read by one task: writers here make one per shuffle partition, which
+# adaptive execution holds to its advisory size.
+LANDED_OPTIONS = {**TIMESTAMP_OPTIONS, "compression": "gzip"}
+
+
 QUARANTINE_SCHEMA = "hash string, document string, parsed string, read_at timestamp"
 
 
@@ -120,7 +125,8 @@ def _lists(records: DataFrame, group: Column, item: Column, most: int, out: str)
     rows = records.select(group.alias("__group"), item.alias("__item"))
     # the sizes of the large groups only, so that a hot group is dealt out before it is gathered
     large = rows.groupBy("__group").count().where(F.col("count") > most).select(F.col("__group").alias("__large"), F.ceil(F.col("count") / most).alias("__lists"))
-    dealt = rows.join(large, F.col("__group").eqNullSafe(F.col("__large")), "left")
+    # at most one large group per ``most`` rows: broadcast, so that the records are shuffled once, by the grouping
+    dealt = rows.join(F.broadcast(large), F.col("__group").eqNullSafe(F.col("__large")), "left")
     dealt = dealt.withColumn("__list", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("__lists")), F.lit(0)))
     return dealt.groupBy("__group", "__list").agg(F.collect_list("__item").alias(out)).select(out)
 
@@ -144,7 +150,7 @@ def write_pages(
     pages = _lists(records, page_of, record, max_page, records_field)
     if with_total:
         pages = pages.withColumn("total", records.select(F.count(F.lit(1))).scalar())
-    pages.write.mode(mode).options(**TIMESTAMP_OPTIONS).json(path)
+    pages.write.mode(mode).options(**LANDED_OPTIONS).json(path)
 
 
 def read_geojson(

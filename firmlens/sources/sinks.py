@@ -47,7 +47,8 @@ def not_stored(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> Data
     """The rows of a (materialized) batch whose key ``stored`` lacks; null key parts match null.
 
     ``stored`` is cut down to the batch's keys first: the batch has its size from files, so a small
-    one is broadcast and the stored keys are scanned without a shuffle."""
+    one is broadcast and the stored keys are scanned without a shuffle. What is left of them is kept, and has
+    its size from files too: unless these are many, they are broadcast and a large batch isn't shuffled."""
 
     def matches(left: DataFrame, right: DataFrame) -> list[Column]:
         return [left[k].eqNullSafe(right[f"__{k}"]) for k in keys]
@@ -55,7 +56,7 @@ def not_stored(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> Data
     wanted = batch.select(*[F.col(k).alias(f"__{k}") for k in keys])
     old = stored.select(*keys)
     old = old.join(wanted, on=matches(old, wanted), how="left_semi").distinct()
-    old = old.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    old = materialize(old.select(*[F.col(k).alias(f"__{k}") for k in keys]), "stored_keys")
     return batch.join(old, on=matches(batch, old), how="left_anti")
 
 

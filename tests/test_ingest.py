@@ -212,3 +212,39 @@ def test_large_pages_are_written_as_several(spark, tmp_table):
     geo = spark.range(50).select("id", F.lit(1.0).alias("x"), F.lit(2.0).alias("y"))
     J.write_geojson(geo, f"{tmp_table}/g", ["id"], "x", "y", F.lit(0), max_features=10)
     assert spark.read.text(f"{tmp_table}/g").count() == 5
+
+
+def test_pages_are_compressed_and_records_shuffled_once(spark, tmp_table):
+    import os
+
+    from firmlens.sources import json as J
+
+    recs = spark.range(5000).select("id", F.expr("id % 40").alias("page"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")  # inputs are large next to it
+    try:
+        lists = J._lists(recs, F.col("page"), F.struct("id"), 100, "rs")
+        assert "SortMergeJoin" not in lists._jdf.queryExecution().executedPlan().toString()
+        J.write_pages(recs, f"{tmp_table}/p", "rs", F.col("page"), exclude=["page"], max_page=100)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    files = [f for f in os.listdir(f"{tmp_table}/p".removeprefix("file:")) if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    got = J.read_pages(spark, f"{tmp_table}/p", "total long, rs array<struct<id: long>>", "rs")
+    assert sorted(r.id for r in got.collect()) == list(range(5000))
+
+
+def test_large_batch_is_not_shuffled_for_few_stored_keys(spark, tmp_table):
+    from firmlens.sources import sinks
+
+    spark.range(20000).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("v")).write.parquet(f"{tmp_table}/b")
+    spark.range(19990, 40000).select(F.col("id").cast("string").alias("k")).write.parquet(f"{tmp_table}/s")
+    batch, stored = spark.read.parquet(f"{tmp_table}/b"), spark.read.parquet(f"{tmp_table}/s")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        new = sinks.not_stored(batch, stored, ["k"])
+        assert "SortMergeJoin" not in new._jdf.queryExecution().executedPlan().toString()
+        assert new.count() == 19990
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
