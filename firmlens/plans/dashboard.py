@@ -55,20 +55,23 @@ C = Cols()
 
 
 def dashboard_mart(
-    etab: DataFrame, ul: DataFrame, naf: DataFrame, cols: Cols = C, salt_buckets: int | None = None
+    etab: DataFrame, ul: DataFrame, naf: DataFrame, cols: Cols = C, salt_buckets: int | None = None, dealt_by: str | None = None
 ) -> DataFrame:
     """Establishments ⟕ legal-unit attributes ⟕ sector labels, with coordinates in
     degrees; a missing name falls back to the establishment number; rows whose position
     cannot be converted are dropped. With ``salt_buckets`` the unit join salts hot units
-    explicitly (for sessions without adaptive skew-join handling)."""
+    explicitly (for sessions without adaptive skew-join handling). ``dealt_by`` rebalances the rows by a column, for a
+    writer that partitions by it: before labels and degrees are added, so that these aren't shuffled."""
     unit_cols = [cols.sector, cols.name, cols.category, cols.category_year]
     if salt_buckets:
         df = join_left_parent_salted(etab, ul, cols.siren, unit_cols, buckets=salt_buckets)
     else:
         df = join_left_parent(etab, ul, cols.siren, unit_cols)
     df = df.withColumn(cols.name, default_from(cols.name, cols.siret))
-    df = join_label_lookup(df, naf, cols.sector, cols.code, [cols.label], keep_code_as=cols.code)
     df = df.where(lambert93_defined(cols.x, cols.y))
+    if dealt_by:
+        df = df.hint("rebalance", F.col(dealt_by))
+    df = join_label_lookup(df, naf, cols.sector, cols.code, [cols.label], keep_code_as=cols.code)
     return lambert93_to_wgs84(df, cols.x, cols.y, "longitude", "latitude")
 
 

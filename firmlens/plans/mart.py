@@ -24,7 +24,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import materialize
 from ..sources.tables import delete_folder, file_status, read_table, sub_folders
-from ..sources.versions import KEPT, expire, live_parts, publish_together, read_published
+from ..sources.versions import KEPT, expire, live_parts, publish_together, read_part, read_published, stage
 from .dashboard import C, Cols, dashboard_mart
 
 PARTS = 16  # parts of the mart, one per run, before it is written anew as one
@@ -56,13 +56,14 @@ def files_state(*inputs: DataFrame) -> str:
 
 
 def _hashes(etab: DataFrame, ul: DataFrame, naf: DataFrame, cols: Cols) -> DataFrame:
-    """One row per key of each input: how many rows it has and a hash over them, whatever their order."""
+    """One row per row of each input: its key, a count of 1 and its hash. Nothing is gathered by key here: ``_touched``
+    does that once, for both sides."""
 
     def rows(df: DataFrame, kind: str, k1: str, k2: Column, place: Column, using: list[str]) -> DataFrame:
         hashed = F.xxhash64(*[F.struct(F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for c in using])
-        return df.select(F.col(k1).cast("string").alias("k1"), k2.alias("k2"), place.alias("place"), hashed.alias("h")).groupBy("k1", "k2", "place").agg(
-            F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("hash")
-        ).select(F.lit(kind).alias("kind"), "k1", "k2", "place", "n", "hash")
+        return df.select(F.col(k1).cast("string").alias("k1"), k2.alias("k2"), place.alias("place"), F.lit(1).cast("long").alias("n"), hashed.alias("hash")).select(
+            F.lit(kind).alias("kind"), "k1", "k2", "place", "n", "hash"
+        )
 
     none = F.lit(None).cast("string")
     unit_cols = [cols.siren, cols.sector, cols.name, cols.category, cols.category_year]
@@ -74,9 +75,10 @@ def _hashes(etab: DataFrame, ul: DataFrame, naf: DataFrame, cols: Cols) -> DataF
 
 
 def _touched(old: DataFrame, new: DataFrame, etab: DataFrame, ul: DataFrame, cols: Cols) -> DataFrame:
-    """``(place)``: the places whose rows may differ."""
-    both = old.withColumn("now", F.lit(False)).unionByName(new.withColumn("now", F.lit(True)))
-    changed = both.groupBy("kind", "k1", "k2", "place", "n", "hash").agg(F.count(F.lit(1)).alias("sides")).where("sides = 1")
+    """``(place)``: the places whose rows may differ: those of a key that has more or fewer rows than it had, or rows
+    with another hash over them, whatever their order."""
+    both = old.withColumn("n", -F.col("n")).unionByName(new)
+    changed = both.groupBy("kind", "k1", "k2", "place").agg(F.sum("n").alias("n"), F.bit_xor("hash").alias("hash")).where("n <> 0 OR hash <> 0")
     changed = materialize(changed.select("kind", "k1", "place").distinct(), "mart_changed")
     codes = changed.where("kind = 'label'").select(F.col("k1").alias("__code")).distinct()
     relabelled = ul.join(codes, ul[cols.sector].cast("string").eqNullSafe(codes["__code"]), "left_semi").select(F.col(cols.siren).cast("string").alias("__unit"))
@@ -101,20 +103,21 @@ def refresh_mart(
     whole = not known or not used <= there or len(used) >= parts
     if not whole and read_published(spark, root, "files").first()["state"] == state:
         return Refresh("unchanged")
-    new = materialize(_hashes(etab, ul, naf, cols), "mart_hashes")
+    hashes = stage(_hashes(etab, ul, naf, cols), root, "hashes")  # before the rows: what changes meanwhile is found by the next run
     part = uuid.uuid4().hex
     mine = etab
     if not whole:
+        new = read_part(spark, root, hashes, StructType.fromDDL(_ROWS))
         touched = materialize(_touched(read_published(spark, root, "hashes"), new, etab, ul, cols), "mart_touched")
         mine = etab.join(touched, etab[cols.place].cast("string").eqNullSafe(touched["place"]), "left_semi")
-    mart = dashboard_mart(mine, ul, naf, cols)
+    mart = dashboard_mart(mine, ul, naf, cols, dealt_by=cols.place)
     path = f"{root}/rows/part={part}"
-    mart.hint("rebalance", F.col(cols.place)).write.partitionBy(cols.place).parquet(path)
+    mart.write.partitionBy(cols.place).parquet(path)
     now = _read_part(spark, path, mart.schema).select(F.col(cols.place).cast("string").alias("place")).distinct().withColumn("part", F.lit(part))
     if not whole:
         now = covers.join(touched.select(F.col("place").alias("__p")), F.col("place").eqNullSafe(F.col("__p")), "left_anti").unionByName(now)
     files = spark.createDataFrame([("all", state)], _FILES)
-    publish_together({"covers": now.coalesce(1), "files": files, "hashes": new}, root, replace=True)
+    publish_together({"covers": now.coalesce(1), "files": files}, root, replace=True, staged=[hashes])
     if whole:
         _expire(spark, root, keep)
         return Refresh("built")

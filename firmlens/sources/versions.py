@@ -126,16 +126,30 @@ def live_parts(spark: SparkSession, root: str) -> list[Part]:
     return list(live.values())
 
 
+def stage(df: DataFrame, root: str, name: str) -> Part:
+    """Write a version of a table for a later commit (``publish_together``): computed once, before what follows from it,
+    and not copied. Until then no reader sees it."""
+    layout, version = _layout(df.sparkSession, root).get(name), _new_version()
+    _write(df, f"{root}/{name}/version={version}", layout)
+    return Part(version, name, layout[1] if layout else None)
+
+
+def read_part(spark: SparkSession, root: str, part: Part, schema: StructType) -> DataFrame:
+    """The rows of one part, committed or not."""
+    return _read(spark, root, part.name, [part], schema, None)
+
+
 def publish_together(
-    frames: Mapping[str, DataFrame], root: str, columns: Mapping[str, Sequence[str]] | None = None, replace: bool = False
+    frames: Mapping[str, DataFrame], root: str, columns: Mapping[str, Sequence[str]] | None = None, replace: bool = False,
+    staged: Sequence[Part] = (),
 ) -> Published:
     """K4: write several tables (with an explicit column order, if given) as one version and commit them together.
     Readers see all new tables or none. With ``replace`` the version takes the place of all earlier ones of these
-    tables. Returns the version and the rows written to each table."""
+    tables. ``staged`` parts are committed with them. Returns the version and the rows written to each table."""
     spark = next(iter(frames.values())).sparkSession
     layout, version = _layout(spark, root), _new_version()
-    before = [p for p in live_parts(spark, root) if p.name in frames] if replace else []
-    rows, adds = {}, []
+    before = [p for p in live_parts(spark, root) if p.name in {*frames, *(s.name for s in staged)}] if replace else []
+    rows, adds = {}, [*staged]
     for name, df in frames.items():
         cols = (columns or {}).get(name)
         rows[name] = _write(df.select(*cols) if cols else df, f"{root}/{name}/version={version}", layout.get(name))
@@ -239,5 +253,5 @@ def maintain(spark: SparkSession, root: str, most: int, keep: dt.timedelta = KEP
 
 __all__ = [
     "Part", "Published", "bucket_of", "compact", "expire", "lay_out", "latest_version", "live_parts", "maintain", "publish_together",
-    "read_published", "table_exists",
+    "read_part", "read_published", "stage", "table_exists",
 ]

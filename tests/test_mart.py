@@ -123,3 +123,13 @@ def test_a_scope_reads_its_places_files(inputs):
     scoped = M.read_fresh_mart(inputs.spark, f"{inputs.root}/mart", schema).where(F.col(C.place) == "A")
     assert "PartitionFilters: [isnotnull(libellecommuneetablissement" in plan(scoped) and scoped.count() == 2
     assert os.path.exists(f"{inputs.root}/mart/rows")
+
+
+def test_hashes_are_written_once_and_without_a_shuffle(inputs):
+    frames = inputs.frames()
+    assert "Exchange" not in M._hashes(*frames, C)._jdf.queryExecution().executedPlan().toString()
+    inputs.refresh()
+    inputs.put("etab", [*ETABS, ETABS[0]], ETAB)  # a row twice: only its place is written anew
+    assert inputs.refresh() == M.Refresh("updated", 1)
+    made = [p for p in M.live_parts(inputs.spark, f"{inputs.root}/mart") if p.name == "hashes"]
+    assert len(made) == 1
