@@ -454,7 +454,7 @@ def run_daily_days(spark: SparkSession, sf: str, root: str) -> list[dict[str, in
                          F.expr("substring(siren, 1, length(siren) - 2)"), with_total=False)
         (day_units.where(~even)
          .select(F.struct(*units.columns).alias("uniteLegale"))
-         .write.mode("append").json(f"{root}/landing/{day}/units"))
+         .write.mode("append").options(**json.LANDED_OPTIONS).json(f"{root}/landing/{day}/units"))
         counts.append(I.daily_incremental(
             spark, f"{root}/landing/{day}/etablissements", f"{root}/landing/{day}/units", env_e, env_u, f"{root}/target",
             DAILY_MARK, run_date=DAILY_RUNS[day], overlap_days=200))
