@@ -91,3 +91,14 @@ def test_cheap_test_misses_no_long_run():
         assert bpe._may_run(text) or not found
     assert 100 < hits < 2900
     assert not bpe._may_run("plain words of a text. " * 100)
+
+
+def test_text_is_split_without_looking_ahead(monkeypatch):
+    """The library's split with the whole pattern, which looks ahead, isn't used; runs of white space are cut as it cuts them."""
+    c, r = B.Codec(PATH), random.Random(4)
+    white = [chr(k) for k in range(0x3001) if chr(k).isspace()] + ["​", "﻿", "᠎"]
+    parts = ["a", "the", "é", "日", "1", "!", "'s", "'", " ", " ", "  ", "\r\n", *white]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(5000)] + [f"a{x * 3}b {x} {x}c{x}" for x in white]
+    monkeypatch.setattr(c, "bpe", None)
+    for text in texts:
+        assert c.encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids, repr(text)
