@@ -328,7 +328,8 @@ def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc.doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(F.transform("places", lambda p: p["start"])).alias("first_word"),
         F.array_max(F.transform("places", lambda p: p["start"])).alias("last_word"), joined(base).alias("base_labels"), joined(F.concat(base, own)).alias("labels"),
-        F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0)).alias("score"),
+        # a phrase that stands inside a longer run has no span, but is there in full
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0))).alias("score"),
     )
 
 

@@ -126,3 +126,14 @@ def test_edges(spark):
     for wrong in ({"?!": "x"}, {"a " * (L.MAX_WORDS + 1): "x"}):
         with pytest.raises(ValueError):
             L.scan_licenses(docs, phrases=wrong)
+
+
+def test_score_of_a_phrase_inside_a_longer_run(spark, tmp_table):
+    """The phrase has no span of its own there, but a place, so a label and the score 1."""
+    notice = next(words(t) for _, t in NOTICES if "apache license" in " ".join(words(t)))
+    at = next(k for k in range(len(notice)) if notice[k : k + 2] == ["apache", "license"])
+    text = "x y " + " ".join(notice[max(0, at - 2) : at + 4]) + " z"
+    spark.createDataFrame([(1, text), (2, "nothing here")], "doc_id long, text string").write.parquet(f"{tmp_table}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op13_license_scan(spark, tmp_table).collect()}
+    assert (got[1].n_base, got[1].base_labels, got[1].score) == (1, "apache", 1.0)
+    assert (got[2].n_base, got[2].labels, got[2].score) == (0, "", 0.0)
