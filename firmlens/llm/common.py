@@ -20,10 +20,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, parts: int | None = None, **options: str) -> DataFrame:
-    """Write ``df`` once to a fresh table in the shared working folder and read it back:
+def stored(df: DataFrame, name: str, parts: int | None = None, path: str | None = None, **options: str) -> DataFrame:
+    """Write ``df`` once to a fresh table in the shared working folder (or to ``path``) and read it back:
     cuts the lineage, survives lost executors. ``parts``: in so many files and tasks at most."""
-    path = run_dir(df.sparkSession, name)
+    path = path or run_dir(df.sparkSession, name)
     df = df if parts is None else df.coalesce(parts)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -119,3 +119,29 @@ def test_edges(spark):
     assert got == brute(rows, 20, 100) and got
     assert C.mine_collocations(docs.limit(0)).count() == 0
     assert C.mine_collocations(docs, least=10**6).count() == 0
+
+
+def test_texts_are_split_once(spark, monkeypatch, tmp_table):
+    """Rounds scan the stored words: texts are read once, and what the driver plans doesn't grow with the rounds."""
+    seen, scans = [], []
+    count, code = C.count_phrases, C.code_texts
+    monkeypatch.setattr(C, "code_texts", lambda texts: seen.append(texts) or code(texts))
+    monkeypatch.setattr(C, "count_phrases", lambda coded, *rest: scans.append(coded.columns) or count(coded, *rest))
+    monkeypatch.setattr(C, "FIRST_SHARE", 0.05)
+    docs = made(1, n=40)
+    assert mined(spark, docs, 10, 3) == brute(docs, 10, 3)
+    assert len(seen) == 1 and len(scans) > 2 and all("text" not in c for c in scans)
+
+
+def test_coded_texts_are_the_blocks(spark):
+    import pyarrow as pa
+
+    rows = [(lang or "und", text) for lang, text in made(5)] + [("w", ", ".join(map(str, range(70_000))))]
+    coded = C.code_texts(spark.createDataFrame(rows, "lang string, text string").coalesce(1))
+    got = {b.lang: b for b in C._decoded(iter(coded.toArrow().to_batches()))}
+    want = {b.lang: b for b in C._blocks(iter([pa.record_batch({"lang": [x for x, _ in rows], "text": [x for _, x in rows]})]))}
+    assert {r.lang: r.width for r in coded.collect()} == dict.fromkeys(want, 2) | {"w": 4}
+    for lang, b in want.items():
+        a = got[lang]
+        assert (a.start, a.to) == (b.start, b.to) and a.words.to_pylist() == b.words.to_pylist()
+        assert (a.ids == b.ids).all() and (np.diff(a.piece) > 0).tolist() == (np.diff(b.piece) > 0).tolist()
